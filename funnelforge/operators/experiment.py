@@ -143,7 +143,8 @@ def minimum_detectable_effect(df: DataFrame, p1_col: str = "baseline_rate", n_co
     c = F.lit(k) * p1 * (F.lit(1) - p1) * F.lit(1 + 1 / ratio)
     d = safe_div(b + F.sqrt(b * b + F.lit(4) * a * c), F.lit(2) * a)
     hi = F.lit(1) - p1 - F.lit(1e-5)
-    return df.withColumn(out_col, F.least(F.greatest(d, F.lit(1e-5)), hi))
+    # No room for an upward effect (baseline at 1): NULL.
+    return df.withColumn(out_col, F.when(hi >= F.lit(1e-5), F.least(F.greatest(d, F.lit(1e-5)), hi)))
 
 
 def runtime_days(total, daily) -> F.Column:

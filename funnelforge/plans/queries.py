@@ -108,3 +108,101 @@ def registry() -> dict:
     out["ab_test"] = _build(q_ab_test, g_marts)
     out["u_ab_test"] = _build(q_ab_test, u_marts)
     return out
+
+
+# --------------------------------------------------------------------------- dashboard / EDA
+from ..operators import timing as TM  # noqa: E402
+
+G_PLATFORMS = ["ios", "android", "web"]
+U_PLATFORMS = ["automobile", "building", "furniture", "household", "machinery"]
+
+
+def q_funnel_by_variant(m): return FN.funnel_by_variant(m.users, m.events, m.steps)
+def q_funnel_overall(m): return FN.funnel_overall(m.users, m.events, m.steps)
+def q_lift_table(m): return X.lift_table(FN.funnel_by_variant(m.users, m.events, m.steps))
+
+
+def q_activation_heatmap(m, platforms=G_PLATFORMS):
+    return SG.activation_heatmap(m.users, m.events, m.raw.activation_step, col_values=platforms)
+
+
+def _tta(m):
+    return TM.time_to_activate(m.users, m.events, m.raw.start_step, m.raw.activation_step)
+
+
+def q_time_to_activate(m): return _tta(m)
+
+
+def q_tta_describe(m):
+    return round_cols(TM.describe(_tta(m), "minutes_to_activate", ["variant"]), {"mean", "std"}, 9)
+
+
+def q_tta_histogram(m): return TM.histogram(_tta(m), "minutes_to_activate", ["variant"], 40)
+def q_value_shares(m): return SG.value_shares(m.users, "variant")
+def q_crosstab(m): return SG.crosstab_shares(m.users, "country", "variant")
+
+
+def q_profile(m):
+    u = SG.profile(m.users).select(F.lit("stg_users").alias("table_name"), "*")
+    e = SG.profile(m.events).select(F.lit("stg_events").alias("table_name"), "*")
+    return u.unionByName(e)
+
+
+def q_arm_counts(m): return FN.arm_counts(m.users, m.events, m.steps[1])
+
+
+# --------------------------------------------------------------------------- segments x experiment, power
+def q_ab_test_by_country(m):
+    return round_cols(X.ab_test(m.funnel, m.steps, ["country"]), {"p_value", "power"})
+
+
+def q_sample_size_by_country(m):
+    return X.sample_size_by_segment(m.funnel, m.steps, ["country"], mde=0.02)
+
+
+def q_sample_size_relative_by_platform(m):
+    return X.sample_size_by_segment(m.funnel, m.steps, ["platform"], mde=0.05, mde_type="relative",
+                                    alpha=0.05, power=0.9, ratio=2.0)
+
+
+def q_mde_by_platform(m): return X.mde_by_segment(m.funnel, m.steps, ["platform"])
+def q_mde_overall(m): return X.mde_by_segment(m.funnel, m.steps, ())
+
+
+_G_ONLY = {
+    "funnel_by_variant": q_funnel_by_variant,
+    "funnel_overall": q_funnel_overall,
+    "lift_table": q_lift_table,
+    "activation_heatmap": q_activation_heatmap,
+    "time_to_activate": q_time_to_activate,
+    "tta_describe": q_tta_describe,
+    "tta_histogram": q_tta_histogram,
+    "value_shares": q_value_shares,
+    "crosstab": q_crosstab,
+    "profile": q_profile,
+    "arm_counts": q_arm_counts,
+    "ab_test_by_country": q_ab_test_by_country,
+    "sample_size_by_country": q_sample_size_by_country,
+    "sample_size_relative_by_platform": q_sample_size_relative_by_platform,
+    "mde_by_platform": q_mde_by_platform,
+    "mde_overall": q_mde_overall,
+}
+_U_ALSO = {
+    "funnel_by_variant": q_funnel_by_variant,
+    "lift_table": q_lift_table,
+    "activation_heatmap": partial(q_activation_heatmap, platforms=U_PLATFORMS),
+    "time_to_activate": q_time_to_activate,
+    "tta_describe": q_tta_describe,
+    "tta_histogram": q_tta_histogram,
+}
+
+_base_registry = registry
+
+
+def registry() -> dict:  # noqa: F811
+    out = _base_registry()
+    for name, fn in _G_ONLY.items():
+        out[name] = _build(fn, g_marts)
+    for name, fn in _U_ALSO.items():
+        out[f"u_{name}"] = _build(fn, u_marts)
+    return out

@@ -376,3 +376,243 @@ def registry() -> dict:
     out["ab_test"] = q_ab_test("g")
     out["u_ab_test"] = q_ab_test("u")
     return out
+
+
+# ---------------------------------------------------------------------------
+# Dashboard / EDA tables
+# ---------------------------------------------------------------------------
+
+def _start(a: str) -> str:
+    return "signup_started" if a == "g" else "signup"
+
+
+def user_flags_cte(a) -> str:
+    steps = adapter_steps(a)
+    cols = ", ".join(f"coalesce(f.reached_{s}, 0) AS reached_{s}" for s in steps)
+    parts = [f"SELECT variant, '{s}' AS step, {i + 1} AS step_order, reached_{s} AS reached FROM uf"
+             for i, s in enumerate(steps)]
+    return f""",
+uf AS (SELECT u.user_id, u.variant, {cols} FROM stg_users u LEFT JOIN flags f USING (user_id)),
+fbv_long AS ({' UNION ALL '.join(parts)}),
+fbv AS (
+  SELECT step, step_order, variant, CAST(sum(reached) AS BIGINT) AS converted, CAST(count(*) AS BIGINT) AS total
+  FROM fbv_long GROUP BY step, step_order, variant)"""
+
+
+def q_funnel_by_variant(a):
+    return base(a) + user_flags_cte(a) + """
+SELECT step, step_order, variant, converted, total, CAST(converted AS DOUBLE) / nullif(total, 0) AS rate,
+       CAST(converted AS DOUBLE) / nullif(first_value(total) OVER (PARTITION BY variant ORDER BY step_order), 0)
+         AS cumulative_rate
+FROM fbv"""
+
+
+def q_funnel_overall(a):
+    return base(a) + user_flags_cte(a) + """,
+fo AS (SELECT step, step_order, CAST(sum(reached) AS BIGINT) AS converted, CAST(count(*) AS BIGINT) AS total
+       FROM fbv_long GROUP BY step, step_order)
+SELECT step, step_order, converted AS users, CAST(converted AS DOUBLE) / nullif(total, 0) AS cumulative_rate,
+       CAST(converted AS DOUBLE) / nullif(lag(converted) OVER (ORDER BY step_order), 0) AS step_conversion
+FROM fo"""
+
+
+def q_lift_table(a):
+    return base(a) + user_flags_cte(a) + paired_cte("fbv", ["step", "step_order"]) + f"""
+SELECT step, step_order, (p_t - p_c) * 100 AS lift_pp,
+       {_d(1.96)} * sqrt(p_c * (1 - p_c) / nullif(control_total, 0) + p_t * (1 - p_t) / nullif(treatment_total, 0))
+         * 100 AS ci_half_pp
+FROM (SELECT *, CAST(control_converted AS DOUBLE) / nullif(control_total, 0) AS p_c,
+             CAST(treatment_converted AS DOUBLE) / nullif(treatment_total, 0) AS p_t FROM paired) t"""
+
+
+G_PLATFORMS = ["ios", "android", "web"]
+U_PLATFORMS = ["automobile", "building", "furniture", "household", "machinery"]
+
+
+def q_activation_heatmap(a):
+    plats = G_PLATFORMS if a == "g" else U_PLATFORMS
+    cols = ", ".join(f"avg(CASE WHEN platform = '{p}' THEN activated END) * 100 AS {p}" for p in plats)
+    return base(a) + f""",
+act AS (SELECT DISTINCT user_id FROM stg_events WHERE event_name = '{_act(a)}'),
+hu AS (SELECT u.country, u.platform, CASE WHEN x.user_id IS NOT NULL THEN {_d(1.0)} ELSE {_d(0.0)} END AS activated
+       FROM stg_users u LEFT JOIN act x USING (user_id))
+SELECT country, {cols} FROM hu GROUP BY country"""
+
+
+def tta_cte(a) -> str:
+    s, t = _start(a), _act(a)
+    return f""",
+firsts AS (
+  SELECT user_id, min(CASE WHEN event_name = '{s}' THEN event_ts END) AS t0,
+         min(CASE WHEN event_name = '{t}' THEN event_ts END) AS t1
+  FROM stg_events WHERE event_name IN ('{s}', '{t}') GROUP BY user_id),
+tta AS (
+  SELECT f.user_id, u.variant,
+         CAST(epoch_us(f.t1) - epoch_us(f.t0) AS DOUBLE) / {_d(60000000.0)} AS minutes_to_activate
+  FROM firsts f JOIN stg_users u USING (user_id) WHERE f.t0 IS NOT NULL AND f.t1 IS NOT NULL)"""
+
+
+def q_time_to_activate(a):
+    return base(a) + tta_cte(a) + "\nSELECT user_id, variant, minutes_to_activate FROM tta"
+
+
+def q_tta_describe(a):
+    return base(a) + tta_cte(a) + """,
+ranked AS (
+  SELECT variant, minutes_to_activate AS v,
+         row_number() OVER (PARTITION BY variant ORDER BY minutes_to_activate) AS rn,
+         count(*) OVER (PARTITION BY variant) AS n
+  FROM tta),
+med AS (
+  SELECT variant, (min(CASE WHEN rn = (n + 1) // 2 THEN v END) + min(CASE WHEN rn = n // 2 + 1 THEN v END)) / 2.0
+           AS median
+  FROM ranked GROUP BY variant)
+SELECT t.variant, CAST(count(t.minutes_to_activate) AS BIGINT) AS count, round(avg(t.minutes_to_activate), 9) AS mean,
+       m.median, round(stddev_samp(t.minutes_to_activate), 9) AS std
+FROM tta t LEFT JOIN med m USING (variant) GROUP BY t.variant, m.median"""
+
+
+def q_tta_histogram(a, bins=40):
+    w = f"((b.hi - b.lo) / {_d(float(bins))})"
+    w2 = f"((hi - lo) / {_d(float(bins))})"
+    return base(a) + tta_cte(a) + f""",
+bounds AS (SELECT variant, min(minutes_to_activate) AS lo, max(minutes_to_activate) AS hi FROM tta GROUP BY variant),
+hb AS (
+  SELECT t.variant, b.lo, b.hi,
+         CAST(CASE WHEN b.hi = b.lo THEN 0 ELSE least(floor((t.minutes_to_activate - b.lo) / {w}), {bins - 1}) END
+              AS INTEGER) AS bin
+  FROM tta t JOIN bounds b USING (variant))
+SELECT variant, bin, lo + bin * {w2} AS bin_lo, lo + (bin + 1) * {w2} AS bin_hi, CAST(count(*) AS BIGINT) AS count
+FROM hb GROUP BY variant, lo, hi, bin"""
+
+
+def q_value_shares(a):
+    return base(a, marts=False) + """
+SELECT variant, CAST(count(*) AS BIGINT) AS n,
+       CAST(count(*) AS DOUBLE) / CAST(sum(count(*)) OVER () AS DOUBLE) AS share
+FROM stg_users GROUP BY variant"""
+
+
+def q_crosstab(a):
+    tot = "CAST(count(*) FILTER (WHERE variant IN ('control', 'treatment')) AS DOUBLE)"
+    return base(a, marts=False) + f"""
+SELECT country,
+       round(CAST(count(*) FILTER (WHERE variant = 'control') AS DOUBLE) / {tot}, 3) AS control,
+       round(CAST(count(*) FILTER (WHERE variant = 'treatment') AS DOUBLE) / {tot}, 3) AS treatment
+FROM stg_users GROUP BY country"""
+
+
+def q_profile(a):
+    def prof(t, cols):
+        nulls = " + ".join(f"(count(*) - count({c}))" for c in cols)
+        return (f"SELECT '{t}' AS table_name, CAST(count(*) AS BIGINT) AS rows, "
+                f"CAST(count(DISTINCT user_id) AS BIGINT) AS distinct_ids, CAST({nulls} AS BIGINT) AS null_cells FROM {t}")
+    return base(a, marts=False) + "\n" + prof(
+        "stg_users", ["user_id", "variant", "country", "platform", "signup_ts", "signup_date"]) + \
+        "\nUNION ALL\n" + prof("stg_events", ["event_id", "user_id", "event_name", "event_ts"])
+
+
+def q_arm_counts(a):
+    step = adapter_steps(a)[1]
+    return base(a, marts=False) + f"""
+SELECT u.variant, CAST(sum(CASE WHEN r.user_id IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT) AS converted,
+       CAST(count(*) AS BIGINT) AS total
+FROM stg_users u LEFT JOIN (SELECT DISTINCT user_id FROM stg_events WHERE event_name = '{step}') r USING (user_id)
+GROUP BY u.variant"""
+
+
+def q_ab_test_by_country(a):
+    g = ["country", "funnel_step", "step_order"]
+    return base(a) + step_counts_cte(a, ["country"]) + paired_cte("counts", g) + two_prop_final(g)
+
+
+def _k(alpha, power):
+    return (zq(1 - alpha / 2) + zq(power)) ** 2
+
+
+def baseline_ctes(a, seg) -> str:
+    keys = seg or ["_all"]
+    src = "fct_funnel" if seg else "(SELECT *, 1 AS _all FROM fct_funnel)"
+    g = ", ".join(keys)
+    steps = adapter_steps(a)
+    parts = [f"SELECT {g}, variant, '{s}' AS funnel_step, {i + 1} AS step_order, reached_{s} AS reached FROM {src}"
+             for i, s in enumerate(steps)]
+    out_seg = "".join(f"p.{c}, " for c in seg)
+    return f""",
+bl_long AS ({' UNION ALL '.join(parts)}),
+counts AS (
+  SELECT {g}, variant, funnel_step, step_order, CAST(coalesce(sum(reached), 0) AS BIGINT) AS converted,
+         CAST(count(*) AS BIGINT) AS total
+  FROM bl_long GROUP BY {g}, variant, funnel_step, step_order)""" + paired_cte(
+        "counts", [*keys, "funnel_step", "step_order"]) + f""",
+seg AS (
+  SELECT {g}, CAST(count(*) AS BIGINT) AS segment_users,
+         CAST(count(*) AS DOUBLE) / nullif(count(DISTINCT signup_date), 0) AS daily_signups
+  FROM {src} GROUP BY {g}),
+base_rates AS (
+  SELECT {out_seg}p.funnel_step, p.step_order, p.control_total AS control_users,
+         CAST(p.control_converted AS DOUBLE) / nullif(p.control_total, 0) AS baseline_rate,
+         s.segment_users, s.daily_signups
+  FROM paired p JOIN seg s USING ({g}))"""
+
+
+def q_sample_size(a, seg, mde=0.02, mde_type="absolute", alpha=0.05, power=0.8, ratio=1.0):
+    eff = _d(mde) if mde_type == "absolute" else f"{_d(mde)} * baseline_rate"
+    k, r = _d(_k(alpha, power)), _d(ratio)
+    cols = "".join(f"{c}, " for c in seg)
+    return base(a) + baseline_ctes(a, seg) + f""",
+s1 AS (SELECT *, {eff} AS mde_abs, baseline_rate + {eff} AS target_rate FROM base_rates),
+s2 AS (
+  SELECT *, CASE WHEN target_rate > 0 AND target_rate < 1 AND mde_abs <> 0
+    THEN ({k} * (baseline_rate * (1 - baseline_rate) + (target_rate * (1 - target_rate)) / {r}))
+         / ((baseline_rate - target_rate) * (baseline_rate - target_rate)) END AS n_exact
+  FROM s1)
+SELECT {cols}funnel_step, step_order, control_users, baseline_rate, segment_users, daily_signups, mde_abs,
+       target_rate, CAST(ceil(n_exact) AS BIGINT) AS n_control, CAST(ceil(n_exact * {r}) AS BIGINT) AS n_treatment,
+       CAST(ceil(n_exact) + ceil(n_exact * {r}) AS BIGINT) AS n_total,
+       CAST(ceil(CAST(CAST(ceil(n_exact) + ceil(n_exact * {r}) AS BIGINT) AS DOUBLE) / nullif(daily_signups, 0))
+            AS BIGINT) AS runtime_days
+FROM s2"""
+
+
+def q_mde(a, seg, alpha=0.05, power=0.8, ratio=1.0):
+    k = _k(alpha, power)
+    kr = k / ratio
+    cols = "".join(f"{c}, " for c in seg)
+    return base(a) + baseline_ctes(a, seg) + f""",
+m1 AS (
+  SELECT *, CAST(control_users AS DOUBLE) + {_d(kr)} AS qa, {_d(kr)} * (1 - 2 * baseline_rate) AS qb,
+         {_d(k)} * baseline_rate * (1 - baseline_rate) * {_d(1 + 1 / ratio)} AS qc,
+         1 - baseline_rate - {_d(1e-5)} AS hi
+  FROM base_rates),
+m2 AS (
+  SELECT *, CASE WHEN hi >= {_d(1e-5)} THEN
+    least(greatest((qb + sqrt(qb * qb + 4 * qa * qc)) / nullif(2 * qa, 0), {_d(1e-5)}), hi) END AS mde
+  FROM m1)
+SELECT {cols}funnel_step, step_order, control_users, baseline_rate, segment_users, daily_signups, mde,
+       mde / nullif(baseline_rate, 0) AS mde_relative
+FROM m2"""
+
+
+_G_ONLY = ["funnel_by_variant", "funnel_overall", "lift_table", "activation_heatmap", "time_to_activate",
+           "tta_describe", "tta_histogram", "value_shares", "crosstab", "profile", "arm_counts",
+           "ab_test_by_country"]
+_U_ALSO = ["funnel_by_variant", "lift_table", "activation_heatmap", "time_to_activate", "tta_describe",
+           "tta_histogram"]
+
+_registry_1 = registry
+
+
+def registry() -> dict:  # noqa: F811
+    g = globals()
+    out = _registry_1()
+    for name in _G_ONLY:
+        out[name] = g[f"q_{name}"]("g")
+    for name in _U_ALSO:
+        out[f"u_{name}"] = g[f"q_{name}"]("u")
+    out["sample_size_by_country"] = q_sample_size("g", ["country"], mde=0.02)
+    out["sample_size_relative_by_platform"] = q_sample_size("g", ["platform"], mde=0.05, mde_type="relative",
+                                                            alpha=0.05, power=0.9, ratio=2.0)
+    out["mde_by_platform"] = q_mde("g", ["platform"])
+    out["mde_overall"] = q_mde("g", [])
+    return out
