@@ -206,3 +206,121 @@ def registry() -> dict:  # noqa: F811
     for name, fn in _U_ALSO.items():
         out[f"u_{name}"] = _build(fn, u_marts)
     return out
+
+
+# --------------------------------------------------------------------------- data quality
+from ..operators import features as FT  # noqa: E402
+from ..operators import metrics as MT  # noqa: E402
+from ..operators import quality as QC  # noqa: E402
+from ..schemas import CATEGORICAL, NUMERIC, flag_col  # noqa: E402
+
+
+def q_model_tests(m):
+    return QC.warehouse_checks(m.raw.users, m.raw.events, m.users, m.events, dim_users(m.users), m.funnel, m.ab,
+                               m.steps)
+
+
+def q_generator_contract(m):
+    flags = FN.user_flags(m.users, m.events, m.steps, keep=("variant", "country", "platform"))
+    done, act = flag_col(m.steps[1]), flag_col(m.raw.activation_step)
+    return QC._union([
+        QC.funnel_monotone(m.users, m.events, m.steps),
+        QC.timestamps_in_step_order(m.events, m.steps),
+        QC.arm_balance(m.users, 0.02),
+        QC.rate_spread_check(flags, "country", done, 0.03, True, "completion_spread_country"),
+        QC.rate_spread_check(flags, "platform", done, 0.03, True, "completion_spread_platform"),
+        QC.rate_spread_check(flags, "country", act, 0.02, False, "activation_spread_country"),
+        QC.rate_spread_check(flags, "platform", act, 0.02, False, "activation_spread_platform"),
+        QC.lift_above(flags, done, 0.03),
+    ])
+
+
+def q_event_order_checks(m):
+    return QC._union([QC.funnel_monotone(m.users, m.events, m.steps),
+                      QC.timestamps_in_step_order(m.events, m.steps)])
+
+
+# --------------------------------------------------------------------------- features and metrics
+def _features(m):
+    return FT.activation_features(m.users, m.events, m.steps[1], m.raw.activation_step)
+
+
+def q_features_local(m): return _features(m)
+
+
+def q_features_mart(m):
+    return FT.features_from_marts(m.funnel, dim_users(m.users), m.steps[1], m.raw.activation_step)
+
+
+def q_feature_checks(m):
+    return QC.feature_checks(_features(m), m.users, flag_col(m.raw.activation_step), [*CATEGORICAL, *NUMERIC])
+
+
+def q_feature_split(m): return FT.split(_features(m), 0.25, 42)
+
+
+def _scored_test(m):
+    s = FT.process_score(FT.split(_features(m), 0.25, 42))
+    return s.filter(F.col("is_test"))
+
+
+def q_score_metrics(m):
+    out = MT.summary(_scored_test(m), flag_col(m.raw.activation_step), "score")
+    return round_cols(out, {"average_precision", "brier"})
+
+
+def q_score_report(m):
+    return MT.classification_report(_scored_test(m), flag_col(m.raw.activation_step), "score", 0.5,
+                                    ("did_not_activate", "activated"))
+
+
+def q_score_auc_by_platform(m):
+    return MT.roc_auc(FT.process_score(_features(m)), flag_col(m.raw.activation_step), "score", ["platform"])
+
+
+# --------------------------------------------------------------------------- generator sanity tables
+def q_gen_conversion_by_variant(m):
+    done = m.events.filter(F.col("event_name") == F.lit(m.steps[1])).select("user_id")
+    comp = done.join(m.users.select("user_id", "variant"), "user_id", "inner").groupBy("variant") \
+        .agg(F.countDistinct("user_id").alias("completed_users"))
+    tot = m.users.groupBy("variant").agg(F.count(F.lit(1)).alias("users"))
+    return tot.join(comp, "variant", "left").select(
+        "variant", F.coalesce("completed_users", F.lit(0)).alias("completed_users"), "users",
+        F.round(F.coalesce("completed_users", F.lit(0)) / F.col("users"), 4).alias("conversion_rate"))
+
+
+def _activation_by(m, dim):
+    flagged = FN.with_reached(m.users.select("user_id", dim), m.events, m.raw.activation_step, "activated")
+    return SG.rate_by(flagged, dim, "activated").select(dim, F.round("rate", 4).alias("activation_rate"))
+
+
+def q_gen_activation_by_country(m): return _activation_by(m, "country")
+def q_gen_activation_by_platform(m): return _activation_by(m, "platform")
+
+
+_G_MORE = {
+    "model_tests": q_model_tests,
+    "generator_contract": q_generator_contract,
+    "features_local": q_features_local,
+    "features_mart": q_features_mart,
+    "feature_checks": q_feature_checks,
+    "feature_split": q_feature_split,
+    "score_metrics": q_score_metrics,
+    "score_report": q_score_report,
+    "score_auc_by_platform": q_score_auc_by_platform,
+    "gen_conversion_by_variant": q_gen_conversion_by_variant,
+    "gen_activation_by_country": q_gen_activation_by_country,
+    "gen_activation_by_platform": q_gen_activation_by_platform,
+}
+_U_MORE = {"model_tests": q_model_tests, "event_order_checks": q_event_order_checks}
+
+_registry_2 = registry
+
+
+def registry() -> dict:  # noqa: F811
+    out = _registry_2()
+    for name, fn in _G_MORE.items():
+        out[name] = _build(fn, g_marts)
+    for name, fn in _U_MORE.items():
+        out[f"u_{name}"] = _build(fn, u_marts)
+    return out

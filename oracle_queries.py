@@ -616,3 +616,251 @@ def registry() -> dict:  # noqa: F811
     out["mde_by_platform"] = q_mde("g", ["platform"])
     out["mde_overall"] = q_mde("g", [])
     return out
+
+
+# ---------------------------------------------------------------------------
+# Data quality
+# ---------------------------------------------------------------------------
+
+def _mt(src, model, unique=(), not_null=(), accepted=None):
+    parts = []
+    for c in not_null:
+        parts.append(f"SELECT '{model}' AS model, '{c}' AS column_name, 'not_null' AS test, "
+                     f"CAST(count(*) - count({c}) AS BIGINT) AS failures FROM {src}")
+    for c, vals in (accepted or {}).items():
+        lst = ", ".join(f"'{v}'" for v in vals)
+        parts.append(f"SELECT '{model}', '{c}', 'accepted_values', "
+                     f"CAST(count(*) FILTER (WHERE {c} IS NOT NULL AND {c} NOT IN ({lst})) AS BIGINT) FROM {src}")
+    for c in unique:
+        parts.append(f"SELECT '{model}', '{c}', 'unique', CAST(count(*) AS BIGINT) FROM "
+                     f"(SELECT {c} FROM {src} WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1)")
+    return parts
+
+
+def q_model_tests(a):
+    steps = adapter_steps(a)
+    arms = ["control", "treatment"]
+    parts = (_mt("raw_users", "raw_users", ["user_id"], ["user_id"])
+             + _mt("raw_events", "raw_events", ["event_id"], ["event_id", "user_id"])
+             + _mt("stg_users", "stg_users", ["user_id"], ["user_id", "variant"], {"variant": arms})
+             + _mt("stg_events", "stg_events", ["event_id"], ["event_id", "user_id", "event_name"],
+                   {"event_name": steps})
+             + _mt("dim_users", "dim_users", ["user_id"], ["user_id"], {"variant": arms})
+             + _mt("fct_funnel", "fct_funnel", ["user_id"], ["user_id", f"reached_{steps[0]}"])
+             + _mt("fct_ab", "fct_ab_experiment", [], ["funnel_step", "conversion_rate"], {"funnel_step": steps}))
+    return base(a) + "\n" + "\nUNION ALL\n".join(parts)
+
+
+def _verdict(check, value, passed, src):
+    return f"SELECT '{check}' AS check, CAST({value} AS DOUBLE) AS value, coalesce({passed}, FALSE) AS passed FROM {src}"
+
+
+def monotone_parts(a):
+    steps = adapter_steps(a)
+    sums = ", ".join(f"sum(reached_{s}) AS s{i}" for i, s in enumerate(steps))
+    mono = " AND ".join(f"s{i} >= s{i + 1}" for i in range(len(steps) - 1))
+    src = f"(SELECT {sums}, (SELECT count(*) FROM stg_users) AS n_users FROM flags)"
+    return [_verdict("steps_non_increasing", f"s{len(steps) - 1}", f"({mono})", src),
+            _verdict("first_step_covers_users", "s0", "(s0 = n_users)", src)]
+
+
+def order_part(a):
+    steps = adapter_steps(a)
+    aggs = ", ".join(f"min(CASE WHEN event_name = '{s}' THEN event_ts END) AS mn{i}, "
+                     f"max(CASE WHEN event_name = '{s}' THEN event_ts END) AS mx{i}" for i, s in enumerate(steps))
+    conds = []
+    for j in range(1, len(steps)):
+        prev = f"greatest({', '.join(f'mx{i}' for i in range(j))})" if j > 1 else "mx0"
+        conds.append(f"coalesce(mn{j} < {prev}, FALSE)")
+    bad = " OR ".join(conds)
+    src = (f"(SELECT coalesce(sum(CASE WHEN {bad} THEN 1 ELSE 0 END), 0) AS bad FROM "
+           f"(SELECT user_id, {aggs} FROM stg_events GROUP BY user_id) pu)")
+    return _verdict("timestamps_in_step_order", "bad", "(bad = 0)", src)
+
+
+def q_generator_contract(a):
+    steps = adapter_steps(a)
+    done, act = f"reached_{steps[1]}", f"reached_{_act(a)}"
+    fl = ", ".join(f"coalesce(f.reached_{s}, 0) AS reached_{s}" for s in steps)
+    ufc = (f",\nufc AS (SELECT u.user_id, u.variant, u.country, u.platform, {fl} "
+           f"FROM stg_users u LEFT JOIN flags f USING (user_id))")
+
+    def spread(dim, flag, bound, below, name):
+        src = f"(SELECT max(r) - min(r) AS sp FROM (SELECT {dim}, avg(CAST({flag} AS DOUBLE)) AS r FROM ufc GROUP BY {dim}))"
+        return _verdict(name, "sp", f"(sp {'<' if below else '>'} {_d(bound)})", src)
+
+    bal = ("(SELECT greatest(abs(CAST(sum(CASE WHEN variant = 'control' THEN 1 ELSE 0 END) AS DOUBLE) / count(*) - "
+           f"{_d(0.5)}), abs(CAST(sum(CASE WHEN variant = 'treatment' THEN 1 ELSE 0 END) AS DOUBLE) / count(*) - "
+           f"{_d(0.5)})) AS dev FROM stg_users)")
+    lift = (f"(SELECT avg(CASE WHEN variant = 'treatment' THEN CAST({done} AS DOUBLE) END) - "
+            f"avg(CASE WHEN variant = 'control' THEN CAST({done} AS DOUBLE) END) AS d FROM ufc)")
+    parts = monotone_parts(a) + [order_part(a), _verdict("arm_balance", "dev", f"(dev < {_d(0.02)})", bal),
+                                 spread("country", done, 0.03, True, "completion_spread_country"),
+                                 spread("platform", done, 0.03, True, "completion_spread_platform"),
+                                 spread("country", act, 0.02, False, "activation_spread_country"),
+                                 spread("platform", act, 0.02, False, "activation_spread_platform"),
+                                 _verdict("treatment_lift", "d", f"(d > {_d(0.03)})", lift)]
+    return base(a) + ufc + "\n" + "\nUNION ALL\n".join(parts)
+
+
+def q_event_order_checks(a):
+    return base(a) + "\n" + "\nUNION ALL\n".join(monotone_parts(a) + [order_part(a)])
+
+
+# ---------------------------------------------------------------------------
+# Features and metrics
+# ---------------------------------------------------------------------------
+
+def feats_cte(a) -> str:
+    steps = adapter_steps(a)
+    done, act = steps[1], _act(a)
+    return f""",
+pu AS (
+  SELECT user_id, min(CASE WHEN event_name = '{done}' THEN event_ts END) AS completed_ts,
+         max(CASE WHEN event_name = '{act}' THEN 1 ELSE 0 END) AS tgt
+  FROM stg_events WHERE event_name IN ('{done}', '{act}') GROUP BY user_id),
+feats AS (
+  SELECT u.user_id, u.variant, u.country, u.platform,
+         CAST(isodow(u.signup_ts) - 1 AS VARCHAR) AS signup_dayofweek,
+         CAST(hour(u.signup_ts) AS INTEGER) AS signup_hour,
+         CAST(epoch_us(p.completed_ts) - epoch_us(u.signup_ts) AS DOUBLE) / {_d(60000000.0)}
+           AS minutes_signup_to_complete,
+         p.tgt AS reached_{act}
+  FROM stg_users u JOIN pu p USING (user_id) WHERE p.completed_ts IS NOT NULL),
+split AS (SELECT *, {draw('user_id', 'split')} < {_d(0.25)} AS is_test FROM feats),
+scored AS (
+  SELECT *,
+    least(greatest({_d(0.75)} + CASE country WHEN 'PT' THEN {_d(0.05)} WHEN 'ES' THEN {_d(0.03)}
+        WHEN 'GB' THEN {_d(0.02)} WHEN 'PL' THEN {_d(0.0)} WHEN 'AE' THEN {_d(-0.1)} ELSE {_d(0.0)} END,
+        {_d(0.01)}), {_d(0.99)})
+    * least(greatest({_d(0.55)} + CASE platform WHEN 'ios' THEN {_d(0.05)} WHEN 'android' THEN {_d(0.0)}
+        WHEN 'web' THEN {_d(-0.08)} ELSE {_d(0.0)} END, {_d(0.01)}), {_d(0.99)})
+    * least(greatest({_d(0.7)} + CASE WHEN signup_hour BETWEEN 0 AND 5 THEN {_d(-0.06)} ELSE {_d(0.01)} END,
+        {_d(0.01)}), {_d(0.99)}) AS score
+  FROM split)"""
+
+
+def q_features_local(a):
+    return base(a) + feats_cte(a) + "\nSELECT * FROM feats"
+
+
+def q_features_mart(a):
+    steps = adapter_steps(a)
+    return base(a) + f"""
+SELECT f.user_id, f.variant, f.country, f.platform, CAST(hour(u.signup_ts) AS INTEGER) AS signup_hour,
+       CAST(dayofweek(u.signup_ts) + 1 AS VARCHAR) AS signup_dayofweek, f.reached_{_act(a)}
+FROM fct_funnel f JOIN dim_users u USING (user_id) WHERE f.reached_{steps[1]} = 1"""
+
+
+def q_feature_checks(a):
+    t = f"reached_{_act(a)}"
+    cols = ["variant", "country", "platform", "signup_dayofweek", "signup_hour", "minutes_signup_to_complete", t]
+    nulls = " + ".join(f"(count(*) - count({c}))" for c in cols)
+    src = (f"(SELECT count(*) AS n, avg(CAST({t} AS DOUBLE)) AS prev, "
+           f"coalesce(sum(CASE WHEN {t} NOT IN (0, 1) THEN 1 ELSE 0 END), 0) AS nonbin, {nulls} AS nulls, "
+           f"coalesce(sum(CASE WHEN minutes_signup_to_complete < 0 THEN 1 ELSE 0 END), 0) AS neg, "
+           f"(SELECT count(*) FROM stg_users) AS users FROM feats)")
+    parts = [_verdict("target_binary", "nonbin", "(nonbin = 0)", src),
+             _verdict("no_missing_values", "nulls", "(nulls = 0)", src),
+             _verdict("prevalence_reasonable", "prev", f"(prev > {_d(0.05)} AND prev < {_d(0.95)})", src),
+             _verdict("population_within_users", "n", "(n > 0 AND n <= users)", src),
+             _verdict("minutes_non_negative", "neg", "(neg = 0)", src)]
+    return base(a) + feats_cte(a) + "\n" + "\nUNION ALL\n".join(parts)
+
+
+def q_feature_split(a):
+    return base(a) + feats_cte(a) + "\nSELECT * EXCLUDE (score) FROM scored"
+
+
+def q_score_metrics(a):
+    t = f"reached_{_act(a)}"
+    return base(a) + feats_cte(a) + f""",
+sc AS (SELECT CAST({t} AS BIGINT) AS y, score FROM scored WHERE is_test),
+d AS (SELECT score, sum(y) AS pos, sum(1 - y) AS neg, count(*) AS cnt FROM sc GROUP BY score),
+auc AS (
+  SELECT CAST(sum(2 * pos * (cneg - neg) + pos * neg) AS DOUBLE)
+         / (2.0 * CAST(sum(pos) AS DOUBLE) * CAST(sum(neg) AS DOUBLE)) AS auc
+  FROM (SELECT *, sum(neg) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cneg FROM d)),
+ap AS (
+  SELECT sum(pos * (CAST(cpos AS DOUBLE) / ccnt)) / sum(pos) AS ap
+  FROM (SELECT *, sum(pos) OVER (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cpos,
+               sum(cnt) OVER (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS ccnt FROM d)),
+base_m AS (
+  SELECT CAST(count(*) AS BIGINT) AS n, CAST(sum(y) AS BIGINT) AS positives, avg(CAST(y AS DOUBLE)) AS pr_baseline,
+         avg((score - CAST(y AS DOUBLE)) * (score - CAST(y AS DOUBLE))) AS brier FROM sc)
+SELECT n, positives, pr_baseline, auc, round(ap, 10) AS average_precision, round(brier, 10) AS brier
+FROM base_m, auc, ap"""
+
+
+def q_score_report(a):
+    t = f"reached_{_act(a)}"
+    return base(a) + feats_cte(a) + f""",
+cm AS (
+  SELECT CAST(sum(y * p) AS DOUBLE) AS tp, CAST(sum((1 - y) * p) AS DOUBLE) AS fp,
+         CAST(sum(y * (1 - p)) AS DOUBLE) AS fn, CAST(sum((1 - y) * (1 - p)) AS DOUBLE) AS tn
+  FROM (SELECT CAST({t} AS BIGINT) AS y, CASE WHEN score >= {_d(0.5)} THEN 1 ELSE 0 END AS p
+        FROM scored WHERE is_test)),
+pr AS (
+  SELECT *, coalesce(tp / nullif(tp + fp, 0), 0) AS prec1, coalesce(tp / nullif(tp + fn, 0), 0) AS rec1,
+         coalesce(tn / nullif(tn + fn, 0), 0) AS prec0, coalesce(tn / nullif(tn + fp, 0), 0) AS rec0,
+         tp + fn AS s1, tn + fp AS s0
+  FROM cm),
+f1 AS (
+  SELECT *, coalesce(2.0 * prec1 * rec1 / nullif(prec1 + rec1, 0), 0) AS f1_1,
+         coalesce(2.0 * prec0 * rec0 / nullif(prec0 + rec0, 0), 0) AS f1_0, s1 + s0 AS total
+  FROM pr)
+SELECT 'did_not_activate' AS class_label, prec0 AS precision, rec0 AS recall, f1_0 AS f1_score,
+       CAST(s0 AS BIGINT) AS support FROM f1
+UNION ALL SELECT 'activated', prec1, rec1, f1_1, CAST(s1 AS BIGINT) FROM f1
+UNION ALL SELECT 'accuracy', NULL, NULL, coalesce((tp + tn) / nullif(total, 0), 0), CAST(total AS BIGINT) FROM f1
+UNION ALL SELECT 'macro avg', (prec0 + prec1) / 2, (rec0 + rec1) / 2, (f1_0 + f1_1) / 2, CAST(total AS BIGINT) FROM f1
+UNION ALL SELECT 'weighted avg', coalesce((prec0 * s0 + prec1 * s1) / nullif(total, 0), 0),
+       coalesce((rec0 * s0 + rec1 * s1) / nullif(total, 0), 0),
+       coalesce((f1_0 * s0 + f1_1 * s1) / nullif(total, 0), 0), CAST(total AS BIGINT) FROM f1"""
+
+
+def q_score_auc_by_platform(a):
+    t = f"reached_{_act(a)}"
+    return base(a) + feats_cte(a) + f""",
+d AS (SELECT platform, score, sum(CAST({t} AS BIGINT)) AS pos, sum(1 - CAST({t} AS BIGINT)) AS neg
+      FROM scored GROUP BY platform, score)
+SELECT platform, CAST(sum(2 * pos * (cneg - neg) + pos * neg) AS DOUBLE)
+       / (2.0 * CAST(sum(pos) AS DOUBLE) * CAST(sum(neg) AS DOUBLE)) AS auc
+FROM (SELECT *, sum(neg) OVER (PARTITION BY platform ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+        AS cneg FROM d)
+GROUP BY platform"""
+
+
+def q_gen_conversion_by_variant(a):
+    done = adapter_steps(a)[1]
+    return base(a, marts=False) + f""",
+comp AS (SELECT u.variant, count(DISTINCT e.user_id) AS completed_users
+         FROM stg_events e JOIN stg_users u USING (user_id) WHERE e.event_name = '{done}' GROUP BY u.variant),
+tot AS (SELECT variant, count(*) AS users FROM stg_users GROUP BY variant)
+SELECT t.variant, CAST(coalesce(c.completed_users, 0) AS BIGINT) AS completed_users, CAST(t.users AS BIGINT) AS users,
+       round(CAST(coalesce(c.completed_users, 0) AS DOUBLE) / t.users, 4) AS conversion_rate
+FROM tot t LEFT JOIN comp c USING (variant)"""
+
+
+def q_gen_activation_by(a, dim):
+    return base(a, marts=False) + f""",
+act AS (SELECT DISTINCT user_id FROM stg_events WHERE event_name = '{_act(a)}')
+SELECT u.{dim}, round(avg(CASE WHEN x.user_id IS NOT NULL THEN {_d(1.0)} ELSE {_d(0.0)} END), 4) AS activation_rate
+FROM stg_users u LEFT JOIN act x USING (user_id) GROUP BY u.{dim}"""
+
+
+_G_MORE = ["model_tests", "generator_contract", "features_local", "features_mart", "feature_checks",
+           "feature_split", "score_metrics", "score_report", "score_auc_by_platform", "gen_conversion_by_variant"]
+_registry_2 = registry
+
+
+def registry() -> dict:  # noqa: F811
+    g = globals()
+    out = _registry_2()
+    for name in _G_MORE:
+        out[name] = g[f"q_{name}"]("g")
+    out["gen_activation_by_country"] = q_gen_activation_by("g", "country")
+    out["gen_activation_by_platform"] = q_gen_activation_by("g", "platform")
+    out["u_model_tests"] = q_model_tests("u")
+    out["u_event_order_checks"] = q_event_order_checks("u")
+    return out
