@@ -324,3 +324,55 @@ def registry() -> dict:  # noqa: F811
     for name, fn in _U_MORE.items():
         out[f"u_{name}"] = _build(fn, u_marts)
     return out
+
+
+# --------------------------------------------------------------------------- MLlib (rows-only checks)
+from ..operators import model as ML  # noqa: E402
+
+
+def _train_test(m):
+    s = FT.split(_features(m), 0.25, 42)
+    return s.filter(~F.col("is_test")), s.filter(F.col("is_test"))
+
+
+def q_logreg_coefficients(m):
+    train, _ = _train_test(m)
+    model = ML.fit_logistic(train, flag_col(m.raw.activation_step))
+    return ML.coefficients_frame(train.sparkSession, model)
+
+
+def q_logreg_test_metrics(m):
+    train, test = _train_test(m)
+    t = flag_col(m.raw.activation_step)
+    scored = ML.score(ML.fit_logistic(train, t), test, ("user_id",), t)
+    return MT.summary(scored, t, "probability_activate")
+
+
+def q_gbt_test_metrics(m):
+    train, test = _train_test(m)
+    t = flag_col(m.raw.activation_step)
+    scored = ML.score(ML.fit_gbt(train, t), test, ("user_id",), t)
+    return MT.summary(scored, t, "probability_activate")
+
+
+def q_logreg_scores(m):
+    """Score every completed user (targeting list)."""
+    train, _ = _train_test(m)
+    t = flag_col(m.raw.activation_step)
+    return ML.score(ML.fit_logistic(train, t), _features(m), ("user_id", "variant", "country", "platform"))
+
+
+_ML = {
+    "logreg_coefficients": q_logreg_coefficients,
+    "logreg_test_metrics": q_logreg_test_metrics,
+    "gbt_test_metrics": q_gbt_test_metrics,
+    "logreg_scores": q_logreg_scores,
+}
+_registry_3 = registry
+
+
+def registry() -> dict:  # noqa: F811
+    out = _registry_3()
+    for name, fn in _ML.items():
+        out[name] = _build(fn, g_marts)
+    return out
