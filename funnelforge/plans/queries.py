@@ -18,7 +18,7 @@ from ..operators import experiment as X
 from ..operators import funnel as FN
 from ..operators import segments as SG
 from ..operators.staging import dim_users, stg_events, stg_users
-from ..sources.fixtures import RawTables, generated_tables, unit_tables
+from ..sources.fixtures import RawTables, generated_source, generated_tables, unit_tables
 
 EXP_DECIMALS = 10
 
@@ -42,6 +42,12 @@ class Marts:
 
 
 def g_marts(spark: SparkSession, sf_dir: str) -> Marts:
+    """Adapter G: marts over the generated raw tables (generated once per session)."""
+    return Marts(generated_source(spark, sf_dir))
+
+
+def g_generator(spark: SparkSession, sf_dir: str) -> Marts:
+    """Adapter G with the generator itself as the source (for the generator queries)."""
     return Marts(generated_tables(spark, sf_dir))
 
 
@@ -101,7 +107,7 @@ _MART_QUERIES = {
 def registry() -> dict:
     out = {}
     for name, fn in _MART_QUERIES.items():
-        out[name] = _build(fn, g_marts)
+        out[name] = _build(fn, g_generator if name.startswith("raw_") else g_marts)
         out[f"u_{name}"] = _build(fn, u_marts)
     out["segment_activation"] = _build(q_segment_activation, g_marts)
     out["u_segment_activation"] = _build(partial(q_segment_activation, min_users=25), u_marts)

@@ -12,12 +12,15 @@ Two adapters, both pure DataFrame plans whose work grows with the input tables:
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import ACTIVATION_STEP, START_STEP, STEPS
+from ..session import checkpoint_dir
 from .generate import DEFAULT_SEED, generate
 
 # Fixed values of adapter U: event types taken as funnel steps, in this order.
@@ -76,10 +79,38 @@ def customer_user_ids(spark: SparkSession, sf_dir: str,
                       users_per_customer: int = USERS_PER_CUSTOMER) -> DataFrame:
     cust = read_table(spark, sf_dir, "customer").select("c_custkey")
     first = F.col("c_custkey").cast("long") * F.lit(users_per_customer) + F.lit(1)
-    return cust.select(F.explode(F.sequence(first, first + F.lit(users_per_customer - 1))).alias("user_id"))
+    ids = cust.select(F.explode(F.sequence(first, first + F.lit(users_per_customer - 1))).alias("user_id"))
+    # The expansion multiplies the work after the scan: spread the ids by user_id, which
+    # also leaves every user-keyed aggregate and join downstream without an exchange.
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return ids.repartition(n, "user_id")
 
 
 def generated_tables(spark: SparkSession, sf_dir: str, seed: int = DEFAULT_SEED,
                      users_per_customer: int = USERS_PER_CUSTOMER) -> RawTables:
+    """The generator's plans (computed on every use)."""
     users, events = generate(spark, seed=seed, ids=customer_user_ids(spark, sf_dir, users_per_customer))
     return RawTables(users, events, list(STEPS), START_STEP, ACTIVATION_STEP)
+
+
+_MATERIALISED: dict = {}
+
+
+def generated_source(spark: SparkSession, sf_dir: str, seed: int = DEFAULT_SEED,
+                     users_per_customer: int = USERS_PER_CUSTOMER) -> RawTables:
+    """The generated raw tables written once per session as Parquet into the session's
+    checkpoint folder (shared storage on a cluster) and read back: downstream marts
+    read a table, as a warehouse would, instead of re-running the generator, and the
+    lineage is cut (a lost executor re-reads files instead of recomputing the log)."""
+    key = (spark.sparkContext.applicationId, str(Path(sf_dir).resolve()), seed, users_per_customer)
+    hit = _MATERIALISED.get(key)
+    if hit is None:
+        digest = hashlib.sha1(repr(key).encode()).hexdigest()[:16]
+        root = f"{checkpoint_dir(spark).rstrip('/')}/generated-{digest}"
+        plans = generated_tables(spark, sf_dir, seed, users_per_customer)
+        plans.users.write.mode("overwrite").parquet(f"{root}/raw_users")
+        plans.events.write.mode("overwrite").parquet(f"{root}/raw_events")
+        hit = RawTables(spark.read.parquet(f"{root}/raw_users"), spark.read.parquet(f"{root}/raw_events"),
+                        list(STEPS), START_STEP, ACTIVATION_STEP)
+        _MATERIALISED[key] = hit
+    return hit

@@ -65,18 +65,33 @@ def _lookup(col, mapping: dict) -> F.Column:
 
 
 def funnel_walk(ids: DataFrame, seed: int = DEFAULT_SEED) -> DataFrame:
-    """One row per user: attributes, reached flags and step timestamps."""
-    uid = F.col("user_id")
-    u = lambda name: hash_uniform(uid, name, seed)
+    """One row per user: attributes, reached flags and step timestamps.
 
-    walk = ids.select(F.col("user_id").cast("long").alias("user_id")).select(
+    Every draw is computed once in its own projection (Catalyst keeps projections that
+    would otherwise duplicate an md5), the derived values follow in later projections.
+    """
+    uid = F.col("user_id")
+    draws = ["variant", "country", "platform", "complete", "kyc", "deposit", "transaction"]
+    gap_steps = STEPS[1:]
+    drawn = ids.select(F.col("user_id").cast("long").alias("user_id")).select(
         "user_id",
-        weighted_choice(u("variant"), VARIANTS, VARIANT_WEIGHTS).alias("variant"),
-        weighted_choice(u("country"), COUNTRIES, COUNTRY_WEIGHTS).alias("country"),
-        weighted_choice(u("platform"), PLATFORMS, PLATFORM_WEIGHTS).alias("platform"),
-        hash_int(uid, "signup_minute", seed, 0, SIGNUP_WINDOW_MINUTES - 1).alias("_signup_min"),
+        *[hash_uniform(uid, d, seed).alias(f"_u_{d}") for d in draws],
+        hash_int(uid, "signup_minute", seed, 0, SIGNUP_WINDOW_MINUTES - 1).alias("_m0"),
+        *[hash_int(uid, f"gap_{s}", seed, *STEP_GAP_MINUTES[s]).alias(f"_g{i + 1}")
+          for i, s in enumerate(gap_steps)],
+    )
+    # Step times in minutes after the window start: cumulative strictly positive gaps.
+    minutes = [F.col("_m0")]
+    for i in range(1, len(STEPS)):
+        minutes.append(minutes[-1] + F.col(f"_g{i}"))
+    attrs = drawn.select(
+        "user_id", *[f"_u_{d}" for d in draws[3:]],
+        weighted_choice(F.col("_u_variant"), VARIANTS, VARIANT_WEIGHTS).alias("variant"),
+        weighted_choice(F.col("_u_country"), COUNTRIES, COUNTRY_WEIGHTS).alias("country"),
+        weighted_choice(F.col("_u_platform"), PLATFORMS, PLATFORM_WEIGHTS).alias("platform"),
+        *[m.alias(f"_m{i}") for i, m in enumerate(minutes)],
     )
-    hour = F.floor((F.col("_signup_min") % F.lit(1440)) / F.lit(60))
+    hour = F.floor((F.col("_m0") % F.lit(1440)) / F.lit(60))
     p_complete = F.when(F.col("variant") == "treatment", F.lit(P_SIGNUP_COMPLETED_TREATMENT)) \
         .otherwise(F.lit(P_SIGNUP_COMPLETED_CONTROL))
     p_kyc = clip(F.lit(P_KYC_SUBMITTED) + _lookup(F.col("country"), KYC_COUNTRY_MODIFIER), *PROB_CLIP)
@@ -84,29 +99,25 @@ def funnel_walk(ids: DataFrame, seed: int = DEFAULT_SEED) -> DataFrame:
     is_night = hour.between(NIGHT_HOURS[0], NIGHT_HOURS[1])
     p_txn = clip(F.lit(P_FIRST_TRANSACTION) + F.when(is_night, F.lit(TXN_NIGHT_SIGNUP_MODIFIER))
                  .otherwise(F.lit(TXN_DAY_SIGNUP_MODIFIER)), *PROB_CLIP)
-
-    completed = u("complete") < p_complete
-    kyc = completed & (u("kyc") < p_kyc)
-    dep = kyc & (u("deposit") < p_dep)
-    txn = dep & (u("transaction") < p_txn)
-
-    # Step times in minutes after the window start: cumulative strictly positive gaps.
-    minute = {STEPS[0]: F.col("_signup_min")}
-    prev = STEPS[0]
-    for step in STEPS[1:]:
-        lo, hi = STEP_GAP_MINUTES[step]
-        minute[step] = minute[prev] + hash_int(uid, f"gap_{step}", seed, lo, hi)
-        prev = step
+    passed = attrs.select(
+        "user_id", "variant", "country", "platform", *[f"_m{i}" for i in range(len(STEPS))],
+        (F.col("_u_complete") < p_complete).alias("_p1"),
+        (F.col("_u_kyc") < p_kyc).alias("_p2"),
+        (F.col("_u_deposit") < p_dep).alias("_p3"),
+        (F.col("_u_transaction") < p_txn).alias("_p4"),
+    )
 
     def ts(m):
         return F.timestamp_seconds(F.lit(_EPOCH_START) + m * F.lit(60))
 
-    reached = {STEPS[0]: F.lit(True), STEPS[1]: completed, STEPS[2]: kyc, STEPS[3]: dep, STEPS[4]: txn}
-    return walk.select(
+    reached = [F.lit(True)]
+    for i in range(1, len(STEPS)):
+        reached.append(reached[-1] & F.col(f"_p{i}") if i > 1 else F.col("_p1"))
+    return passed.select(
         "user_id", "variant", "country", "platform",
-        ts(F.col("_signup_min")).alias("signup_ts"),
-        *[reached[s].alias(f"_r{i}") for i, s in enumerate(STEPS)],
-        *[ts(minute[s]).alias(f"_t{i}") for i, s in enumerate(STEPS)],
+        ts(F.col("_m0")).alias("signup_ts"),
+        *[r.alias(f"_r{i}") for i, r in enumerate(reached)],
+        *[ts(F.col(f"_m{i}")).alias(f"_t{i}") for i in range(len(STEPS))],
     )
 
 
@@ -125,8 +136,7 @@ def raw_events_from_walk(walk: DataFrame) -> DataFrame:
                  F.col(f"_t{i}").alias("event_ts"), F.col(f"_r{i}").alias("reached"))
         for i, s in enumerate(STEPS)])
     events = numbered.select(
-        "user_id", (F.col("cum__k") - F.col("_k")).alias("_offset"),
-        F.inline(F.filter(arr, lambda s: s["reached"])))
+        "user_id", (F.col("cum__k") - F.col("_k")).alias("_offset"), F.inline(arr)).filter(F.col("reached"))
     # Reached steps form a prefix of the funnel, so the step order is the rank in time.
     return events.select((F.col("_offset") + F.col("step_order")).cast("long").alias("event_id"),
                          "user_id", "event_name", "event_ts")
