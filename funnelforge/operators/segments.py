@@ -62,9 +62,10 @@ def rate_spread(df: DataFrame, dim: str, flag: str) -> DataFrame:
 
 
 def distinct_users(events: DataFrame, group_cols: Sequence[str], id_col: str = "user_id",
-                   approx: bool = False) -> DataFrame:
-    """Distinct ids per group (exact by default; HyperLogLog++ on request)."""
-    f = F.approx_count_distinct(id_col) if approx else F.countDistinct(id_col)
+                   approx: bool = False, rsd: float = 0.05) -> DataFrame:
+    """Distinct ids per group (exact by default; HyperLogLog++ with relative std. dev.
+    ``rsd`` on request: a fixed-size sketch per group instead of a distinct shuffle)."""
+    f = F.approx_count_distinct(id_col, rsd) if approx else F.countDistinct(id_col)
     return events.groupBy(*group_cols).agg(f.alias("distinct_users"))
 
 

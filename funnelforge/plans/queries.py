@@ -382,3 +382,18 @@ def registry() -> dict:  # noqa: F811
     for name, fn in _ML.items():
         out[name] = _build(fn, g_marts)
     return out
+
+
+# --------------------------------------------------------------------------- distinct users per step
+def q_distinct_users_by_step(m):
+    return SG.distinct_users(m.events, ["event_name"])
+
+
+_registry_4 = registry
+
+
+def registry() -> dict:  # noqa: F811
+    out = _registry_4()
+    out["distinct_users_by_step"] = _build(q_distinct_users_by_step, g_marts)
+    out["u_distinct_users_by_step"] = _build(q_distinct_users_by_step, u_marts)
+    return out

@@ -864,3 +864,18 @@ def registry() -> dict:  # noqa: F811
     out["u_model_tests"] = q_model_tests("u")
     out["u_event_order_checks"] = q_event_order_checks("u")
     return out
+
+
+def q_distinct_users_by_step(a):
+    return base(a, marts=False) + """
+SELECT event_name, CAST(count(DISTINCT user_id) AS BIGINT) AS distinct_users FROM stg_events GROUP BY event_name"""
+
+
+_registry_3 = registry
+
+
+def registry() -> dict:  # noqa: F811
+    out = _registry_3()
+    out["distinct_users_by_step"] = q_distinct_users_by_step("g")
+    out["u_distinct_users_by_step"] = q_distinct_users_by_step("u")
+    return out
