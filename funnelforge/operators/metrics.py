@@ -23,26 +23,38 @@ def _score_counts(scored: DataFrame, label: str, score: str, group_cols: Sequenc
         F.sum(y).alias("pos"), F.sum(F.lit(1) - y).alias("neg"), F.count(F.lit(1)).alias("cnt"))
 
 
+def _ranked(scored: DataFrame, label: str, score: str, group_cols: Sequence[str]) -> DataFrame:
+    """Distinct scores with ascending running counts and group totals (one pass)."""
+    return running_totals(_score_counts(scored, label, score, group_cols), score, ["pos", "neg", "cnt"],
+                          group_cols, totals=True)
+
+
+def _auc_expr():
+    below = F.col("cum_neg") - F.col("neg")
+    # 2 x numerator is an integer: exact in decimal, one division at the end.
+    num2 = F.sum((F.lit(2) * F.col("pos") * below + F.col("pos") * F.col("neg")).cast("decimal(38,0)"))
+    return safe_div(num2.cast("double"), F.lit(2.0) * F.sum("pos").cast("double") * F.sum("neg").cast("double"))
+
+
+def _ap_expr():
+    # Counts at or above a threshold = group total minus the ascending counts below it.
+    tp = F.col("tot_pos") - F.col("cum_pos") + F.col("pos")
+    at_or_above = F.col("tot_cnt") - F.col("cum_cnt") + F.col("cnt")
+    return safe_div(F.sum(F.col("pos") * safe_div(tp, at_or_above)), F.sum("pos"))
+
+
 def roc_auc(scored: DataFrame, label: str = "label", score: str = "score",
             group_cols: Sequence[str] = ()) -> DataFrame:
     """Area under the ROC curve = P(score+ > score-) + P(tie)/2, exact."""
     g = list(group_cols)
-    cum = running_totals(_score_counts(scored, label, score, g), score, ["neg"], g)
-    below = F.col("cum_neg") - F.col("neg")
-    # 2 x numerator is an integer: exact in decimal, one division at the end.
-    num2 = F.sum((F.lit(2) * F.col("pos") * below + F.col("pos") * F.col("neg")).cast("decimal(38,0)"))
-    return cum.groupBy(*g).agg(
-        safe_div(num2.cast("double"),
-                 F.lit(2.0) * F.sum("pos").cast("double") * F.sum("neg").cast("double")).alias("auc"))
+    return _ranked(scored, label, score, g).groupBy(*g).agg(_auc_expr().alias("auc"))
 
 
 def average_precision(scored: DataFrame, label: str = "label", score: str = "score",
                       group_cols: Sequence[str] = ()) -> DataFrame:
     """Sum over distinct thresholds (descending) of recall increment x precision."""
     g = list(group_cols)
-    cum = running_totals(_score_counts(scored, label, score, g), score, ["pos", "cnt"], g, descending=True)
-    term = F.col("pos") * safe_div(F.col("cum_pos"), F.col("cum_cnt"))
-    return cum.groupBy(*g).agg(safe_div(F.sum(term), F.sum("pos")).alias("average_precision"))
+    return _ranked(scored, label, score, g).groupBy(*g).agg(_ap_expr().alias("average_precision"))
 
 
 def brier(scored: DataFrame, label: str = "label", score: str = "score",
@@ -51,17 +63,23 @@ def brier(scored: DataFrame, label: str = "label", score: str = "score",
     return scored.groupBy(*group_cols).agg(F.avg(d * d).alias("brier"))
 
 
-def summary(scored: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
-    """One row: n, positives, pr_baseline, auc, average_precision, brier."""
-    base = scored.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(label).cast("long")).alias("positives"),
-                      F.avg(F.col(label).cast("double")).alias("pr_baseline"),
-                      F.avg((F.col(score) - F.col(label).cast("double"))
-                            * (F.col(score) - F.col(label).cast("double"))).alias("brier"))
-    k = F.lit(1)
-    return (base.withColumn("_k", k)
-            .join(F.broadcast(roc_auc(scored, label, score).withColumn("_k", k)), "_k")
-            .join(F.broadcast(average_precision(scored, label, score).withColumn("_k", k)), "_k")
-            .select("n", "positives", "pr_baseline", "auc", "average_precision", "brier"))
+def summary(scored: DataFrame, label: str = "label", score: str = "score",
+            group_cols: Sequence[str] = ()) -> DataFrame:
+    """n, positives, pr_baseline, auc, average_precision, brier from ONE pass over the
+    scored rows (everything is a function of the distinct-score table)."""
+    g = list(group_cols)
+    y = F.col(label).cast("double")
+    d = scored.groupBy(*g, score).agg(
+        F.sum(F.col(label).cast("long")).alias("pos"),
+        F.sum(F.lit(1) - F.col(label).cast("long")).alias("neg"),
+        F.count(F.lit(1)).alias("cnt"),
+        F.sum((F.col(score) - y) * (F.col(score) - y)).alias("_sq"))
+    r = running_totals(d, score, ["pos", "neg", "cnt"], g, totals=True)
+    return r.groupBy(*g).agg(
+        F.sum("cnt").alias("n"), F.sum("pos").alias("positives"),
+        (F.sum("pos") / F.sum("cnt")).alias("pr_baseline"),
+        _auc_expr().alias("auc"), _ap_expr().alias("average_precision"),
+        (F.sum("_sq") / F.sum("cnt")).alias("brier"))
 
 
 def classification_report(scored: DataFrame, label: str = "label", score: str = "score",

@@ -1,9 +1,9 @@
 """Data-quality checks: model tests (unique / not_null / accepted_values) and the
 contracts of the event log, the experiment and the feature table.
 
-Each check is an aggregate returning one verdict row, so many checks over one model
-share a scan: all not-null and accepted-value checks of a model are ONE aggregate,
-and each uniqueness check is one grouped count.
+Each check is an aggregate returning verdict rows, and checks over one table share a
+pass: all tests of a model fold into one grouped pass on its unique key, and the
+segment checks of the experiment are one grouping-sets aggregate.
 """
 
 from __future__ import annotations
@@ -26,28 +26,56 @@ def _union(frames: Sequence[DataFrame]) -> DataFrame:
 
 def model_checks(df: DataFrame, model: str, unique: Sequence[str] = (), not_null: Sequence[str] = (),
                  accepted: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
-    """Rows (model, column_name, test, failures); NULL passes accepted_values."""
+    """Rows (model, column_name, test, failures); NULL passes accepted_values.
+
+    With a uniqueness test, every test of the model is folded into ONE grouped pass on the
+    unique key (per-key partial sums, then one small aggregate); otherwise one aggregate.
+    """
     accepted = dict(accepted or {})
-    parts = []
-    cells = []
-    for c in not_null:
-        cells.append(F.struct(F.lit(c).alias("column_name"), F.lit("not_null").alias("test"),
-                              F.sum(F.col(c).isNull().cast("long")).alias("failures")))
-    for c, values in accepted.items():
-        bad = F.col(c).isNotNull() & ~F.col(c).isin(list(values))
-        cells.append(F.struct(F.lit(c).alias("column_name"), F.lit("accepted_values").alias("test"),
-                              F.sum(bad.cast("long")).alias("failures")))
-    if cells:
-        one = df.agg(F.array(*cells).alias("_c")).select(F.inline("_c"))
-        parts.append(one.select(F.lit(model).alias("model"), "column_name", "test",
-                                F.coalesce(F.col("failures"), F.lit(0)).cast("long").alias("failures")))
-    for c in unique:
+    unique = list(unique)
+    key = unique[0] if unique else None
+
+    def bad_value(c, values):
+        return F.col(c).isNotNull() & ~F.col(c).isin(list(values))
+
+    rows = []  # (column, test, partial expression over the grouped/plain frame, final agg)
+    if key is not None:
+        k = F.col(key)
+        parts = [F.count(F.lit(1)).alias("_n")]
+        for i, c in enumerate(not_null):
+            if c != key:
+                parts.append(F.sum(F.col(c).isNull().cast("long")).alias(f"_nn{i}"))
+        for j, (c, values) in enumerate(accepted.items()):
+            if c != key:
+                parts.append(F.sum(bad_value(c, values).cast("long")).alias(f"_ac{j}"))
+        grouped = df.groupBy(key).agg(*parts)
+        for i, c in enumerate(not_null):
+            agg = F.sum(F.when(k.isNull(), F.col("_n")).otherwise(F.lit(0))) if c == key else F.sum(f"_nn{i}")
+            rows.append((c, "not_null", agg))
+        for j, (c, values) in enumerate(accepted.items()):
+            agg = F.sum(F.when(bad_value(c, values), F.col("_n")).otherwise(F.lit(0))) if c == key \
+                else F.sum(f"_ac{j}")
+            rows.append((c, "accepted_values", agg))
+        rows.append((key, "unique", F.sum((k.isNotNull() & (F.col("_n") > 1)).cast("long"))))
+        src = grouped
+    else:
+        for c in not_null:
+            rows.append((c, "not_null", F.sum(F.col(c).isNull().cast("long"))))
+        for c, values in accepted.items():
+            rows.append((c, "accepted_values", F.sum(bad_value(c, values).cast("long"))))
+        src = df
+    cells = [F.struct(F.lit(c).alias("column_name"), F.lit(t).alias("test"), a.alias("failures"))
+             for c, t, a in rows]
+    out = [src.agg(F.array(*cells).alias("_c")).select(F.inline("_c")).select(
+        F.lit(model).alias("model"), "column_name", "test",
+        F.coalesce(F.col("failures"), F.lit(0)).cast("long").alias("failures"))]
+    for c in unique[1:]:
         dup = df.filter(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("_n")) \
             .filter(F.col("_n") > 1)
-        parts.append(dup.agg(F.count(F.lit(1)).alias("failures")).select(
+        out.append(dup.agg(F.count(F.lit(1)).alias("failures")).select(
             F.lit(model).alias("model"), F.lit(c).alias("column_name"), F.lit("unique").alias("test"),
             F.col("failures").cast("long").alias("failures")))
-    return _union(parts)
+    return _union(out)
 
 
 def warehouse_checks(raw_users: DataFrame, raw_events: DataFrame, stg_u: DataFrame, stg_e: DataFrame,
@@ -131,6 +159,41 @@ def lift_above(flags: DataFrame, flag: str, bound: float, control: str = ARMS[0]
     return _verdict(one, "treatment_lift", F.col("_d"), F.col("_d") > F.lit(bound))
 
 
+def segment_contract(flags: DataFrame, done: str, act: str, tol: float = 0.02, done_bound: float = 0.03,
+                     act_bound: float = 0.02, lift_bound: float = 0.03, control: str = ARMS[0],
+                     treatment: str = ARMS[1]) -> DataFrame:
+    """Arm balance, completion / activation spreads by country and platform, and the lift,
+    from ONE grouping-sets aggregate over the user flags (then a one-row aggregate)."""
+    sets = flags.groupingSets([["country"], ["platform"], ["variant"]], "country", "platform", "variant").agg(
+        F.grouping_id().alias("_gid"), F.count(F.lit(1)).alias("_n"),
+        F.avg(F.col(done).cast("double")).alias("_done"), F.avg(F.col(act).cast("double")).alias("_act"))
+    by_country, by_platform, by_variant = F.col("_gid") == 3, F.col("_gid") == 5, F.col("_gid") == 6
+
+    def spread(where, c):
+        return F.max(F.when(where, F.col(c))) - F.min(F.when(where, F.col(c)))
+
+    total = F.sum(F.when(by_variant, F.col("_n")))
+    share = lambda arm: F.sum(F.when(by_variant & (F.col("variant") == arm), F.col("_n")))
+    rate = lambda arm: F.max(F.when(by_variant & (F.col("variant") == arm), F.col("_done")))
+    one = sets.agg(
+        F.greatest(F.abs(share(control) / total - F.lit(0.5)), F.abs(share(treatment) / total - F.lit(0.5)))
+        .alias("arm_balance"),
+        spread(by_country, "_done").alias("completion_spread_country"),
+        spread(by_platform, "_done").alias("completion_spread_platform"),
+        spread(by_country, "_act").alias("activation_spread_country"),
+        spread(by_platform, "_act").alias("activation_spread_platform"),
+        (rate(treatment) - rate(control)).alias("treatment_lift"))
+    checks = [("arm_balance", F.col("arm_balance") < F.lit(tol)),
+              ("completion_spread_country", F.col("completion_spread_country") < F.lit(done_bound)),
+              ("completion_spread_platform", F.col("completion_spread_platform") < F.lit(done_bound)),
+              ("activation_spread_country", F.col("activation_spread_country") > F.lit(act_bound)),
+              ("activation_spread_platform", F.col("activation_spread_platform") > F.lit(act_bound)),
+              ("treatment_lift", F.col("treatment_lift") > F.lit(lift_bound))]
+    cells = [F.struct(F.lit(n).alias("check"), F.col(n).cast("double").alias("value"),
+                      F.coalesce(ok, F.lit(False)).alias("passed")) for n, ok in checks]
+    return one.select(F.inline(F.array(*cells)))
+
+
 def feature_checks(features: DataFrame, users: DataFrame, target: str,
                    feature_cols: Sequence[str], minutes_col: str | None = "minutes_signup_to_complete") -> DataFrame:
     """Binary target, no NULL features, non-negative minutes, sane prevalence and population."""

@@ -36,20 +36,13 @@ def time_to_activate(users: DataFrame, events: DataFrame, start_step: str = STAR
 def exact_median(df: DataFrame, value: str, group_cols: Sequence[str] = ()) -> DataFrame:
     """Exact median per group (mean of the two middle values for even counts)."""
     g = list(group_cols)
-    src = df.filter(F.col(value).isNotNull())
-    counts = src.groupBy(*g, value).agg(F.count(F.lit(1)).alias("_n"))
-    cum = running_totals(counts, value, ["_n"], g)
-    sizes = counts.groupBy(*g).agg(F.sum("_n").alias("_size"))
-    if g:
-        joined = cum.join(sizes, g, "inner")
-    else:
-        joined = cum.withColumn("_one", F.lit(1)).join(
-            F.broadcast(sizes.withColumn("_one", F.lit(1))), "_one", "inner").drop("_one")
-    r1 = F.floor((F.col("_size") + F.lit(1)) / F.lit(2))
-    r2 = F.floor(F.col("_size") / F.lit(2)) + F.lit(1)
+    counts = df.filter(F.col(value).isNotNull()).groupBy(*g, value).agg(F.count(F.lit(1)).alias("_n"))
+    cum = running_totals(counts, value, ["_n"], g, totals=True)
+    r1 = F.floor((F.col("tot__n") + F.lit(1)) / F.lit(2))
+    r2 = F.floor(F.col("tot__n") / F.lit(2)) + F.lit(1)
     v1 = F.min(F.when(F.col("cum__n") >= r1, F.col(value)))
     v2 = F.min(F.when(F.col("cum__n") >= r2, F.col(value)))
-    return joined.groupBy(*g).agg(((v1 + v2) / F.lit(2.0)).alias("median"))
+    return cum.groupBy(*g).agg(((v1 + v2) / F.lit(2.0)).alias("median"))
 
 
 def describe(df: DataFrame, value: str, group_cols: Sequence[str] = ("variant",)) -> DataFrame:

@@ -28,10 +28,11 @@ def default_blocks(df: DataFrame) -> int:
 def running_totals(df: DataFrame, order_col: str, value_cols: Sequence[str],
                    group_cols: Sequence[str] = (), *, descending: bool = False,
                    blocks: int | None = None, block_expr: Column | None = None,
-                   prefix: str = "cum_", accuracy: int = 10_000) -> DataFrame:
+                   prefix: str = "cum_", accuracy: int = 10_000, totals: bool = False) -> DataFrame:
     """Add ``cum_<v>`` = sum of ``v`` over rows of the same group whose key is at or
     before the current one (inclusive). The order key must be unique within a group
-    (aggregate to distinct keys first)."""
+    (aggregate to distinct keys first). With ``totals``, also ``tot_<v>`` = the group's
+    sum, taken from the block table (no extra pass over the data)."""
     group_cols = list(group_cols)
     value_cols = list(value_cols)
     key = -F.col(order_col) if descending else F.col(order_col)
@@ -58,9 +59,11 @@ def running_totals(df: DataFrame, order_col: str, value_cols: Sequence[str],
     sums = withb.groupBy(*group_cols, _BLOCK).agg(
         *[F.sum(v).alias(f"_ff_s_{v}") for v in value_cols])
     wb = Window.partitionBy(*group_cols).orderBy(_BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    wg = Window.partitionBy(*group_cols)
     offsets = sums.select(
         *group_cols, _BLOCK,
-        *[F.coalesce(F.sum(f"_ff_s_{v}").over(wb), F.lit(0)).alias(f"_ff_o_{v}") for v in value_cols])
+        *[F.coalesce(F.sum(f"_ff_s_{v}").over(wb), F.lit(0)).alias(f"_ff_o_{v}") for v in value_cols],
+        *([F.sum(f"_ff_s_{v}").over(wg).alias(f"tot_{v}") for v in value_cols] if totals else []))
     if not group_cols and block_expr is None:
         # At most `blocks` rows.
         offsets = F.broadcast(offsets)

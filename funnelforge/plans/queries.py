@@ -232,12 +232,7 @@ def q_generator_contract(m):
     return QC._union([
         QC.funnel_monotone(m.users, m.events, m.steps),
         QC.timestamps_in_step_order(m.events, m.steps),
-        QC.arm_balance(m.users, 0.02),
-        QC.rate_spread_check(flags, "country", done, 0.03, True, "completion_spread_country"),
-        QC.rate_spread_check(flags, "platform", done, 0.03, True, "completion_spread_platform"),
-        QC.rate_spread_check(flags, "country", act, 0.02, False, "activation_spread_country"),
-        QC.rate_spread_check(flags, "platform", act, 0.02, False, "activation_spread_platform"),
-        QC.lift_above(flags, done, 0.03),
+        QC.segment_contract(flags, done, act, tol=0.02, done_bound=0.03, act_bound=0.02, lift_bound=0.03),
     ])
 
 
