@@ -6,7 +6,6 @@ Nothing here is a Python UDF; all of it stays inside whole-stage codegen.
 from __future__ import annotations
 
 import statistics
-from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -36,25 +35,43 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _horner(x: Column, coefs: list[float]) -> Column:
-    """c0*x^k + ... + ck evaluated as ((c0*x + c1)*x + c2)... ."""
-    return reduce(lambda acc, c: acc * x + F.lit(c), coefs[2:], F.lit(coefs[0]) * x + F.lit(coefs[1]))
+def _dlit(v: float) -> str:
+    """Spark SQL double literal with the exact value of the Python float."""
+    return f"{float(v)!r}D"
 
 
-def norm_cdf(x) -> Column:
-    """Standard normal CDF as a Column (max abs error ~1e-16 against erfc)."""
-    x = _col(x)
-    a = F.abs(x)
-    e = F.exp(-(a * a) / F.lit(2.0))
-    body = (e * _horner(a, NORM_CDF_NUM)) / _horner(a, NORM_CDF_DEN)
-    cf = a + F.lit(NORM_CDF_TAIL_SHIFT)
+def norm_cdf_sql(x: str) -> str:
+    """Standard normal CDF of the SQL expression ``x`` as Spark SQL text:
+    lower tail by a degree 6/7 rational function below 7.07, a continued fraction above,
+    0 beyond 37; the upper tail by symmetry."""
+    a = f"abs({x})"
+
+    def horner(c):
+        acc = f"({_dlit(c[0])} * {a} + {_dlit(c[1])})"
+        for k in c[2:]:
+            acc = f"({acc} * {a} + {_dlit(k)})"
+        return acc
+
+    e = f"exp(-({a} * {a}) / {_dlit(2.0)})"
+    body = f"(({e} * {horner(NORM_CDF_NUM)}) / {horner(NORM_CDF_DEN)})"
+    cf = f"({a} + {_dlit(NORM_CDF_TAIL_SHIFT)})"
     for k in (4.0, 3.0, 2.0, 1.0):
-        cf = a + F.lit(k) / cf
-    tail = e / cf / F.lit(SQRT_2PI)
-    lower = (F.when(a > F.lit(NORM_CDF_CUTOFF), F.lit(0.0))
-             .when(a < F.lit(NORM_CDF_SPLIT), body)
-             .otherwise(tail))
-    return F.when(x > 0, F.lit(1.0) - lower).otherwise(lower)
+        cf = f"({a} + {_dlit(k)} / {cf})"
+    tail = f"({e} / {cf} / {_dlit(SQRT_2PI)})"
+    lower = (f"(CASE WHEN {a} > {_dlit(NORM_CDF_CUTOFF)} THEN {_dlit(0.0)} "
+             f"WHEN {a} < {_dlit(NORM_CDF_SPLIT)} THEN {body} ELSE {tail} END)")
+    return f"(CASE WHEN {x} > 0 THEN {_dlit(1.0)} - {lower} ELSE {lower} END)"
+
+
+def norm_cdf(x) -> Column:
+    """Standard normal CDF as a Column (max abs error ~1e-16 against erfc).
+
+    ``x`` is a column name or a Spark SQL expression string; the whole approximation is
+    parsed once as one expression (a single round trip when the plan is built).
+    """
+    if not isinstance(x, str):
+        raise TypeError("norm_cdf takes a column name or a SQL expression string")
+    return F.expr(norm_cdf_sql(f"({x})"))
 
 
 def z_quantile(p: float) -> float:

@@ -57,10 +57,10 @@ def two_proportion_test(paired: DataFrame, alpha: float = 0.05, ci_z: float = CI
     diff, se = F.col("absolute_lift"), F.col("se_diff")
     out = out.select(
         "*",
-        (F.lit(2.0) * norm_cdf(-F.abs(F.col("z")))).alias("p_value"),
+        (F.lit(2.0) * norm_cdf("-abs(z)")).alias("p_value"),
         (diff - F.lit(ci_z) * se).alias("ci_low"),
         (diff + F.lit(ci_z) * se).alias("ci_high"),
-        norm_cdf(safe_div(F.abs(diff), se) - F.lit(z_alpha)).alias("power"))
+        norm_cdf(f"try_divide(abs(absolute_lift), se_diff) - {z_alpha!r}D").alias("power"))
     return out.withColumn(
         "ship", F.coalesce((F.col("p_value") < F.lit(alpha)) & (F.col("ci_low") > F.lit(0)), F.lit(False))
     ).drop("se_diff")

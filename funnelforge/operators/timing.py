@@ -45,9 +45,15 @@ def exact_median(df: DataFrame, value: str, group_cols: Sequence[str] = ()) -> D
     return cum.groupBy(*g).agg(((v1 + v2) / F.lit(2.0)).alias("median"))
 
 
-def describe(df: DataFrame, value: str, group_cols: Sequence[str] = ("variant",)) -> DataFrame:
-    """count, mean, median (exact), sample std per group."""
+def describe(df: DataFrame, value: str, group_cols: Sequence[str] = ("variant",),
+             approx_median: bool = False, accuracy: int = 10_000) -> DataFrame:
+    """count, mean, median, sample std per group. The median is exact by default; with
+    ``approx_median`` it comes from the mergeable quantile sketch in the same aggregate."""
     g = list(group_cols)
+    if approx_median:
+        return df.groupBy(*g).agg(F.count(value).alias("count"), F.avg(value).alias("mean"),
+                                  F.percentile_approx(value, 0.5, accuracy).cast("double").alias("median"),
+                                  F.stddev_samp(value).alias("std"))
     stats = df.groupBy(*g).agg(F.count(value).alias("count"), F.avg(value).alias("mean"),
                                F.stddev_samp(value).alias("std"))
     med = exact_median(df, value, g)

@@ -9,7 +9,7 @@ not change a value hash; the library operators keep full precision.
 
 from __future__ import annotations
 
-from functools import partial
+from functools import cached_property, partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,7 +24,8 @@ EXP_DECIMALS = 10
 
 
 class Marts:
-    """Staged tables and marts of one adapter, built lazily as one plan each."""
+    """Staged tables and marts of one adapter. DataFrames are immutable lazy plans, so one
+    set per (session, input) is built once and shared by every query."""
 
     def __init__(self, raw: RawTables):
         self.raw = raw
@@ -32,27 +33,38 @@ class Marts:
         self.users = stg_users(raw.users)
         self.events = stg_events(raw.events)
 
-    @property
+    @cached_property
     def funnel(self) -> DataFrame:
         return FN.fct_funnel(self.users, self.events, self.steps, self.raw.start_step, self.raw.activation_step)
 
-    @property
+    @cached_property
     def ab(self) -> DataFrame:
         return FN.fct_ab_experiment(self.funnel, self.steps)
 
 
+_MARTS: dict = {}
+
+
+def _cached(kind: str, spark: SparkSession, sf_dir: str, make) -> Marts:
+    key = (kind, spark.sparkContext.applicationId, sf_dir)
+    m = _MARTS.get(key)
+    if m is None:
+        m = _MARTS[key] = Marts(make(spark, sf_dir))
+    return m
+
+
 def g_marts(spark: SparkSession, sf_dir: str) -> Marts:
     """Adapter G: marts over the generated raw tables (generated once per session)."""
-    return Marts(generated_source(spark, sf_dir))
+    return _cached("g", spark, sf_dir, generated_source)
 
 
 def g_generator(spark: SparkSession, sf_dir: str) -> Marts:
     """Adapter G with the generator itself as the source (for the generator queries)."""
-    return Marts(generated_tables(spark, sf_dir))
+    return _cached("g-plan", spark, sf_dir, generated_tables)
 
 
 def u_marts(spark: SparkSession, sf_dir: str) -> Marts:
-    return Marts(unit_tables(spark, sf_dir))
+    return _cached("u", spark, sf_dir, unit_tables)
 
 
 def round_cols(df: DataFrame, cols, decimals: int = EXP_DECIMALS) -> DataFrame:

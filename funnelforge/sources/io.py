@@ -41,6 +41,15 @@ def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = Non
     w.parquet(path)
 
 
+def write_sorted_events(events: DataFrame, path: str, partitions: int | None = None) -> None:
+    """Event log written in (user_id, event_ts) order: range partitions sorted locally,
+    so the files concatenate in order without a single-task global sort."""
+    n = partitions or int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    (events.repartitionByRange(n, "user_id", "event_ts")
+     .sortWithinPartitions("user_id", "event_ts")
+     .write.mode("overwrite").parquet(path))
+
+
 def create_database(spark: SparkSession, name: str, location: str | None = None) -> None:
     loc = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}{loc}")

@@ -104,3 +104,22 @@ def test_exact_median_and_describe(spark):
     assert d["b"]["std"] == pytest.approx(pdf[pdf.variant == "b"]["x"].std())
     assert exact_median(df, "x").first()["median"] == pdf["x"].median()
     assert F  # noqa
+
+
+def test_auc_agrees_with_mllib_evaluator(scored):
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+
+    rows, df = scored
+    ev = BinaryClassificationEvaluator(rawPredictionCol="score", labelCol="label", metricName="areaUnderROC",
+                                       numBins=0)
+    ml_auc = ev.evaluate(df.withColumn("label", F.col("label").cast("double")))
+    assert roc_auc(df).first()["auc"] == pytest.approx(ml_auc, abs=1e-9)
+
+
+def test_approximate_median_is_close(spark):
+    rnd = random.Random(21)
+    rows = [("a", rnd.random() * 100) for _ in range(5000)]
+    df = spark.createDataFrame(rows, "variant string, x double")
+    exact = describe(df, "x").first()["median"]
+    approx = describe(df, "x", approx_median=True).first()["median"]
+    assert abs(exact - approx) < 1.0
