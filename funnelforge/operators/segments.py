@@ -81,7 +81,7 @@ def crosstab_shares(df: DataFrame, row: str, col: str, col_values: Sequence[str]
     """Row-normalised crosstab, rounded; a missing cell is 0."""
     wide = df.groupBy(row).pivot(col, list(col_values)).agg(F.count(F.lit(1)))
     total = sum(F.coalesce(F.col(v), F.lit(0)) for v in col_values)
-    return wide.select(row, *[F.round(F.coalesce(F.col(v), F.lit(0)) / total, decimals).alias(v)
+    return wide.select(row, *[F.round(safe_div(F.coalesce(F.col(v), F.lit(0)), total), decimals).alias(v)
                               for v in col_values])
 
 

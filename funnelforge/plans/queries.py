@@ -391,6 +391,16 @@ def registry() -> dict:  # noqa: F811
     return out
 
 
+# --------------------------------------------------------------------------- experiment by week, from the mart
+def q_ab_test_by_week(m):
+    f = m.funnel.withColumn("signup_week", SG.week_start_sunday("signup_date"))
+    return round_cols(X.ab_test(f, m.steps, ["signup_week"]), {"p_value", "power"})
+
+
+def q_ab_test_from_mart(m, step=None):
+    return round_cols(X.ab_test_from_mart(m.ab, step or m.steps[1]), {"p_value", "power"})
+
+
 # --------------------------------------------------------------------------- distinct users per step
 def q_distinct_users_by_step(m):
     return SG.distinct_users(m.events, ["event_name"])
@@ -402,5 +412,8 @@ _registry_4 = registry
 def registry() -> dict:  # noqa: F811
     out = _registry_4()
     out["distinct_users_by_step"] = _build(q_distinct_users_by_step, g_marts)
+    out["ab_test_by_week"] = _build(q_ab_test_by_week, g_marts)
+    out["ab_test_from_mart"] = _build(q_ab_test_from_mart, g_marts)
+    out["u_ab_test_from_mart"] = _build(q_ab_test_from_mart, u_marts)
     out["u_distinct_users_by_step"] = _build(q_distinct_users_by_step, u_marts)
     return out

@@ -871,11 +871,37 @@ def q_distinct_users_by_step(a):
 SELECT event_name, CAST(count(DISTINCT user_id) AS BIGINT) AS distinct_users FROM stg_events GROUP BY event_name"""
 
 
+def q_ab_test_by_week(a):
+    g = ["signup_week", "funnel_step", "step_order"]
+    wk = "CAST(signup_date - CAST(dayofweek(signup_date) AS INTEGER) AS DATE) AS signup_week"
+    steps = adapter_steps(a)
+    parts = [f"SELECT {wk}, variant, '{s}' AS funnel_step, {i + 1} AS step_order, reached_{s} AS reached FROM fct_funnel"
+             for i, s in enumerate(steps)]
+    return base(a) + f""",
+wk_long AS ({' UNION ALL '.join(parts)}),
+counts AS (
+  SELECT signup_week, variant, funnel_step, step_order, CAST(coalesce(sum(reached), 0) AS BIGINT) AS converted,
+         CAST(count(*) AS BIGINT) AS total
+  FROM wk_long GROUP BY signup_week, variant, funnel_step, step_order)""" + paired_cte("counts", g) + two_prop_final(g)
+
+
+def q_ab_test_from_mart(a):
+    step = adapter_steps(a)[1]
+    g = ["funnel_step", "step_order"]
+    return base(a) + f""",
+mart_step AS (
+  SELECT variant, funnel_step, step_order, coalesce(converted, 0) AS converted, total
+  FROM fct_ab WHERE funnel_step = '{step}')""" + paired_cte("mart_step", g) + two_prop_final(g)
+
+
 _registry_3 = registry
 
 
 def registry() -> dict:  # noqa: F811
     out = _registry_3()
     out["distinct_users_by_step"] = q_distinct_users_by_step("g")
+    out["ab_test_by_week"] = q_ab_test_by_week("g")
+    out["ab_test_from_mart"] = q_ab_test_from_mart("g")
+    out["u_ab_test_from_mart"] = q_ab_test_from_mart("u")
     out["u_distinct_users_by_step"] = q_distinct_users_by_step("u")
     return out
