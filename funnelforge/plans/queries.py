@@ -417,3 +417,29 @@ def registry() -> dict:  # noqa: F811
     out["u_ab_test_from_mart"] = _build(q_ab_test_from_mart, u_marts)
     out["u_distinct_users_by_step"] = _build(q_distinct_users_by_step, u_marts)
     return out
+
+
+_U_WIDER = {
+    "funnel_overall": q_funnel_overall,
+    "value_shares": q_value_shares,
+    "crosstab": q_crosstab,
+    "profile": q_profile,
+    "arm_counts": q_arm_counts,
+    "ab_test_by_country": q_ab_test_by_country,
+    "ab_test_by_week": q_ab_test_by_week,
+    "sample_size_by_country": q_sample_size_by_country,
+    "mde_by_platform": q_mde_by_platform,
+    "mde_overall": q_mde_overall,
+    "features_local": q_features_local,
+    "features_mart": q_features_mart,
+    "feature_checks": q_feature_checks,
+    "feature_split": q_feature_split,
+}
+_registry_5 = registry
+
+
+def registry() -> dict:  # noqa: F811
+    out = _registry_5()
+    for name, fn in _U_WIDER.items():
+        out[f"u_{name}"] = _build(fn, u_marts)
+    return out

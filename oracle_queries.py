@@ -905,3 +905,17 @@ def registry() -> dict:  # noqa: F811
     out["u_ab_test_from_mart"] = q_ab_test_from_mart("u")
     out["u_distinct_users_by_step"] = q_distinct_users_by_step("u")
     return out
+
+
+_registry_4 = registry
+
+
+def registry() -> dict:  # noqa: F811
+    out = _registry_4()
+    for name in ["funnel_overall", "value_shares", "crosstab", "profile", "arm_counts", "ab_test_by_country",
+                 "ab_test_by_week", "features_local", "features_mart", "feature_checks", "feature_split"]:
+        out[f"u_{name}"] = globals()[f"q_{name}"]("u")
+    out["u_sample_size_by_country"] = q_sample_size("u", ["country"], mde=0.02)
+    out["u_mde_by_platform"] = q_mde("u", ["platform"])
+    out["u_mde_overall"] = q_mde("u", [])
+    return out
