@@ -109,10 +109,16 @@ def generated_source(spark: SparkSession, sf_dir: str, seed: int = DEFAULT_SEED,
         plans = generated_tables(spark, sf_dir, seed, users_per_customer)
         try:
             root = f"{checkpoint_dir(spark).rstrip('/')}/generated-{digest}"
-            plans.users.write.mode("overwrite").parquet(f"{root}/raw_users")
-            plans.events.write.mode("overwrite").parquet(f"{root}/raw_events")
-            hit = RawTables(spark.read.parquet(f"{root}/raw_users"), spark.read.parquet(f"{root}/raw_events"),
-                            list(STEPS), START_STEP, ACTIVATION_STEP)
+            n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+            tables = []
+            for name, df in (("raw_users", plans.users), ("raw_events", plans.events)):
+                table = f"ff_generated_{digest}_{name}"
+                # Bucketed by user_id (one file per bucket): user-keyed aggregates and joins
+                # over the two tables read co-partitioned data and need no exchange.
+                (df.repartition(n, "user_id").write.mode("overwrite").format("parquet")
+                 .bucketBy(n, "user_id").option("path", f"{root}/{name}").saveAsTable(table))
+                tables.append(spark.table(table))
+            hit = RawTables(tables[0], tables[1], list(STEPS), START_STEP, ACTIVATION_STEP)
         except Exception:  # noqa: BLE001 - no writable checkpoint folder: keep the lazy plans
             hit = plans
         _MATERIALISED[key] = hit
