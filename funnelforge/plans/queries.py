@@ -15,12 +15,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import experiment as X
+from ..operators import features as FT
 from ..operators import funnel as FN
+from ..operators import metrics as MT
+from ..operators import model as ML
+from ..operators import quality as QC
 from ..operators import segments as SG
+from ..operators import timing as TM
 from ..operators.staging import dim_users, stg_events, stg_users
+from ..schemas import CATEGORICAL, NUMERIC, flag_col
 from ..sources.fixtures import RawTables, generated_source, generated_tables, unit_tables
 
 EXP_DECIMALS = 10
+G_PLATFORMS = ["ios", "android", "web"]
+U_PLATFORMS = ["automobile", "building", "furniture", "household", "machinery"]
 
 
 class Marts:
@@ -41,6 +49,14 @@ class Marts:
     def ab(self) -> DataFrame:
         return FN.fct_ab_experiment(self.funnel, self.steps)
 
+    @property
+    def completed(self) -> str:
+        return self.steps[1]
+
+    @property
+    def target(self) -> str:
+        return flag_col(self.raw.activation_step)
+
 
 _MARTS: dict = {}
 
@@ -71,7 +87,7 @@ def round_cols(df: DataFrame, cols, decimals: int = EXP_DECIMALS) -> DataFrame:
     return df.select(*[F.round(c, decimals).alias(c) if c in cols else F.col(c) for c in df.columns])
 
 
-# --------------------------------------------------------------------------- marts
+# --------------------------------------------------------------------------- raw, staging, marts
 def q_raw_users(m): return m.raw.users
 def q_raw_events(m): return m.raw.events
 def q_stg_users(m): return m.users
@@ -82,7 +98,7 @@ def q_fct_funnel(m): return m.funnel
 def q_fct_ab_experiment(m): return m.ab
 
 
-# --------------------------------------------------------------------------- ad hoc
+# --------------------------------------------------------------------------- ad-hoc analyses
 def q_funnel_dropoff(m): return FN.funnel_dropoff(m.ab)
 def q_ab_lift(m): return FN.ab_lift(m.ab)
 def q_weekly_cohorts(m): return SG.weekly_cohorts(m.funnel, m.raw.activation_step)
@@ -92,49 +108,41 @@ def q_segment_activation(m, min_users=500):
     return SG.segment_activation(m.funnel, m.raw.activation_step, min_users=min_users)
 
 
+def q_distinct_users_by_step(m): return SG.distinct_users(m.events, ["event_name"])
+
+
 # --------------------------------------------------------------------------- experiment
 def q_ab_test(m):
     return round_cols(X.ab_test(m.funnel, m.steps), {"p_value", "power"})
 
 
-def _build(fn, marts_fn):
-    return lambda spark, sf_dir: fn(marts_fn(spark, sf_dir))
+def q_ab_test_by_country(m):
+    return round_cols(X.ab_test(m.funnel, m.steps, ["country"]), {"p_value", "power"})
 
 
-_MART_QUERIES = {
-    "raw_users": q_raw_users,
-    "raw_events": q_raw_events,
-    "stg_users": q_stg_users,
-    "stg_events": q_stg_events,
-    "dim_users": q_dim_users,
-    "funnel_flags": q_funnel_flags,
-    "fct_funnel": q_fct_funnel,
-    "fct_ab_experiment": q_fct_ab_experiment,
-    "funnel_dropoff": q_funnel_dropoff,
-    "ab_lift": q_ab_lift,
-    "weekly_cohorts": q_weekly_cohorts,
-}
+def q_ab_test_by_week(m):
+    f = m.funnel.withColumn("signup_week", SG.week_start_sunday("signup_date"))
+    return round_cols(X.ab_test(f, m.steps, ["signup_week"]), {"p_value", "power"})
 
 
-def registry() -> dict:
-    out = {}
-    for name, fn in _MART_QUERIES.items():
-        out[name] = _build(fn, g_generator if name.startswith("raw_") else g_marts)
-        out[f"u_{name}"] = _build(fn, u_marts)
-    out["segment_activation"] = _build(q_segment_activation, g_marts)
-    out["u_segment_activation"] = _build(partial(q_segment_activation, min_users=25), u_marts)
-    out["ab_test"] = _build(q_ab_test, g_marts)
-    out["u_ab_test"] = _build(q_ab_test, u_marts)
-    return out
+def q_ab_test_from_mart(m):
+    return round_cols(X.ab_test_from_mart(m.ab, m.completed), {"p_value", "power"})
 
 
-# --------------------------------------------------------------------------- dashboard / EDA
-from ..operators import timing as TM  # noqa: E402
+def q_sample_size_by_country(m):
+    return X.sample_size_by_segment(m.funnel, m.steps, ["country"], mde=0.02)
 
-G_PLATFORMS = ["ios", "android", "web"]
-U_PLATFORMS = ["automobile", "building", "furniture", "household", "machinery"]
+
+def q_sample_size_relative_by_platform(m):
+    return X.sample_size_by_segment(m.funnel, m.steps, ["platform"], mde=0.05, mde_type="relative",
+                                    alpha=0.05, power=0.9, ratio=2.0)
 
 
+def q_mde_by_platform(m): return X.mde_by_segment(m.funnel, m.steps, ["platform"])
+def q_mde_overall(m): return X.mde_by_segment(m.funnel, m.steps, ())
+
+
+# --------------------------------------------------------------------------- dashboard / exploration
 def q_funnel_by_variant(m): return FN.funnel_by_variant(m.users, m.events, m.steps)
 def q_funnel_overall(m): return FN.funnel_overall(m.users, m.events, m.steps)
 def q_lift_table(m): return X.lift_table(FN.funnel_by_variant(m.users, m.events, m.steps))
@@ -166,73 +174,10 @@ def q_profile(m):
     return u.unionByName(e)
 
 
-def q_arm_counts(m): return FN.arm_counts(m.users, m.events, m.steps[1])
-
-
-# --------------------------------------------------------------------------- segments x experiment, power
-def q_ab_test_by_country(m):
-    return round_cols(X.ab_test(m.funnel, m.steps, ["country"]), {"p_value", "power"})
-
-
-def q_sample_size_by_country(m):
-    return X.sample_size_by_segment(m.funnel, m.steps, ["country"], mde=0.02)
-
-
-def q_sample_size_relative_by_platform(m):
-    return X.sample_size_by_segment(m.funnel, m.steps, ["platform"], mde=0.05, mde_type="relative",
-                                    alpha=0.05, power=0.9, ratio=2.0)
-
-
-def q_mde_by_platform(m): return X.mde_by_segment(m.funnel, m.steps, ["platform"])
-def q_mde_overall(m): return X.mde_by_segment(m.funnel, m.steps, ())
-
-
-_G_ONLY = {
-    "funnel_by_variant": q_funnel_by_variant,
-    "funnel_overall": q_funnel_overall,
-    "lift_table": q_lift_table,
-    "activation_heatmap": q_activation_heatmap,
-    "time_to_activate": q_time_to_activate,
-    "tta_describe": q_tta_describe,
-    "tta_histogram": q_tta_histogram,
-    "value_shares": q_value_shares,
-    "crosstab": q_crosstab,
-    "profile": q_profile,
-    "arm_counts": q_arm_counts,
-    "ab_test_by_country": q_ab_test_by_country,
-    "sample_size_by_country": q_sample_size_by_country,
-    "sample_size_relative_by_platform": q_sample_size_relative_by_platform,
-    "mde_by_platform": q_mde_by_platform,
-    "mde_overall": q_mde_overall,
-}
-_U_ALSO = {
-    "funnel_by_variant": q_funnel_by_variant,
-    "lift_table": q_lift_table,
-    "activation_heatmap": partial(q_activation_heatmap, platforms=U_PLATFORMS),
-    "time_to_activate": q_time_to_activate,
-    "tta_describe": q_tta_describe,
-    "tta_histogram": q_tta_histogram,
-}
-
-_base_registry = registry
-
-
-def registry() -> dict:  # noqa: F811
-    out = _base_registry()
-    for name, fn in _G_ONLY.items():
-        out[name] = _build(fn, g_marts)
-    for name, fn in _U_ALSO.items():
-        out[f"u_{name}"] = _build(fn, u_marts)
-    return out
+def q_arm_counts(m): return FN.arm_counts(m.users, m.events, m.completed)
 
 
 # --------------------------------------------------------------------------- data quality
-from ..operators import features as FT  # noqa: E402
-from ..operators import metrics as MT  # noqa: E402
-from ..operators import quality as QC  # noqa: E402
-from ..schemas import CATEGORICAL, NUMERIC, flag_col  # noqa: E402
-
-
 def q_model_tests(m):
     return QC.warehouse_checks(m.raw.users, m.raw.events, m.users, m.events, dim_users(m.users), m.funnel, m.ab,
                                m.steps)
@@ -240,11 +185,11 @@ def q_model_tests(m):
 
 def q_generator_contract(m):
     flags = FN.user_flags(m.users, m.events, m.steps, keep=("variant", "country", "platform"))
-    done, act = flag_col(m.steps[1]), flag_col(m.raw.activation_step)
     return QC._union([
         QC.funnel_monotone(m.users, m.events, m.steps),
         QC.timestamps_in_step_order(m.events, m.steps),
-        QC.segment_contract(flags, done, act, tol=0.02, done_bound=0.03, act_bound=0.02, lift_bound=0.03),
+        QC.segment_contract(flags, flag_col(m.completed), m.target, tol=0.02, done_bound=0.03,
+                            act_bound=0.02, lift_bound=0.03),
     ])
 
 
@@ -255,45 +200,42 @@ def q_event_order_checks(m):
 
 # --------------------------------------------------------------------------- features and metrics
 def _features(m):
-    return FT.activation_features(m.users, m.events, m.steps[1], m.raw.activation_step)
+    return FT.activation_features(m.users, m.events, m.completed, m.raw.activation_step)
 
 
 def q_features_local(m): return _features(m)
 
 
 def q_features_mart(m):
-    return FT.features_from_marts(m.funnel, dim_users(m.users), m.steps[1], m.raw.activation_step)
+    return FT.features_from_marts(m.funnel, dim_users(m.users), m.completed, m.raw.activation_step)
 
 
 def q_feature_checks(m):
-    return QC.feature_checks(_features(m), m.users, flag_col(m.raw.activation_step), [*CATEGORICAL, *NUMERIC])
+    return QC.feature_checks(_features(m), m.users, m.target, [*CATEGORICAL, *NUMERIC])
 
 
 def q_feature_split(m): return FT.split(_features(m), 0.25, 42)
 
 
 def _scored_test(m):
-    s = FT.process_score(FT.split(_features(m), 0.25, 42))
-    return s.filter(F.col("is_test"))
+    return FT.process_score(FT.split(_features(m), 0.25, 42)).filter(F.col("is_test"))
 
 
 def q_score_metrics(m):
-    out = MT.summary(_scored_test(m), flag_col(m.raw.activation_step), "score")
-    return round_cols(out, {"average_precision", "brier"})
+    return round_cols(MT.summary(_scored_test(m), m.target, "score"), {"average_precision", "brier"})
 
 
 def q_score_report(m):
-    return MT.classification_report(_scored_test(m), flag_col(m.raw.activation_step), "score", 0.5,
-                                    ("did_not_activate", "activated"))
+    return MT.classification_report(_scored_test(m), m.target, "score", 0.5, ("did_not_activate", "activated"))
 
 
 def q_score_auc_by_platform(m):
-    return MT.roc_auc(FT.process_score(_features(m)), flag_col(m.raw.activation_step), "score", ["platform"])
+    return MT.roc_auc(FT.process_score(_features(m)), m.target, "score", ["platform"])
 
 
 # --------------------------------------------------------------------------- generator sanity tables
 def q_gen_conversion_by_variant(m):
-    done = m.events.filter(F.col("event_name") == F.lit(m.steps[1])).select("user_id")
+    done = m.events.filter(F.col("event_name") == F.lit(m.completed)).select("user_id")
     comp = done.join(m.users.select("user_id", "variant"), "user_id", "inner").groupBy("variant") \
         .agg(F.countDistinct("user_id").alias("completed_users"))
     tot = m.users.groupBy("variant").agg(F.count(F.lit(1)).alias("users"))
@@ -311,38 +253,7 @@ def q_gen_activation_by_country(m): return _activation_by(m, "country")
 def q_gen_activation_by_platform(m): return _activation_by(m, "platform")
 
 
-_G_MORE = {
-    "model_tests": q_model_tests,
-    "generator_contract": q_generator_contract,
-    "features_local": q_features_local,
-    "features_mart": q_features_mart,
-    "feature_checks": q_feature_checks,
-    "feature_split": q_feature_split,
-    "score_metrics": q_score_metrics,
-    "score_report": q_score_report,
-    "score_auc_by_platform": q_score_auc_by_platform,
-    "gen_conversion_by_variant": q_gen_conversion_by_variant,
-    "gen_activation_by_country": q_gen_activation_by_country,
-    "gen_activation_by_platform": q_gen_activation_by_platform,
-}
-_U_MORE = {"model_tests": q_model_tests, "event_order_checks": q_event_order_checks}
-
-_registry_2 = registry
-
-
-def registry() -> dict:  # noqa: F811
-    out = _registry_2()
-    for name, fn in _G_MORE.items():
-        out[name] = _build(fn, g_marts)
-    for name, fn in _U_MORE.items():
-        out[f"u_{name}"] = _build(fn, u_marts)
-    return out
-
-
 # --------------------------------------------------------------------------- MLlib (rows-only checks)
-from ..operators import model as ML  # noqa: E402
-
-
 def _train_test(m):
     s = FT.split(_features(m), 0.25, 42)
     return s.filter(~F.col("is_test")), s.filter(F.col("is_test"))
@@ -350,96 +261,77 @@ def _train_test(m):
 
 def q_logreg_coefficients(m):
     train, _ = _train_test(m)
-    model = ML.fit_logistic(train, flag_col(m.raw.activation_step))
-    return ML.coefficients_frame(train.sparkSession, model)
+    return ML.coefficients_frame(train.sparkSession, ML.fit_logistic(train, m.target))
 
 
 def q_logreg_test_metrics(m):
     train, test = _train_test(m)
-    t = flag_col(m.raw.activation_step)
-    scored = ML.score(ML.fit_logistic(train, t), test, ("user_id",), t)
-    return MT.summary(scored, t, "probability_activate")
+    scored = ML.score(ML.fit_logistic(train, m.target), test, ("user_id",), m.target)
+    return MT.summary(scored, m.target, "probability_activate")
 
 
 def q_gbt_test_metrics(m):
     train, test = _train_test(m)
-    t = flag_col(m.raw.activation_step)
-    scored = ML.score(ML.fit_gbt(train, t), test, ("user_id",), t)
-    return MT.summary(scored, t, "probability_activate")
+    scored = ML.score(ML.fit_gbt(train, m.target), test, ("user_id",), m.target)
+    return MT.summary(scored, m.target, "probability_activate")
 
 
 def q_logreg_scores(m):
     """Score every completed user (targeting list)."""
     train, _ = _train_test(m)
-    t = flag_col(m.raw.activation_step)
-    return ML.score(ML.fit_logistic(train, t), _features(m), ("user_id", "variant", "country", "platform"))
-
-
-_ML = {
-    "logreg_coefficients": q_logreg_coefficients,
-    "logreg_test_metrics": q_logreg_test_metrics,
-    "gbt_test_metrics": q_gbt_test_metrics,
-    "logreg_scores": q_logreg_scores,
-}
-_registry_3 = registry
-
-
-def registry() -> dict:  # noqa: F811
-    out = _registry_3()
-    for name, fn in _ML.items():
-        out[name] = _build(fn, g_marts)
-    return out
-
-
-# --------------------------------------------------------------------------- experiment by week, from the mart
-def q_ab_test_by_week(m):
-    f = m.funnel.withColumn("signup_week", SG.week_start_sunday("signup_date"))
-    return round_cols(X.ab_test(f, m.steps, ["signup_week"]), {"p_value", "power"})
-
-
-def q_ab_test_from_mart(m, step=None):
-    return round_cols(X.ab_test_from_mart(m.ab, step or m.steps[1]), {"p_value", "power"})
-
-
-# --------------------------------------------------------------------------- distinct users per step
-def q_distinct_users_by_step(m):
-    return SG.distinct_users(m.events, ["event_name"])
-
-
-_registry_4 = registry
-
-
-def registry() -> dict:  # noqa: F811
-    out = _registry_4()
-    out["distinct_users_by_step"] = _build(q_distinct_users_by_step, g_marts)
-    out["ab_test_by_week"] = _build(q_ab_test_by_week, g_marts)
-    out["ab_test_from_mart"] = _build(q_ab_test_from_mart, g_marts)
-    out["u_ab_test_from_mart"] = _build(q_ab_test_from_mart, u_marts)
-    out["u_distinct_users_by_step"] = _build(q_distinct_users_by_step, u_marts)
-    return out
-
-
-_U_WIDER = {
-    "funnel_overall": q_funnel_overall,
-    "value_shares": q_value_shares,
-    "crosstab": q_crosstab,
-    "profile": q_profile,
-    "arm_counts": q_arm_counts,
-    "ab_test_by_country": q_ab_test_by_country,
-    "ab_test_by_week": q_ab_test_by_week,
-    "sample_size_by_country": q_sample_size_by_country,
-    "mde_by_platform": q_mde_by_platform,
+    return ML.score(ML.fit_logistic(train, m.target), _features(m), ("user_id", "variant", "country", "platform"))
+
+
+# --------------------------------------------------------------------------- registry
+# Queries of both adapters; adapter-U names get the ``u_`` prefix.
+_BOTH = {
+    "stg_users": q_stg_users, "stg_events": q_stg_events, "dim_users": q_dim_users,
+    "funnel_flags": q_funnel_flags, "fct_funnel": q_fct_funnel, "fct_ab_experiment": q_fct_ab_experiment,
+    "funnel_dropoff": q_funnel_dropoff, "ab_lift": q_ab_lift, "weekly_cohorts": q_weekly_cohorts,
+    "distinct_users_by_step": q_distinct_users_by_step,
+    "ab_test": q_ab_test, "ab_test_by_country": q_ab_test_by_country, "ab_test_by_week": q_ab_test_by_week,
+    "ab_test_from_mart": q_ab_test_from_mart,
+    "sample_size_by_country": q_sample_size_by_country, "mde_by_platform": q_mde_by_platform,
     "mde_overall": q_mde_overall,
-    "features_local": q_features_local,
-    "features_mart": q_features_mart,
-    "feature_checks": q_feature_checks,
+    "funnel_by_variant": q_funnel_by_variant, "funnel_overall": q_funnel_overall, "lift_table": q_lift_table,
+    "time_to_activate": q_time_to_activate, "tta_describe": q_tta_describe, "tta_histogram": q_tta_histogram,
+    "value_shares": q_value_shares, "crosstab": q_crosstab, "profile": q_profile, "arm_counts": q_arm_counts,
+    "model_tests": q_model_tests,
+    "features_local": q_features_local, "features_mart": q_features_mart, "feature_checks": q_feature_checks,
     "feature_split": q_feature_split,
 }
-_registry_5 = registry
+_G_ONLY = {
+    "segment_activation": q_segment_activation,
+    "activation_heatmap": q_activation_heatmap,
+    "sample_size_relative_by_platform": q_sample_size_relative_by_platform,
+    "generator_contract": q_generator_contract,
+    "score_metrics": q_score_metrics, "score_report": q_score_report, "score_auc_by_platform": q_score_auc_by_platform,
+    "gen_conversion_by_variant": q_gen_conversion_by_variant,
+    "gen_activation_by_country": q_gen_activation_by_country,
+    "gen_activation_by_platform": q_gen_activation_by_platform,
+    "logreg_coefficients": q_logreg_coefficients, "logreg_test_metrics": q_logreg_test_metrics,
+    "gbt_test_metrics": q_gbt_test_metrics, "logreg_scores": q_logreg_scores,
+}
+_U_ONLY = {
+    "raw_users": q_raw_users, "raw_events": q_raw_events,
+    "segment_activation": partial(q_segment_activation, min_users=25),
+    "activation_heatmap": partial(q_activation_heatmap, platforms=U_PLATFORMS),
+    "event_order_checks": q_event_order_checks,
+}
+# The generator queries run the generator itself rather than the materialised tables.
+_GENERATOR = {"raw_users": q_raw_users, "raw_events": q_raw_events}
 
 
-def registry() -> dict:  # noqa: F811
-    out = _registry_5()
-    for name, fn in _U_WIDER.items():
+def _build(fn, marts_fn):
+    return lambda spark, sf_dir: fn(marts_fn(spark, sf_dir))
+
+
+def registry() -> dict:
+    out = {}
+    for name, fn in {**_BOTH, **_G_ONLY}.items():
+        out[name] = _build(fn, g_marts)
+    for name, fn in _GENERATOR.items():
+        out[name] = _build(fn, g_generator)
+    for name, fn in {**_BOTH, **_U_ONLY}.items():
         out[f"u_{name}"] = _build(fn, u_marts)
     return out
