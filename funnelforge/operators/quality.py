@@ -97,8 +97,14 @@ def warehouse_checks(raw_users: DataFrame, raw_events: DataFrame, stg_u: DataFra
 
 
 def _verdict(df_one_row: DataFrame, check: str, value, passed) -> DataFrame:
-    return df_one_row.select(F.lit(check).alias("check"), value.cast("double").alias("value"),
-                             F.coalesce(passed, F.lit(False)).alias("passed"))
+    return _verdicts(df_one_row, [(check, value, passed)])
+
+
+def _verdicts(df_one_row: DataFrame, checks) -> DataFrame:
+    """(check, value, passed) rows from ONE pass over a one-row aggregate."""
+    cells = [F.struct(F.lit(c).alias("check"), v.cast("double").alias("value"),
+                      F.coalesce(ok, F.lit(False)).alias("passed")) for c, v, ok in checks]
+    return df_one_row.select(F.inline(F.array(*cells)))
 
 
 def funnel_monotone(users: DataFrame, events: DataFrame, steps: Sequence[str] = STEPS) -> DataFrame:
@@ -108,9 +114,9 @@ def funnel_monotone(users: DataFrame, events: DataFrame, steps: Sequence[str] =
     n = users.agg(F.count(F.lit(1)).alias("_users"))
     row = sums.withColumn("_k", F.lit(1)).join(F.broadcast(n.withColumn("_k", F.lit(1))), "_k")
     mono = reduce(lambda a, b: a & b, [F.col(f"_s{i}") >= F.col(f"_s{i + 1}") for i in range(len(steps) - 1)])
-    return _union([
-        _verdict(row, "steps_non_increasing", F.col(f"_s{len(steps) - 1}"), mono),
-        _verdict(row, "first_step_covers_users", F.col("_s0"), F.col("_s0") == F.col("_users")),
+    return _verdicts(row, [
+        ("steps_non_increasing", F.col(f"_s{len(steps) - 1}"), mono),
+        ("first_step_covers_users", F.col("_s0"), F.col("_s0") == F.col("_users")),
     ])
 
 
@@ -189,9 +195,7 @@ def segment_contract(flags: DataFrame, done: str, act: str, tol: float = 0.02, d
               ("activation_spread_country", F.col("activation_spread_country") > F.lit(act_bound)),
               ("activation_spread_platform", F.col("activation_spread_platform") > F.lit(act_bound)),
               ("treatment_lift", F.col("treatment_lift") > F.lit(lift_bound))]
-    cells = [F.struct(F.lit(n).alias("check"), F.col(n).cast("double").alias("value"),
-                      F.coalesce(ok, F.lit(False)).alias("passed")) for n, ok in checks]
-    return one.select(F.inline(F.array(*cells)))
+    return _verdicts(one, [(n, F.col(n), ok) for n, ok in checks])
 
 
 def feature_checks(features: DataFrame, users: DataFrame, target: str,
@@ -206,16 +210,17 @@ def feature_checks(features: DataFrame, users: DataFrame, target: str,
     one = features.agg(*aggs)
     n_users = users.agg(F.count(F.lit(1)).alias("_users"))
     row = one.withColumn("_k", F.lit(1)).join(F.broadcast(n_users.withColumn("_k", F.lit(1))), "_k")
-    parts = [
-        _verdict(row, "target_binary", F.coalesce(F.col("_nonbin"), F.lit(0)), F.coalesce(F.col("_nonbin"), F.lit(0)) == 0),
-        _verdict(row, "no_missing_values", F.coalesce(F.col("_nulls"), F.lit(0)), F.coalesce(F.col("_nulls"), F.lit(0)) == 0),
-        _verdict(row, "prevalence_reasonable", F.col("_prev"), (F.col("_prev") > 0.05) & (F.col("_prev") < 0.95)),
-        _verdict(row, "population_within_users", F.col("_n"), (F.col("_n") > 0) & (F.col("_n") <= F.col("_users"))),
+    nonbin, nulls = F.coalesce(F.col("_nonbin"), F.lit(0)), F.coalesce(F.col("_nulls"), F.lit(0))
+    checks = [
+        ("target_binary", nonbin, nonbin == 0),
+        ("no_missing_values", nulls, nulls == 0),
+        ("prevalence_reasonable", F.col("_prev"), (F.col("_prev") > 0.05) & (F.col("_prev") < 0.95)),
+        ("population_within_users", F.col("_n"), (F.col("_n") > 0) & (F.col("_n") <= F.col("_users"))),
     ]
     if minutes_col:
-        parts.append(_verdict(row, "minutes_non_negative", F.coalesce(F.col("_neg"), F.lit(0)),
-                              F.coalesce(F.col("_neg"), F.lit(0)) == 0))
-    return _union(parts)
+        neg = F.coalesce(F.col("_neg"), F.lit(0))
+        checks.append(("minutes_non_negative", neg, neg == 0))
+    return _verdicts(row, checks)
 
 
 def schema_problems(df: DataFrame, required: Sequence[str], forbidden: Sequence[str]) -> list[str]:
