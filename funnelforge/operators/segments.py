@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import safe_div, week_start_sunday
@@ -70,10 +70,12 @@ def distinct_users(events: DataFrame, group_cols: Sequence[str], id_col: str = "
 
 
 def value_shares(df: DataFrame, col: str) -> DataFrame:
-    """Normalised value counts of one column."""
+    """Normalised value counts of one column (any cardinality: the total is a one-row
+    aggregate joined on a constant key, never a single-task window over the values)."""
     counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
-    # One row per distinct value of a categorical column: a bounded window.
-    return counts.select(col, "n", (F.col("n") / F.sum("n").over(Window.partitionBy())).alias("share"))
+    total = counts.agg(F.sum("n").alias("_total")).withColumn("_k", F.lit(1))
+    return counts.withColumn("_k", F.lit(1)).join(F.broadcast(total), "_k", "inner") \
+        .select(col, "n", (F.col("n") / F.col("_total")).alias("share"))
 
 
 def crosstab_shares(df: DataFrame, row: str, col: str, col_values: Sequence[str] = ARMS,
