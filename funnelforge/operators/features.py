@@ -6,10 +6,13 @@ between the two (KYC, deposit) are never used as features (leakage guard).
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import clip, fractional_minutes, hash_uniform
+from ..plans.prefix import running_totals
 from ..schemas import ACTIVATION_STEP, COMPLETED_STEP, flag_col
 from ..sources import generate as G
 
@@ -51,6 +54,22 @@ def split(features: DataFrame, test_size: float = 0.25, seed: int = 42, col: str
     return features.withColumn(col, hash_uniform(F.col("user_id"), "split", seed) < F.lit(test_size))
 
 
+def split_exact(features: DataFrame, label: str, test_size: float = 0.25, seed: int = 42,
+                col: str = "is_test") -> DataFrame:
+    """Exactly stratified split: within each label, the ceil(test_size * n_label) users with
+    the smallest draw go to the test set. Ranks come from block-wise running totals over a
+    unique (draw, user_id) key, so a label holding most rows is still spread over many
+    tasks and the result does not depend on partitioning."""
+    draw = F.conv(F.substring(F.md5(F.concat(F.col("user_id").cast("string"), F.lit(f":split:{seed}"))), 1, 13),
+                  16, 10).cast("decimal(38,0)")
+    # draw < 2^52 and 0 <= user_id < 10^19: the decimal key is unique per user.
+    key = draw * F.lit(Decimal(10 ** 19)).cast("decimal(38,0)") + F.col("user_id").cast("decimal(38,0)")
+    ranked = running_totals(features.withColumn("_split_key", key).withColumn("_one", F.lit(1).cast("long")),
+                            "_split_key", ["_one"], [label], totals=True)
+    cut = F.ceil(F.lit(test_size) * F.col("tot__one"))
+    return ranked.withColumn(col, F.col("cum__one") <= cut).drop("_split_key", "_one", "cum__one", "tot__one")
+
+
 def process_score(features: DataFrame, out_col: str = "score") -> DataFrame:
     """Reference score: the generating probability of activation after signup
     (KYC x deposit x transaction), from country, platform and signup hour."""

@@ -215,6 +215,7 @@ def q_feature_checks(m):
 
 
 def q_feature_split(m): return FT.split(_features(m), 0.25, 42)
+def q_feature_split_exact(m): return FT.split_exact(_features(m), m.target, 0.25, 42)
 
 
 def _scored_test(m):
@@ -298,7 +299,7 @@ _BOTH = {
     "value_shares": q_value_shares, "crosstab": q_crosstab, "profile": q_profile, "arm_counts": q_arm_counts,
     "model_tests": q_model_tests,
     "features_local": q_features_local, "features_mart": q_features_mart, "feature_checks": q_feature_checks,
-    "feature_split": q_feature_split,
+    "feature_split": q_feature_split, "feature_split_exact": q_feature_split_exact,
 }
 _G_ONLY = {
     "segment_activation": q_segment_activation,

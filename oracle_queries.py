@@ -731,6 +731,16 @@ def q_feature_split(a):
     return base(a) + feats_cte(a) + "\nSELECT * EXCLUDE (score) FROM scored"
 
 
+def q_feature_split_exact(a):
+    t = f"reached_{_act(a)}"
+    d = (f"CAST(CAST('0x' || substr(md5(CAST(user_id AS VARCHAR) || ':split:42'), 1, 13) AS BIGINT) AS HUGEINT)")
+    return base(a) + feats_cte(a) + f"""
+SELECT * EXCLUDE (rk, n_label),
+       rk <= ceil(CAST('0.25' AS DOUBLE) * n_label) AS is_test
+FROM (SELECT *, row_number() OVER (PARTITION BY {t} ORDER BY {d}, user_id) AS rk,
+             count(*) OVER (PARTITION BY {t}) AS n_label FROM feats)"""
+
+
 def q_score_metrics(a):
     t = f"reached_{_act(a)}"
     return base(a) + feats_cte(a) + f""",
@@ -845,7 +855,7 @@ _BOTH = ["raw_users", "raw_events", "stg_users", "stg_events", "dim_users", "fun
          "ab_test_by_country", "ab_test_by_week", "ab_test_from_mart", "funnel_by_variant", "funnel_overall",
          "lift_table", "activation_heatmap", "time_to_activate", "tta_describe", "tta_histogram", "value_shares",
          "crosstab", "profile", "arm_counts", "model_tests", "features_local", "features_mart", "feature_checks",
-         "feature_split"]
+         "feature_split", "feature_split_exact"]
 _G_ONLY = ["generator_contract", "score_metrics", "score_report", "score_auc_by_platform",
            "gen_conversion_by_variant"]
 

@@ -68,3 +68,17 @@ def test_logistic_model_learns_segment_signal(features):
     assert abs(coefs["variant_treatment"]) < abs(coefs["platform_web"])
     m = summary(ML.score(model, test, ("user_id",), TARGET), TARGET, "probability_activate").first()
     assert 0.5 < m["auc"] < 0.75 and 0 < m["brier"] < 0.3
+
+
+def test_exact_split_has_exact_counts_per_label(features):
+    import math
+
+    from pyspark.sql import functions as F
+
+    from funnelforge.operators.features import split_exact
+
+    s = split_exact(features, TARGET, 0.25, 42)
+    rows = s.groupBy(TARGET).agg(F.count("*").alias("n"), F.sum(F.col("is_test").cast("int")).alias("t")).collect()
+    for r in rows:
+        assert r["t"] == math.ceil(0.25 * r["n"])
+    assert s.count() == features.count()
