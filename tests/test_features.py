@@ -82,3 +82,17 @@ def test_exact_split_has_exact_counts_per_label(features):
     for r in rows:
         assert r["t"] == math.ceil(0.25 * r["n"])
     assert s.count() == features.count()
+
+
+def test_unseen_category_encodes_to_zeros(spark):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.functions import vector_to_array
+
+    from funnelforge.operators.model import encoder_stages
+
+    train = spark.createDataFrame([("PT", 1.0), ("ES", 2.0), ("AE", 3.0)], "country string, x double")
+    model = Pipeline(stages=encoder_stages(["country"], ["x"])).fit(train)
+    out = model.transform(spark.createDataFrame([("ES", 5.0), ("ZZ", 6.0)], "country string, x double"))
+    rows = {r["country"]: r["v"] for r in out.select("country", vector_to_array("features").alias("v")).collect()}
+    assert rows["ES"][:3] == [0.0, 1.0, 0.0]          # alphabetical slots AE, ES, PT
+    assert rows["ZZ"][:3] == [0.0, 0.0, 0.0] and rows["ZZ"][3] == 6.0
