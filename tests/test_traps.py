@@ -116,3 +116,19 @@ def test_funnel_dropoff_windows(frame):
     assert d["signup_started"]["users_prev_step"] is None
     assert d["signup_started"]["users_at_step"] == 3  # NULL-flag arm adds nothing
     assert d["signup_completed"]["step_conversion"] == pytest.approx(1 / 3)
+
+
+def test_unknown_step_missing_arm_and_empty_log(spark, frame):
+    u, e = frame
+    steps = ["signup_started", "no_such_step"]
+    t = {r["funnel_step"]: r for r in X.ab_test(FN.fct_funnel(u, e, steps), steps).collect()}
+    assert t["no_such_step"]["control_converted"] == 0 and t["no_such_step"]["z"] is None
+    only_control = u.filter(F.col("variant") == "control")
+    r = X.ab_test(FN.fct_funnel(only_control, e)).collect()
+    assert all(x["treatment_total"] is None and x["ship"] is False for x in r)
+    empty = e.limit(0)
+    f = FN.fct_funnel(u, empty).collect()
+    assert len(f) == 6 and all(x["reached_signup_started"] is None for x in f)
+    assert FN.funnel_dropoff(FN.fct_ab_experiment(FN.fct_funnel(u, empty))).count() == 5
+    assert TM.describe(TM.time_to_activate(u, empty), "minutes_to_activate").count() == 0
+    assert SG.value_shares(u.filter("false"), "variant").count() == 0
