@@ -1,11 +1,15 @@
 """Exact running totals over an ordered key without a global (single-task) window.
 
 A plain ``Window.orderBy(key)`` moves every row into one task. Here the key range
-of every group is cut into blocks (approximate quantiles, or a caller-supplied block
-expression), block sums are turned into block offsets on a table of at most
-``groups x blocks`` rows, and the running total inside each block is a window
-partitioned by ``(group, block)``. A hot group is therefore spread over ``blocks``
-tasks, and the only tables joined back are bounded by ``groups x blocks``.
+of every group is cut into blocks, block sums are turned into block offsets on a table
+of at most ``groups x blocks`` rows, and the running total inside each block is a
+window partitioned by ``(group, block)``. A hot group is therefore spread over many
+tasks, and the only tables joined back are bounded by the number of blocks.
+
+Block boundaries are a hash-sampled subset of the keys (about ``blocks`` keys in total,
+at a rate set by a one-row global count), sorted. They are a pure function of the data,
+so a stage recomputed after a lost executor assigns every row to the same block as the
+stages that already ran (an approximate quantile sketch could merge differently).
 """
 
 from __future__ import annotations
@@ -28,10 +32,21 @@ def default_blocks(df: DataFrame) -> int:
     return max(8, min(2 * n, 1024))
 
 
+def block_boundaries(df: DataFrame, key: str, group_cols: Sequence[str], blocks: int) -> DataFrame:
+    """(group..., sorted array of boundary keys): the keys whose hash falls in residue 0
+    modulo count/blocks, about ``blocks`` keys over all groups. Deterministic."""
+    # One row: the sampling modulus.
+    rate = df.agg(F.greatest(F.lit(1), F.floor(F.count(F.lit(1)) / F.lit(blocks))).alias("_ff_mod")) \
+        .withColumn("_ff_one", F.lit(1))
+    sampled = df.withColumn("_ff_one", F.lit(1)).join(F.broadcast(rate), "_ff_one", "inner") \
+        .filter(F.pmod(F.xxhash64(F.col(key)), F.col("_ff_mod")) == 0)
+    return sampled.groupBy(*group_cols).agg(F.sort_array(F.collect_list(key)).alias(_SPLITS))
+
+
 def running_totals(df: DataFrame, order_col: str, value_cols: Sequence[str],
                    group_cols: Sequence[str] = (), *, descending: bool = False,
                    blocks: int | None = None, block_expr: Column | None = None,
-                   prefix: str = "cum_", accuracy: int = 10_000, totals: bool = False) -> DataFrame:
+                   prefix: str = "cum_", totals: bool = False) -> DataFrame:
     """Add ``cum_<v>`` = sum of ``v`` over rows of the same group whose key is at or
     before the current one (inclusive). The order key must be unique within a group
     (aggregate to distinct keys first). With ``totals``, also ``tot_<v>`` = the group's
@@ -44,19 +59,15 @@ def running_totals(df: DataFrame, order_col: str, value_cols: Sequence[str],
     if block_expr is not None:
         withb = base.withColumn(_BLOCK, block_expr.cast("long"))
     else:
-        nb = blocks or default_blocks(df)
-        probs = [i / nb for i in range(1, nb)]
-        splits = base.groupBy(*group_cols).agg(
-            F.percentile_approx(_KEY, probs, accuracy).alias(_SPLITS))
+        splits = block_boundaries(base, _KEY, group_cols, blocks or default_blocks(df))
         if group_cols:
-            # One row per group; AQE broadcasts it when its runtime size is small.
-            withb = base.join(splits, group_cols, "inner")
+            # At most ~nb keys over all groups; AQE broadcasts it when small at run time.
+            withb = base.join(splits, group_cols, "left")
         else:
-            # A global aggregate has exactly one row: a proven size bound.
             withb = base.withColumn("_ff_one", F.lit(1)).join(
-                F.broadcast(splits.withColumn("_ff_one", F.lit(1))), "_ff_one", "inner").drop("_ff_one")
+                F.broadcast(splits.withColumn("_ff_one", F.lit(1))), "_ff_one", "left").drop("_ff_one")
         withb = withb.withColumn(
-            _BLOCK, F.size(F.filter(F.col(_SPLITS), lambda s: s < F.col(_KEY))).cast("long")
+            _BLOCK, F.coalesce(F.size(F.filter(F.col(_SPLITS), lambda b: b < F.col(_KEY))), F.lit(0)).cast("long")
         ).drop(_SPLITS)
 
     sums = withb.groupBy(*group_cols, _BLOCK).agg(

@@ -123,3 +123,14 @@ def test_approximate_median_is_close(spark):
     exact = describe(df, "x").first()["median"]
     approx = describe(df, "x", approx_median=True).first()["median"]
     assert abs(exact - approx) < 1.0
+
+
+def test_block_boundaries_do_not_depend_on_partitioning(spark):
+    from funnelforge.plans.prefix import block_boundaries
+
+    rnd = random.Random(8)
+    rows = [("a" if rnd.random() < 0.7 else "b", rnd.random()) for _ in range(4000)]
+    df = spark.createDataFrame(rows, "g string, k double")
+    one = {r[0]: r[1] for r in block_boundaries(df.repartition(3), "k", ["g"], 40).collect()}
+    two = {r[0]: r[1] for r in block_boundaries(df.repartition(11, "k"), "k", ["g"], 40).collect()}
+    assert one == two and 20 <= sum(len(v) for v in one.values()) <= 80
