@@ -35,6 +35,16 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def sql_str(v: str) -> str:
+    """Spark SQL string literal."""
+    return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def sql_ident(name: str) -> str:
+    """Spark SQL quoted identifier."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def _dlit(v: float) -> str:
     """Spark SQL double literal with the exact value of the Python float."""
     return f"{float(v)!r}D"

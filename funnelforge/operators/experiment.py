@@ -37,33 +37,28 @@ def pair_arms(counts: DataFrame, group_cols: Sequence[str], arm_col: str = "vari
 
 def two_proportion_test(paired: DataFrame, alpha: float = 0.05, ci_z: float = CI_Z) -> DataFrame:
     """Pooled z-test, two-sided p, unpooled CI of the difference, achieved power, ship flag."""
-    cc, ct = F.col("control_converted"), F.col("control_total")
-    tc, tt = F.col("treatment_converted"), F.col("treatment_total")
-    p_c = safe_div(cc, ct)
-    p_t = safe_div(tc, tt)
-    p_pool = safe_div(cc + tc, ct + tt)
-    inv_n = safe_div(F.lit(1), ct) + safe_div(F.lit(1), tt)
-    se_pool = F.sqrt(p_pool * (F.lit(1) - p_pool) * inv_n)
-    se_diff = F.sqrt(safe_div(p_c * (F.lit(1) - p_c), ct) + safe_div(p_t * (F.lit(1) - p_t), tt))
     z_alpha = z_quantile(1 - alpha / 2)
-
+    cc, ct, tc, tt = "control_converted", "control_total", "treatment_converted", "treatment_total"
+    p_c, p_t = f"try_divide({cc}, {ct})", f"try_divide({tc}, {tt})"
+    p_pool = f"try_divide({cc} + {tc}, {ct} + {tt})"
+    se_pool = f"sqrt({p_pool} * (1 - {p_pool}) * (try_divide(1, {ct}) + try_divide(1, {tt})))"
+    se_diff = f"sqrt(try_divide({p_c} * (1 - {p_c}), {ct}) + try_divide({p_t} * (1 - {p_t}), {tt}))"
     out = paired.select(
         "*",
-        p_c.alias("control_rate"), p_t.alias("treatment_rate"),
-        (p_t - p_c).alias("absolute_lift"),
-        safe_div(p_t - p_c, p_c).alias("relative_lift"),
-        safe_div(p_t - p_c, se_pool).alias("z"),
-        se_diff.alias("se_diff"))
-    diff, se = F.col("absolute_lift"), F.col("se_diff")
+        F.expr(p_c).alias("control_rate"), F.expr(p_t).alias("treatment_rate"),
+        F.expr(f"{p_t} - {p_c}").alias("absolute_lift"),
+        F.expr(f"try_divide({p_t} - {p_c}, {p_c})").alias("relative_lift"),
+        F.expr(f"try_divide({p_t} - {p_c}, {se_pool})").alias("z"),
+        F.expr(se_diff).alias("_se_diff"))
     out = out.select(
         "*",
         (F.lit(2.0) * norm_cdf("-abs(z)")).alias("p_value"),
-        (diff - F.lit(ci_z) * se).alias("ci_low"),
-        (diff + F.lit(ci_z) * se).alias("ci_high"),
-        norm_cdf(f"try_divide(abs(absolute_lift), se_diff) - {z_alpha!r}D").alias("power"))
+        F.expr(f"absolute_lift - {ci_z!r}D * _se_diff").alias("ci_low"),
+        F.expr(f"absolute_lift + {ci_z!r}D * _se_diff").alias("ci_high"),
+        norm_cdf(f"try_divide(abs(absolute_lift), _se_diff) - {z_alpha!r}D").alias("power"))
     return out.withColumn(
-        "ship", F.coalesce((F.col("p_value") < F.lit(alpha)) & (F.col("ci_low") > F.lit(0)), F.lit(False))
-    ).drop("se_diff")
+        "ship", F.expr(f"coalesce(p_value < {float(alpha)!r}D AND ci_low > 0, false)")
+    ).drop("_se_diff")
 
 
 def ab_test(funnel: DataFrame, steps: Sequence[str] = STEPS, group_cols: Sequence[str] = (),

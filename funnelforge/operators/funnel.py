@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import safe_div, whole_minutes
+from ..functions.columns import safe_div, sql_ident, sql_str, whole_minutes
 from ..schemas import ACTIVATION_STEP, START_STEP, STEPS, flag_col, ts_col
 
 
@@ -25,9 +25,10 @@ def funnel_flags(events: DataFrame, steps: Sequence[str] = STEPS,
     Flags are unordered existence flags; repeated events keep the first time.
     """
     ts_steps = list(steps) if ts_steps is None else list(ts_steps)
-    name, ts = F.col("event_name"), F.col("event_ts")
-    aggs = [F.max(F.when(name == F.lit(s), F.lit(1)).otherwise(F.lit(0))).alias(flag_col(s)) for s in steps]
-    aggs += [F.min(F.when(name == F.lit(s), ts)).alias(ts_col(s)) for s in ts_steps]
+    aggs = [F.expr(f"max(CASE WHEN event_name = {sql_str(s)} THEN 1 ELSE 0 END)").alias(flag_col(s))
+            for s in steps]
+    aggs += [F.expr(f"min(CASE WHEN event_name = {sql_str(s)} THEN event_ts END)").alias(ts_col(s))
+             for s in ts_steps]
     return events.groupBy("user_id").agg(*aggs)
 
 
@@ -45,9 +46,9 @@ def fct_funnel(users: DataFrame, events: DataFrame, steps: Sequence[str] = STEPS
 
 
 def _unpivot_steps(wide: DataFrame, keys: Sequence[str], steps: Sequence[str], value: str) -> DataFrame:
-    arr = F.array(*[F.struct(F.lit(s).alias("funnel_step"), F.lit(i + 1).alias("step_order"),
-                             F.col(f"_v{i}").alias(value)) for i, s in enumerate(steps)])
-    return wide.select(*keys, F.inline(arr))
+    rows = ", ".join(f"named_struct('funnel_step', {sql_str(s)}, 'step_order', {i + 1}, "
+                     f"{sql_str(value)}, {sql_ident(f'_v{i}')})" for i, s in enumerate(steps))
+    return wide.select(*keys, F.expr(f"inline(array({rows}))"))
 
 
 def step_counts(funnel: DataFrame, steps: Sequence[str] = STEPS, group_cols: Sequence[str] = (),
@@ -60,8 +61,8 @@ def step_counts(funnel: DataFrame, steps: Sequence[str] = STEPS, group_cols: Seq
     keys = [*group_cols, *([arm_col] if arm_col else [])]
     sums = []
     for i, s in enumerate(steps):
-        v = F.sum(flag_col(s))
-        sums.append((F.coalesce(v, F.lit(0)) if zero_fill else v).cast("long").alias(f"_v{i}"))
+        v = f"sum({sql_ident(flag_col(s))})"
+        sums.append(F.expr(f"CAST({f'coalesce({v}, 0)' if zero_fill else v} AS BIGINT)").alias(f"_v{i}"))
     wide = funnel.groupBy(*keys).agg(F.count(F.lit(1)).alias("total"), *sums)
     return _unpivot_steps(wide, [*keys, "total"], steps, "converted")
 

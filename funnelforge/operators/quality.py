@@ -14,6 +14,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.columns import sql_ident, sql_str
 from ..schemas import ARMS, STEPS, flag_col, ts_col
 from .funnel import funnel_flags
 
@@ -36,37 +37,38 @@ def model_checks(df: DataFrame, model: str, unique: Sequence[str] = (), not_null
     key = unique[0] if unique else None
 
     def bad_value(c, values):
-        return F.col(c).isNotNull() & ~F.col(c).isin(list(values))
+        lst = ", ".join(sql_str(v) for v in values)
+        return f"({sql_ident(c)} IS NOT NULL AND NOT ({sql_ident(c)} IN ({lst})))"
 
-    rows = []  # (column, test, partial expression over the grouped/plain frame, final agg)
+    def is_null(c):
+        return f"({sql_ident(c)} IS NULL)"
+
+    rows = []  # (column, test, SQL aggregate over the grouped or plain frame)
     if key is not None:
-        k = F.col(key)
-        parts = [F.count(F.lit(1)).alias("_n")]
+        parts = [F.expr("count(1)").alias("_n")]
         for i, c in enumerate(not_null):
             if c != key:
-                parts.append(F.sum(F.col(c).isNull().cast("long")).alias(f"_nn{i}"))
+                parts.append(F.expr(f"sum(CAST({is_null(c)} AS BIGINT))").alias(f"_nn{i}"))
         for j, (c, values) in enumerate(accepted.items()):
             if c != key:
-                parts.append(F.sum(bad_value(c, values).cast("long")).alias(f"_ac{j}"))
-        grouped = df.groupBy(key).agg(*parts)
+                parts.append(F.expr(f"sum(CAST({bad_value(c, values)} AS BIGINT))").alias(f"_ac{j}"))
+        src = df.groupBy(key).agg(*parts)
         for i, c in enumerate(not_null):
-            agg = F.sum(F.when(k.isNull(), F.col("_n")).otherwise(F.lit(0))) if c == key else F.sum(f"_nn{i}")
-            rows.append((c, "not_null", agg))
+            rows.append((c, "not_null", f"sum(CASE WHEN {is_null(key)} THEN _n ELSE 0 END)" if c == key
+                         else f"sum(_nn{i})"))
         for j, (c, values) in enumerate(accepted.items()):
-            agg = F.sum(F.when(bad_value(c, values), F.col("_n")).otherwise(F.lit(0))) if c == key \
-                else F.sum(f"_ac{j}")
-            rows.append((c, "accepted_values", agg))
-        rows.append((key, "unique", F.sum((k.isNotNull() & (F.col("_n") > 1)).cast("long"))))
-        src = grouped
+            rows.append((c, "accepted_values", f"sum(CASE WHEN {bad_value(c, values)} THEN _n ELSE 0 END)"
+                         if c == key else f"sum(_ac{j})"))
+        rows.append((key, "unique", f"sum(CAST((NOT {is_null(key)} AND _n > 1) AS BIGINT))"))
     else:
         for c in not_null:
-            rows.append((c, "not_null", F.sum(F.col(c).isNull().cast("long"))))
+            rows.append((c, "not_null", f"sum(CAST({is_null(c)} AS BIGINT))"))
         for c, values in accepted.items():
-            rows.append((c, "accepted_values", F.sum(bad_value(c, values).cast("long"))))
+            rows.append((c, "accepted_values", f"sum(CAST({bad_value(c, values)} AS BIGINT))"))
         src = df
-    cells = [F.struct(F.lit(c).alias("column_name"), F.lit(t).alias("test"), a.alias("failures"))
-             for c, t, a in rows]
-    out = [src.agg(F.array(*cells).alias("_c")).select(F.inline("_c")).select(
+    cells = ", ".join(f"named_struct('column_name', {sql_str(c)}, 'test', {sql_str(t)}, 'failures', {a})"
+                      for c, t, a in rows)
+    out = [src.agg(F.expr(f"array({cells})").alias("_c")).select(F.inline("_c")).select(
         F.lit(model).alias("model"), "column_name", "test",
         F.coalesce(F.col("failures"), F.lit(0)).cast("long").alias("failures"))]
     for c in unique[1:]:
