@@ -15,12 +15,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import sql_ident, sql_str
-from ..schemas import ARMS, STEPS, flag_col, ts_col
+from ..schemas import ARMS, STEPS, flag_col
 from .funnel import funnel_flags
 
-_TEST_ROW = "model string, column_name string, test string, failures bigint"
-
-
 def _union(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 
@@ -240,4 +237,4 @@ def same_rows(a: DataFrame, b: DataFrame) -> DataFrame:
 
 
 __all__ = ["model_checks", "warehouse_checks", "funnel_monotone", "timestamps_in_step_order", "arm_balance",
-           "rate_spread_check", "lift_above", "feature_checks", "schema_problems", "same_rows", "ts_col"]
+           "rate_spread_check", "lift_above", "segment_contract", "feature_checks", "schema_problems", "same_rows"]
