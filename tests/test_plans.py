@@ -53,3 +53,20 @@ def test_every_query_has_a_registered_callable_and_sql_keys_are_known():
     q, s = E.queries(), E.oracle_sql()
     assert set(s) <= set(q)
     assert len(s) >= 60
+
+
+def test_single_partition_exchanges_only_above_aggregates(spark, registry):
+    """A single-partition exchange may only move partial aggregates (one row per task or a
+    step-sized table), never raw or per-user rows."""
+    import re
+
+    for name in E.oracle_sql():
+        plan = registry[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+        plan = plan.split("== Initial Plan ==")[-1]
+        lines = plan.splitlines()
+        for i, line in enumerate(lines):
+            if "Exchange SinglePartition" not in line:
+                continue
+            depth = len(line) - len(line.lstrip(" :+-"))
+            child = next(ln for ln in lines[i + 1:] if len(ln) - len(ln.lstrip(" :+-")) > depth)
+            assert re.search(r"HashAggregate|ObjectHashAggregate|SortAggregate", child), (name, line, child)
