@@ -13,6 +13,7 @@ Two adapters, both pure DataFrame plans whose work grows with the input tables:
 from __future__ import annotations
 
 import hashlib
+import threading
 from dataclasses import dataclass
 from pathlib import Path
 
@@ -94,6 +95,7 @@ def generated_tables(spark: SparkSession, sf_dir: str, seed: int = DEFAULT_SEED,
 
 
 _MATERIALISED: dict = {}
+_LOCK = threading.Lock()
 
 
 def generated_source(spark: SparkSession, sf_dir: str, seed: int = DEFAULT_SEED,
@@ -103,23 +105,27 @@ def generated_source(spark: SparkSession, sf_dir: str, seed: int = DEFAULT_SEED,
     read a table, as a warehouse would, instead of re-running the generator, and the
     lineage is cut (a lost executor re-reads files instead of recomputing the log)."""
     key = (spark.sparkContext.applicationId, str(Path(sf_dir).resolve()), seed, users_per_customer)
-    hit = _MATERIALISED.get(key)
-    if hit is None:
-        digest = hashlib.sha1(repr(key).encode()).hexdigest()[:16]
-        plans = generated_tables(spark, sf_dir, seed, users_per_customer)
-        try:
-            root = f"{checkpoint_dir(spark).rstrip('/')}/generated-{digest}"
-            n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-            tables = []
-            for name, df in (("raw_users", plans.users), ("raw_events", plans.events)):
-                table = f"ff_generated_{digest}_{name}"
-                # Bucketed by user_id (one file per bucket): user-keyed aggregates and joins
-                # over the two tables read co-partitioned data and need no exchange.
-                (df.repartition(n, "user_id").write.mode("overwrite").format("parquet")
-                 .bucketBy(n, "user_id").option("path", f"{root}/{name}").saveAsTable(table))
-                tables.append(spark.table(table))
-            hit = RawTables(tables[0], tables[1], list(STEPS), START_STEP, ACTIVATION_STEP)
-        except Exception:  # noqa: BLE001 - no writable checkpoint folder: keep the lazy plans
-            hit = plans
-        _MATERIALISED[key] = hit
+    with _LOCK:  # one writer per session and input, even when queries run concurrently
+        return _MATERIALISED.get(key) or _materialise(spark, sf_dir, seed, users_per_customer, key)
+
+
+def _materialise(spark: SparkSession, sf_dir: str, seed: int, users_per_customer: int, key) -> RawTables:
+    digest = hashlib.sha1(repr(key).encode()).hexdigest()[:16]
+    plans = generated_tables(spark, sf_dir, seed, users_per_customer)
+    try:
+        root = f"{checkpoint_dir(spark).rstrip('/')}/generated-{digest}"
+        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        tables = []
+        for name, df in (("raw_users", plans.users), ("raw_events", plans.events)):
+            table = f"ff_generated_{digest}_{name}"
+            # Bucketed by user_id (one file per bucket): user-keyed aggregates and joins over
+            # the two tables read co-partitioned data and need no exchange. At most five events
+            # per user, so no bucket can hold a hot key.
+            (df.repartition(n, "user_id").write.mode("overwrite").format("parquet")
+             .bucketBy(n, "user_id").option("path", f"{root}/{name}").saveAsTable(table))
+            tables.append(spark.table(table))
+        hit = RawTables(tables[0], tables[1], list(STEPS), START_STEP, ACTIVATION_STEP)
+    except Exception:  # noqa: BLE001 - no writable checkpoint folder: keep the lazy plans
+        hit = plans
+    _MATERIALISED[key] = hit
     return hit
