@@ -40,7 +40,7 @@ def block_boundaries(df: DataFrame, key: str, group_cols: Sequence[str], blocks:
         .withColumn("_ff_one", F.lit(1))
     sampled = df.withColumn("_ff_one", F.lit(1)).join(F.broadcast(rate), "_ff_one", "inner") \
         .filter(F.pmod(F.xxhash64(F.col(key)), F.col("_ff_mod")) == 0)
-    return sampled.groupBy(*group_cols).agg(F.sort_array(F.collect_list(key)).alias(_SPLITS))
+    return sampled.groupBy(*group_cols).agg(F.sort_array(F.collect_set(key)).alias(_SPLITS))
 
 
 def running_totals(df: DataFrame, order_col: str, value_cols: Sequence[str],
