@@ -236,9 +236,11 @@ def q_score_auc_by_platform(m):
 
 # --------------------------------------------------------------------------- generator sanity tables
 def q_gen_conversion_by_variant(m):
-    done = m.events.filter(F.col("event_name") == F.lit(m.completed)).select("user_id")
+    # Distinct completing users first (partial aggregation), then the join: repeated events
+    # of one user never reach the join.
+    done = FN.reached_users(m.events, m.completed)
     comp = done.join(m.users.select("user_id", "variant"), "user_id", "inner").groupBy("variant") \
-        .agg(F.countDistinct("user_id").alias("completed_users"))
+        .agg(F.count(F.lit(1)).alias("completed_users"))
     tot = m.users.groupBy("variant").agg(F.count(F.lit(1)).alias("users"))
     return tot.join(comp, "variant", "left").select(
         "variant", F.coalesce("completed_users", F.lit(0)).alias("completed_users"), "users",
