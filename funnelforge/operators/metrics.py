@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import safe_div
+from ..functions.columns import safe_div, sql_ident, sql_str
 from ..plans.prefix import running_totals
 
 
@@ -86,32 +86,33 @@ def classification_report(scored: DataFrame, label: str = "label", score: str =
                           threshold: float = 0.5, names: Sequence[str] = ("0", "1")) -> DataFrame:
     """Per-class precision / recall / F1 / support, accuracy, macro and weighted averages.
     A zero denominator gives 0, as the common report does."""
-    y = F.col(label).cast("long")
-    p = (F.col(score) >= F.lit(threshold)).cast("long")
-    cm = scored.agg(F.sum(y * p).alias("tp"), F.sum((1 - y) * p).alias("fp"),
-                    F.sum(y * (1 - p)).alias("fn"), F.sum((1 - y) * (1 - p)).alias("tn"))
+    y = f"CAST({sql_ident(label)} AS BIGINT)"
+    p = f"CAST({sql_ident(score)} >= {float(threshold)!r}D AS BIGINT)"
+    cm = scored.agg(F.expr(f"sum({y} * {p})").alias("tp"), F.expr(f"sum((1 - {y}) * {p})").alias("fp"),
+                    F.expr(f"sum({y} * (1 - {p}))").alias("fn"), F.expr(f"sum((1 - {y}) * (1 - {p}))").alias("tn"))
+    tp, fp, fn, tn = ("CAST(tp AS DOUBLE)", "CAST(fp AS DOUBLE)", "CAST(fn AS DOUBLE)", "CAST(tn AS DOUBLE)")
 
     def z(x):
-        return F.coalesce(x, F.lit(0.0))
+        return f"coalesce({x}, 0.0D)"
 
-    tp, fp, fn, tn = (F.col(c).cast("double") for c in ("tp", "fp", "fn", "tn"))
-    prec1, rec1 = z(safe_div(tp, tp + fp)), z(safe_div(tp, tp + fn))
-    prec0, rec0 = z(safe_div(tn, tn + fn)), z(safe_div(tn, tn + fp))
-    f1_1 = z(safe_div(F.lit(2.0) * prec1 * rec1, prec1 + rec1))
-    f1_0 = z(safe_div(F.lit(2.0) * prec0 * rec0, prec0 + rec0))
-    s1, s0 = tp + fn, tn + fp
-    total = s1 + s0
+    prec1, rec1 = z(f"try_divide({tp}, {tp} + {fp})"), z(f"try_divide({tp}, {tp} + {fn})")
+    prec0, rec0 = z(f"try_divide({tn}, {tn} + {fn})"), z(f"try_divide({tn}, {tn} + {fp})")
+    f1_1 = z(f"try_divide(2.0D * {prec1} * {rec1}, {prec1} + {rec1})")
+    f1_0 = z(f"try_divide(2.0D * {prec0} * {rec0}, {prec0} + {rec0})")
+    s1, s0 = f"({tp} + {fn})", f"({tn} + {fp})"
+    total = f"({s1} + {s0})"
 
     def row(name, pr, rc, f1, sup):
-        return F.struct(F.lit(name).alias("class_label"), pr.alias("precision"), rc.alias("recall"),
-                        f1.alias("f1_score"), sup.cast("long").alias("support"))
+        return (f"named_struct('class_label', {sql_str(name)}, 'precision', {pr}, 'recall', {rc}, "
+                f"'f1_score', {f1}, 'support', CAST({sup} AS BIGINT))")
 
-    null = F.lit(None).cast("double")
-    rows = F.array(
+    null = "CAST(NULL AS DOUBLE)"
+    rows = ", ".join([
         row(names[0], prec0, rec0, f1_0, s0),
         row(names[1], prec1, rec1, f1_1, s1),
-        row("accuracy", null, null, z(safe_div(tp + tn, total)), total),
-        row("macro avg", (prec0 + prec1) / 2, (rec0 + rec1) / 2, (f1_0 + f1_1) / 2, total),
-        row("weighted avg", z(safe_div(prec0 * s0 + prec1 * s1, total)), z(safe_div(rec0 * s0 + rec1 * s1, total)),
-            z(safe_div(f1_0 * s0 + f1_1 * s1, total)), total))
-    return cm.select(F.inline(rows))
+        row("accuracy", null, null, z(f"try_divide({tp} + {tn}, {total})"), total),
+        row("macro avg", f"({prec0} + {prec1}) / 2", f"({rec0} + {rec1}) / 2", f"({f1_0} + {f1_1}) / 2", total),
+        row("weighted avg", z(f"try_divide({prec0} * {s0} + {prec1} * {s1}, {total})"),
+            z(f"try_divide({rec0} * {s0} + {rec1} * {s1}, {total})"),
+            z(f"try_divide({f1_0} * {s0} + {f1_1} * {s1}, {total})"), total)])
+    return cm.select(F.expr(f"inline(array({rows}))"))
