@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import CI_Z, norm_cdf, safe_div, z_quantile
+from ..functions.columns import CI_Z, norm_cdf, safe_div, sql_ident, sql_str, z_quantile
 from ..schemas import CONTROL, STEPS, TREATMENT
 from .funnel import step_counts
 
@@ -23,16 +23,14 @@ def pair_arms(counts: DataFrame, group_cols: Sequence[str], arm_col: str = "vari
               conv_col: str = "converted", total_col: str = "total",
               control: str = CONTROL, treatment: str = TREATMENT) -> DataFrame:
     """One row per group with control_* and treatment_* counts beside each other."""
-    arm = F.col(arm_col)
-
     def pick(a, c):
-        return F.max(F.when(arm == F.lit(a), F.col(c)))
+        return F.expr(f"CAST(max(CASE WHEN {sql_ident(arm_col)} = {sql_str(a)} THEN {sql_ident(c)} END) AS BIGINT)")
 
     return counts.groupBy(*group_cols).agg(
-        pick(control, conv_col).cast("long").alias("control_converted"),
-        pick(control, total_col).cast("long").alias("control_total"),
-        pick(treatment, conv_col).cast("long").alias("treatment_converted"),
-        pick(treatment, total_col).cast("long").alias("treatment_total"))
+        pick(control, conv_col).alias("control_converted"),
+        pick(control, total_col).alias("control_total"),
+        pick(treatment, conv_col).alias("treatment_converted"),
+        pick(treatment, total_col).alias("treatment_total"))
 
 
 def two_proportion_test(paired: DataFrame, alpha: float = 0.05, ci_z: float = CI_Z) -> DataFrame:
