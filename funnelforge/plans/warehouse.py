@@ -31,7 +31,10 @@ class Warehouse:
 
 def build(spark: SparkSession, raw_users: DataFrame, raw_events: DataFrame, database: str = "analytics",
           location: str | None = None, steps=STEPS, start_step: str = START_STEP,
-          activation_step: str = ACTIVATION_STEP, buckets: int | None = None) -> Warehouse:
+          activation_step: str = ACTIVATION_STEP, buckets: int | None = None,
+          funnel_partition_by: list[str] | None = None) -> Warehouse:
+    """``buckets``: bucket dim_users and fct_funnel by user_id (joins without exchange).
+    ``funnel_partition_by``: e.g. ``["signup_date"]`` so cohort reads prune partitions."""
     io.create_database(spark, database, location)
     su = io.register_view(stg_users(raw_users), f"{database}_stg_users")
     se = io.register_view(stg_events(raw_events), f"{database}_stg_events")
@@ -39,7 +42,7 @@ def build(spark: SparkSession, raw_users: DataFrame, raw_events: DataFrame, data
     io.save_table(dim_users(su), f"{database}.dim_users", bucket_by=bucket)
     dim = spark.table(f"{database}.dim_users")
     io.save_table(FN.fct_funnel(dim, se, steps, start_step, activation_step), f"{database}.fct_funnel",
-                  bucket_by=bucket)
+                  bucket_by=bucket, partition_by=funnel_partition_by)
     funnel = spark.table(f"{database}.fct_funnel")
     io.save_table(FN.fct_ab_experiment(funnel, steps), f"{database}.fct_ab_experiment")
     ab = spark.table(f"{database}.fct_ab_experiment")
