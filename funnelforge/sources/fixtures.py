@@ -7,7 +7,8 @@ Two adapters, both pure DataFrame plans whose work grows with the input tables:
   platform (market segment) from ``customer``; the arm is the parity of the user id;
   the event type is the funnel step. Days without events give units without events.
 * ``generated_tables`` (adapter G): the synthetic experiment log, with ten users per
-  ``customer`` row (ids ``c_custkey*10 + 1 .. + 10``).
+  ``customer`` row (ids ``c_custkey*10 + 1 .. + 10``). ``generated_source`` writes it once
+  per session into the checkpoint folder, bucketed by ``user_id``, and reads it back.
 """
 
 from __future__ import annotations
