@@ -63,10 +63,12 @@ def describe(df: DataFrame, value: str, group_cols: Sequence[str] = ("variant",)
         F.broadcast(med.withColumn("_one", F.lit(1))), "_one", "left").select("count", "mean", "median", "std")
 
 
-def histogram(df: DataFrame, value: str, group_cols: Sequence[str] = ("variant",), bins: int = 40) -> DataFrame:
+def histogram(df: DataFrame, value: str, group_cols: Sequence[str] = ("variant",), bins: int = 40,
+              include_empty: bool = True) -> DataFrame:
     """Equal-width histogram per group over [min, max]; the maximum falls in the last bin.
 
-    Only non-empty bins are returned: group, bin, bin_lo, bin_hi, count.
+    Returns group, bin, bin_lo, bin_hi, count; with ``include_empty`` every one of the
+    ``bins`` bins of a group is listed (count 0 when empty).
     """
     g = list(group_cols)
     src = df.filter(F.col(value).isNotNull())
@@ -80,6 +82,11 @@ def histogram(df: DataFrame, value: str, group_cols: Sequence[str] = ("variant",
     b = F.when(F.col("hi") == F.col("lo"), F.lit(0)).otherwise(
         F.least(F.floor((F.col(value) - F.col("lo")) / width), F.lit(bins - 1))).cast("int")
     h = j.groupBy(*g, "lo", "hi", b.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+    if include_empty:
+        # groups x bins rows: every bin of every group, then the counts joined on (group, bin).
+        grid = bounds.select(*g, "lo", "hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+        h = grid.join(h.drop("lo", "hi"), [*g, "bin"], "left") \
+            .withColumn("count", F.coalesce(F.col("count"), F.lit(0).cast("long")))
     w = (F.col("hi") - F.col("lo")) / F.lit(float(bins))
     return h.select(*g, "bin", (F.col("lo") + F.col("bin") * w).alias("bin_lo"),
                     (F.col("lo") + (F.col("bin") + F.lit(1)) * w).alias("bin_hi"), "count")

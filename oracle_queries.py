@@ -457,16 +457,19 @@ FROM tta t LEFT JOIN med m USING (variant) GROUP BY t.variant, m.median"""
 
 def q_tta_histogram(a, bins=40):
     w = f"((b.hi - b.lo) / {_d(float(bins))})"
-    w2 = f"((hi - lo) / {_d(float(bins))})"
+    wg = f"((g.hi - g.lo) / {_d(float(bins))})"
     return base(a) + tta_cte(a) + f""",
 bounds AS (SELECT variant, min(minutes_to_activate) AS lo, max(minutes_to_activate) AS hi FROM tta GROUP BY variant),
 hb AS (
   SELECT t.variant, b.lo, b.hi,
          CAST(CASE WHEN b.hi = b.lo THEN 0 ELSE least(floor((t.minutes_to_activate - b.lo) / {w}), {bins - 1}) END
               AS INTEGER) AS bin
-  FROM tta t JOIN bounds b USING (variant))
-SELECT variant, bin, lo + bin * {w2} AS bin_lo, lo + (bin + 1) * {w2} AS bin_hi, CAST(count(*) AS BIGINT) AS count
-FROM hb GROUP BY variant, lo, hi, bin"""
+  FROM tta t JOIN bounds b USING (variant)),
+hc AS (SELECT variant, bin, CAST(count(*) AS BIGINT) AS n FROM hb GROUP BY variant, bin),
+grid AS (SELECT variant, lo, hi, CAST(unnest(range(0, {bins})) AS INTEGER) AS bin FROM bounds)
+SELECT g.variant, g.bin, g.lo + g.bin * {wg} AS bin_lo, g.lo + (g.bin + 1) * {wg} AS bin_hi,
+       coalesce(hc.n, CAST(0 AS BIGINT)) AS count
+FROM grid g LEFT JOIN hc ON hc.variant = g.variant AND hc.bin = g.bin"""
 
 
 def q_value_shares(a):
