@@ -70,3 +70,11 @@ def test_single_partition_exchanges_only_above_aggregates(spark, registry):
             depth = len(line) - len(line.lstrip(" :+-"))
             child = next(ln for ln in lines[i + 1:] if len(ln) - len(ln.lstrip(" :+-")) > depth)
             assert re.search(r"HashAggregate|ObjectHashAggregate|SortAggregate", child), (name, line, child)
+
+
+def test_bucketed_source_needs_no_user_shuffle(spark, registry):
+    for name in ("fct_funnel", "features_local", "time_to_activate"):
+        df = registry[name](spark, SF_SMALL)
+        df.collect()
+        final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert "Exchange hashpartitioning(user_id" not in final, (name, final)
