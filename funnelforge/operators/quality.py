@@ -172,22 +172,27 @@ def segment_contract(flags: DataFrame, done: str, act: str, tol: float = 0.02, d
     sets = flags.groupingSets([["country"], ["platform"], ["variant"]], "country", "platform", "variant").agg(
         F.grouping_id().alias("_gid"), F.count(F.lit(1)).alias("_n"),
         F.avg(F.col(done).cast("double")).alias("_done"), F.avg(F.col(act).cast("double")).alias("_act"))
-    by_country, by_platform, by_variant = F.col("_gid") == 3, F.col("_gid") == 5, F.col("_gid") == 6
+    by_country, by_platform, by_variant = "_gid = 3", "_gid = 5", "_gid = 6"
 
     def spread(where, c):
-        return F.max(F.when(where, F.col(c))) - F.min(F.when(where, F.col(c)))
+        return f"max(CASE WHEN {where} THEN {c} END) - min(CASE WHEN {where} THEN {c} END)"
+
+    total = f"sum(CASE WHEN {by_variant} THEN _n END)"
+
+    def share(arm):
+        return f"sum(CASE WHEN {by_variant} AND variant = {sql_str(arm)} THEN _n END)"
+
+    def rate(arm):
+        return f"max(CASE WHEN {by_variant} AND variant = {sql_str(arm)} THEN _done END)"
 
-    total = F.sum(F.when(by_variant, F.col("_n")))
-    share = lambda arm: F.sum(F.when(by_variant & (F.col("variant") == arm), F.col("_n")))
-    rate = lambda arm: F.max(F.when(by_variant & (F.col("variant") == arm), F.col("_done")))
     one = sets.agg(
-        F.greatest(F.abs(share(control) / total - F.lit(0.5)), F.abs(share(treatment) / total - F.lit(0.5)))
+        F.expr(f"greatest(abs({share(control)} / {total} - 0.5D), abs({share(treatment)} / {total} - 0.5D))")
         .alias("arm_balance"),
-        spread(by_country, "_done").alias("completion_spread_country"),
-        spread(by_platform, "_done").alias("completion_spread_platform"),
-        spread(by_country, "_act").alias("activation_spread_country"),
-        spread(by_platform, "_act").alias("activation_spread_platform"),
-        (rate(treatment) - rate(control)).alias("treatment_lift"))
+        F.expr(spread(by_country, "_done")).alias("completion_spread_country"),
+        F.expr(spread(by_platform, "_done")).alias("completion_spread_platform"),
+        F.expr(spread(by_country, "_act")).alias("activation_spread_country"),
+        F.expr(spread(by_platform, "_act")).alias("activation_spread_platform"),
+        F.expr(f"{rate(treatment)} - {rate(control)}").alias("treatment_lift"))
     checks = [("arm_balance", F.col("arm_balance") < F.lit(tol)),
               ("completion_spread_country", F.col("completion_spread_country") < F.lit(done_bound)),
               ("completion_spread_platform", F.col("completion_spread_platform") < F.lit(done_bound)),
