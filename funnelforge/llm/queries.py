@@ -5,9 +5,10 @@ from __future__ import annotations
 from importlib import import_module
 
 _WHERE = {
+    "op1_substring_dedup": "substring_dedup",
     "op7_line_dedup": "line_dedup",
 }
-_SQL = ("op7_line_dedup",)
+_SQL = ("op1_substring_dedup", "op7_line_dedup")
 
 
 def _module(name: str):
