@@ -7,9 +7,11 @@ from importlib import import_module
 _WHERE = {
     "op1_substring_dedup": "substring_dedup",
     "op2_minhash_near_dedup": "setsketch_dedup",
+    "op5_warc": "warc",
     "op7_line_dedup": "line_dedup",
+    "op8_toxicity": "toxicity",
 }
-_SQL = ("op1_substring_dedup", "op2_minhash_near_dedup", "op7_line_dedup")
+_SQL = ("op1_substring_dedup", "op2_minhash_near_dedup", "op5_warc", "op7_line_dedup")
 
 
 def _module(name: str):
