@@ -21,16 +21,16 @@ LOWER[65:91] += 32
 _RNG = np.random.Generator(np.random.PCG64(20240229))
 _BASES = [int(x) | 1 for x in _RNG.integers(1 << 62, 1 << 63, 2, dtype=np.uint64)]
 _BYTE = _RNG.integers(1, 1 << 63, (2, 256), dtype=np.uint64)
-_POWERS: dict[tuple[int, bool], np.ndarray] = {}
 #: Bytes of text handled at once inside a task.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
+_POWERS: dict[tuple[int, bool], np.ndarray] = {}
 
 
 def powers(which: int, n: int, inverse: bool = False) -> np.ndarray:
     """base^0 .. base^(n-1) modulo 2^64 (or of the inverse base)."""
     have = _POWERS.get((which, inverse))
     if have is None or len(have) < n:
-        size = max(n, 1 << 12, 2 * len(have) if have is not None else 0)
+        size = max(n, SLICE_BYTES + 4096)
         base = pow(_BASES[which], -1, 1 << 64) if inverse else _BASES[which]
         have = np.full(size, base, dtype=_U)
         have[0] = 1
