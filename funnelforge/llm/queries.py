@@ -7,11 +7,16 @@ from importlib import import_module
 _WHERE = {
     "op1_substring_dedup": "substring_dedup",
     "op2_minhash_near_dedup": "setsketch_dedup",
+    "op3_sentencepiece": "sentencepiece_unigram",
+    "op4_token_counts": "token_counts",
     "op5_warc": "warc",
+    "op6_decontamination": "decontamination",
     "op7_line_dedup": "line_dedup",
     "op8_toxicity": "toxicity",
+    "op9_embedding_near_dedup": "embedding_dedup",
+    "op10_pii": "pii",
 }
-_SQL = ("op1_substring_dedup", "op2_minhash_near_dedup", "op5_warc", "op7_line_dedup")
+_SQL = ("op1_substring_dedup", "op2_minhash_near_dedup", "op5_warc", "op7_line_dedup", "op9_embedding_near_dedup")
 
 
 def _module(name: str):

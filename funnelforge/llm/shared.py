@@ -49,6 +49,46 @@ def _links(parent, root):
     return pd.DataFrame(rows, columns=["u", "v"], dtype=np.int64)
 
 
+def spanning(ids: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """A forest (rows u, v with v < u) that connects what the links ids[i] - ids[j] connect."""
+    order = np.argsort(ids, kind="stable")
+    rank = np.empty(len(ids), dtype=np.int64)
+    rank[order] = np.arange(len(ids))
+    i, j, label = rank[i], rank[j], np.arange(len(ids))
+    while True:
+        new = label.copy()
+        np.minimum.at(new, i, label[j])
+        np.minimum.at(new, j, label[i])
+        new = new[new]
+        if (new == label).all():
+            break
+        label = new
+    moved = np.flatnonzero(label != np.arange(len(ids)))
+    return np.stack([ids[order[moved]], ids[order[label[moved]]]], axis=1)
+
+
+def units(batches, keys: int):
+    """(key, batches) of every run of rows with equal values in the first ``keys`` columns."""
+    at, held = None, []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        key = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(keys)]
+        new = np.zeros(batch.num_rows, dtype=bool)
+        for k in key:
+            new[1:] |= k[1:] != k[:-1]
+        cut = [0, *np.flatnonzero(new).tolist(), batch.num_rows]
+        for x, y in zip(cut[:-1], cut[1:]):
+            unit = tuple(int(k[x]) for k in key)
+            if unit != at and held:
+                yield at, held
+                held = []
+            at = unit
+            held.append(batch.slice(x, y - x))
+    if held:
+        yield at, held
+
+
 def components(links: DataFrame, max_rounds: int = 100) -> DataFrame:
     """(node, component) of every node in ``links(u, v)``; component is its smallest node.
 

@@ -32,7 +32,7 @@ BUCKETS = 1 << 20
 MIN_Z = 5.0
 SAMPLE = 10000
 FOLDS = 5
-L2 = 1e-3
+L2 = 1e-2
 
 _LETTER = np.arange(256, dtype=np.uint8)
 _LETTER[65:91] += 32
