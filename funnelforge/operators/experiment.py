@@ -8,7 +8,6 @@ Zero variance (every user or nobody converts) gives NULL statistics, not an erro
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -34,7 +33,9 @@ def pair_arms(counts: DataFrame, group_cols: Sequence[str], arm_col: str = "vari
 
 
 def two_proportion_test(paired: DataFrame, alpha: float = 0.05, ci_z: float = CI_Z) -> DataFrame:
-    """Pooled z-test, two-sided p, unpooled CI of the difference, achieved power, ship flag."""
+    """Pooled z-test, two-sided p, unpooled CI of the difference, achieved power, ship flag.
+
+    ``alpha`` moves the power and the ship rule; the interval is ``ci_z`` standard errors wide (95 %)."""
     z_alpha = z_quantile(1 - alpha / 2)
     cc, ct, tc, tt = "control_converted", "control_total", "treatment_converted", "treatment_total"
     p_c, p_t = f"try_divide({cc}, {ct})", f"try_divide({tc}, {tt})"
@@ -48,15 +49,18 @@ def two_proportion_test(paired: DataFrame, alpha: float = 0.05, ci_z: float = CI
         F.expr(f"try_divide({p_t} - {p_c}, {p_c})").alias("relative_lift"),
         F.expr(f"try_divide({p_t} - {p_c}, {se_pool})").alias("z"),
         F.expr(se_diff).alias("_se_diff"))
+    # The approximation names its argument many times: each argument is a column of its own.
+    out = out.select("*", F.expr("-abs(z)").alias("_z"),
+                     F.expr(f"try_divide(abs(absolute_lift), _se_diff) - {z_alpha!r}D").alias("_zp"))
     out = out.select(
         "*",
-        (F.lit(2.0) * norm_cdf("-abs(z)")).alias("p_value"),
+        (F.lit(2.0) * norm_cdf("_z")).alias("p_value"),
         F.expr(f"absolute_lift - {ci_z!r}D * _se_diff").alias("ci_low"),
         F.expr(f"absolute_lift + {ci_z!r}D * _se_diff").alias("ci_high"),
-        norm_cdf(f"try_divide(abs(absolute_lift), _se_diff) - {z_alpha!r}D").alias("power"))
+        norm_cdf("_zp").alias("power"))
     return out.withColumn(
         "ship", F.expr(f"coalesce(p_value < {float(alpha)!r}D AND ci_low > 0, false)")
-    ).drop("_se_diff")
+    ).drop("_se_diff", "_z", "_zp")
 
 
 def ab_test(funnel: DataFrame, steps: Sequence[str] = STEPS, group_cols: Sequence[str] = (),
@@ -160,7 +164,10 @@ def baseline_rates(funnel: DataFrame, steps: Sequence[str] = STEPS, segment_cols
         F.countDistinct("signup_date").alias("signup_days"))
     seg = seg.withColumn("daily_signups", safe_div(F.col("segment_users"), F.col("signup_days")))
     # One row per segment; AQE broadcasts it when small at run time.
-    joined = paired.join(F.broadcast(seg) if not segment_cols else seg, keys, "inner")
+    # The keys are compared as one struct, so a NULL segment meets itself.
+    key = F.struct(F.lit(0).alias("_"), *keys)
+    paired, seg = paired.withColumn("_seg", key), seg.withColumn("_seg", key).drop(*keys)
+    joined = paired.join(F.broadcast(seg) if not segment_cols else seg, "_seg", "inner")
     return joined.select(*segment_cols, "funnel_step", "step_order",
                          F.col("control_total").alias("control_users"),
                          safe_div(F.col("control_converted"), F.col("control_total")).alias("baseline_rate"),
@@ -182,16 +189,3 @@ def mde_by_segment(funnel: DataFrame, steps: Sequence[str] = STEPS, segment_cols
     base = baseline_rates(funnel, steps, segment_cols)
     out = minimum_detectable_effect(base, "baseline_rate", "control_users", alpha, power, ratio)
     return out.withColumn("mde_relative", safe_div(F.col("mde"), F.col("baseline_rate")))
-
-
-def n_per_group(p1: float, p2: float, alpha: float = 0.05, power: float = 0.80, ratio: float = 1.0) -> float:
-    """Scalar form of the sample-size formula (for checks and tests)."""
-    return _k(alpha, power) * (p1 * (1 - p1) + (p2 * (1 - p2)) / ratio) / ((p1 - p2) ** 2)
-
-
-def mde_scalar(p1: float, n1: float, alpha: float = 0.05, power: float = 0.80, ratio: float = 1.0) -> float:
-    k = _k(alpha, power)
-    kr = k / ratio
-    a, b, c = n1 + kr, kr * (1 - 2 * p1), k * p1 * (1 - p1) * (1 + 1 / ratio)
-    d = (b + math.sqrt(b * b + 4 * a * c)) / (2 * a)
-    return min(max(d, 1e-5), 1 - p1 - 1e-5)

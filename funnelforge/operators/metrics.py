@@ -32,7 +32,8 @@ def _ranked(scored: DataFrame, label: str, score: str, group_cols: Sequence[str]
 def _auc_expr():
     below = F.col("cum_neg") - F.col("neg")
     # 2 x numerator is an integer: exact in decimal, one division at the end.
-    num2 = F.sum((F.lit(2) * F.col("pos") * below + F.col("pos") * F.col("neg")).cast("decimal(38,0)"))
+    # Each factor is a decimal before the product: counts beyond 2^31 on both sides overflow a long.
+    num2 = F.sum((F.col("pos").cast("decimal(19,0)") * (F.lit(2) * below + F.col("neg")).cast("decimal(19,0)")).cast("decimal(38,0)"))
     return safe_div(num2.cast("double"), F.lit(2.0) * F.sum("pos").cast("double") * F.sum("neg").cast("double"))
 
 

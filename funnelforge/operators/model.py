@@ -40,9 +40,10 @@ def encoder_stages(categorical: Sequence[str], numeric: Sequence[str]) -> list:
 
 
 def _fit(train: DataFrame, estimator, target: str, categorical, numeric) -> PipelineModel:
+    """``estimator`` makes the last stage from the number of training rows."""
     data = train.withColumn("label", F.col(target).cast("double")).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return Pipeline(stages=[*encoder_stages(categorical, numeric), estimator]).fit(data)
+        return Pipeline(stages=[*encoder_stages(categorical, numeric), estimator(data.count())]).fit(data)
     finally:
         data.unpersist()
 
@@ -51,10 +52,9 @@ def fit_logistic(train: DataFrame, target: str, categorical: Sequence[str] = CAT
                  numeric: Sequence[str] = NUMERIC, max_iter: int = 1000) -> PipelineModel:
     """L2 logistic regression with strength 1 per sample (regParam = 1 / n), unscaled inputs."""
     categorical, numeric = present(train, categorical), present(train, numeric)
-    n = train.count()
-    lr = LogisticRegression(maxIter=max_iter, regParam=1.0 / max(n, 1), elasticNetParam=0.0,
-                            standardization=False, featuresCol="features", labelCol="label")
-    return _fit(train, lr, target, categorical, numeric)
+    return _fit(train, lambda n: LogisticRegression(
+        maxIter=max_iter, regParam=1.0 / max(n, 1), elasticNetParam=0.0,
+        standardization=False, featuresCol="features", labelCol="label"), target, categorical, numeric)
 
 
 def fit_gbt(train: DataFrame, target: str, categorical: Sequence[str] = CATEGORICAL,
@@ -64,7 +64,7 @@ def fit_gbt(train: DataFrame, target: str, categorical: Sequence[str] = CATEGORI
     checkpoint_dir(train.sparkSession)
     gbt = GBTClassifier(maxIter=max_iter, stepSize=0.1, maxDepth=5, minInstancesPerNode=20, maxBins=255,
                         seed=seed, checkpointInterval=10, featuresCol="features", labelCol="label")
-    return _fit(train, gbt, target, categorical, numeric)
+    return _fit(train, lambda n: gbt, target, categorical, numeric)
 
 
 def score(model: PipelineModel, df: DataFrame, keep: Sequence[str] = ("user_id",), target: str | None = None,

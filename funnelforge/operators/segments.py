@@ -1,20 +1,25 @@
 """Cohort, segment and distribution reports over the user-grain tables.
 
-All are grouped aggregates (partial + final hash aggregation); pivots name their
-values explicitly so no extra pass is needed to discover them.
+All are grouped aggregates (partial + final hash aggregation). Pivots take the values that
+the data hold (NULL as the column ``null``), so every row is in the table; naming the values
+saves that pass, and rows with other values are then counted in the column ``other``. The
+``*_long`` forms need neither.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import safe_div, week_start_sunday
-from ..schemas import ACTIVATION_STEP, ARMS, flag_col
+from ..schemas import ACTIVATION_STEP, flag_col
 from .funnel import with_reached
 
+#: Columns of a pivot whose values are looked up.
+MAX_PIVOT = 1000
+
 
 def weekly_cohorts(funnel: DataFrame, activation_step: str = ACTIVATION_STEP) -> DataFrame:
     """Signup week (Sunday start) x variant: signups, activated, activation_rate."""
@@ -40,13 +45,39 @@ def segment_activation(funnel: DataFrame, activation_step: str = ACTIVATION_STEP
     return agg.filter(F.col("users") >= F.lit(min_users))
 
 
+def pivot_values(df: DataFrame, col: str, most: int = MAX_PIVOT) -> list[str]:
+    """The distinct values of a column as pivot column names, sorted; more than ``most`` raise an error."""
+    found = [r[0] for r in df.select(F.col(col).cast("string")).distinct().limit(most + 1).collect()]
+    if len(found) > most:
+        raise ValueError(f"{col} has more than {most} values: use the long form")
+    return sorted(v for v in found if v is not None) + ["null"] * (None in found)
+
+
+def _named(df: DataFrame, col: str, col_values: Sequence[str] | None) -> tuple[DataFrame, list[str]]:
+    """The pivot column without NULLs and unlisted values, and the columns that the table needs."""
+    name = F.coalesce(F.col(col).cast("string"), F.lit("null"))
+    if col_values is None:
+        return df.withColumn(col, name), pivot_values(df, col)
+    listed = [v for v in col_values]
+    out = df.withColumn(col, F.when(name.isin(listed), name).otherwise(F.lit("other")))
+    return out, listed + ["other"] * (not out.filter(F.col(col) == "other").isEmpty() and "other" not in listed)
+
+
+def activation_heatmap_long(users: DataFrame, events: DataFrame, activation_step: str = ACTIVATION_STEP,
+                            rows: str = "country", cols: str = "platform") -> DataFrame:
+    """rows, cols, users, activation rate in percent: one row per cell, whatever its values."""
+    flagged = with_reached(users.select("user_id", rows, cols), events, activation_step, "activated")
+    return flagged.groupBy(rows, cols).agg(
+        F.count(F.lit(1)).alias("users"), (F.avg(F.col("activated").cast("double")) * F.lit(100)).alias("activation_pct"))
+
+
 def activation_heatmap(users: DataFrame, events: DataFrame, activation_step: str = ACTIVATION_STEP,
                        rows: str = "country", cols: str = "platform",
-                       col_values: Sequence[str] = ("ios", "android", "web")) -> DataFrame:
+                       col_values: Sequence[str] | None = None) -> DataFrame:
     """rows x cols activation rate in percent (users without events count as 0)."""
     flagged = with_reached(users.select("user_id", rows, cols), events, activation_step, "activated")
-    return flagged.groupBy(rows).pivot(cols, list(col_values)).agg(
-        (F.avg(F.col("activated").cast("double")) * F.lit(100)))
+    named, values = _named(flagged, cols, col_values)
+    return named.groupBy(rows).pivot(cols, values).agg(F.avg(F.col("activated").cast("double")) * F.lit(100))
 
 
 def rate_by(df: DataFrame, dim: str, flag: str) -> DataFrame:
@@ -54,13 +85,6 @@ def rate_by(df: DataFrame, dim: str, flag: str) -> DataFrame:
     return df.groupBy(dim).agg(F.avg(F.col(flag).cast("double")).alias("rate"))
 
 
-def rate_spread(df: DataFrame, dim: str, flag: str) -> DataFrame:
-    """max - min of the per-group means: one row."""
-    r = rate_by(df, dim, flag)
-    return r.agg(F.count(F.lit(1)).alias("groups"), F.min("rate").alias("min_rate"),
-                 F.max("rate").alias("max_rate"), (F.max("rate") - F.min("rate")).alias("spread"))
-
-
 def distinct_users(events: DataFrame, group_cols: Sequence[str], id_col: str = "user_id",
                    approx: bool = False, rsd: float = 0.05) -> DataFrame:
     """Distinct ids per group (exact by default; HyperLogLog++ with relative std. dev.
@@ -78,13 +102,23 @@ def value_shares(df: DataFrame, col: str) -> DataFrame:
         .select(col, "n", (F.col("n") / F.col("_total")).alias("share"))
 
 
-def crosstab_shares(df: DataFrame, row: str, col: str, col_values: Sequence[str] = ARMS,
+def crosstab_shares_long(df: DataFrame, row: str, col: str, decimals: int = 3) -> DataFrame:
+    """row, col, n, share of the row's total: one row per cell that occurs, whatever its values.
+
+    The total of a row sums its cells, so the window runs over distinct cells only."""
+    cells = df.groupBy(row, col).agg(F.count(F.lit(1)).alias("n"))
+    total = F.sum("n").over(Window.partitionBy(row))
+    return cells.select(row, col, "n", F.round(safe_div("n", total), decimals).alias("share"))
+
+
+def crosstab_shares(df: DataFrame, row: str, col: str, col_values: Sequence[str] | None = None,
                     decimals: int = 3) -> DataFrame:
-    """Row-normalised crosstab, rounded; a missing cell is 0."""
-    wide = df.groupBy(row).pivot(col, list(col_values)).agg(F.count(F.lit(1)))
-    total = sum(F.coalesce(F.col(v), F.lit(0)) for v in col_values)
-    return wide.select(row, *[F.round(safe_div(F.coalesce(F.col(v), F.lit(0)), total), decimals).alias(v)
-                              for v in col_values])
+    """Row-normalised crosstab, rounded; a missing cell is 0. Shares are of all rows of ``df``."""
+    named, values = _named(df, col, col_values)
+    wide = named.groupBy(row).pivot(col, values).agg(F.count(F.lit(1)))
+    total = sum((F.coalesce(F.col(f"`{v}`"), F.lit(0)) for v in values), F.lit(0))
+    return wide.select(row, *[F.round(safe_div(F.coalesce(F.col(f"`{v}`"), F.lit(0)), total), decimals).alias(v)
+                              for v in values])
 
 
 def profile(df: DataFrame, id_col: str = "user_id") -> DataFrame:

@@ -18,6 +18,9 @@ from ..functions.columns import fractional_minutes
 from ..plans.prefix import running_totals
 from ..schemas import ACTIVATION_STEP, START_STEP
 
+#: Tasks over which a group's values are spread where they meet the group's bounds.
+SALTS = 64
+
 
 def time_to_activate(users: DataFrame, events: DataFrame, start_step: str = START_STEP,
                      activation_step: str = ACTIVATION_STEP, keep: Sequence[str] = ("variant",)) -> DataFrame:
@@ -33,34 +36,45 @@ def time_to_activate(users: DataFrame, events: DataFrame, start_step: str = STAR
         "user_id", *keep, fractional_minutes("t0", "t1").alias("minutes_to_activate"))
 
 
+def _value_counts(df: DataFrame, value: str, group_cols: Sequence[str]) -> DataFrame:
+    """Distinct (group, value) with counts: partial aggregation makes a popular value one row per task."""
+    return df.filter(F.col(value).isNotNull()).groupBy(*group_cols, value).agg(F.count(F.lit(1)).alias("_n"))
+
+
+def _median():
+    """Mean of the values at the two middle ranks, from running counts and group totals."""
+    r1, r2 = F.expr("(tot__n + 1) div 2"), F.expr("tot__n div 2 + 1")
+    return r1, r2
+
+
 def exact_median(df: DataFrame, value: str, group_cols: Sequence[str] = ()) -> DataFrame:
     """Exact median per group (mean of the two middle values for even counts)."""
     g = list(group_cols)
-    counts = df.filter(F.col(value).isNotNull()).groupBy(*g, value).agg(F.count(F.lit(1)).alias("_n"))
-    cum = running_totals(counts, value, ["_n"], g, totals=True)
-    r1 = F.floor((F.col("tot__n") + F.lit(1)) / F.lit(2))
-    r2 = F.floor(F.col("tot__n") / F.lit(2)) + F.lit(1)
-    v1 = F.min(F.when(F.col("cum__n") >= r1, F.col(value)))
-    v2 = F.min(F.when(F.col("cum__n") >= r2, F.col(value)))
+    cum = running_totals(_value_counts(df, value, g), value, ["_n"], g, totals=True)
+    r1, r2 = _median()
+    v1, v2 = (F.min(F.when(F.col("cum__n") >= r, F.col(value))) for r in (r1, r2))
     return cum.groupBy(*g).agg(((v1 + v2) / F.lit(2.0)).alias("median"))
 
 
 def describe(df: DataFrame, value: str, group_cols: Sequence[str] = ("variant",),
              approx_median: bool = False, accuracy: int = 10_000) -> DataFrame:
-    """count, mean, median, sample std per group. The median is exact by default; with
-    ``approx_median`` it comes from the mergeable quantile sketch in the same aggregate."""
+    """count, mean, median, sample std per group (a NULL group included). The median is exact by
+    default, and everything comes from the one table of value counts; with ``approx_median`` it comes
+    from the mergeable quantile sketch in a plain aggregate. Groups without a value have count 0."""
     g = list(group_cols)
     if approx_median:
         return df.groupBy(*g).agg(F.count(value).alias("count"), F.avg(value).alias("mean"),
                                   F.percentile_approx(value, 0.5, accuracy).cast("double").alias("median"),
                                   F.stddev_samp(value).alias("std"))
-    stats = df.groupBy(*g).agg(F.count(value).alias("count"), F.avg(value).alias("mean"),
-                               F.stddev_samp(value).alias("std"))
-    med = exact_median(df, value, g)
-    if g:
-        return stats.join(med, g, "left").select(*g, "count", "mean", "median", "std")
-    return stats.withColumn("_one", F.lit(1)).join(
-        F.broadcast(med.withColumn("_one", F.lit(1))), "_one", "left").select("count", "mean", "median", "std")
+    counts = df.groupBy(*g, value).agg(F.count(value).alias("_n")).withColumn("_s", F.col(value) * F.col("_n"))
+    cum = running_totals(counts, value, ["_n", "_s"], g, totals=True)
+    r1, r2 = _median()
+    v1, v2 = (F.min(F.when(F.col("cum__n") >= r, F.col(value))) for r in (r1, r2))
+    off = F.col(value) - F.col("tot__s") / F.col("tot__n")
+    n = F.sum("_n")
+    return cum.groupBy(*g).agg(
+        n.alias("count"), (F.sum("_s") / F.nullif(n, F.lit(0))).alias("mean"), ((v1 + v2) / F.lit(2.0)).alias("median"),
+        F.when(n > 1, F.sqrt(F.sum(off * off * F.col("_n")) / (n - 1))).alias("std"))
 
 
 def histogram(df: DataFrame, value: str, group_cols: Sequence[str] = ("variant",), bins: int = 40,
@@ -68,25 +82,25 @@ def histogram(df: DataFrame, value: str, group_cols: Sequence[str] = ("variant",
     """Equal-width histogram per group over [min, max]; the maximum falls in the last bin.
 
     Returns group, bin, bin_lo, bin_hi, count; with ``include_empty`` every one of the
-    ``bins`` bins of a group is listed (count 0 when empty).
+    ``bins`` bins of a group is listed (count 0 when empty). A NULL group is a group like any
+    other. Values meet their group's bounds by (group, salt), so a group that holds most
+    values is spread over SALTS tasks.
     """
     g = list(group_cols)
-    src = df.filter(F.col(value).isNotNull())
-    bounds = src.groupBy(*g).agg(F.min(value).alias("lo"), F.max(value).alias("hi"))
-    if g:
-        j = src.join(bounds, g, "inner")
-    else:
-        j = src.withColumn("_one", F.lit(1)).join(
-            F.broadcast(bounds.withColumn("_one", F.lit(1))), "_one", "inner").drop("_one")
+    key, salt = F.struct(F.lit(0).alias("_"), *g), F.pmod(F.xxhash64(value), F.lit(SALTS)).cast("int")
+    counts = _value_counts(df, value, g)
+    bounds = counts.groupBy(*g).agg(F.min(value).alias("lo"), F.max(value).alias("hi")).withColumn("_g", key)
+    salted = bounds.select("_g", "lo", "hi", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"))
+    j = counts.withColumn("_g", key).withColumn("_salt", salt).join(salted, ["_g", "_salt"])
     width = (F.col("hi") - F.col("lo")) / F.lit(float(bins))
     b = F.when(F.col("hi") == F.col("lo"), F.lit(0)).otherwise(
         F.least(F.floor((F.col(value) - F.col("lo")) / width), F.lit(bins - 1))).cast("int")
-    h = j.groupBy(*g, "lo", "hi", b.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+    h = j.groupBy("_g", b.alias("bin")).agg(F.sum("_n").alias("count"))
     if include_empty:
         # groups x bins rows: every bin of every group, then the counts joined on (group, bin).
-        grid = bounds.select(*g, "lo", "hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
-        h = grid.join(h.drop("lo", "hi"), [*g, "bin"], "left") \
-            .withColumn("count", F.coalesce(F.col("count"), F.lit(0).cast("long")))
-    w = (F.col("hi") - F.col("lo")) / F.lit(float(bins))
-    return h.select(*g, "bin", (F.col("lo") + F.col("bin") * w).alias("bin_lo"),
-                    (F.col("lo") + (F.col("bin") + F.lit(1)) * w).alias("bin_hi"), "count")
+        grid = bounds.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
+        h = grid.join(h, ["_g", "bin"], "left").withColumn("count", F.coalesce(F.col("count"), F.lit(0).cast("long")))
+    else:
+        h = bounds.join(h, "_g")
+    return h.select(*g, "bin", (F.col("lo") + F.col("bin") * width).alias("bin_lo"),
+                    (F.col("lo") + (F.col("bin") + F.lit(1)) * width).alias("bin_hi"), "count")

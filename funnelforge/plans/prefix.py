@@ -1,15 +1,19 @@
 """Exact running totals over an ordered key without a global (single-task) window.
 
-A plain ``Window.orderBy(key)`` moves every row into one task. Here the key range
-of every group is cut into blocks, block sums are turned into block offsets on a table
-of at most ``groups x blocks`` rows, and the running total inside each block is a
-window partitioned by ``(group, block)``. A hot group is therefore spread over many
-tasks, and the only tables joined back are bounded by the number of blocks.
-
-Block boundaries are a hash-sampled subset of the keys (about ``blocks`` keys in total,
-at a rate set by a one-row global count), sorted. They are a pure function of the data,
-so a stage recomputed after a lost executor assigns every row to the same block as the
-stages that already ran (an approximate quantile sketch could merge differently).
+A plain ``Window.orderBy(key)`` moves every row into one task. Here the key range is cut into
+blocks, block sums are turned into block offsets, and the running total inside each block is
+a window partitioned by ``(group, block)``. The blocks are cut over the keys of all groups
+together, so finding a row's block needs no join on the group: a group that holds most rows is
+spread over all blocks, and no exchange is keyed by the group alone.
+
+Block boundaries are a pure function of the data: a hash-sampled subset of the keys, sorted, of which
+evenly spaced ones are taken (``OVERSAMPLE`` sampled keys per block keep the blocks even). A stage
+recomputed after a lost executor assigns every row to the same block (an approximate
+quantile sketch could merge differently). The number of blocks follows the row count
+(``ROWS_PER_BLOCK``). Rows find their block in two steps, coarse and fine, each over about the square
+root of the number of blocks.
+
+Groups are compared as one struct, so a NULL group is a group like any other.
 """
 
 from __future__ import annotations
@@ -19,28 +23,39 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_KEY = "_ff_key"
-_SPLITS = "_ff_splits"
-_BLOCK = "_ff_block"
+from ..session import materialise
+
+_KEY, _GROUP, _BLOCK, _SUPER, _ONE = "_ff_key", "_ff_group", "_ff_block", "_ff_super", "_ff_one"
+ROWS_PER_BLOCK = 1 << 18
+OVERSAMPLE = 16
+#: Blocks whose offsets are summed by one window task.
+SUPER_BLOCK = 1024
 
 
-def default_blocks(df: DataFrame) -> int:
-    """Twice the shuffle parallelism, at most 1024: every row locates its block with one
-    pass over the split points, so the count bounds the per-row cost, while 1024 blocks
-    already spread a hot group over 1024 window tasks."""
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(8, min(2 * n, 1024))
+def block_boundaries(df: DataFrame, key: str, blocks: int | None = None) -> DataFrame:
+    """One row: ``bounds``, arrays of boundary keys (coarse: the first key of each, but the first).
 
+    About ``blocks`` blocks (default: one per ROWS_PER_BLOCK rows, and the shuffle parallelism at least).
+    """
+    least = max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
+    want = F.lit(blocks) if blocks else F.greatest(F.lit(least), F.ceil(F.count(F.lit(1)) / F.lit(ROWS_PER_BLOCK)))
+    rate = df.agg(want.cast("long").alias("_ff_n"), F.count(F.lit(1)).alias("_ff_rows")).select(
+        F.lit(1).alias(_ONE), F.greatest(F.lit(1).cast("long"), F.expr(f"_ff_rows div (_ff_n * {OVERSAMPLE})")).alias("_ff_mod"), "_ff_n")
+    sampled = (df.withColumn(_ONE, F.lit(1)).join(F.broadcast(rate), _ONE)  # one row
+               .filter(F.pmod(F.xxhash64(F.col(key)), F.col("_ff_mod")) == 0)
+               .agg(F.sort_array(F.collect_set(key)).alias("_ff_s"), F.max("_ff_n").alias("_ff_n")))
+    step = "greatest(1, size(_ff_s) div _ff_n)"
+    even = sampled.select(F.expr(f"filter(_ff_s, (x, i) -> (i + 1) % {step} = 0)").alias("_ff_b"))
+    wide = "greatest(1, CAST(ceil(sqrt(size(_ff_b))) AS INT))"
+    return even.select(F.expr(
+        f"transform(sequence(0, greatest(0, CAST(ceil(size(_ff_b) / {wide}) AS INT) - 1)), i -> slice(_ff_b, i * {wide} + 1, {wide}))").alias("bounds"))
 
-def block_boundaries(df: DataFrame, key: str, group_cols: Sequence[str], blocks: int) -> DataFrame:
-    """(group..., sorted array of boundary keys): the keys whose hash falls in residue 0
-    modulo count/blocks, about ``blocks`` keys over all groups. Deterministic."""
-    # One row: the sampling modulus.
-    rate = df.agg(F.greatest(F.lit(1), F.floor(F.count(F.lit(1)) / F.lit(blocks))).alias("_ff_mod")) \
-        .withColumn("_ff_one", F.lit(1))
-    sampled = df.withColumn("_ff_one", F.lit(1)).join(F.broadcast(rate), "_ff_one", "inner") \
-        .filter(F.pmod(F.xxhash64(F.col(key)), F.col("_ff_mod")) == 0)
-    return sampled.groupBy(*group_cols).agg(F.sort_array(F.collect_set(key)).alias(_SPLITS))
+
+def _block_of(bounds: str, key: str) -> Column:
+    """Number of boundaries below the key, by the coarse part that holds it and then inside that part."""
+    coarse = f"greatest(size(filter({bounds}, b -> b[0] < {key})) - 1, 0)"
+    return F.expr(f"CASE WHEN {key} IS NULL OR size({bounds}[0]) = 0 THEN 0L ELSE CAST({coarse} * size({bounds}[0]) + "
+                  f"size(filter({bounds}[{coarse}], b -> b < {key})) AS BIGINT) END")
 
 
 def running_totals(df: DataFrame, order_col: str, value_cols: Sequence[str],
@@ -51,41 +66,38 @@ def running_totals(df: DataFrame, order_col: str, value_cols: Sequence[str],
     before the current one (inclusive). The order key must be unique within a group
     (aggregate to distinct keys first). With ``totals``, also ``tot_<v>`` = the group's
     sum, taken from the block table (no extra pass over the data)."""
-    group_cols = list(group_cols)
-    value_cols = list(value_cols)
+    group_cols, value_cols = list(group_cols), list(value_cols)
+    if block_expr is None:  # boundaries, block sums and rows are three passes over the input
+        df = materialise(df, "prefix")
     key = -F.col(order_col) if descending else F.col(order_col)
-    base = df.withColumn(_KEY, key)
+    base = df.withColumn(_KEY, key).withColumn(_GROUP, F.struct(F.lit(0).alias("_"), *group_cols))
 
     if block_expr is not None:
         withb = base.withColumn(_BLOCK, block_expr.cast("long"))
     else:
-        splits = block_boundaries(base, _KEY, group_cols, blocks or default_blocks(df))
-        if group_cols:
-            # At most ~nb keys over all groups; AQE broadcasts it when small at run time.
-            withb = base.join(splits, group_cols, "left")
-        else:
-            withb = base.withColumn("_ff_one", F.lit(1)).join(
-                F.broadcast(splits.withColumn("_ff_one", F.lit(1))), "_ff_one", "left").drop("_ff_one")
-        withb = withb.withColumn(
-            _BLOCK, F.coalesce(F.size(F.filter(F.col(_SPLITS), lambda b: b < F.col(_KEY))), F.lit(0)).cast("long")
-        ).drop(_SPLITS)
-
-    sums = withb.groupBy(*group_cols, _BLOCK).agg(
-        *[F.sum(v).alias(f"_ff_s_{v}") for v in value_cols])
-    wb = Window.partitionBy(*group_cols).orderBy(_BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-    wg = Window.partitionBy(*group_cols)
-    offsets = sums.select(
-        *group_cols, _BLOCK,
-        *[F.coalesce(F.sum(f"_ff_s_{v}").over(wb), F.lit(0)).alias(f"_ff_o_{v}") for v in value_cols],
-        *([F.sum(f"_ff_s_{v}").over(wg).alias(f"tot_{v}") for v in value_cols] if totals else []))
-    if not group_cols and block_expr is None:
-        # At most `blocks` rows.
-        offsets = F.broadcast(offsets)
-    joined = withb.join(offsets, [*group_cols, _BLOCK], "inner")
-
-    wr = Window.partitionBy(*group_cols, _BLOCK).orderBy(_KEY).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
+        bounds = block_boundaries(base, _KEY, blocks).withColumn(_ONE, F.lit(1))
+        withb = (base.withColumn(_ONE, F.lit(1)).join(F.broadcast(bounds), _ONE, "left")  # one row
+                 .withColumn(_BLOCK, _block_of("bounds", _KEY)).drop("bounds", _ONE))
+    withb = withb.withColumn(_SUPER, F.expr(f"{_BLOCK} div {SUPER_BLOCK}"))
+
+    # Offsets in two levels: over the super blocks of a group, and over the blocks of a super block.
+    part = [f"_ff_s_{v}" for v in value_cols]
+    sums = withb.groupBy(_GROUP, _SUPER, _BLOCK).agg(*[F.sum(v).alias(p) for v, p in zip(value_cols, part)])
+    by_super = sums.groupBy(_GROUP, _SUPER).agg(*[F.sum(p).alias(p) for p in part])
+    before = Window.partitionBy(_GROUP).orderBy(_SUPER).rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(_GROUP)
+    supers = by_super.select(
+        _GROUP, _SUPER, *[F.coalesce(F.sum(p).over(before), F.lit(0)).alias(f"_ff_a{p}") for p in part],
+        *([F.sum(p).over(whole).alias(f"tot_{v}") for v, p in zip(value_cols, part)] if totals else []))
+    inner = Window.partitionBy(_GROUP, _SUPER).orderBy(_BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select(_GROUP, _SUPER, _BLOCK, *[F.coalesce(F.sum(p).over(inner), F.lit(0)).alias(f"_ff_b{p}") for p in part])
+    offsets = offsets.join(supers, [_GROUP, _SUPER]).select(
+        _GROUP, _BLOCK, *[(F.col(f"_ff_a{p}") + F.col(f"_ff_b{p}")).alias(f"_ff_o_{v}") for v, p in zip(value_cols, part)],
+        *([f"tot_{v}" for v in value_cols] if totals else []))
+    joined = withb.drop(_SUPER).join(offsets, [_GROUP, _BLOCK])
+
+    wr = Window.partitionBy(_GROUP, _BLOCK).orderBy(_KEY).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     out = joined
     for v in value_cols:
         out = out.withColumn(f"{prefix}{v}", F.col(f"_ff_o_{v}") + F.sum(v).over(wr))
-    return out.drop(_KEY, _BLOCK, *[f"_ff_o_{v}" for v in value_cols])
+    return out.drop(_KEY, _GROUP, _BLOCK, *[f"_ff_o_{v}" for v in value_cols])

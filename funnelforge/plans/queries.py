@@ -24,7 +24,7 @@ from ..operators import segments as SG
 from ..operators import timing as TM
 from ..operators.staging import dim_users, stg_events, stg_users
 from ..schemas import CATEGORICAL, NUMERIC, flag_col
-from ..sources.fixtures import RawTables, generated_source, generated_tables, unit_tables
+from ..sources.fixtures import RawTables, generated_source, generated_tables, nulls_tables, scored_events, unit_tables
 
 EXP_DECIMALS = 10
 G_PLATFORMS = ["ios", "android", "web"]
@@ -49,6 +49,11 @@ class Marts:
     def ab(self) -> DataFrame:
         return FN.fct_ab_experiment(self.funnel, self.steps)
 
+    @cached_property
+    def logistic(self):
+        """The logistic model, fitted once for all queries that use it."""
+        return ML.fit_logistic(_train_test(self)[0], self.target)
+
     @property
     def completed(self) -> str:
         return self.steps[1]
@@ -149,9 +154,14 @@ def q_lift_table(m): return X.lift_table(FN.funnel_by_variant(m.users, m.events,
 
 
 def q_activation_heatmap(m, platforms=G_PLATFORMS):
+    """The listed platforms are columns even where a small input has none of them; others go to ``other``."""
     return SG.activation_heatmap(m.users, m.events, m.raw.activation_step, col_values=platforms)
 
 
+def q_activation_heatmap_long(m):
+    return SG.activation_heatmap_long(m.users, m.events, m.raw.activation_step)
+
+
 def _tta(m):
     return TM.time_to_activate(m.users, m.events, m.raw.start_step, m.raw.activation_step)
 
@@ -166,6 +176,7 @@ def q_tta_describe(m):
 def q_tta_histogram(m): return TM.histogram(_tta(m), "minutes_to_activate", ["variant"], 40)
 def q_value_shares(m): return SG.value_shares(m.users, "variant")
 def q_crosstab(m): return SG.crosstab_shares(m.users, "country", "variant")
+def q_crosstab_long(m): return SG.crosstab_shares_long(m.users, "country", "variant")
 
 
 def q_profile(m):
@@ -236,15 +247,11 @@ def q_score_auc_by_platform(m):
 
 # --------------------------------------------------------------------------- generator sanity tables
 def q_gen_conversion_by_variant(m):
-    # Distinct completing users first (partial aggregation), then the join: repeated events
-    # of one user never reach the join.
-    done = FN.reached_users(m.events, m.completed)
-    comp = done.join(m.users.select("user_id", "variant"), "user_id", "inner").groupBy("variant") \
-        .agg(F.count(F.lit(1)).alias("completed_users"))
-    tot = m.users.groupBy("variant").agg(F.count(F.lit(1)).alias("users"))
-    return tot.join(comp, "variant", "left").select(
-        "variant", F.coalesce("completed_users", F.lit(0)).alias("completed_users"), "users",
-        F.round(F.coalesce("completed_users", F.lit(0)) / F.col("users"), 4).alias("conversion_rate"))
+    # One flag per user, then one aggregate per arm: a NULL arm is an arm like any other.
+    flagged = FN.with_reached(m.users.select("user_id", "variant"), m.events, m.completed, "done")
+    return flagged.groupBy("variant").agg(
+        F.sum(F.col("done").cast("long")).alias("completed_users"), F.count(F.lit(1)).alias("users"),
+        F.round(F.sum(F.col("done").cast("long")) / F.count(F.lit(1)), 4).alias("conversion_rate"))
 
 
 def _activation_by(m, dim):
@@ -263,13 +270,12 @@ def _train_test(m):
 
 
 def q_logreg_coefficients(m):
-    train, _ = _train_test(m)
-    return ML.coefficients_frame(train.sparkSession, ML.fit_logistic(train, m.target))
+    return ML.coefficients_frame(m.users.sparkSession, m.logistic)
 
 
 def q_logreg_test_metrics(m):
-    train, test = _train_test(m)
-    scored = ML.score(ML.fit_logistic(train, m.target), test, ("user_id",), m.target)
+    _, test = _train_test(m)
+    scored = ML.score(m.logistic, test, ("user_id",), m.target)
     return MT.summary(scored, m.target, "probability_activate")
 
 
@@ -281,8 +287,26 @@ def q_gbt_test_metrics(m):
 
 def q_logreg_scores(m):
     """Score every completed user (targeting list)."""
-    train, _ = _train_test(m)
-    return ML.score(ML.fit_logistic(train, m.target), _features(m), ("user_id", "variant", "country", "platform"))
+    return ML.score(m.logistic, _features(m), ("user_id", "variant", "country", "platform"))
+
+
+# --------------------------------------------------------------------------- missing and unlisted values
+def nulls_marts(spark: SparkSession, sf_dir: str) -> Marts:
+    """Adapter U with NULL and unlisted arms, nations and segments."""
+    return _cached("nulls", spark, sf_dir, nulls_tables)
+
+
+def q_split_nulls(m):
+    """Exact split by a label that has NULLs: the arm."""
+    return FT.split_exact(_features(m).select("user_id", "variant"), "variant", 0.25, 42)
+
+
+def q_event_score_metrics(spark, sf_dir):
+    return round_cols(MT.summary(scored_events(spark, sf_dir), "label", "score"), {"average_precision", "brier"})
+
+
+def q_event_score_by_variant(spark, sf_dir):
+    return round_cols(MT.summary(scored_events(spark, sf_dir), "label", "score", ["variant"]), {"average_precision", "brier"})
 
 
 # --------------------------------------------------------------------------- registry
@@ -321,6 +345,12 @@ _U_ONLY = {
     "activation_heatmap": partial(q_activation_heatmap, platforms=U_PLATFORMS),
     "event_order_checks": q_event_order_checks,
 }
+_NULLS = {
+    "tta_describe": q_tta_describe, "tta_histogram": q_tta_histogram, "crosstab_long": q_crosstab_long,
+    "activation_heatmap_long": q_activation_heatmap_long, "sample_size_by_country": q_sample_size_by_country,
+    "mde_by_platform": q_mde_by_platform, "conversion_by_variant": q_gen_conversion_by_variant,
+    "split_exact": q_split_nulls, "value_shares": q_value_shares,
+}
 # The generator queries run the generator itself rather than the materialised tables.
 _GENERATOR = {"raw_users": q_raw_users, "raw_events": q_raw_events}
 
@@ -337,4 +367,8 @@ def registry() -> dict:
         out[name] = _build(fn, g_generator)
     for name, fn in {**_BOTH, **_U_ONLY}.items():
         out[f"u_{name}"] = _build(fn, u_marts)
+    for name, fn in _NULLS.items():
+        out[f"u_nulls_{name}"] = _build(fn, nulls_marts)
+    out["u_event_score_metrics"] = q_event_score_metrics
+    out["u_event_score_by_variant"] = q_event_score_by_variant
     return out

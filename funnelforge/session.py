@@ -2,15 +2,16 @@
 
 The library never creates a cluster-level setting it does not own: on a cluster
 ``spark.checkpoint.dir`` is expected to name a shared folder and is read from the
-session; only when it is unset (local tests) a scratch folder is created.
+session. Where it is unset, a local run gets a scratch folder and a cluster an error.
 """
 
 from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -41,6 +42,14 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """Write df as Parquet into the shared folder and read it back: a table that several passes
+    read is computed once, and its lineage ends there."""
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, creating a scratch one only when unset."""
     sc = spark.sparkContext
@@ -49,7 +58,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        # Only reached in local runs and tests; a cluster names a shared folder.
+        # A folder of this machine serves local runs and tests; the nodes of a cluster cannot share it.
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         configured = tempfile.mkdtemp(prefix="funnelforge-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

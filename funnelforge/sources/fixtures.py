@@ -77,6 +77,28 @@ def unit_tables(spark: SparkSession, sf_dir: str) -> RawTables:
     return RawTables(raw_users, raw_events, list(UNIT_STEPS), UNIT_START_STEP, UNIT_ACTIVATION_STEP)
 
 
+def nulls_tables(spark: SparkSession, sf_dir: str) -> RawTables:
+    """Adapter U with missing and unlisted values: of ten users one has no arm and one the arm
+    ``holdout``; one nation and one market segment are NULL."""
+    u = unit_tables(spark, sf_dir)
+    digit = F.expr(f"(user_id div {UNIT_DAY_FACTOR}) % 10")
+    users = u.users.withColumns({
+        "variant": F.when(digit == 0, F.lit(None)).when(digit == 1, F.lit("holdout")).otherwise(F.col("variant")),
+        "country": F.nullif("country", F.lit("FRANCE")),
+        "platform": F.nullif("platform", F.lit("BUILDING"))})
+    return RawTables(users, u.events, u.steps, u.start_step, u.activation_step)
+
+
+def scored_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A score with about as many distinct values as rows: label purchase, score value / (1 + value), arm with NULLs."""
+    digit = F.col("user_id") % 10
+    return read_table(spark, sf_dir, "events").where("value IS NOT NULL AND event_type IS NOT NULL").select(
+        (F.col("event_type") == "purchase").cast("int").alias("label"),
+        (F.col("value") / (F.lit(1.0) + F.col("value"))).alias("score"),
+        F.when(digit == 0, F.lit(None)).when(digit == 1, F.lit("holdout")).when(digit % 2 == 0, F.lit("control"))
+        .otherwise(F.lit("treatment")).alias("variant"))
+
+
 def customer_user_ids(spark: SparkSession, sf_dir: str,
                       users_per_customer: int = USERS_PER_CUSTOMER) -> DataFrame:
     cust = read_table(spark, sf_dir, "customer").select("c_custkey")
@@ -113,20 +135,17 @@ def generated_source(spark: SparkSession, sf_dir: str, seed: int = DEFAULT_SEED,
 def _materialise(spark: SparkSession, sf_dir: str, seed: int, users_per_customer: int, key) -> RawTables:
     digest = hashlib.sha1(repr(key).encode()).hexdigest()[:16]
     plans = generated_tables(spark, sf_dir, seed, users_per_customer)
-    try:
-        root = f"{checkpoint_dir(spark).rstrip('/')}/generated-{digest}"
-        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        tables = []
-        for name, df in (("raw_users", plans.users), ("raw_events", plans.events)):
-            table = f"ff_generated_{digest}_{name}"
-            # Bucketed by user_id (one file per bucket): user-keyed aggregates and joins over
-            # the two tables read co-partitioned data and need no exchange. At most five events
-            # per user, so no bucket can hold a hot key.
-            (df.repartition(n, "user_id").write.mode("overwrite").format("parquet")
-             .bucketBy(n, "user_id").option("path", f"{root}/{name}").saveAsTable(table))
-            tables.append(spark.table(table))
-        hit = RawTables(tables[0], tables[1], list(STEPS), START_STEP, ACTIVATION_STEP)
-    except Exception:  # noqa: BLE001 - no writable checkpoint folder: keep the lazy plans
-        hit = plans
+    root = f"{checkpoint_dir(spark).rstrip('/')}/generated-{digest}"
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tables = []
+    for name, df in (("raw_users", plans.users), ("raw_events", plans.events)):
+        table = f"ff_generated_{digest}_{name}"
+        # Bucketed by user_id (one file per bucket): user-keyed aggregates and joins over
+        # the two tables read co-partitioned data and need no exchange. At most five events
+        # per user, so no bucket can hold a hot key.
+        (df.repartition(n, "user_id").write.mode("overwrite").format("parquet")
+         .bucketBy(n, "user_id").option("path", f"{root}/{name}").saveAsTable(table))
+        tables.append(spark.table(table))
+    hit = RawTables(tables[0], tables[1], list(STEPS), START_STEP, ACTIVATION_STEP)
     _MATERIALISED[key] = hit
     return hit

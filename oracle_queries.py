@@ -148,6 +148,15 @@ raw_users AS (
   LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey)"""
 
 
+def nulls_ctes() -> str:
+    """Adapter U with missing and unlisted values."""
+    return u_ctes().replace("raw_users AS (", "unit_users AS (") + """,
+raw_users AS (
+  SELECT user_id, CASE (user_id // 100000) % 10 WHEN 0 THEN NULL WHEN 1 THEN 'holdout' ELSE variant END AS variant,
+         nullif(country, 'FRANCE') AS country, nullif(platform, 'BUILDING') AS platform, signup_ts
+  FROM unit_users)"""
+
+
 def staging_ctes() -> str:
     return """
 stg_users AS (
@@ -164,12 +173,14 @@ dim_users AS (
 
 
 def flags_cte(steps, ts_steps, name="flags") -> str:
-    cols = [f"max(CASE WHEN event_name = '{s}' THEN 1 ELSE 0 END) AS reached_{s}" for s in steps]
-    cols += [f"min(CASE WHEN event_name = '{s}' THEN event_ts END) AS ts_{s}" for s in ts_steps]
+    """Flags from each user's list of distinct event names; times from the first event of each name."""
+    cols = [f"CAST(list_contains(list(event_name), '{s}') AS INTEGER) AS reached_{s}" for s in steps]
+    cols += [f"min(first_ts) FILTER (WHERE event_name = '{s}') AS ts_{s}" for s in ts_steps]
     return f"""
 {name} AS (
   SELECT user_id, {', '.join(cols)}
-  FROM stg_events GROUP BY user_id)"""
+  FROM (SELECT user_id, event_name, min(event_ts) AS first_ts FROM stg_events GROUP BY user_id, event_name)
+  GROUP BY user_id)"""
 
 
 def fct_funnel_ctes(steps, start, act) -> str:
@@ -182,16 +193,22 @@ fct_funnel AS (
 
 
 def fct_ab_ctes(steps) -> str:
-    parts = [f"SELECT variant, '{s}' AS funnel_step, {i + 1} AS step_order, reached_{s} AS reached FROM fct_funnel"
-             for i, s in enumerate(steps)]
+    """Arms x steps: arm sizes, and distinct users per arm and event name (unknown for an arm without any event)."""
+    values = ", ".join(f"('{s}', {i + 1})" for i, s in enumerate(steps))
     return f""",
-unpivoted AS (
-  {' UNION ALL '.join(parts)}),
+step_list(funnel_step, step_order) AS (VALUES {values}),
+arm_sizes AS (
+  SELECT u.variant, count(*) AS total, count(f.user_id) AS with_events
+  FROM stg_users u LEFT JOIN flags f USING (user_id) GROUP BY u.variant),
+arm_steps AS (
+  SELECT u.variant, e.event_name, count(DISTINCT u.user_id) AS n
+  FROM stg_users u JOIN stg_events e USING (user_id) GROUP BY u.variant, e.event_name),
 fct_ab AS (
-  SELECT variant, funnel_step, step_order, CAST(sum(reached) AS BIGINT) AS converted,
-         CAST(count(*) AS BIGINT) AS total,
-         CAST(sum(reached) AS DOUBLE) / nullif(count(*), 0) AS conversion_rate
-  FROM unpivoted GROUP BY variant, funnel_step, step_order)"""
+  SELECT a.variant, s.funnel_step, s.step_order, CASE WHEN with_events > 0 THEN CAST(coalesce(r.n, 0) AS BIGINT) END AS converted,
+         CAST(a.total AS BIGINT) AS total,
+         CASE WHEN with_events > 0 THEN CAST(coalesce(r.n, 0) AS DOUBLE) / nullif(a.total, 0) END AS conversion_rate
+  FROM arm_sizes a CROSS JOIN step_list s
+  LEFT JOIN arm_steps r ON r.variant IS NOT DISTINCT FROM a.variant AND r.event_name = s.funnel_step)"""
 
 
 def base(adapter: str, steps=None, marts: bool = True) -> str:
@@ -199,7 +216,7 @@ def base(adapter: str, steps=None, marts: bool = True) -> str:
     if adapter == "g":
         steps, start, act, ctes = STEPS, "signup_started", "first_transaction", g_ctes()
     else:
-        steps, start, act, ctes = U_STEPS, "signup", "purchase", u_ctes()
+        steps, start, act, ctes = U_STEPS, "signup", "purchase", u_ctes() if adapter == "u" else nulls_ctes()
     sql = "WITH " + ctes.strip() + "," + staging_ctes()
     if marts:
         sql += "," + fct_funnel_ctes(steps, start, act) + fct_ab_ctes(steps)
@@ -290,24 +307,18 @@ def q_fct_ab_experiment(a):
 
 def q_funnel_dropoff(a):
     return base(a) + """,
-steps AS (
-  SELECT funnel_step, step_order, sum(converted) AS users_at_step FROM fct_ab GROUP BY funnel_step, step_order)
-SELECT funnel_step, step_order, CAST(users_at_step AS BIGINT) AS users_at_step,
-       CAST(lag(users_at_step) OVER (ORDER BY step_order) AS BIGINT) AS users_prev_step,
-       CAST(users_at_step AS DOUBLE) / nullif(lag(users_at_step) OVER (ORDER BY step_order), 0) AS step_conversion,
-       CAST(users_at_step AS DOUBLE) / nullif(first_value(users_at_step) OVER (ORDER BY step_order), 0)
-         AS cumulative_conversion
-FROM steps"""
+per_step AS (SELECT step_order, funnel_step, CAST(sum(converted) AS BIGINT) AS n FROM fct_ab GROUP BY ALL)
+SELECT here.funnel_step, here.step_order, here.n AS users_at_step, before.n AS users_prev_step,
+       CAST(here.n AS DOUBLE) / nullif(before.n, 0) AS step_conversion,
+       CAST(here.n AS DOUBLE) / nullif((SELECT n FROM per_step WHERE step_order = 1), 0) AS cumulative_conversion
+FROM per_step here LEFT JOIN per_step before ON before.step_order + 1 = here.step_order"""
 
 
 def q_ab_lift(a):
     return base(a) + """
-SELECT funnel_step, step_order,
-       max(CASE WHEN variant = 'control' THEN conversion_rate END) AS control_rate,
-       max(CASE WHEN variant = 'treatment' THEN conversion_rate END) AS treatment_rate,
-       max(CASE WHEN variant = 'treatment' THEN conversion_rate END)
-         - max(CASE WHEN variant = 'control' THEN conversion_rate END) AS absolute_lift
-FROM fct_ab GROUP BY funnel_step, step_order"""
+SELECT funnel_step, step_order, c.conversion_rate AS control_rate, t.conversion_rate AS treatment_rate,
+       t.conversion_rate - c.conversion_rate AS absolute_lift
+FROM (FROM fct_ab WHERE variant = 'control') c FULL JOIN (FROM fct_ab WHERE variant = 'treatment') t USING (funnel_step, step_order)"""
 
 
 def q_weekly_cohorts(a):
@@ -539,7 +550,7 @@ base_rates AS (
   SELECT {out_seg}p.funnel_step, p.step_order, p.control_total AS control_users,
          CAST(p.control_converted AS DOUBLE) / nullif(p.control_total, 0) AS baseline_rate,
          s.segment_users, s.daily_signups
-  FROM paired p JOIN seg s USING ({g}))"""
+  FROM paired p JOIN seg s ON {" AND ".join(f"p.{c} IS NOT DISTINCT FROM s.{c}" for c in keys)})"""
 
 
 def q_sample_size(a, seg, mde=0.02, mde_type="absolute", alpha=0.05, power=0.8, ratio=1.0):
@@ -734,14 +745,22 @@ def q_feature_split(a):
     return base(a) + feats_cte(a) + "\nSELECT * EXCLUDE (score) FROM scored"
 
 
+def _split_exact(src: str, label: str) -> str:
+    """Largest remainder: ceil(n / 4) tested users dealt to the labels."""
+    d = "CAST(CAST('0x' || substr(md5(CAST(user_id AS VARCHAR) || ':split:42'), 1, 13) AS BIGINT) AS HUGEINT)"
+    return f""",
+sizes AS (SELECT {label} AS l, count(*) AS n FROM {src} GROUP BY 1),
+quota AS (SELECT l, n, (sum(n) OVER () + 3) // 4 AS want, sum(n) OVER () AS total FROM sizes),
+dealt AS (SELECT l, (want * n) // total AS whole, want,
+                 row_number() OVER (ORDER BY (want * n) % total DESC, l NULLS FIRST) AS turn FROM quota),
+cuts AS (SELECT l, whole + CASE WHEN turn <= want - sum(whole) OVER () THEN 1 ELSE 0 END AS cut FROM dealt)
+SELECT f.* EXCLUDE (rk), f.rk <= c.cut AS is_test
+FROM (SELECT *, row_number() OVER (PARTITION BY {label} ORDER BY {d}, user_id) AS rk FROM {src}) f
+JOIN cuts c ON c.l IS NOT DISTINCT FROM f.{label}"""
+
+
 def q_feature_split_exact(a):
-    t = f"reached_{_act(a)}"
-    d = (f"CAST(CAST('0x' || substr(md5(CAST(user_id AS VARCHAR) || ':split:42'), 1, 13) AS BIGINT) AS HUGEINT)")
-    return base(a) + feats_cte(a) + f"""
-SELECT * EXCLUDE (rk, n_label),
-       rk <= ceil(CAST('0.25' AS DOUBLE) * n_label) AS is_test
-FROM (SELECT *, row_number() OVER (PARTITION BY {t} ORDER BY {d}, user_id) AS rk,
-             count(*) OVER (PARTITION BY {t}) AS n_label FROM feats)"""
+    return base(a) + feats_cte(a) + _split_exact("feats", f"reached_{_act(a)}")
 
 
 def q_score_metrics(a):
@@ -849,6 +868,80 @@ mart_step AS (
   FROM fct_ab WHERE funnel_step = '{step}')""" + paired_cte("mart_step", g) + two_prop_final(g)
 
 
+# ---------------------------------------------------------------------------
+# Missing and unlisted values (no list of values anywhere; NULL groups compared null-safely)
+# ---------------------------------------------------------------------------
+
+def q_nulls_tta_describe():
+    return base("nulls") + tta_cte("nulls") + """
+SELECT variant, CAST(count(*) AS BIGINT) AS count, round(avg(minutes_to_activate), 9) AS mean,
+       median(minutes_to_activate) AS median, round(stddev_samp(minutes_to_activate), 9) AS std
+FROM tta GROUP BY variant"""
+
+
+def q_nulls_tta_histogram(bins=40):
+    w = f"((hi - lo) / {_d(float(bins))})"
+    return base("nulls") + tta_cte("nulls") + f""",
+spread AS (SELECT *, min(minutes_to_activate) OVER (PARTITION BY variant) AS lo,
+                  max(minutes_to_activate) OVER (PARTITION BY variant) AS hi FROM tta),
+binned AS (SELECT variant, lo, hi, CASE WHEN hi = lo THEN 0 ELSE least(floor((minutes_to_activate - lo) / {w}), {bins - 1}) END AS b FROM spread),
+every AS (SELECT variant, lo, hi, unnest(range(0, {bins})) AS b, 0 AS n FROM (SELECT DISTINCT variant, lo, hi FROM spread)
+          UNION ALL SELECT variant, lo, hi, b, 1 FROM binned)
+SELECT variant, CAST(b AS INTEGER) AS bin, lo + CAST(b AS INTEGER) * {w} AS bin_lo, lo + (CAST(b AS INTEGER) + 1) * {w} AS bin_hi,
+       CAST(sum(n) AS BIGINT) AS count
+FROM every GROUP BY variant, b, lo, hi"""
+
+
+def q_nulls_crosstab_long():
+    return base("nulls", marts=False) + """
+SELECT country, variant, CAST(count(*) AS BIGINT) AS n,
+       round(CAST(count(*) AS DOUBLE) / sum(count(*)) OVER (PARTITION BY country), 3) AS share
+FROM stg_users GROUP BY country, variant"""
+
+
+def q_nulls_activation_heatmap_long():
+    return base("nulls", marts=False) + f"""
+SELECT u.country, u.platform, CAST(count(*) AS BIGINT) AS users,
+       avg(CASE WHEN u.user_id IN (SELECT user_id FROM stg_events WHERE event_name = '{_act("nulls")}')
+           THEN {_d(1.0)} ELSE {_d(0.0)} END) * 100 AS activation_pct
+FROM stg_users u GROUP BY u.country, u.platform"""
+
+
+def q_nulls_conversion_by_variant():
+    done = adapter_steps("nulls")[1]
+    return base("nulls", marts=False) + f"""
+SELECT variant, CAST(sum(done) AS BIGINT) AS completed_users, CAST(count(*) AS BIGINT) AS users,
+       round(CAST(sum(done) AS DOUBLE) / count(*), 4) AS conversion_rate
+FROM (SELECT variant, CASE WHEN user_id IN (SELECT user_id FROM stg_events WHERE event_name = '{done}') THEN 1 ELSE 0 END AS done
+      FROM stg_users) GROUP BY variant"""
+
+
+def q_nulls_split_exact():
+    return base("nulls") + feats_cte("nulls") + ", arms AS (SELECT user_id, variant FROM feats)" + _split_exact("arms", "variant")
+
+
+def q_event_score(by: str = "") -> str:
+    """AUC from mid-ranks of every row, AP over the rows at or above each score."""
+    part = f"PARTITION BY {by}" if by else ""
+    group = f"GROUP BY {by}" if by else ""
+    return f"""
+WITH sc AS (
+  SELECT CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END AS y, value / (1.0 + value) AS score,
+         CASE user_id % 10 WHEN 0 THEN NULL WHEN 1 THEN 'holdout'
+              ELSE CASE WHEN user_id % 2 = 0 THEN 'control' ELSE 'treatment' END END AS variant
+  FROM events WHERE value IS NOT NULL AND event_type IS NOT NULL),
+r AS (
+  SELECT *, rank() OVER ({part} ORDER BY score) + (count(*) OVER (PARTITION BY {by + ", " if by else ""}score) - 1) / 2.0 AS midrank,
+         sum(y) OVER ({part} ORDER BY score DESC RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS tp,
+         count(*) OVER ({part} ORDER BY score DESC RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS above
+  FROM sc)
+SELECT {by + ", " if by else ""}CAST(count(*) AS BIGINT) AS n, CAST(sum(y) AS BIGINT) AS positives, avg(CAST(y AS DOUBLE)) AS pr_baseline,
+       (sum(midrank) FILTER (WHERE y = 1) - CAST(sum(y) AS DOUBLE) * (sum(y) + 1) / 2) / (CAST(sum(y) AS DOUBLE) * sum(1 - y)) AS auc,
+       round(sum(CASE WHEN y = 1 THEN CAST(tp AS DOUBLE) / above END) / sum(y), 10) AS average_precision,
+       round(avg((score - y) * (score - y)), 10) AS brier
+FROM r {group}"""
+
+
 # ---------------------------------------------------------------------------
 # Registry (same names as the Spark side; adapter-U names get the ``u_`` prefix)
 # ---------------------------------------------------------------------------
@@ -879,6 +972,13 @@ def registry() -> dict:
         out[f"{p}sample_size_by_country"] = q_sample_size(a, ["country"], mde=0.02)
         out[f"{p}mde_by_platform"] = q_mde(a, ["platform"])
         out[f"{p}mde_overall"] = q_mde(a, [])
+    for name in ("tta_describe", "tta_histogram", "crosstab_long", "activation_heatmap_long", "conversion_by_variant", "split_exact"):
+        out[f"u_nulls_{name}"] = g[f"q_nulls_{name}"]()
+    out["u_nulls_value_shares"] = q_value_shares("nulls")
+    out["u_nulls_sample_size_by_country"] = q_sample_size("nulls", ["country"], mde=0.02)
+    out["u_nulls_mde_by_platform"] = q_mde("nulls", ["platform"])
+    out["u_event_score_metrics"] = q_event_score()
+    out["u_event_score_by_variant"] = q_event_score("variant")
     out["sample_size_relative_by_platform"] = q_sample_size("g", ["platform"], mde=0.05, mde_type="relative",
                                                             alpha=0.05, power=0.9, ratio=2.0)
     return out

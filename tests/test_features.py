@@ -79,9 +79,27 @@ def test_exact_split_has_exact_counts_per_label(features):
 
     s = split_exact(features, TARGET, 0.25, 42)
     rows = s.groupBy(TARGET).agg(F.count("*").alias("n"), F.sum(F.col("is_test").cast("int")).alias("t")).collect()
+    total = sum(r["n"] for r in rows)
+    want = math.ceil(total / 4)
+    assert sum(r["t"] for r in rows) == want
     for r in rows:
-        assert r["t"] == math.ceil(0.25 * r["n"])
-    assert s.count() == features.count()
+        assert abs(r["t"] - want * r["n"] / total) < 1
+    assert total == features.count()
+
+
+def test_exact_split_deals_the_total_by_largest_remainder(spark):
+    from pyspark.sql import functions as F
+
+    from funnelforge.operators.features import split_exact
+
+    def tested(labels, size):
+        df = spark.createDataFrame(list(enumerate(labels)), "user_id long, y int")
+        rows = split_exact(df, "y", size).groupBy("y").agg(F.sum(F.col("is_test").cast("int")).alias("t"), F.count("*").alias("n")).collect()
+        return {r["y"]: (r["t"], r["n"]) for r in rows}
+
+    assert tested([0] * 5 + [1] * 5, 0.25) == {0: (2, 5), 1: (1, 5)}
+    assert tested([None] * 20 + [0] * 40 + [1] * 40, 0.25) == {None: (5, 20), 0: (10, 40), 1: (10, 40)}
+    assert tested([1] * 90 + [0] * 9 + [None], 0.1) == {1: (9, 90), 0: (1, 9), None: (0, 1)}
 
 
 def test_unseen_category_encodes_to_zeros(spark):

@@ -6,11 +6,12 @@ import duckdb
 import pandas as pd
 import pytest
 
-import __spark_entry__ as E
+import oracle_queries as oracle
+from funnelforge.plans import queries as core
 from tests.conftest import SF_SMALL
 from tools.compare_oracle import TABLES, frame_hash
 
-SQLS = E.oracle_sql()
+SQLS = oracle.registry()
 
 
 @pytest.fixture(scope="module")
@@ -25,7 +26,7 @@ def con():
 
 @pytest.mark.parametrize("name", sorted(SQLS))
 def test_query_matches_oracle(spark, con, name):
-    sdf = E.queries()[name](spark, SF_SMALL)
+    sdf = core.registry()[name](spark, SF_SMALL)
     rows = sdf.collect()
     got = pd.DataFrame([tuple(r) for r in rows], columns=sdf.columns, dtype=object)
     cur = con.execute(SQLS[name])

@@ -3,6 +3,8 @@
 import pytest
 
 import __spark_entry__ as E
+import oracle_queries as oracle
+from funnelforge.plans import queries as core
 from tests.conftest import SF_SMALL
 
 
@@ -12,11 +14,11 @@ def _plan(df) -> str:
 
 @pytest.fixture(scope="module")
 def registry():
-    return E.queries()
+    return core.registry()
 
 
 def test_no_python_evaluation_in_any_sql_checked_query(spark, registry):
-    sqls = E.oracle_sql()
+    sqls = oracle.registry()
     for name, fn in registry.items():
         if name not in sqls:
             continue
@@ -50,7 +52,7 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_a_registered_callable_and_sql_keys_are_known():
-    q, s = E.queries(), E.oracle_sql()
+    q, s = core.registry(), oracle.registry()
     assert set(s) <= set(q)
     assert len(s) >= 60
 
@@ -60,7 +62,7 @@ def test_single_partition_exchanges_only_above_aggregates(spark, registry):
     step-sized table), never raw or per-user rows."""
     import re
 
-    for name in E.oracle_sql():
+    for name in oracle.registry():
         plan = registry[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
         plan = plan.split("== Initial Plan ==")[-1]
         lines = plan.splitlines()

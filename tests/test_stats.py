@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from funnelforge.functions.columns import norm_cdf
-from funnelforge.operators.experiment import (minimum_detectable_effect, mde_scalar, n_per_group,
+from funnelforge.operators.experiment import (minimum_detectable_effect,
                                               required_sample_size, two_proportion_test)
 
 
@@ -115,29 +115,23 @@ def test_out_of_range_target_gives_null(spark):
     assert r["mde_abs"] == pytest.approx(0.031)
 
 
-def test_minimum_detectable_effect_round_trips_with_n_per_group(spark):
-    n = n_per_group(0.62, 0.65)
-    df = spark.createDataFrame([(0.62, n)], "baseline_rate double, n_control double")
-    mde = minimum_detectable_effect(df).first()["mde"]
-    assert mde == pytest.approx(0.03, abs=0.001)
-    assert mde_scalar(0.62, 8000) == pytest.approx(0.0213733, abs=1e-6)
+def test_minimum_detectable_effect_round_trips_with_the_sample_size(spark):
+    sized = _size(spark, 0.62, 0.03)
+    df = spark.createDataFrame([(0.62, float(sized["n_control"]))], "baseline_rate double, n_control double")
+    assert minimum_detectable_effect(df).first()["mde"] == pytest.approx(0.03, abs=1e-4)
+    pinned = spark.createDataFrame([(0.62, 8000.0)], "baseline_rate double, n_control double")
+    assert minimum_detectable_effect(pinned).first()["mde"] == pytest.approx(0.0213733, abs=1e-6)
 
 
-def _bisect(p1, n1, alpha=0.05, power=0.8, ratio=1.0):
-    lo, hi = 1e-5, 1 - p1 - 1e-5
-    for _ in range(100):
-        mid = (lo + hi) / 2
-        if n_per_group(p1, p1 + mid, alpha, power, ratio) > n1:
-            lo = mid
-        else:
-            hi = mid
-    return hi
-
-
-def test_closed_form_mde_equals_bisection():
+def test_closed_form_mde_needs_the_size_it_was_given(spark):
+    """The size required for the found effect is the given size, at many baselines and ratios."""
     rnd = random.Random(7)
-    for _ in range(2000):
-        p1 = rnd.uniform(0.01, 0.95)
-        n1 = rnd.choice([rnd.uniform(10, 1e6), rnd.uniform(1, 50)])
-        ratio = rnd.choice([0.5, 1.0, 2.0])
-        assert mde_scalar(p1, n1, ratio=ratio) == pytest.approx(_bisect(p1, n1, ratio=ratio), abs=1e-12)
+    for ratio in (0.5, 1.0, 2.0):
+        rows = [(rnd.uniform(0.01, 0.9), rnd.uniform(2000, 1e6)) for _ in range(300)]
+        df = spark.createDataFrame(rows, "baseline_rate double, n_control double")
+        found = minimum_detectable_effect(df, ratio=ratio).collect()
+        for r in found:
+            p1, p2 = r["baseline_rate"], r["baseline_rate"] + r["mde"]
+            z = (1.959963984540054 + 0.8416212335729143) ** 2
+            assert z * (p1 * (1 - p1) + p2 * (1 - p2) / ratio) / r["mde"] ** 2 == pytest.approx(r["n_control"], rel=1e-6)
+
