@@ -18,8 +18,10 @@ linked with nothing). Two documents are linked if ``100 * |A & B| >= percent * |
 
 A bucket is first compared with two of its members (the smallest doc_id and a random one),
 which links almost all of a large group of near copies with as many comparisons as it has
-members. Only members that are then still in different components are compared pair by pair, so
-no link that joins two components is lost and no bucket emits all pairs.
+members. Buckets that then still hold different components form families (components that share such
+buckets, directly or through others). Within a family all members are compared on their full sets, chunk by
+chunk, and only a spanning forest of the links comes out: no link that joins two components is
+lost and no bucket emits all pairs.
 
 Null texts are empty. Rows without a doc_id and rows with an empty set are linked with nothing
 (their component is their own id). Rows that share a doc_id are judged by their own texts. An
@@ -35,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textcore as tc
-from .shared import components, fresh, read, texts, written
+from .shared import components, fresh, read, spanning, texts, units, written
 
 BANDS, ROWS = 40, 5
 REGISTERS = BANDS * ROWS
@@ -43,6 +45,8 @@ BASE, RATE, LIMIT = 1.001, 20.0, (1 << 16) - 2
 MARGIN = 0.15
 #: Members compared with one copy of their leader.
 LEADER_SHARE = 2000
+#: Shingles of a chunk of a family, and columns of a comparison's matrix.
+CHUNK_SHINGLES, _COLUMNS = 1 << 20, 2048
 
 
 class ShingleSets:
@@ -204,6 +208,61 @@ def _verified(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) ->
             .mapInArrow(work, "u long, v long"))
 
 
+def shared_counts(sets: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of sets[a[i]] and sets[b[j]], by products of 0/1 matrices."""
+    value = np.concatenate(sets)
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    order = np.argsort(value, kind="stable")
+    value, owner = value[order], owner[order]
+    column = np.cumsum(np.concatenate([[False], value[1:] != value[:-1]]))
+    common = np.bincount(column)[column] > 1  # a shingle of one text only adds nothing
+    column, owner = np.unique(column[common], return_inverse=True)[1], owner[common]
+    out = np.zeros((len(a), len(b)), dtype=np.float32)
+    for first in range(0, int(column[-1]) + 1 if len(column) else 0, _COLUMNS):
+        x, y = np.searchsorted(column, (first, first + _COLUMNS))
+        has = np.zeros((len(sets), _COLUMNS), dtype=np.float32)
+        has[owner[x:y], column[x:y] - first] = 1
+        out += has[a] @ has[b].T  # whole numbers below 2^24 are exact
+    return out.astype(np.int64)
+
+
+def _family_links(members: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Links (u, v) between members (c, ckey, n, component, family) of one family and different components.
+
+    A family is cut into chunks of about CHUNK_SHINGLES shingles; every pair of chunks is a unit of
+    its own. A unit compares all its pairs and emits a spanning forest of the links.
+    """
+    chunks = members.groupBy("family").agg(F.ceil(F.sum("n") / CHUNK_SHINGLES).cast("int").alias("chunks"))
+    own = F.pmod(F.xxhash64("c"), F.col("chunks")).cast("int")
+    placed = members.join(written(chunks, "chunks"), "family").select("family", "component", "chunks", own.alias("own"), F.col("c").alias("doc_id"), F.col("ckey").alias("tkey"))
+    rows = (docs.join(placed, ["doc_id", "tkey"]).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+            .select("family", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), (F.col("own") > F.col("other")).alias("side"),
+                    "component", "doc_id", "text"))
+
+    def work(batches):
+        for (_, p, q), held in units(batches, 3):
+            sets, cols = [], [[], [], []]
+            for batch, data, off in tc.slices(held, "text"):
+                some = ShingleSets(data, off, shingle)
+                sets += [some.of(i).copy() for i in range(batch.num_rows)]
+                for c, i in zip(cols, (3, 4, 5)):
+                    c.append(batch.column(i).to_numpy(zero_copy_only=False))
+            side, component, doc = (np.concatenate(c) for c in cols)
+            a = np.flatnonzero(~side.astype(bool)) if p != q else np.arange(len(sets))
+            b = np.flatnonzero(side) if p != q else a
+            if not len(a) or not len(b):
+                continue
+            size = np.array([len(x) for x in sets])
+            both = shared_counts(sets, a, b)
+            link = (100 * both >= percent * (size[a][:, None] + size[b][None, :] - both)) & (component[a][:, None] != component[b][None, :])
+            i, j = np.nonzero(link)
+            found = spanning(doc, a[i], b[j])
+            yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], ["u", "v"])
+
+    return (rows.repartition("family", "p", "q").sortWithinPartitions("family", "p", "q")
+            .mapInArrow(work, "u long, v long"))
+
+
 def link(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     """(doc_id, tkey, n_shingles, component_id) of every row of docs(doc_id, text, tkey) with an id."""
     held = written(sketches(docs, shingle), "sketches")
@@ -216,22 +275,20 @@ def link(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     drawn = F.xxhash64("c", "band")
     leaders = (bands.groupBy("band").agg(F.min("c").alias("first"), F.min_by("c", drawn).alias("drawn"), F.max("c").alias("last"))
                .where("first < last").drop("last"))
-    near = bands.join(leaders, "band").select("c", F.explode(F.array_distinct(F.array("first", "drawn"))).alias("leader")).where("c <> leader")
+    near = bands.join(written(leaders, "leaders"), "band").select("c", F.explode(F.array_distinct(F.array("first", "drawn"))).alias("leader")).where("c <> leader")
     tried = written(near.select(F.least("c", "leader").alias("a"), F.greatest("c", "leader").alias("b")).distinct(), "tried")
     links = written(_verified(written(_estimated(tried, classes, percent), "pairs"), docs, shingle, percent), "links")
     joined = written(components(links), "components")
 
-    # Members of one bucket in different components: compare what has not been compared.
+    # Buckets with members of different components: families of them are compared as a whole.
     placed = bands.join(joined.withColumnRenamed("node", "c"), "c", "left").withColumn("component", F.coalesce("component", "c"))
-    split = placed.groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("band")
-    open_ = written(placed.join(split, "band"), "open")
-    left, right = (open_.select("band", F.col("c").alias(x), F.col("n").alias(f"n{x}"), F.col("component").alias(f"k{x}")) for x in "ab")
-    more = (left.join(right, "band").where("a < b and ka <> kb")
-            .where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
-            .select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"))
-    pairs = written(_estimated(more, classes, percent), "pairs")
-    if not pairs.isEmpty():
-        rest = written(_verified(pairs, docs, shingle, percent), "links")
+    split = (placed.groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").drop("y"))
+    open_ = written(placed.join(written(split, "split"), "band"), "open")
+    if not open_.isEmpty():
+        family = components(open_.select(F.col("component").alias("u"), F.col("x").alias("v")))
+        members = (open_.select("c", "component").distinct().join(family.select(F.col("node").alias("component"), F.col("component").alias("family")), "component")
+                   .join(classes.select("c", "ckey", "n"), "c"))
+        rest = written(_family_links(written(members, "families"), docs, shingle, percent), "links")
         joined = written(components(links.unionByName(rest)), "components")
 
     return (held.select("doc_id", "tkey", "n", "s1", "s2").join(names.select("s1", "s2", "c"), ["s1", "s2"], "left")
