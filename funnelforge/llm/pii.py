@@ -37,6 +37,8 @@ KINDS = ("email", "ip", "card", "phone")
 #: Characters of a window and between the starts of two; documents of the training sample and windows of the training set.
 WINDOW, STRIDE = 64, 32
 SAMPLE_DOCS, SAMPLE_WINDOWS = 4000, 2000
+#: Training steps of 32 windows that a small training set is repeated for.
+STEPS = 500
 _AROUND, _APART = 24, 40
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -258,7 +260,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Ta
     if not both[:, 1].any():
         return None
     model = Tagger(SYMBOLS, TAGS)
-    model.train(both[:, 0], both[:, 1])
+    model.train(both[:, 0], both[:, 1], epochs=max(8, min(60, -(-STEPS * 32 // len(both)))), batch=32)
     return model
 
 

@@ -3,7 +3,7 @@
 Features are the character n-grams (orders ``ORDERS``, A-Z lower-cased, ASCII other than letters as
 blanks) that a text contains, hashed to ``BUCKETS`` buckets. Each bucket's value is its naive Bayes
 log-count ratio, r = log((toxic docs with it + 1) / (toxic docs + 2)) - the same for the others;
-buckets whose ratio lies within ``MIN_Z`` standard errors of 0 are left out. A logistic regression
+buckets whose presence does not depend on the label (likelihood-ratio statistic of at most ``MIN_Z`` squared) are left out. A logistic regression
 with L2 penalty is trained on these scaled features and scores every whole text.
 
 The classifier is fitted on at most ``SAMPLE`` labelled documents (the first by a hash of the id),
@@ -89,8 +89,7 @@ def fit(column: pa.Array, toxic: np.ndarray) -> tuple[np.ndarray, float]:
     for y, r in zip(toxic.tolist(), rows):
         count[y, r] += 1
     ratio = np.log((count[1] + 1) / (pos + 2)) - np.log((count[0] + 1) / (neg + 2))
-    error = np.sqrt(1 / (count[1] + 1) - 1 / (pos + 2) + 1 / (count[0] + 1) - 1 / (neg + 2))
-    used = np.abs(ratio) > MIN_Z * error
+    used = _g_statistic(count, pos, neg) > MIN_Z**2
     name = np.cumsum(used) - 1
     rows = [name[r[used[r]]] for r in rows]
     doc = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
@@ -101,6 +100,17 @@ def fit(column: pa.Array, toxic: np.ndarray) -> tuple[np.ndarray, float]:
     return weight, b
 
 
+def _g_statistic(count: np.ndarray, pos: int, neg: int) -> np.ndarray:
+    """Likelihood-ratio statistic of each bucket's presence against the label (chi-square with one degree)."""
+    g = np.zeros(count.shape[1])
+    total, both = count.sum(0), pos + neg
+    for have, n in ((count[1], pos), (count[0], neg)):
+        for seen, share in ((have, total / both), (n - have, 1 - total / both)):
+            at = seen > 0
+            g[at] += 2 * seen[at] * np.log(seen[at] / (n * share[at]))
+    return g
+
+
 def _logistic(doc, col, value, y, m, rounds: int = 300) -> tuple[np.ndarray, float]:
     """Full-batch Adam on the penalised log-loss; features scaled to unit variance at most."""
     n = len(y)
