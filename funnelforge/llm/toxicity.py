@@ -30,7 +30,7 @@ from .shared import fresh, read, texts
 ORDERS = (3, 4, 5, 6)
 BUCKETS = 1 << 20
 MIN_Z = 5.0
-SAMPLE = 10000
+SAMPLE = 8000
 FOLDS = 5
 L2 = 1e-2
 
@@ -82,16 +82,19 @@ def fit(column: pa.Array, toxic: np.ndarray) -> tuple[np.ndarray, float]:
         p = (pos + 0.5) / (pos + neg + 1)
         return weight, float(np.log(p / (1 - p)))
     data, off = tc.buffers(column)
-    distinct, rows = Distinct(), []
-    for i in range(len(column)):  # one text at a time bounds the memory
-        rows.append(distinct(grams(data[off[i] : off[i + 1]], np.array([0, off[i + 1] - off[i]]))[0]))
+    distinct = Distinct()
+
+    def present():  # one text at a time, and once for the counts and once for the rows, bounds the memory
+        for i in range(len(column)):
+            yield distinct(grams(data[off[i] : off[i + 1]], np.array([0, off[i + 1] - off[i]]))[0])
+
     count = np.zeros((2, BUCKETS))
-    for y, r in zip(toxic.tolist(), rows):
+    for y, r in zip(toxic.tolist(), present()):
         count[y, r] += 1
     ratio = np.log((count[1] + 1) / (pos + 2)) - np.log((count[0] + 1) / (neg + 2))
     used = _g_statistic(count, pos, neg) > MIN_Z**2
     name = np.cumsum(used) - 1
-    rows = [name[r[used[r]]] for r in rows]
+    rows = [name[r[used[r]]] for r in present()]
     doc = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
     col = np.concatenate(rows) if len(doc) else np.zeros(0, dtype=np.int64)
     value = ratio[used][col]
