@@ -23,32 +23,37 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from funnelforge.llm import decontamination, line_dedup, sentencepiece_unigram, setsketch_dedup, toxicity
-from funnelforge.llm.shared import fresh, read, written
+from funnelforge.llm.shared import fresh, long_rows, read, written
 
 TOXIC = 0.5
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    long_rows(spark)
     score = fresh(docs, "score")
     model = toxicity.train(docs, read(spark, sf_dir, "labels"))
     return toxicity.score(docs, model).where(F.col(score) < TOXIC).select(docs.columns)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    long_rows(spark)
     cut = line_dedup.apply(line_dedup.build(docs), docs)
     return cut.withColumns({"text": F.when(F.col("text").isNotNull(), F.col("kept_text")),
                             "n_chars": F.char_length("kept_text").cast("long")}).select(docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    long_rows(spark)
     return setsketch_dedup.dedup(docs, shingle=5, percent=80).where("kept").select(docs.columns)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    long_rows(spark)
     return decontamination.clean(docs, read(spark, sf_dir, "benchmark"))
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    long_rows(spark)
     pieces = sentencepiece_unigram.load()
     tokens = sentencepiece_unigram.encode(docs.select("doc_id", "lang", "source", "text"), pieces)
     return (sentencepiece_unigram.decode(tokens, pieces)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from importlib import import_module
 
+from .shared import long_rows
+
 _WHERE = {
     "op1_substring_dedup": "substring_dedup",
     "op2_minhash_near_dedup": "setsketch_dedup",
@@ -24,7 +26,13 @@ def _module(name: str):
 
 
 def registry() -> dict:
-    return {name: getattr(_module(name), name) for name in _WHERE}
+    def query(fn):
+        def run(spark, sf_dir):
+            long_rows(spark)
+            return fn(spark, sf_dir)
+        return run
+
+    return {name: query(getattr(_module(name), name)) for name in _WHERE}
 
 
 def oracle_sql() -> dict:

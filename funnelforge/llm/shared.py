@@ -12,6 +12,8 @@ from pyspark.sql import types as T
 
 from ..session import checkpoint_dir
 
+BATCH_ROWS = 1000
+
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write df as Parquet in the folder named by spark.checkpoint.dir and read it back.
@@ -119,6 +121,13 @@ def components(links: DataFrame, max_rounds: int = 100) -> DataFrame:
         links.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 
 
+def long_rows(spark: SparkSession) -> None:
+    """Arrow batches of at most BATCH_ROWS rows in this session: texts are long, and a Python worker holds a batch."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

@@ -21,8 +21,8 @@ LOWER[65:91] += 32
 _RNG = np.random.Generator(np.random.PCG64(20240229))
 _BASES = [int(x) | 1 for x in _RNG.integers(1 << 62, 1 << 63, 2, dtype=np.uint64)]
 _BYTE = _RNG.integers(1, 1 << 63, (2, 256), dtype=np.uint64)
-#: Bytes of text handled at once inside a task.
-SLICE_BYTES = 1 << 20
+#: Bytes of text and number of texts handled at once inside a task.
+SLICE_BYTES, SLICE_ROWS = 1 << 19, 2000
 _POWERS: dict[tuple[int, bool], np.ndarray] = {}
 
 
@@ -94,11 +94,13 @@ def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and offsets of a string column; nulls are empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    column = column.cast(pa.large_string())
+    if not pa.types.is_large_string(column.type):
+        column = column.cast(pa.string())  # no copy of what is a string column already
     if column.null_count:
         column = column.fill_null("")
     raw = column.buffers()
-    off = np.frombuffer(raw[1], dtype=np.int64)[column.offset : column.offset + len(column) + 1]
+    kind = np.int64 if pa.types.is_large_string(column.type) else np.int32
+    off = np.frombuffer(raw[1], dtype=kind)[column.offset : column.offset + len(column) + 1].astype(np.int64)
     if not len(column) or raw[2] is None:
         return np.zeros(0, dtype=np.uint8), np.zeros(len(column) + 1, dtype=np.int64)
     return np.frombuffer(raw[2], dtype=np.uint8)[off[0] : off[-1]], off - off[0]
@@ -110,7 +112,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tuple[pa.
         data, off = buffers(batch.column(batch.schema.get_field_index(column)))
         at, n = 0, batch.num_rows
         while at < n:
-            to = min(n, max(at + 1, int(np.searchsorted(off, off[at] + SLICE_BYTES, "right")) - 1))
+            to = min(n, at + SLICE_ROWS, max(at + 1, int(np.searchsorted(off, off[at] + SLICE_BYTES, "right")) - 1))
             yield batch.slice(at, to - at), data[off[at] : off[to]], off[at : to + 1] - off[at]
             at = to
 

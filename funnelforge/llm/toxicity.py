@@ -150,9 +150,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     known = (labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("doc_id"))
              .agg(F.max(F.col("toxic").cast("int")).alias("toxic")).where(~held_out("doc_id")))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)  # so many rows at most are broadcast
-    rows = (texts(docs, id_col, text_col).join(F.broadcast(chosen), "doc_id").orderBy(F.xxhash64("doc_id"), "text")
-            .select(F.coalesce("text", F.lit("")).alias("text"), "toxic").toArrow())
-    return fit(rows.column(0), (rows.column(1).to_numpy() != 0).astype(np.int64))
+    rows = (texts(docs, id_col, text_col).join(F.broadcast(chosen), "doc_id")
+            .select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "toxic").toArrow().sort_by([("doc_id", "ascending"), ("text", "ascending")]))
+    return fit(rows.column(1), (rows.column(2).to_numpy() != 0).astype(np.int64))
 
 
 def score(docs: DataFrame, model: tuple[np.ndarray, float], text_col: str = "text", column: str = "score") -> DataFrame:
@@ -169,7 +169,8 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float], text_col: str = "tex
             done = np.empty(batch.num_rows)
             i = 0
             while i < batch.num_rows:
-                j = min(batch.num_rows, max(i + 1, int(np.searchsorted(off, off[i] + tc.SLICE_BYTES, "right")) - 1))
+                # n-grams take many times their text
+                j = min(batch.num_rows, max(i + 1, int(np.searchsorted(off, off[i] + tc.SLICE_BYTES // 4, "right")) - 1))
                 done[i:j] = scores(batch.column(at).slice(i, j - i), held.value, intercept)
                 i = j
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(done)], [*batch.schema.names, out])
