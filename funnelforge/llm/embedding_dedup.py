@@ -4,10 +4,13 @@
 2. *Codes.* On a sample of at most ``SAMPLE`` classes (the first by a hash of the id), the unit vectors
    are centred and projected on their principal axes, and a rotation is learned that balances
    the variance over the bits: sign codes and orthogonal Procrustes fits alternate. Every class gets a code of
-   at most 64 bits.
-3. *Tables.* The code's bytes index one table each: two codes that differ in fewer bits than there
-   are tables share a bucket. (At cosine 0.95 a bit differs with probability 0.1; eight tables miss about
-   1 % of such pairs, and fewer the closer they are.)
+   at most 64 bits a rotation.
+3. *Tables.* The code's bytes index one table each. Every sampled vector gets two partners at a cosine of exactly
+   ``least`` (one in a random direction, one in the direction between two other vectors), and rotations are added until
+   their share of pairs that meet in a table is at least ``RECALL``, in each tenth of the sample by distance from
+   the mean. (Without a common direction a bit differs with probability 0.1 at cosine 0.95; with
+   one, the centred vectors are shorter and it differs more often.) Where that takes more than ``MOST`` tables, or the tables
+   would compare as many pairs as there are, all pairs are compared.
 4. *Rerank.* The original vectors of a bucket are compared by cosine in double precision. Buckets are cut into chunks of
    about ``CHUNK`` rows, and each pair of chunks is a unit of work of its own, so a hot bucket is spread and a task holds
    two chunks. A pair counts in the first table where it meets. A unit emits each vector's number of links and a spanning forest
@@ -25,34 +28,73 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .shared import components, fresh, read, spanning, units, written
 
 LEAST, SAMPLE, CHUNK, ROUNDS = 0.95, 8192, 1024, 50
+RECALL, MOST = 0.99, 64
+
+
+def _unit(x: np.ndarray) -> np.ndarray:
+    x = x / np.abs(x).max(axis=1, keepdims=True)
+    return x / np.sqrt((x * x).sum(1, keepdims=True))
+
+
+def partners(unit: np.ndarray, least: float, random: np.random.Generator) -> list[np.ndarray]:
+    """For each unit vector two others at cosine least: off in a random direction, and in one between two vectors of the sample."""
+    one, two = (random.permutation(len(unit)) for _ in range(2))
+    out = []
+    for off in (random.standard_normal(unit.shape), unit[one] - unit[two]):
+        off = off - (off * unit).sum(1, keepdims=True) * unit
+        size = np.linalg.norm(off, axis=1, keepdims=True)
+        out.append(least * unit + np.sqrt(1 - least * least) * off / np.where(size > 1e-9, size, np.inf))
+    return out
 
 
 class Itq:
-    """Mean, and the projection onto rotated principal axes; a code bit is the sign of a coordinate."""
+    """Mean, and projections onto rotated principal axes; a code bit is the sign of a coordinate.
+
+    recall is the share of pairs at cosine least that meet in a table, in the worst tenth of x. tables is 0 where
+    comparing all pairs is cheaper or the only way to that recall.
+    """
 
-    def __init__(self, x: np.ndarray, rounds: int = ROUNDS):
-        x = x / np.linalg.norm(x, axis=1, keepdims=True)
-        self.mean = x.mean(0)
-        x = x - self.mean
+    def __init__(self, x: np.ndarray, rounds: int = ROUNDS, least: float = LEAST):
+        unit = _unit(x)
+        self.mean = unit.mean(0)
+        x = unit - self.mean
         bits = min(64, x.shape[1])
         _, axes = np.linalg.eigh(x.T @ x)
         axes = axes[:, ::-1][:, :bits]
         v = x @ axes
-        r = np.linalg.qr(np.random.Generator(np.random.PCG64(11)).standard_normal((bits, bits)))[0]
-        for _ in range(rounds):
-            b = np.where(v @ r >= 0, 1.0, -1.0)
-            left, _, right = np.linalg.svd(b.T @ v)
-            r = (left @ right).T
-        self.axes, self.tables = axes @ r, -(-bits // 8)
+        random = np.random.Generator(np.random.PCG64(11))
+        pairs = partners(unit, least, np.random.Generator(np.random.PCG64(12)))
+        met = np.zeros((len(pairs), len(x)), dtype=bool)
+        tenths = np.array_split(np.argsort((x * x).sum(1), kind="stable"), min(10, len(x)))
+        self.axes, self.tables, self.recall, work = [], 0, 0.0, 0.0
+        while self.recall < RECALL and work < 1 and self.tables < MOST:
+            r = np.linalg.qr(random.standard_normal((bits, bits)))[0]
+            for _ in range(rounds):
+                b = np.where(v @ r >= 0, 1.0, -1.0)
+                left, _, right = np.linalg.svd(b.T @ v)
+                r = (left @ right).T
+            self.axes.append(axes @ r)
+            own = self._bytes(unit, axes @ r)
+            for k, other in enumerate(pairs):
+                met[k] |= (self._bytes(other, axes @ r) == own).any(1)
+            self.recall = min(float(met[k, t].mean()) for k in range(len(pairs)) for t in tenths)
+            work += sum(float((np.bincount(c) / len(c)) @ (np.bincount(c) / len(c))) for c in own.T)  # share of all pairs
+            self.tables += own.shape[1]
+        if self.recall < RECALL or work >= 1:
+            self.tables, self.recall = 0, 1.0
+
+    def _bytes(self, unit: np.ndarray, axes: np.ndarray) -> np.ndarray:
+        return np.packbits((unit - self.mean) @ axes >= 0, axis=1)
 
     def codes(self, x: np.ndarray) -> np.ndarray:
         """One byte per table."""
-        unit = x / np.linalg.norm(x, axis=1, keepdims=True)
-        return np.packbits((unit - self.mean) @ self.axes >= 0, axis=1)
+        unit = _unit(x)
+        return np.concatenate([self._bytes(unit, axes) for axes in self.axes], axis=1)
 
 
 def _valid(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
@@ -65,8 +107,8 @@ def _valid(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     return rows.where(F.size("v") == (size["n"] if size else 0))
 
 
-def _coded(classes: DataFrame, model: Itq) -> DataFrame:
-    """(c, copies, code, x): x holds the vector's doubles."""
+def _coded(classes: DataFrame, model: Itq, kind: str) -> DataFrame:
+    """(c, copies, code, x): x holds the vector's numbers (kind f4 where they were floats, else f8)."""
     held = classes.sparkSession.sparkContext.broadcast(model)  # one matrix of the vectors' length
 
     def work(batches):
@@ -75,8 +117,9 @@ def _coded(classes: DataFrame, model: Itq) -> DataFrame:
             if not batch.num_rows:
                 continue
             x = flat.reshape(batch.num_rows, -1)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([c.tobytes() for c in held.value.codes(x)], pa.binary()),
-                                              pa.array([row.tobytes() for row in x], pa.binary())], ["c", "copies", "code", "x"])
+            codes = held.value.codes(x) if held.value.tables else np.zeros((len(x), 0), np.uint8)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([c.tobytes() for c in codes], pa.binary()),
+                                              pa.array([row.tobytes() for row in x.astype(kind)], pa.binary())], ["c", "copies", "code", "x"])
 
     return classes.select("c", "copies", "v").mapInArrow(work, "c long, copies long, code binary, x binary")
 
@@ -90,22 +133,25 @@ def compare(table: int, ids, copies, codes, x, side, same: bool, least: float):
     b = np.flatnonzero(side) if not same else a
     unit = x / np.sqrt((x * x).sum(1, keepdims=True))
     link = unit[a] @ unit[b].T >= least
-    for t in range(table):
-        link &= codes[a, t][:, None] != codes[b, t][None, :]
     if same:
         np.fill_diagonal(link, False)
+    i, j = np.nonzero(link)
+    i, j = a[i], b[j]
+    for t in range(table):
+        new = codes[i, t] != codes[j, t]
+        i, j = i[new], j[new]
     n = np.zeros(len(ids), dtype=np.int64)
-    n[a] += link @ copies[b]
+    np.add.at(n, i, copies[j])
     if not same:
-        n[b] += link.T @ copies[a]
-    i, j = np.nonzero(link)
-    return n, spanning(ids, a[i], b[j])
+        np.add.at(n, j, copies[i])
+    return n, spanning(ids, i, j)
 
 
-def _links(coded: DataFrame, tables: int, least: float) -> DataFrame:
-    """(u, v, n): v null: u has n linked rows; else a link of the forest."""
+def _links(coded: DataFrame, tables: int, least: float, kind: str) -> DataFrame:
+    """(u, v, n): v null: u has n linked rows; else a link of the forest. Without tables all rows are one bucket."""
     byte = lambda t: F.conv(F.hex(F.substring("code", t + 1, 1)), 16, 10).cast("int")
-    rows = coded.select("c", "copies", "code", "x", F.explode(F.array(*[F.struct(F.lit(t).alias("t"), byte(t).alias("b")) for t in range(tables)])).alias("at"))
+    at = [F.struct(F.lit(t).alias("t"), byte(t).alias("b")) for t in range(tables)] or [F.struct(F.lit(0).alias("t"), F.lit(0).alias("b"))]
+    rows = coded.select("c", "copies", "code", "x", F.explode(F.array(*at)).alias("at"))
     rows = rows.select("c", "copies", "code", "x", "at.t", "at.b")
     size = written(rows.groupBy("t", "b").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks")), "buckets")
     own = F.pmod(F.xxhash64("c"), F.col("chunks")).cast("int")
@@ -117,8 +163,8 @@ def _links(coded: DataFrame, tables: int, least: float) -> DataFrame:
     def work(batches):
         for (t, _, p, q), held in units(batches, 4):
             some = pa.Table.from_batches(held).combine_chunks()
-            codes = np.frombuffer(b"".join(some["code"].to_pylist()), np.uint8).reshape(some.num_rows, -1)
-            x = np.frombuffer(b"".join(some["x"].to_pylist()), np.float64).reshape(some.num_rows, -1)
+            codes = np.frombuffer(b"".join(some["code"].to_pylist()), np.uint8).reshape(some.num_rows, tables)
+            x = np.frombuffer(b"".join(some["x"].to_pylist()), kind).reshape(some.num_rows, -1).astype(np.float64)
             ids, copies, side = (some[k].to_numpy() for k in ("c", "copies", "side"))
             n, forest = compare(t, ids, copies, codes, x, side.astype(bool), p == q, least)
             k = np.flatnonzero(n)
@@ -141,8 +187,9 @@ def dedup(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding"
     spark = vectors.sparkSession
     if len(sample):
         flat = sample.combine_chunks().flatten().to_numpy()
-        model = Itq(flat.reshape(len(sample), -1))
-        found = written(_links(written(_coded(classes, model), "codes"), model.tables, least), "links")
+        model = Itq(flat.reshape(len(sample), -1), least=least)
+        kind = "f4" if vectors.schema[vec_col].dataType == T.ArrayType(T.FloatType(), vectors.schema[vec_col].dataType.containsNull) else "f8"
+        found = written(_links(written(_coded(classes, model, kind), "codes"), model.tables, least, kind), "links")
     else:
         found = spark.createDataFrame([], "u long, v long, n long")
     counts = found.where("v is null").groupBy(F.col("u").alias("c")).agg(F.sum("n").alias("n"))

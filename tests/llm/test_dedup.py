@@ -254,6 +254,39 @@ def test_embedding_recall_is_measured_at_the_threshold():
     assert (model.codes(x) == model.codes(y)).any(1).mean() > 0.97
 
 
+def common_mean(r, n, mean, dims=64):
+    """n unit vectors whose cosine is mean on average, and a partner of each at a cosine just over 0.95."""
+    x = np.sqrt(mean) * np.eye(dims)[0] + np.sqrt((1 - mean) / dims) * r.standard_normal((n, dims))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    noise = r.standard_normal(x.shape)
+    noise -= (noise * x).sum(1, keepdims=True) * x
+    return x, 0.9501 * x + np.sqrt(1 - 0.9501**2) * noise / np.linalg.norm(noise, axis=1, keepdims=True)
+
+
+@pytest.mark.parametrize("mean", [0.0, 0.5, 0.7, 0.8])
+def test_embedding_recall_with_a_common_mean(mean):
+    x, y = common_mean(np.random.default_rng(5), 4000, mean)
+    model = embedding_dedup.Itq(x)
+    assert 0 < model.tables <= embedding_dedup.MOST and model.recall >= embedding_dedup.RECALL
+    assert (model.codes(x) == model.codes(y)).any(1).mean() > 0.985
+
+
+def test_embedding_links_with_a_common_mean_and_a_large_cluster(spark, monkeypatch):
+    monkeypatch.setattr(embedding_dedup, "CHUNK", 128)
+    r = np.random.default_rng(6)
+    x, y = common_mean(r, 600, 0.8)
+    cluster = x[0] + 0.3 / 8 * r.standard_normal((600, 64))  # a third of the rows, cosine about 0.92
+    rows = np.concatenate([x, y, cluster]).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rows)], "vec_id long, embedding array<float>")
+    got = {v["vec_id"]: v["n_links"] for v in embedding_dedup.dedup(df).collect()}
+    unit = rows.astype(np.float64)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    want = (unit @ unit.T >= 0.95).sum(1) - 1
+    assert want[:1200].sum() >= 1200 and want[1200:].sum() > 100
+    for part in (range(1200), range(1200, 1800)):
+        assert 0.97 * want[part].sum() <= sum(got[i] for i in part) <= want[part].sum()
+
+
 @pytest.mark.parametrize("name", ["op1_substring_dedup", "op2_minhash_near_dedup", "op5_warc", "op7_line_dedup", "op9_embedding_near_dedup"])
 def test_query_equals_duckdb(spark, name):
     import duckdb
