@@ -1,18 +1,24 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment of words.
+"""Benchmark decontamination: word pairs as seeds, then Smith-Waterman alignment of words.
 
 Test items are cut into passages of at most ``PASSAGE`` words (overlapping by half). Words are
-``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased. A passage's seeds are its ``SEED``-word runs, weighted by
-rarity: the logarithm of the inverse share of all documents that have the run. Where seeds in
-one stretch of a document carry at least ``SEED_SHARE`` of a passage's total weight, the stretch is aligned with
-the passage by Smith-Waterman (match +2, mismatch -1, gap -1). The similarity is the best local
-score over that of the whole passage against itself; a document leaks an item from ``leak`` on.
+``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased. A document is aligned with a passage by Smith-Waterman (match +2,
+mismatch -1, gap -1). The similarity is the best local score over that of the whole passage against itself; a
+document leaks an item from ``leak`` on.
+
+Seeds only say where to align, and miss no leak. An alignment of M matches and E errors (mismatched, added or
+missing words) with a passage of n words reaches ``leak`` if 2M - E >= 2 leak n. Then it has at most M - leak n pairs of
+successive matches with two or more errors between them, so at least ceil(leak n) - 1 pairs with one or none: two
+words that stand one or two apart both in the passage and in the document. It covers at most
+M + E <= (3 - 2 leak) n words of the document. So a passage's seeds are its word pairs at distances 1 and 2, and where so
+many words of a document within that reach start a seed, the stretch is aligned. To spare hits of common pairs, the
+half of those places whose seeds most passages of the block share is left out, and the number asked for falls by
+as many. (This holds where leak n > 1, so for every item at the default.)
 
 The items are the stated query set. They are handled in blocks of at most ``BLOCK_WORDS`` words (one
-item at least); for each block the documents are read twice (document frequencies, then seeds and
-alignment), without a shuffle of texts, and the block is broadcast, so its bound holds at any
-size of either table.
+item at least); for each block the documents are read once, without a shuffle of texts, and the block is
+broadcast, so its bound holds at any size of either table.
 
-Items with fewer than SEED words (null and empty ones too) cannot be told from ordinary
+Items with fewer than SHORTEST words (null and empty ones too) cannot be told from ordinary
 text and never leak; null and empty documents leak nothing. Items with equal ids count as one, with the
 best passage of any. Rows without a doc_id are counted but give no result; rows that share a doc_id
 give one row per item, with the best score. Empty tables give no rows. Other columns are ignored
@@ -29,57 +35,81 @@ from pyspark.sql import functions as F
 from . import textcore as tc
 from .shared import fresh, read, texts, written
 
-SEED, SEED_SHARE, LEAK = 3, 0.1, 0.5
+SHORTEST, LEAK = 3, 0.5
 PASSAGE, BLOCK_WORDS = 128, 1 << 20
 MATCH, MISMATCH, GAP = 2, -1, -1
+EXPAND = 1 << 21
 _BITS = 24
 _UNIT, _LOW = 1 << _BITS, (1 << _BITS) - 1
 
 LEAKS = "doc_id long, item_id long, score double, start_word long, end_word long"
 
 
+def _pairs(words: np.ndarray, apart: int) -> np.ndarray:
+    """Hash of each word and the one so far behind it."""
+    return words[:-apart] * np.uint64(0x9E3779B97F4A7C15) + words[apart:] * np.uint64(0xC2B2AE3D27D4EB4F)
+
+
 class Block:
-    """Passages of some items: words, seeds, and which passages have which seed."""
+    """Passages of some items: words, seeds, which passages have which seed, and how many seeds a leak has at least."""
 
-    def __init__(self, item_ids: list, column: pa.Array):
+    def __init__(self, item_ids: list, column: pa.Array, leak: float = LEAK):
         words = tc.Words(*tc.buffers(column), lower=True)
-        seed = words.grams(SEED)
-        self.item, self.words, place = [], [], []
+        self.item, self.words = [], []
         for i, item in enumerate(item_ids):
             a, b = int(words.first[i]), int(words.first[i + 1])
-            if b - a < SEED:
+            if b - a < SHORTEST:
                 continue
             step = PASSAGE // 2
             for s in range(a, max(a + 1, b - step), step) if b - a > PASSAGE else [a]:
-                e = min(b, s + PASSAGE)
-                place.append((len(self.item), s, e))
                 self.item.append(item)
-                self.words.append(words.hash[0][s:e])
-        seeds = [np.unique(seed[s : e - SEED + 1]) for _, s, e in place]
-        flat = np.concatenate(seeds) if seeds else np.zeros(0, np.uint64)
-        passage = np.repeat(np.arange(len(seeds)), [len(x) for x in seeds])
-        self.seeds, which = np.unique(flat, return_inverse=True)
-        order = np.argsort(which, kind="stable")
-        self.passage = passage[order]
-        self.first = np.searchsorted(which[order], np.arange(len(self.seeds) + 1))
-        self.pairs = which, passage
-        self.weight = self.total = None
-
-    def weigh(self, documents: int, counts: np.ndarray) -> None:
-        self.weight = np.log((documents + 1.0) / (np.minimum(counts, documents) + 0.5))
-        self.total = np.bincount(self.pairs[1], self.weight[self.pairs[0]], len(self.item))
-
-
-def _hits(words: tc.Words, block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(document, word, seed) of every place where a text has a seed."""
-    grams = words.grams(SEED)
-    if not len(grams) or not len(block.seeds):
-        return (np.zeros(0, dtype=np.int64),) * 3
-    at = np.minimum(np.searchsorted(block.seeds, grams), len(block.seeds) - 1)
-    pos = np.flatnonzero(block.seeds[at] == grams)
-    doc = words.doc_of_word()
-    pos = pos[doc[pos] == doc[pos + SEED - 1]]
-    return doc[pos], pos, at[pos]
+                self.words.append(words.hash[0][s : min(b, s + PASSAGE)])
+        self.size = np.array([len(x) for x in self.words], dtype=np.int64)
+        need = np.maximum(1, np.ceil(leak * self.size - 1e-9).astype(np.int64) - 1)
+        spare = need // 2
+        self.need, self.reach = need - spare, np.ceil((3 - 2 * leak) * self.size).astype(np.int64)
+        seeds = [np.concatenate([_pairs(x, 1), _pairs(x, 2)]) for x in self.words]
+        place = [np.concatenate([np.arange(n - 1), np.arange(n - 2)]) for n in self.size.tolist()]
+        passage = np.repeat(np.arange(len(seeds)), np.array([len(x) for x in seeds], dtype=np.int64))
+        many = max(1, len(seeds))
+        flat = np.concatenate([*seeds, np.zeros(0, np.uint64)])
+        _, which = np.unique(flat, return_inverse=True)
+        held = np.bincount(np.unique(which * many + passage) // many, minlength=1)[which]  # passages that share the seed
+        keep = np.zeros(len(flat), dtype=bool)
+        at = 0
+        for p, where in enumerate(place):
+            shared = np.zeros(int(self.size[p]) - 1, dtype=np.int64)
+            np.maximum.at(shared, where, held[at : at + len(where)])
+            rare = np.ones(len(shared), dtype=bool)
+            rare[np.argsort(-shared, kind="stable")[: spare[p]]] = False
+            keep[at : at + len(where)] = rare[where]
+            at += len(where)
+        self.seeds, which = np.unique(flat[keep], return_inverse=True)
+        has = np.unique(which * many + passage[keep])  # by seed, then passage
+        which, self.passage = has // many, has % many
+        self.first = np.searchsorted(which, np.arange(len(self.seeds) + 1))
+        self.shift = np.uint64(64 - min(25, max(10, (16 * len(self.seeds)).bit_length())))
+        self.maybe = np.zeros(1 << (64 - int(self.shift)), dtype=bool)  # leading bits of the seeds
+        self.maybe[self.seeds >> self.shift] = True
+
+
+def _hits(words: tc.Words, block: Block) -> tuple[np.ndarray, np.ndarray]:
+    """(word, seed) of every place where a text has a seed, by word."""
+    doc, at, seeds = words.doc_of_word(), [], []
+    for apart in (1, 2):
+        if len(words.hash[0]) <= apart or not len(block.seeds):
+            continue
+        grams = _pairs(words.hash[0], apart)
+        pos = np.flatnonzero(block.maybe[grams >> block.shift])
+        seed = np.minimum(np.searchsorted(block.seeds, grams[pos]), len(block.seeds) - 1)
+        real = (block.seeds[seed] == grams[pos]) & (doc[pos] == doc[pos + apart])
+        at.append(pos[real])
+        seeds.append(seed[real])
+    if not at:
+        return (np.zeros(0, dtype=np.int64),) * 2
+    pos, seed = np.concatenate(at), np.concatenate(seeds)
+    order = np.argsort(pos, kind="stable")
+    return pos[order], seed[order]
 
 
 def align(a: list[np.ndarray], b: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -113,68 +143,61 @@ def align(a: list[np.ndarray], b: list[np.ndarray]) -> tuple[np.ndarray, np.ndar
     return best >> _BITS, np.where(best > 0, _LOW - (best & _LOW), 0), end
 
 
+def _stretches(words: tc.Words, block: Block, doc: np.ndarray, pos: np.ndarray, passage: np.ndarray) -> list[tuple[int, int, int, int]]:
+    """(text, passage, first word, end word) of all pieces that can hold a leak, from the words that start a passage's seed."""
+    n = max(1, len(doc))
+    key = np.unique(passage * n + pos)  # a word counts once
+    passage, pos = key // n, key % n
+    reach = block.reach[passage]
+    begin = passage * n + np.maximum(words.first[doc[pos]], pos - reach + 1)
+    strong = np.arange(len(key)) - np.searchsorted(key, begin) + 1 >= block.need[passage]
+    passage, pos, reach = passage[strong], pos[strong], reach[strong]
+    if not len(pos):
+        return []
+    new = np.ones(len(pos), dtype=bool)
+    new[1:] = (np.diff(passage) != 0) | (np.diff(doc[pos]) != 0) | (np.diff(pos) > reach[1:])
+    begin = np.flatnonzero(new)
+    last = np.append(begin[1:], len(pos)) - 1
+    out = []
+    for g, e in zip(begin.tolist(), last.tolist()):
+        d, p, wide = int(doc[pos[g]]), int(passage[g]), int(reach[g])
+        a, b = max(int(words.first[d]), int(pos[g]) - wide), min(int(words.first[d + 1]), int(pos[e]) + wide + 2)
+        out += [(d, p, s, min(b, s + 3 * wide)) for s in range(a, max(a + 1, b - wide), 2 * wide)]  # pieces overlap by wide
+    return out
+
+
 def leaks_of(words: tc.Words, block: Block, leak: float) -> list[tuple[int, int, float, int, int]]:
     """(text, item, score, start word, end word) of the leaks in a run of texts."""
-    doc, pos, seed = _hits(words, block)
-    if not len(doc):
-        return []
+    pos, seed = _hits(words, block)
+    doc = words.doc_of_word()
     count = block.first[seed + 1] - block.first[seed]
-    passage = block.passage[tc.ragged(block.first[seed], count)]
-    doc, pos, seed = (np.repeat(x, count) for x in (doc, pos, seed))
-    order = np.lexsort((pos, passage, doc))
-    doc, pos, seed, passage = (x[order] for x in (doc, pos, seed, passage))
-    size = np.array([len(x) for x in block.words])
-    new = np.ones(len(doc), dtype=bool)
-    new[1:] = (np.diff(doc) != 0) | (np.diff(passage) != 0) | (np.diff(pos) > size[passage[1:]])
-    group = np.cumsum(new) - 1
-    one = np.unique(np.stack([group, seed], axis=1), axis=0)  # a seed counts once in a stretch
-    weight = np.bincount(one[:, 0], block.weight[one[:, 1]], group[-1] + 1)
-    begin = np.flatnonzero(new)
-    last = np.append(begin[1:], len(doc)) - 1
-    strong = np.flatnonzero(weight >= SEED_SHARE * block.total[passage[begin]])
-    todo = []
-    for g in strong.tolist():
-        d, p = int(doc[begin[g]]), int(passage[begin[g]])
-        pad = int(size[p]) + 8
-        a, b = max(int(words.first[d]), int(pos[begin[g]]) - pad), min(int(words.first[d + 1]), int(pos[last[g]]) + SEED + pad)
-        piece = 4 * pad
-        todo += [(d, p, s, min(b, s + piece)) for s in range(a, max(a + 1, b - 2 * pad), piece - 2 * pad)]
+    done, todo = np.append(0, np.cumsum(count)), []
+    back = int(block.reach.max(initial=0))
+    a = 0
+    while a < len(pos):  # about EXPAND pairs of a hit and a passage, and the words before them that a leak can cover
+        b = max(a + 1, int(np.searchsorted(done, done[a] + EXPAND, "right")) - 1)
+        from_, a = int(np.searchsorted(pos, pos[a] - back)), b
+        todo += _stretches(words, block, doc, np.repeat(pos[from_:b], count[from_:b]), block.passage[tc.ragged(block.first[seed[from_:b]], count[from_:b])])
     todo.sort(key=lambda x: (x[3] - x[2], len(block.words[x[1]])))
     out = []
     for at in range(0, len(todo), 128):
         some = todo[at : at + 128]
         score, start, end = align([words.hash[0][a:b] for _, _, a, b in some], [block.words[p] for _, p, _, _ in some])
         for (d, p, a, _), x, s, e in zip(some, score.tolist(), start.tolist(), end.tolist()):
-            share = x / (MATCH * int(size[p]))
+            share = x / (MATCH * int(block.size[p]))
             if share >= leak:
                 out.append((d, block.item[p], share, a + s - int(words.first[d]), a + e - int(words.first[d])))
     return out
 
 
-def _counts(docs: DataFrame, seeds) -> DataFrame:
-    """(seed, n): documents that have each seed; seed -1 counts the documents."""
-    def work(batches):
-        block = seeds.value
-        total, n = np.zeros(len(block.seeds), dtype=np.int64), 0
-        for _, data, off in tc.slices(batches, "text"):
-            doc, _, seed = _hits(tc.Words(data, off, lower=True), block)
-            pair = np.unique(doc * len(block.seeds) + seed)
-            total += np.bincount(pair % max(1, len(block.seeds)), minlength=len(total))
-            n += len(off) - 1
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)), pa.array(np.append(total[at], n))], ["seed", "n"])
-
-    return docs.mapInArrow(work, "seed long, n long").groupBy("seed").agg(F.sum("n").alias("n"))
-
-
-def _blocks(items: DataFrame):
+def _blocks(items: DataFrame, leak: float):
     """The items, in blocks of about BLOCK_WORDS words by a hash of the id; each block is collected in turn."""
     items = written(items.where("doc_id is not null and text is not null"), "items")
     words = items.agg(F.sum(F.size(F.split("text", r"[\x20\x09-\x0D]+")))).first()[0] or 0
     blocks = -(-words // BLOCK_WORDS)
     for k in range(blocks):
         rows = items.where(F.pmod(F.xxhash64("doc_id"), F.lit(blocks)) == k).orderBy("doc_id", "text").toArrow()
-        yield Block(rows.column(0).to_pylist(), rows.column(1))
+        yield Block(rows.column(0).to_pylist(), rows.column(1), leak)
 
 
 def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -183,13 +206,7 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     spark = docs.sparkSession
     rows = texts(docs, id_col, text_col)
     found = spark.createDataFrame([], LEAKS)
-    for block in _blocks(texts(items, item_col, item_text)):
-        plain = spark.sparkContext.broadcast(block)
-        have = _counts(rows, plain).toArrow()  # a number per seed of the block
-        seed, n = (have.column(i).to_numpy() for i in (0, 1))
-        counts = np.zeros(len(block.seeds), dtype=np.int64)
-        counts[seed[seed >= 0]] = n[seed >= 0]
-        block.weigh(int(n[seed < 0].sum()), counts)
+    for block in _blocks(texts(items, item_col, item_text), leak):
         held = spark.sparkContext.broadcast(block)
 
         def work(batches, held=held):

@@ -316,6 +316,49 @@ def test_alignment_equals_smith_waterman():
     assert all(smith_waterman(x[s:e], y) == v for x, y, v, s, e in zip(a, b, score.tolist(), start.tolist(), end.tolist()))
 
 
+def test_every_kind_of_edit_is_aligned(spark, docs_of):
+    item = [f"q{i}" for i in range(40)]
+    edits = {
+        "a word after every second": [w for i, x in enumerate(item) for w in ([x] if i % 2 == 0 else [x, f"a{i}"])],
+        "a word after every word": [w for i, x in enumerate(item) for w in (x, f"b{i}")],
+        "every third replaced": [f"c{i}" if i % 3 == 2 else x for i, x in enumerate(item)],
+        "every third missing": [x for i, x in enumerate(item) if i % 3 != 2],
+        "other words": [f"d{i}" for i in range(40)],
+    }
+    copied = " ".join(item[:24])  # 60 % word for word in a third of the documents, the rest in none
+    docs = [" ".join(["x", *v, "y"]) for v in edits.values()] + [copied if i % 3 == 0 else f"plain text number {i}" for i in range(3000)]
+    got = {x["doc_id"]: x["score"] for x in decontamination.leaks(docs_of(docs), spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")).collect()}
+    score = [smith_waterman(t.split(), item) / 80 for t in docs[:5]]
+    want = {i: x for i, x in enumerate(score) if x >= 0.5} | {i + 5: 0.6 for i in range(0, 3000, 3)}
+    assert len(want) == 1004 and got == pytest.approx(want)
+
+
+@pytest.mark.parametrize("expand", [8, 1 << 21])
+@pytest.mark.parametrize("leak", [0.5, 0.6, 0.8])
+def test_seeds_miss_no_leak(monkeypatch, expand, leak):
+    monkeypatch.setattr(decontamination, "EXPAND", expand)
+    r = random.Random(9)
+    items = [[f"w{r.randrange(r.choice([4, 30, 200]))}" for _ in range(n)] for n in (1, 2, 3, 4, 5, 7, 10, 16, 25)]
+    docs = [["alone"], []]
+    for _ in range(250):
+        out = [f"w{r.randrange(200)}" for _ in range(r.randrange(0, 40))]
+        rate = r.choice([0.1, 0.3, 0.5])
+        for w in r.choice(items):
+            kind = r.random() if r.random() < rate else 1
+            out += [w] if kind == 1 else ["new"] if kind < 0.3 else [w, f"w{r.randrange(200)}"] if kind < 0.7 else []
+        docs.append(out + [f"w{r.randrange(200)}" for _ in range(r.randrange(0, 40))])
+    block = decontamination.Block(list(range(len(items))), tc.pa.array([" ".join(x) for x in items]), leak)
+    words = tc.Words(*tc.buffers(tc.pa.array([" ".join(x) for x in docs])), lower=True)
+    got = {}
+    for d, i, score, start, end in decontamination.leaks_of(words, block, leak):
+        assert smith_waterman(docs[d][start:end], items[i]) == round(score * 2 * len(items[i]))
+        got[d, i] = max(score, got.get((d, i), 0))
+    best = {(d, i): smith_waterman(x, y) / (2 * len(y)) for d, x in enumerate(docs) for i, y in enumerate(items) if len(y) >= 3}
+    want = {k: v for k, v in best.items() if v >= leak}
+    assert len(want) > 60 and got == pytest.approx(want)
+    assert decontamination.leaks_of(words, decontamination.Block([1], tc.pa.array(["a b"])), leak) == []
+
+
 def test_leaks_equal_brute_force_scores(spark, docs_of, monkeypatch):
     monkeypatch.setattr(decontamination, "BLOCK_WORDS", 150)  # several blocks
     r = random.Random(4)
