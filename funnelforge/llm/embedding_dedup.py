@@ -16,8 +16,11 @@
    two chunks. A pair counts in the first table where it meets. A unit emits each vector's number of links and a spanning forest
    of them, never the pairs, so its output is linear in its rows.
 
-Links are pairs with cosine >= ``least``. Vectors that are null, zero, hold null or non-finite components, or
-do not have the commonest length (the smallest of equally common ones) link with nothing. Rows that share an
+Vectors are compared with those of the same length. A length with more than ``SAMPLE`` classes gets codes of its own; within
+the others all pairs are compared.
+
+Links are pairs with cosine >= ``least``. Vectors that are null, zero, or hold null or non-finite components
+link with nothing. Rows that share an
 id count as vectors of their own for links, and as one node for components. An empty table gives
 no rows. Other columns pass through, whatever their names.
 """
@@ -98,30 +101,32 @@ class Itq:
 
 
 def _valid(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
-    """(vec_id, v): usable vectors of the commonest length as double arrays."""
+    """(vec_id, v): usable vectors as double arrays."""
     v = F.col(f"`{vec_col}`").cast("array<double>")
-    rows = (vectors.select(F.col(f"`{id_col}`").cast("long").alias("vec_id"), v.alias("v"))
+    return (vectors.select(F.col(f"`{id_col}`").cast("long").alias("vec_id"), v.alias("v"))
             .where(F.col("vec_id").isNotNull() & F.col("v").isNotNull() & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
                    & F.exists("v", lambda x: x != 0)))
-    size = rows.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    return rows.where(F.size("v") == (size["n"] if size else 0))
 
 
-def _coded(classes: DataFrame, model: Itq, kind: str) -> DataFrame:
-    """(c, copies, code, x): x holds the vector's numbers (kind f4 where they were floats, else f8)."""
-    held = classes.sparkSession.sparkContext.broadcast(model)  # one matrix of the vectors' length
+def _coded(classes: DataFrame, model: Itq | None, kind: str) -> DataFrame:
+    """(c, copies, size, code, x): x holds the vector's numbers (kind f4 where they were floats, else f8).
+
+    Without a model the code is empty and lengths may differ.
+    """
+    held = classes.sparkSession.sparkContext.broadcast(model)  # one matrix of the vectors' length a rotation
 
     def work(batches):
         for batch in batches:
-            flat = batch.column(2).flatten().to_numpy(zero_copy_only=False)
             if not batch.num_rows:
                 continue
-            x = flat.reshape(batch.num_rows, -1)
-            codes = held.value.codes(x) if held.value.tables else np.zeros((len(x), 0), np.uint8)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([c.tobytes() for c in codes], pa.binary()),
-                                              pa.array([row.tobytes() for row in x.astype(kind)], pa.binary())], ["c", "copies", "code", "x"])
+            flat = batch.column(3).flatten().to_numpy(zero_copy_only=False)
+            size = batch.column(2).to_numpy()
+            ends = np.cumsum(size)
+            codes = [b""] * len(size) if held.value is None else [c.tobytes() for c in held.value.codes(flat.reshape(len(size), -1))]
+            x = [flat[e - k : e].astype(kind).tobytes() for k, e in zip(size.tolist(), ends.tolist())]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(codes, pa.binary()), pa.array(x, pa.binary())], ["c", "copies", "size", "code", "x"])
 
-    return classes.select("c", "copies", "v").mapInArrow(work, "c long, copies long, code binary, x binary")
+    return classes.select("c", "copies", "size", "v").mapInArrow(work, "c long, copies long, size int, code binary, x binary")
 
 
 def compare(table: int, ids, copies, codes, x, side, same: bool, least: float):
@@ -148,20 +153,22 @@ def compare(table: int, ids, copies, codes, x, side, same: bool, least: float):
 
 
 def _links(coded: DataFrame, tables: int, least: float, kind: str) -> DataFrame:
-    """(u, v, n): v null: u has n linked rows; else a link of the forest. Without tables all rows are one bucket."""
+    """(u, v, n): v null: u has n linked rows; else a link of the forest. Without tables the rows of a length are one bucket."""
     byte = lambda t: F.conv(F.hex(F.substring("code", t + 1, 1)), 16, 10).cast("int")
     at = [F.struct(F.lit(t).alias("t"), byte(t).alias("b")) for t in range(tables)] or [F.struct(F.lit(0).alias("t"), F.lit(0).alias("b"))]
-    rows = coded.select("c", "copies", "code", "x", F.explode(F.array(*at)).alias("at"))
-    rows = rows.select("c", "copies", "code", "x", "at.t", "at.b")
-    size = written(rows.groupBy("t", "b").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks")), "buckets")
+    rows = coded.select("size", "c", "copies", "code", "x", F.explode(F.array(*at)).alias("at"))
+    rows = rows.select("size", "c", "copies", "code", "x", "at.t", "at.b")
+    counts = written(rows.groupBy("size", "t", "b").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks")), "buckets")
+    if tables:
+        counts = F.broadcast(counts)  # 256 buckets a table at most
     own = F.pmod(F.xxhash64("c"), F.col("chunks")).cast("int")
-    rows = (rows.join(F.broadcast(size), ["t", "b"]).withColumn("own", own)  # 256 buckets a table at most
+    rows = (rows.join(counts, ["size", "t", "b"]).withColumn("own", own)
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-            .select("t", "b", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"),
+            .select("size", "t", "b", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"),
                     (F.col("own") > F.col("other")).alias("side"), "c", "copies", "code", "x"))
 
     def work(batches):
-        for (t, _, p, q), held in units(batches, 4):
+        for (_, t, _, p, q), held in units(batches, 5):
             some = pa.Table.from_batches(held).combine_chunks()
             codes = np.frombuffer(b"".join(some["code"].to_pylist()), np.uint8).reshape(some.num_rows, tables)
             x = np.frombuffer(b"".join(some["x"].to_pylist()), kind).reshape(some.num_rows, -1).astype(np.float64)
@@ -172,7 +179,7 @@ def _links(coded: DataFrame, tables: int, least: float, kind: str) -> DataFrame:
                 [pa.array(np.concatenate([ids[k], forest[:, 0]])), pa.concat_arrays([pa.nulls(len(k), pa.int64()), pa.array(forest[:, 1])]),
                  pa.array(np.concatenate([n[k], np.zeros(len(forest), np.int64)]))], ["u", "v", "n"])
 
-    return (rows.repartition("t", "b", "p", "q").sortWithinPartitions("t", "b", "p", "q")
+    return (rows.repartition("size", "t", "b", "p", "q").sortWithinPartitions("size", "t", "b", "p", "q")
             .mapInArrow(work, "u long, v long, n long"))
 
 
@@ -181,17 +188,19 @@ def dedup(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding"
     key = lambda v: (F.xxhash64(v).alias("h1"), F.xxhash64(F.lit(1), v).alias("h2"))
     valid = _valid(vectors, id_col, vec_col)
     classes = written(valid.select("vec_id", *key("v"), "v").groupBy("h1", "h2")
-                      .agg(F.min("vec_id").alias("c"), F.count("*").alias("copies"), F.any_value("v").alias("v")), "classes")
-    sample = classes.orderBy(F.xxhash64("c"), "c").limit(SAMPLE).select("v").toArrow().column(0)
+                      .agg(F.min("vec_id").alias("c"), F.count("*").alias("copies"), F.any_value("v").alias("v")).withColumn("size", F.size("v")), "classes")
     names = classes.select("h1", "h2", "c", "copies")
-    spark = vectors.sparkSession
-    if len(sample):
-        flat = sample.combine_chunks().flatten().to_numpy()
-        model = Itq(flat.reshape(len(sample), -1), least=least)
-        kind = "f4" if vectors.schema[vec_col].dataType == T.ArrayType(T.FloatType(), vectors.schema[vec_col].dataType.containsNull) else "f8"
-        found = written(_links(written(_coded(classes, model, kind), "codes"), model.tables, least, kind), "links")
-    else:
-        found = spark.createDataFrame([], "u long, v long, n long")
+    element = vectors.select(F.col(f"`{vec_col}`")).schema[0].dataType.elementType
+    kind = "f4" if element == T.FloatType() else "f8"
+    large = [r["size"] for r in classes.groupBy("size").count().where(F.col("count") > SAMPLE).orderBy("size").collect()]
+    rest = classes.where(~F.col("size").isin(large)) if large else classes
+    found = written(_links(written(_coded(rest, None, kind), "codes"), 0, least, kind), "links")
+    for size in large:
+        some = classes.where(F.col("size") == size)
+        sample = some.orderBy(F.xxhash64("c"), "c").limit(SAMPLE).select("v").toArrow().column(0)
+        model = Itq(sample.combine_chunks().flatten().to_numpy().reshape(len(sample), -1), least=least)
+        coded = written(_coded(some, model if model.tables else None, kind), "codes")
+        found = found.unionByName(written(_links(coded, model.tables, least, kind), "links"))
     counts = found.where("v is null").groupBy(F.col("u").alias("c")).agg(F.sum("n").alias("n"))
     joined = components(found.where("v is not null").select("u", "v")).select(F.col("node").alias("c"), "component")
     per_class = written(names.join(counts, "c", "left").join(joined, "c", "left")

@@ -273,6 +273,7 @@ def test_embedding_recall_with_a_common_mean(mean):
 
 def test_embedding_links_with_a_common_mean_and_a_large_cluster(spark, monkeypatch):
     monkeypatch.setattr(embedding_dedup, "CHUNK", 128)
+    monkeypatch.setattr(embedding_dedup, "SAMPLE", 1000)
     r = np.random.default_rng(6)
     x, y = common_mean(r, 600, 0.8)
     cluster = x[0] + 0.3 / 8 * r.standard_normal((600, 64))  # a third of the rows, cosine about 0.92
@@ -287,6 +288,31 @@ def test_embedding_links_with_a_common_mean_and_a_large_cluster(spark, monkeypat
         assert 0.97 * want[part].sum() <= sum(got[i] for i in part) <= want[part].sum()
 
 
+@pytest.mark.parametrize("sample", [40, 8192])
+def test_embedding_links_within_every_length(spark, monkeypatch, sample):
+    monkeypatch.setattr(embedding_dedup, "SAMPLE", sample)  # 40: the two longer lengths get codes of their own
+    monkeypatch.setattr(embedding_dedup, "CHUNK", 16)
+    r = np.random.default_rng(8)
+    rows = []
+    for dims, n in ((3, 5), (24, 60), (64, 90)):
+        x = r.standard_normal((n, dims)).astype(np.float32)
+        rows += [v.tolist() for v in [*x, *(x + np.float32(0.01)), x[0]]]
+    rows += [[5.0], [2.0], [-1.0], None, []]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(rows)], "vec_id long, embedding array<float>")
+    got = {v["vec_id"]: (v["n_links"], v["component_id"], v["kept"]) for v in embedding_dedup.dedup(df).collect()}
+    links = {i: set() for i in range(len(rows))}
+    for i, j in itertools.combinations(range(len(rows)), 2):
+        if rows[i] and rows[j] and len(rows[i]) == len(rows[j]):
+            x, y = np.array(rows[i]), np.array(rows[j])
+            if x @ y / np.sqrt(x @ x) / np.sqrt(y @ y) >= 0.95:
+                links[i].add(j)
+                links[j].add(i)
+    component = list(range(len(rows)))
+    for _ in rows:
+        component = [min([component[i], *(component[j] for j in links[i])]) for i in range(len(rows))]
+    assert got == {i: (len(links[i]), component[i], component[i] == i) for i in links}
+
+
 @pytest.mark.parametrize("name", ["op1_substring_dedup", "op2_minhash_near_dedup", "op5_warc", "op7_line_dedup", "op9_embedding_near_dedup"])
 def test_query_equals_duckdb(spark, name):
     import duckdb
