@@ -17,6 +17,7 @@ _WHERE = {
     "op8_toxicity": "toxicity",
     "op9_embedding_near_dedup": "embedding_dedup",
     "op10_pii": "pii",
+    "op11_embedding_whitening": "whitening",
 }
 _SQL = ("op1_substring_dedup", "op2_minhash_near_dedup", "op5_warc", "op7_line_dedup", "op9_embedding_near_dedup")
 

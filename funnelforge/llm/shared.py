@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from ..session import checkpoint_dir
 
@@ -26,6 +27,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def indexed(df: DataFrame, name: str) -> DataFrame:
+    """df, written, plus a dense row number ``idx`` from 0. The rows of a written partition are numbered in place; offsets come from one
+    count per partition, so no task sees more than its own rows (and one row per partition)."""
+    held = written(df.withColumn("idx", F.monotonically_increasing_id()), name)
+    part = F.shiftright("idx", 33)
+    sizes = held.groupBy(part.alias("part")).agg(F.count("*").alias("size"))
+    before = sizes.select("part", (F.sum("size").over(Window.orderBy("part")) - F.col("size")).alias("before"))
+    return (held.withColumn("part", part).join(F.broadcast(before), "part")
+            .withColumn("idx", F.col("idx").bitwiseAND((1 << 33) - 1) + F.col("before")).drop("part", "before"))
+
+
 def _forest(batches):
     """Union-find over the links of one task: the same components with fewer links."""
     parent: dict[int, int] = {}
