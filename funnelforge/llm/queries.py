@@ -18,8 +18,10 @@ _WHERE = {
     "op9_embedding_near_dedup": "embedding_dedup",
     "op10_pii": "pii",
     "op11_embedding_whitening": "whitening",
+    "op12_license_scans": "license_scan",
 }
-_SQL = ("op1_substring_dedup", "op2_minhash_near_dedup", "op5_warc", "op7_line_dedup", "op9_embedding_near_dedup")
+_SQL = ("op1_substring_dedup", "op2_minhash_near_dedup", "op5_warc", "op7_line_dedup", "op9_embedding_near_dedup",
+        "op12_license_scans")
 
 
 def _module(name: str):

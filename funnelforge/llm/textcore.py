@@ -106,13 +106,14 @@ def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(raw[2], dtype=np.uint8)[off[0] : off[-1]], off - off[0]
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    """Batches cut so that each holds about SLICE_BYTES of text (one text at least)."""
+def slices(batches: Iterator[pa.RecordBatch], column: str, size: int | None = None) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Batches cut so that each holds about size (SLICE_BYTES) of text (one text at least)."""
+    size = size or SLICE_BYTES
     for batch in batches:
         data, off = buffers(batch.column(batch.schema.get_field_index(column)))
         at, n = 0, batch.num_rows
         while at < n:
-            to = min(n, at + SLICE_ROWS, max(at + 1, int(np.searchsorted(off, off[at] + SLICE_BYTES, "right")) - 1))
+            to = min(n, at + SLICE_ROWS, max(at + 1, int(np.searchsorted(off, off[at] + size, "right")) - 1))
             yield batch.slice(at, to - at), data[off[at] : off[to]], off[at : to + 1] - off[at]
             at = to
 
