@@ -19,9 +19,10 @@ _WHERE = {
     "op10_pii": "pii",
     "op11_embedding_whitening": "whitening",
     "op12_license_scans": "license_scan",
+    "op13_phrase_collocations": "collocations",
 }
 _SQL = ("op1_substring_dedup", "op2_minhash_near_dedup", "op5_warc", "op7_line_dedup", "op9_embedding_near_dedup",
-        "op12_license_scans")
+        "op12_license_scans", "op13_phrase_collocations")
 
 
 def _module(name: str):
