@@ -6,15 +6,15 @@ between the two (KYC, deposit) are never used as features (leakage guard).
 
 from __future__ import annotations
 
-from decimal import Decimal
 from fractions import Fraction
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import clip, fractional_minutes, hash_uniform, sql_ident
-from ..plans.prefix import running_totals
+from ..functions.columns import clip, fractional_minutes, hash_uniform
+from ..plans.prefix import dense_ids, running_totals
 from ..schemas import ACTIVATION_STEP, COMPLETED_STEP, flag_col
+from ..session import materialise
 from ..sources import generate as G
 
 
@@ -60,28 +60,25 @@ def split_exact(features: DataFrame, label: str, test_size: float = 0.25, seed:
     """Exactly stratified split: ceil(test_size * n) of all n users are tested, dealt to the labels by
     largest remainder (ties to the smaller label, NULL first), and within each label those with the smallest draw.
 
-    Sizes are whole-number arithmetic. Ranks come from block-wise running totals over a unique
-    (draw, user_id) key, so a label holding most rows is still spread over many
-    tasks and the result does not depend on partitioning. A NULL label is a label like any other."""
-    draw = F.conv(F.substring(F.md5(F.concat(F.col("user_id").cast("string"), F.lit(f":split:{seed}"))), 1, 13),
-                  16, 10).cast("decimal(38,0)")
-    # draw < 2^52 and 0 <= user_id < 10^19: the decimal key is unique per user.
-    key = draw * F.lit(Decimal(10 ** 19)).cast("decimal(38,0)") + F.col("user_id").cast("decimal(38,0)")
-    ranked = running_totals(features.withColumn("_split_key", key).withColumn("_one", F.lit(1).cast("long")),
-                            "_split_key", ["_one"], [label], totals=True)
+    Sizes are whole-number arithmetic. Ranks come from block-wise running totals over the unique key (draw, user_id), so a
+    label holding most rows is still spread over many tasks and the result does not depend on
+    partitioning. There may be any number of labels: sizes come from the written copy, turns from a distributed
+    order of the labels, and rows meet their label's quota by a null-safe join. A NULL label is a label like any other."""
+    draw = F.conv(F.substring(F.md5(F.concat(F.col("user_id").cast("string"), F.lit(f":split:{seed}"))), 1, 13), 16, 10).cast("long")
+    key, one, own, cum, tot = ("_split_key", "_one", "_label", "cum__one", "tot__one")
+    ranked = running_totals(features.withColumn(key, F.struct(draw.alias("draw"), F.col("user_id"))).withColumn(one, F.lit(1).cast("long"))
+                            .withColumn(own, F.struct(F.lit(0).alias("_"), F.col(label).alias("l"))), key, [one], [label], totals=True)
+    big = "decimal(38,0)"
     share = Fraction(str(test_size))
-    # One row: label (as JSON text) -> users to test. A label is a class, so the map is small.
-    sizes = features.groupBy(label).agg(F.count(F.lit(1)).cast("decimal(38,0)").alias("n"))
-    sizes = sizes.agg(F.collect_list(F.struct(F.to_json(F.struct(label)).alias("k"), F.col(label).alias("l"), "n")).alias("s"))
-    sizes = sizes.selectExpr("s", "aggregate(s, CAST(0 AS DECIMAL(38,0)), (a, x) -> CAST(a + x.n AS DECIMAL(38,0))) AS total")
-    sizes = sizes.selectExpr("s", "total", f"(total * {share.numerator} + {share.denominator - 1}) div {share.denominator} AS want")
-    sizes = sizes.selectExpr("want", "transform(array_sort(transform(s, x -> struct(-((want * x.n) % total) AS r, x.l AS l, x.k AS k, "
-                             "(want * x.n) div total AS f))), x -> x) AS s")
-    sizes = sizes.selectExpr("s", "want - aggregate(s, 0L, (a, x) -> a + x.f) AS rest")
-    sizes = sizes.selectExpr("map_from_entries(transform(s, (x, i) -> struct(x.k, x.f + IF(i < rest, 1, 0)))) AS _cuts", "1 AS _j")
-    cut = F.expr(f"_cuts[to_json(struct({sql_ident(label)}))]")
-    return (ranked.withColumn("_j", F.lit(1)).join(F.broadcast(sizes), "_j")
-            .withColumn(col, F.col("cum__one") <= cut).drop("_split_key", "_one", "cum__one", "tot__one", "_cuts", "_j"))
+    sizes = materialise(ranked.groupBy(own).agg(F.max(tot).cast(big).alias("n")), "sizes").withColumn("_k", F.lit(1))
+    total = sizes.groupBy("_k").agg(F.sum("n").cast(big).alias("total")).selectExpr(
+        "_k", "total", f"CAST((total * {share.numerator} + {share.denominator - 1}) div {share.denominator} AS {big}) AS want")
+    dealt = sizes.join(F.broadcast(total), "_k").selectExpr(  # one row
+        own, "want", f"CAST((want * n) div total AS {big}) AS whole", "(want * n) % total AS left")
+    turns = dense_ids(dealt, [F.desc("left"), F.asc(own)], "turn").withColumn("_k", F.lit(1))
+    rest = turns.groupBy("_k").agg((F.max("want") - F.sum("whole")).alias("rest"))
+    quota = materialise(turns.join(F.broadcast(rest), "_k").select(own, (F.col("whole") + (F.col("turn") <= F.col("rest")).cast("int")).alias("_quota")), "quota")
+    return ranked.join(quota, own).withColumn(col, F.col(cum) <= F.col("_quota")).drop(key, one, own, cum, tot, "_quota")
 
 
 def process_score(features: DataFrame, out_col: str = "score") -> DataFrame:

@@ -1,17 +1,16 @@
-"""Exact running totals over an ordered key without a global (single-task) window.
+"""Positions and running totals over an ordered key without a global (single-task) window.
 
-A plain ``Window.orderBy(key)`` moves every row into one task. Here the key range is cut into
-blocks, block sums are turned into block offsets, and the running total inside each block is
-a window partitioned by ``(group, block)``. The blocks are cut over the keys of all groups
-together, so finding a row's block needs no join on the group: a group that holds most rows is
-spread over all blocks, and no exchange is keyed by the group alone.
+A plain ``Window.orderBy(key)`` moves every row into one task. Here the rows are range-partitioned by
+Spark, sorted inside their partition and written once; a partition is a block, its id is stored with
+the row, and a recomputed stage reads the same blocks. One count or sum per block becomes an offset:
 
-Block boundaries are a pure function of the data: a hash-sampled subset of the keys, sorted, of which
-evenly spaced ones are taken (``OVERSAMPLE`` sampled keys per block keep the blocks even). A stage
-recomputed after a lost executor assigns every row to the same block (an approximate
-quantile sketch could merge differently). The number of blocks follows the row count
-(``ROWS_PER_BLOCK``). Rows find their block in two steps, coarse and fine, each over about the square
-root of the number of blocks.
+* ``dense_ids`` numbers the rows of a block where they are written and adds the rows before the block;
+* ``running_totals`` range-partitions by (group, key), so a group that holds most rows lies in many
+  blocks, and adds the sums of the group's earlier blocks to a window inside (group, block).
+
+The tables of offsets have one row per block (and, for totals, one more per group that starts inside
+a block): their windows see at most as many rows as the session has shuffle partitions. Nothing is sampled
+or collected by this module, and no array grows with the rows.
 
 Groups are compared as one struct, so a NULL group is a group like any other.
 """
@@ -25,37 +24,24 @@ from pyspark.sql import functions as F
 
 from ..session import materialise
 
-_KEY, _GROUP, _BLOCK, _SUPER, _ONE = "_ff_key", "_ff_group", "_ff_block", "_ff_super", "_ff_one"
-ROWS_PER_BLOCK = 1 << 18
-OVERSAMPLE = 16
-#: Blocks whose offsets are summed by one window task.
+_KEY, _GROUP, _BLOCK, _SUPER, _AT = "_ff_key", "_ff_group", "_ff_block", "_ff_super", "_ff_at"
+#: Blocks whose offsets are summed by one window task where the caller gives the blocks.
 SUPER_BLOCK = 1024
+#: monotonically_increasing_id: the partition above this bit, the row below.
+_ROW_BITS = 33
 
 
-def block_boundaries(df: DataFrame, key: str, blocks: int | None = None) -> DataFrame:
-    """One row: ``bounds``, arrays of boundary keys (coarse: the first key of each, but the first).
-
-    About ``blocks`` blocks (default: one per ROWS_PER_BLOCK rows, and the shuffle parallelism at least).
-    """
-    least = max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
-    want = F.lit(blocks) if blocks else F.greatest(F.lit(least), F.ceil(F.count(F.lit(1)) / F.lit(ROWS_PER_BLOCK)))
-    rate = df.agg(want.cast("long").alias("_ff_n"), F.count(F.lit(1)).alias("_ff_rows")).select(
-        F.lit(1).alias(_ONE), F.greatest(F.lit(1).cast("long"), F.expr(f"_ff_rows div (_ff_n * {OVERSAMPLE})")).alias("_ff_mod"), "_ff_n")
-    sampled = (df.withColumn(_ONE, F.lit(1)).join(F.broadcast(rate), _ONE)  # one row
-               .filter(F.pmod(F.xxhash64(F.col(key)), F.col("_ff_mod")) == 0)
-               .agg(F.sort_array(F.collect_set(key)).alias("_ff_s"), F.max("_ff_n").alias("_ff_n")))
-    step = "greatest(1, size(_ff_s) div _ff_n)"
-    even = sampled.select(F.expr(f"filter(_ff_s, (x, i) -> (i + 1) % {step} = 0)").alias("_ff_b"))
-    wide = "greatest(1, CAST(ceil(sqrt(size(_ff_b))) AS INT))"
-    return even.select(F.expr(
-        f"transform(sequence(0, greatest(0, CAST(ceil(size(_ff_b) / {wide}) AS INT) - 1)), i -> slice(_ff_b, i * {wide} + 1, {wide}))").alias("bounds"))
-
-
-def _block_of(bounds: str, key: str) -> Column:
-    """Number of boundaries below the key, by the coarse part that holds it and then inside that part."""
-    coarse = f"greatest(size(filter({bounds}, b -> b[0] < {key})) - 1, 0)"
-    return F.expr(f"CASE WHEN {key} IS NULL OR size({bounds}[0]) = 0 THEN 0L ELSE CAST({coarse} * size({bounds}[0]) + "
-                  f"size(filter({bounds}[{coarse}], b -> b < {key})) AS BIGINT) END")
+def dense_ids(df: DataFrame, order: Sequence[str | Column], name: str = "position", start: int = 1,
+              blocks: int | None = None) -> DataFrame:
+    """df plus ``name``: start, start + 1, .. in the order given (which should be unique; ties are in any order)."""
+    ranged = df.repartitionByRange(blocks, *order) if blocks else df.repartitionByRange(*order)
+    held = materialise(ranged.sortWithinPartitions(*order).withColumn(_AT, F.monotonically_increasing_id()), "positions")
+    block = F.shiftright(_AT, _ROW_BITS)
+    sizes = held.groupBy(block.alias(_BLOCK)).agg(F.count(F.lit(1)).alias("_ff_n"))
+    before = sizes.select(_BLOCK, (F.sum("_ff_n").over(Window.orderBy(_BLOCK)) - F.col("_ff_n")).alias("_ff_before"))
+    row = F.col(_AT).bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
+    return (held.withColumn(_BLOCK, block).join(F.broadcast(before), _BLOCK)  # one row per written partition
+            .select(*df.columns, (row + F.col("_ff_before") + F.lit(start)).alias(name)))
 
 
 def running_totals(df: DataFrame, order_col: str, value_cols: Sequence[str],
@@ -65,39 +51,43 @@ def running_totals(df: DataFrame, order_col: str, value_cols: Sequence[str],
     """Add ``cum_<v>`` = sum of ``v`` over rows of the same group whose key is at or
     before the current one (inclusive). The order key must be unique within a group
     (aggregate to distinct keys first). With ``totals``, also ``tot_<v>`` = the group's
-    sum, taken from the block table (no extra pass over the data)."""
+    sum, taken from the block table (no extra pass over the data). ``blocks`` sets the number of range
+    partitions (default: the session's); ``block_expr`` takes the place of range partitions where it rises with the key."""
     group_cols, value_cols = list(group_cols), list(value_cols)
-    if block_expr is None:  # boundaries, block sums and rows are three passes over the input
-        df = materialise(df, "prefix")
     key = -F.col(order_col) if descending else F.col(order_col)
     base = df.withColumn(_KEY, key).withColumn(_GROUP, F.struct(F.lit(0).alias("_"), *group_cols))
-
     if block_expr is not None:
         withb = base.withColumn(_BLOCK, block_expr.cast("long"))
     else:
-        bounds = block_boundaries(base, _KEY, blocks).withColumn(_ONE, F.lit(1))
-        withb = (base.withColumn(_ONE, F.lit(1)).join(F.broadcast(bounds), _ONE, "left")  # one row
-                 .withColumn(_BLOCK, _block_of("bounds", _KEY)).drop("bounds", _ONE))
-    withb = withb.withColumn(_SUPER, F.expr(f"{_BLOCK} div {SUPER_BLOCK}"))
+        ranged = base.repartitionByRange(blocks, _GROUP, _KEY) if blocks else base.repartitionByRange(_GROUP, _KEY)
+        withb = materialise(ranged.withColumn(_BLOCK, F.spark_partition_id().cast("long")), "prefix")
 
-    # Offsets in two levels: over the super blocks of a group, and over the blocks of a super block.
     part = [f"_ff_s_{v}" for v in value_cols]
-    sums = withb.groupBy(_GROUP, _SUPER, _BLOCK).agg(*[F.sum(v).alias(p) for v, p in zip(value_cols, part)])
-    by_super = sums.groupBy(_GROUP, _SUPER).agg(*[F.sum(p).alias(p) for p in part])
-    before = Window.partitionBy(_GROUP).orderBy(_SUPER).rowsBetween(Window.unboundedPreceding, -1)
+    sums = withb.groupBy(_GROUP, _BLOCK).agg(*[F.sum(v).alias(p) for v, p in zip(value_cols, part)])
+    offsets = _offsets(sums, value_cols, part, totals, blocks_given=block_expr is not None)
+    joined = withb.join(offsets, [_GROUP, _BLOCK])
+
+    wr = Window.partitionBy(_GROUP, _BLOCK).orderBy(_KEY).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    out = joined.withColumns({f"{prefix}{v}": F.col(f"_ff_o_{v}") + F.sum(v).over(wr) for v in value_cols})
+    return out.drop(_KEY, _GROUP, _BLOCK, *[f"_ff_o_{v}" for v in value_cols])
+
+
+def _offsets(sums: DataFrame, value_cols: list, part: list, totals: bool, blocks_given: bool) -> DataFrame:
+    """(group, block, _ff_o_<v>, tot_<v>): what lies before each block of a group."""
     whole = Window.partitionBy(_GROUP)
+    if not blocks_given:  # a group has at most one row per range partition
+        before = whole.orderBy(_BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+        return sums.select(_GROUP, _BLOCK, *[F.coalesce(F.sum(p).over(before), F.lit(0)).alias(f"_ff_o_{v}") for v, p in zip(value_cols, part)],
+                           *([F.sum(p).over(whole).alias(f"tot_{v}") for v, p in zip(value_cols, part)] if totals else []))
+    # Any number of blocks: offsets of super blocks of a group, and of the blocks of a super block.
+    sums = sums.withColumn(_SUPER, F.expr(f"{_BLOCK} div {SUPER_BLOCK}"))
+    by_super = sums.groupBy(_GROUP, _SUPER).agg(*[F.sum(p).alias(p) for p in part])
+    before = whole.orderBy(_SUPER).rowsBetween(Window.unboundedPreceding, -1)
     supers = by_super.select(
         _GROUP, _SUPER, *[F.coalesce(F.sum(p).over(before), F.lit(0)).alias(f"_ff_a{p}") for p in part],
         *([F.sum(p).over(whole).alias(f"tot_{v}") for v, p in zip(value_cols, part)] if totals else []))
     inner = Window.partitionBy(_GROUP, _SUPER).orderBy(_BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select(_GROUP, _SUPER, _BLOCK, *[F.coalesce(F.sum(p).over(inner), F.lit(0)).alias(f"_ff_b{p}") for p in part])
-    offsets = offsets.join(supers, [_GROUP, _SUPER]).select(
+    return offsets.join(supers, [_GROUP, _SUPER]).select(
         _GROUP, _BLOCK, *[(F.col(f"_ff_a{p}") + F.col(f"_ff_b{p}")).alias(f"_ff_o_{v}") for v, p in zip(value_cols, part)],
         *([f"tot_{v}" for v in value_cols] if totals else []))
-    joined = withb.drop(_SUPER).join(offsets, [_GROUP, _BLOCK])
-
-    wr = Window.partitionBy(_GROUP, _BLOCK).orderBy(_KEY).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = joined
-    for v in value_cols:
-        out = out.withColumn(f"{prefix}{v}", F.col(f"_ff_o_{v}") + F.sum(v).over(wr))
-    return out.drop(_KEY, _GROUP, _BLOCK, *[f"_ff_o_{v}" for v in value_cols])

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..operators.experiment import ab_test
 from ..schemas import COMPLETED_STEP, STEPS
+from .prefix import dense_ids
 
 # Column names; a leading "-" means descending, "|" an absolute value.
 ORDERINGS = {
@@ -38,6 +39,12 @@ def ordered(df: DataFrame, report: str) -> DataFrame:
     return df.orderBy(*[_key(s) for s in ORDERINGS[report]])
 
 
+def positioned(df: DataFrame, report: str | list[str]) -> DataFrame:
+    """df plus ``position`` (from 1) in the report's order: a total order as a column, from range
+    partitions and offsets, so that it survives storage and no task sorts all rows."""
+    return dense_ids(df, [_key(s) for s in (ORDERINGS[report] if isinstance(report, str) else report)])
+
+
 def group_means_desc(df: DataFrame, dim: str, rate: str = "rate") -> DataFrame:
     """Group means, highest first (ties by the group value)."""
     return df.orderBy(F.desc(rate), F.col(dim))

@@ -125,16 +125,24 @@ def test_approximate_median_is_close(spark):
     assert abs(exact - approx) < 1.0
 
 
-def test_block_boundaries_do_not_depend_on_partitioning(spark):
-    from funnelforge.plans.prefix import block_boundaries
+def test_dense_ids_number_every_row_once_in_order(spark):
+    from funnelforge.plans.prefix import dense_ids
 
     rnd = random.Random(8)
-    rows = [("a" if rnd.random() < 0.7 else "b", rnd.random()) for _ in range(4000)]
-    df = spark.createDataFrame(rows, "g string, k double")
-    one = block_boundaries(df.repartition(3), "k", 40).first()["bounds"]
-    two = block_boundaries(df.repartition(11, "k"), "k", 40).first()["bounds"]
-    flat = [x for part in one for x in part]
-    assert one == two and flat == sorted(flat) and 30 <= len(flat) <= 50
-    keys = sorted(k for _, k in rows)
-    size = [sum(1 for k in keys if lo < k <= hi) for lo, hi in zip([-1, *flat], [*flat, 2])]
-    assert max(size) < 3 * len(keys) / 40
+    rows = [(rnd.randint(0, 3), rnd.choice([None, "a", "b"]), i) for i in range(4000)]
+    df = spark.createDataFrame(rows, "u int, s string, i int")
+    want = sorted(rows, key=lambda r: (r[0], r[1] is not None, r[1] or "", r[2]))
+    for parts, blocks in ((3, 7), (11, None)):
+        got = dense_ids(df.repartition(parts), ["u", "s", "i"], "at", start=10, blocks=blocks).orderBy("at").collect()
+        assert [tuple(r) for r in got] == [(*r, k) for k, r in enumerate(want, 10)]
+    down = dense_ids(df, [F.desc("i")], "at").where("at <= 2").orderBy("at").collect()
+    assert [r["i"] for r in down] == [3999, 3998]
+    assert dense_ids(df.limit(0), ["u"], "at").count() == 0
+
+
+def test_blocks_come_from_range_partitions_without_arrays(spark):
+    df = spark.range(5000).selectExpr("id % 2 AS g", "id AS k", "1L AS v")
+    plan = running_totals(df, "k", ["v"], ["g"], blocks=16)._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_set" not in plan and "collect_list" not in plan and "cume" not in plan
+    spread = running_totals(df.where("g = 0"), "k", ["v"], ["g"], blocks=16)
+    assert spread.agg(F.max("cum_v")).first()[0] == 2500
