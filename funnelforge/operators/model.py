@@ -1,8 +1,10 @@
 """Activation-risk models on MLlib: one-hot encoding, logistic regression, gradient
-boosting, named coefficients and scoring.
+boosting, named coefficients, optimality of a fit, stored models and scoring.
 
 Training data is persisted (memory and disk) for the iterative fits and released
-afterwards; boosting checkpoints its lineage into the session's checkpoint folder.
+afterwards; boosting checkpoints its lineage into the session's checkpoint folder. Above ``EARLY_ROWS``
+rows boosting is watched by the loss on a tenth of the training rows. ``one_hot`` is the encoding as a
+relation (row, feature, value), for readers that want no vectors.
 """
 
 from __future__ import annotations
@@ -17,8 +19,13 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.columns import hash_uniform
 from ..schemas import CATEGORICAL, NUMERIC
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, materialise
+
+#: Rows above which boosting stops early, and the share of them that watches it.
+EARLY_ROWS, VALIDATION = 10_000, 0.1
+_HELD = "is_validation"
 
 
 def present(df: DataFrame, cols: Sequence[str]) -> list[str]:
@@ -39,9 +46,9 @@ def encoder_stages(categorical: Sequence[str], numeric: Sequence[str]) -> list:
     ]
 
 
-def _fit(train: DataFrame, estimator, target: str, categorical, numeric) -> PipelineModel:
+def _fit(train: DataFrame, estimator, target: str, categorical, numeric, columns: dict | None = None) -> PipelineModel:
     """``estimator`` makes the last stage from the number of training rows."""
-    data = train.withColumn("label", F.col(target).cast("double")).persist(StorageLevel.MEMORY_AND_DISK)
+    data = train.withColumns({"label": F.col(target).cast("double"), **(columns or {})}).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return Pipeline(stages=[*encoder_stages(categorical, numeric), estimator(data.count())]).fit(data)
     finally:
@@ -49,22 +56,35 @@ def _fit(train: DataFrame, estimator, target: str, categorical, numeric) -> Pipe
 
 
 def fit_logistic(train: DataFrame, target: str, categorical: Sequence[str] = CATEGORICAL,
-                 numeric: Sequence[str] = NUMERIC, max_iter: int = 1000) -> PipelineModel:
+                 numeric: Sequence[str] = NUMERIC, max_iter: int = 1000, tol: float = 1e-10) -> PipelineModel:
     """L2 logistic regression with strength 1 per sample (regParam = 1 / n), unscaled inputs."""
     categorical, numeric = present(train, categorical), present(train, numeric)
     return _fit(train, lambda n: LogisticRegression(
-        maxIter=max_iter, regParam=1.0 / max(n, 1), elasticNetParam=0.0,
+        maxIter=max_iter, tol=tol, regParam=1.0 / max(n, 1), elasticNetParam=0.0,
         standardization=False, featuresCol="features", labelCol="label"), target, categorical, numeric)
 
 
 def fit_gbt(train: DataFrame, target: str, categorical: Sequence[str] = CATEGORICAL,
-            numeric: Sequence[str] = NUMERIC, max_iter: int = 100, seed: int = 42) -> PipelineModel:
-    """Gradient-boosted trees: 100 rounds, rate 0.1, depth 5, 20 rows per leaf, 255 bins."""
+            numeric: Sequence[str] = NUMERIC, max_iter: int = 100, seed: int = 42, early_stopping: bool | None = None,
+            validation: float = VALIDATION, tol: float = 1e-4, id_col: str = "user_id") -> PipelineModel:
+    """Gradient-boosted trees: at most 100 rounds, rate 0.1, depth 5, 20 rows per leaf, 255 bins.
+
+    With early stopping (default: above EARLY_ROWS rows) a share of the rows, drawn by a hash of the id, is held out of the trees;
+    a round that lowers the loss on them by less than ``tol`` of it is the last, and the model is the best prefix of the
+    rounds. ``rounds`` tells how many were kept."""
     categorical, numeric = present(train, categorical), present(train, numeric)
     checkpoint_dir(train.sparkSession)
     gbt = GBTClassifier(maxIter=max_iter, stepSize=0.1, maxDepth=5, minInstancesPerNode=20, maxBins=255,
                         seed=seed, checkpointInterval=10, featuresCol="features", labelCol="label")
-    return _fit(train, lambda n: gbt, target, categorical, numeric)
+    watched = gbt.copy({gbt.validationIndicatorCol: _HELD, gbt.validationTol: tol})
+    held = hash_uniform(F.col(id_col), "validation", seed) < F.lit(validation)
+    return _fit(train, lambda n: watched if early_stopping or (early_stopping is None and n > EARLY_ROWS) else gbt,
+                target, categorical, numeric, {_HELD: held})
+
+
+def rounds(model: PipelineModel) -> int:
+    """Boosting rounds that a fitted model keeps."""
+    return model.stages[-1].getNumTrees
 
 
 def score(model: PipelineModel, df: DataFrame, keep: Sequence[str] = ("user_id",), target: str | None = None,
@@ -74,19 +94,60 @@ def score(model: PipelineModel, df: DataFrame, keep: Sequence[str] = ("user_id",
     return model.transform(df).select(*cols, vector_to_array("probability")[1].alias(out_col))
 
 
+def feature_names(model: PipelineModel) -> list[str]:
+    """The names of the feature vector's slots."""
+    assembler, indexer = model.stages[-2], model.stages[0]
+    names = [f"{col}_{v}" for col, labels in zip(indexer.getInputCols(), indexer.labelsArray) for v in labels]  # dropLast removes only the unknown slot
+    return names + [c for c in assembler.getInputCols() if not c.endswith("__ohe")]
+
+
 def coefficients(model: PipelineModel) -> list[tuple[str, float]]:
     """(feature name, coefficient) of the logistic stage, largest |effect| first."""
-    lr = model.stages[-1]
-    assembler = model.stages[-2]
-    indexer = model.stages[0]
-    names = []
-    for col, labels in zip(indexer.getInputCols(), indexer.labelsArray):
-        names += [f"{col}_{v}" for v in labels]  # dropLast removes only the unknown slot
-    names += [c for c in assembler.getInputCols() if not c.endswith("__ohe")]
-    coefs = lr.coefficients.toArray().tolist()
-    return sorted(zip(names, coefs), key=lambda t: -abs(t[1]))
+    return sorted(zip(feature_names(model), model.stages[-1].coefficients.toArray().tolist()), key=lambda t: -abs(t[1]))
 
 
 def coefficients_frame(spark, model: PipelineModel) -> DataFrame:
     rows = coefficients(model)
     return spark.createDataFrame(rows, "feature string, coefficient double")
+
+
+def logistic_gradient(model: PipelineModel, train: DataFrame, target: str) -> DataFrame:
+    """feature, gradient, scale: the derivative of the penalised mean log-loss by each coefficient (and the intercept) at the fit,
+    and the root mean square of the feature on ``train``. At the optimum every gradient is 0.
+
+    One pass: each row emits its non-zero features times its residual, which add up before the shuffle."""
+    last, spark = model.stages[-1], train.sparkSession
+    names = [*feature_names(model), "intercept"]
+    slots = spark.createDataFrame(list(enumerate(zip(names, [*last.coefficients.toArray().tolist(), 0.0]))), "pos int, slot struct<feature: string, coefficient: double>")
+    scored = model.transform(train.withColumn("label", F.col(target).cast("double")))
+    x = F.concat(vector_to_array("features"), F.array(F.lit(1.0)))
+    rows = scored.select((vector_to_array("probability")[1] - F.col("label")).alias("off"), F.posexplode(x))
+    sums = rows.groupBy("pos").agg(F.sum(F.col("col") * F.col("off")).alias("g"), F.sum(F.col("col") * F.col("col")).alias("q"), F.count(F.lit(1)).alias("n"))
+    return sums.join(slots, "pos").select("slot.feature", (F.col("g") / F.col("n") + F.lit(last.getRegParam()) * F.col("slot.coefficient")).alias("gradient"),
+                                          F.sqrt(F.col("q") / F.col("n")).alias("scale"))
+
+
+def categories(train: DataFrame, categorical: Sequence[str] = CATEGORICAL) -> DataFrame:
+    """column, value: every value that a categorical column takes, NULL excepted; a stored table."""
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in present(train, categorical)]))
+    return materialise(train.select(pairs.alias("p")).select("p.*").where("value IS NOT NULL").distinct(), "categories")
+
+
+def one_hot(df: DataFrame, known: DataFrame, categorical: Sequence[str] = CATEGORICAL, numeric: Sequence[str] = NUMERIC,
+            id_col: str = "user_id") -> DataFrame:
+    """id, feature, value: the one-hot matrix as a sparse relation. A category is a feature ``column_value`` of value 1; one that ``known`` does
+    not list, or NULL, has no row. Numeric columns are passed through, zeros and NULLs without a row."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in present(df, categorical)])
+    hot = (df.select(id_col, F.explode(pairs).alias("p")).select(id_col, "p.*").join(known, ["column", "value"])
+           .select(id_col, F.concat_ws("_", "column", "value").alias("feature"), F.lit(1.0).alias("value")))
+    plain = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in present(df, numeric)])
+    return hot.unionByName(df.select(id_col, F.inline(plain)).where("value <> 0"))
+
+
+def save(model: PipelineModel, path: str) -> None:
+    """Store a fitted model, its category lists and feature names with it, in shared storage."""
+    model.write().overwrite().save(path)
+
+
+def load(path: str) -> PipelineModel:
+    return PipelineModel.load(path)

@@ -235,6 +235,38 @@ def schema_problems(df: DataFrame, required: Sequence[str], forbidden: Sequence[
     return out
 
 
+def schema_contract(tables: dict[str, DataFrame], required: dict[str, Sequence[str]], forbidden: dict[str, Sequence[str]]) -> DataFrame:
+    """table_name, column_name, rule, data_type, passed: the analysed schemas as a relation, joined with the columns that each table must
+    and must not have. No data are read; names are compared exactly."""
+    spark = next(iter(tables.values())).sparkSession
+    schema = spark.createDataFrame([(t, f.name, f.dataType.simpleString()) for t, df in tables.items() for f in df.schema.fields],
+                                   "table_name string, column_name string, data_type string")
+    rules = spark.createDataFrame([(t, c, rule) for rule, by in (("required", required), ("forbidden", forbidden)) for t, cols in by.items() for c in cols],
+                                  "table_name string, column_name string, rule string")
+    there = F.col("data_type").isNotNull()
+    return rules.join(schema, ["table_name", "column_name"], "left").select(
+        "table_name", "column_name", "rule", "data_type", F.when(F.col("rule") == "required", there).otherwise(~there).alias("passed"))
+
+
+def fingerprint(df: DataFrame) -> DataFrame:
+    """rows, hash_one, hash_two: one row that is equal for equal multisets of rows, whatever their order and partitions.
+
+    Two 64-bit row hashes are added as whole numbers: partial sums merge in any order, and a table of any size
+    is compared by three numbers instead of by two set differences. Repeated rows count as often as they occur."""
+    row = [F.col(f"`{c}`") for c in sorted(df.columns)]
+    one, two = F.xxhash64(F.lit(1), *row), F.xxhash64(F.lit(2), *reversed(row))
+    present = [F.xxhash64(*[c.isNull() for c in row])]  # NULL leaves a hash as it is: (NULL, 1) and (1, NULL) must differ
+    whole = lambda h: F.coalesce(F.sum(F.xxhash64(h, *present).cast("decimal(38,0)")), F.lit(0).cast("decimal(38,0)"))
+    return df.agg(F.count(F.lit(1)).alias("rows"), whole(one).alias("hash_one"), whole(two).alias("hash_two"))
+
+
+def same_fingerprint(check: str, a: DataFrame, b: DataFrame, equal: bool = True) -> DataFrame:
+    """check_name, rows (of a), passed: whether two tables hold the same rows (or, with ``equal`` false, do not)."""
+    both = fingerprint(a).join(fingerprint(b).withColumnsRenamed({"rows": "n", "hash_one": "h1", "hash_two": "h2"}))  # one row each
+    same = (F.col("rows") == F.col("n")) & (F.col("hash_one") == F.col("h1")) & (F.col("hash_two") == F.col("h2"))
+    return both.select(F.lit(check).alias("check_name"), "rows", (same == F.lit(equal)).alias("passed"))
+
+
 def same_rows(a: DataFrame, b: DataFrame) -> DataFrame:
     """Multiset equality as data: rows only in a, rows only in b (both 0 when equal)."""
     return a.exceptAll(b).agg(F.count(F.lit(1)).alias("only_left")).withColumn("_k", F.lit(1)).join(
@@ -242,4 +274,5 @@ def same_rows(a: DataFrame, b: DataFrame) -> DataFrame:
 
 
 __all__ = ["model_checks", "warehouse_checks", "funnel_monotone", "timestamps_in_step_order", "arm_balance",
-           "rate_spread_check", "lift_above", "segment_contract", "feature_checks", "schema_problems", "same_rows"]
+           "rate_spread_check", "lift_above", "segment_contract", "feature_checks", "schema_problems", "schema_contract",
+           "fingerprint", "same_fingerprint", "same_rows"]
