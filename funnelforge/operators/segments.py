@@ -1,9 +1,9 @@
 """Cohort, segment and distribution reports over the user-grain tables.
 
-All are grouped aggregates (partial + final hash aggregation). Pivots take the values that
-the data hold (NULL as the column ``null``), so every row is in the table; naming the values
-saves that pass, and rows with other values are then counted in the column ``other``. The
-``*_long`` forms need neither.
+All are grouped aggregates (partial + final hash aggregation). Pivots are null-safe conditional
+aggregates, one per column. They take the values that the data hold (NULL as the column ``null``), so every row is in
+the table; naming the values saves that pass, and rows with other values (NULL too, unless listed as None) are then counted in
+the column ``other``. A column whose name is taken already gets an underscore. The ``*_long`` forms need neither.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import safe_div, week_start_sunday
 from ..schemas import ACTIVATION_STEP, flag_col
+from ..session import materialise
 from .funnel import with_reached
 
 #: Columns of a pivot whose values are looked up.
@@ -45,22 +46,43 @@ def segment_activation(funnel: DataFrame, activation_step: str = ACTIVATION_STEP
     return agg.filter(F.col("users") >= F.lit(min_users))
 
 
-def pivot_values(df: DataFrame, col: str, most: int = MAX_PIVOT) -> list[str]:
-    """The distinct values of a column as pivot column names, sorted; more than ``most`` raise an error."""
+def pivot_values(df: DataFrame, col: str, most: int = MAX_PIVOT) -> list[str | None]:
+    """The distinct values of a column as text, sorted, None (for NULL) last; more than ``most`` raise an error."""
     found = [r[0] for r in df.select(F.col(col).cast("string")).distinct().limit(most + 1).collect()]
     if len(found) > most:
         raise ValueError(f"{col} has more than {most} values: use the long form")
-    return sorted(v for v in found if v is not None) + ["null"] * (None in found)
-
-
-def _named(df: DataFrame, col: str, col_values: Sequence[str] | None) -> tuple[DataFrame, list[str]]:
-    """The pivot column without NULLs and unlisted values, and the columns that the table needs."""
-    name = F.coalesce(F.col(col).cast("string"), F.lit("null"))
-    if col_values is None:
-        return df.withColumn(col, name), pivot_values(df, col)
-    listed = [v for v in col_values]
-    out = df.withColumn(col, F.when(name.isin(listed), name).otherwise(F.lit("other")))
-    return out, listed + ["other"] * (not out.filter(F.col(col) == "other").isEmpty() and "other" not in listed)
+    return sorted(v for v in found if v is not None) + [None] * (None in found)
+
+
+def pivot_names(row: str, values: Sequence[str | None], rest: bool = False) -> list[str]:
+    """Column names of pivoted values: the value itself, ``null`` for NULL and, with ``rest``, ``other`` for all that is not listed. A name
+    that is taken (by the row's column, by a value that differs in case, by a value ``null`` or ``other``) gets underscores."""
+    taken, out = {row.lower()}, {}
+    for key in sorted(range(len(values)), key=lambda i: values[i] is None):  # real values first
+        name = "null" if values[key] is None else values[key]
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out[key] = name
+    names = [out[i] for i in range(len(values))]
+    if rest:
+        name = "other"
+        while name.lower() in taken:
+            name += "_"
+        names.append(name)
+    return names
+
+
+def _pivot(df: DataFrame, row: str, col: str, col_values: Sequence[str | None] | None, cell) -> tuple[DataFrame, list[str]]:
+    """One aggregate per row value with ``cell(condition)`` for every listed value, null-safely, and for the rest where values are given."""
+    values = pivot_values(df, col) if col_values is None else list(col_values)
+    names = pivot_names(row, values, rest=col_values is not None)
+    text = F.col(col).cast("string")
+    is_ = [text.eqNullSafe(F.lit(v)) for v in values]
+    if col_values is not None:
+        listed = text.isin([v for v in values if v is not None])
+        is_.append(~F.coalesce(listed, F.lit(None in values)))
+    return df.groupBy(row).agg(*[cell(c).alias(n) for c, n in zip(is_, names)]), names
 
 
 def activation_heatmap_long(users: DataFrame, events: DataFrame, activation_step: str = ACTIVATION_STEP,
@@ -74,10 +96,14 @@ def activation_heatmap_long(users: DataFrame, events: DataFrame, activation_step
 def activation_heatmap(users: DataFrame, events: DataFrame, activation_step: str = ACTIVATION_STEP,
                        rows: str = "country", cols: str = "platform",
                        col_values: Sequence[str] | None = None) -> DataFrame:
-    """rows x cols activation rate in percent (users without events count as 0)."""
+    """rows x cols activation rate in percent (users without events count as 0; no users: NULL).
+
+    With ``col_values`` the column ``other`` holds the users with any other value; without any it is NULL. Without, one
+    pass looks up the values."""
     flagged = with_reached(users.select("user_id", rows, cols), events, activation_step, "activated")
-    named, values = _named(flagged, cols, col_values)
-    return named.groupBy(rows).pivot(cols, values).agg(F.avg(F.col("activated").cast("double")) * F.lit(100))
+    if col_values is None:
+        flagged = materialise(flagged, "flagged")  # read for the values, then for the cells
+    return _pivot(flagged, rows, cols, col_values, lambda c: F.avg(F.when(c, F.col("activated").cast("double"))) * F.lit(100))[0]
 
 
 def rate_by(df: DataFrame, dim: str, flag: str) -> DataFrame:
@@ -114,11 +140,8 @@ def crosstab_shares_long(df: DataFrame, row: str, col: str, decimals: int = 3) -
 def crosstab_shares(df: DataFrame, row: str, col: str, col_values: Sequence[str] | None = None,
                     decimals: int = 3) -> DataFrame:
     """Row-normalised crosstab, rounded; a missing cell is 0. Shares are of all rows of ``df``."""
-    named, values = _named(df, col, col_values)
-    wide = named.groupBy(row).pivot(col, values).agg(F.count(F.lit(1)))
-    total = sum((F.coalesce(F.col(f"`{v}`"), F.lit(0)) for v in values), F.lit(0))
-    return wide.select(row, *[F.round(safe_div(F.coalesce(F.col(f"`{v}`"), F.lit(0)), total), decimals).alias(v)
-                              for v in values])
+    cell = lambda c: F.round(safe_div(F.coalesce(F.sum(F.when(c, F.lit(1))), F.lit(0)), F.count(F.lit(1))), decimals)
+    return _pivot(df, row, col, col_values, cell)[0]
 
 
 def profile(df: DataFrame, id_col: str = "user_id") -> DataFrame:

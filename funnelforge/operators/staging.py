@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,6 +33,6 @@ def dim_users(users: DataFrame) -> DataFrame:
     return users.select("user_id", "variant", "country", "platform", "signup_ts", "signup_date")
 
 
-def preview(df: DataFrame, n: int = 5) -> DataFrame:
-    """First rows for a look at the data (a limit is the feature here)."""
-    return df.limit(n)
+def preview(df: DataFrame, n: int = 5, order: Sequence[str] = ()) -> DataFrame:
+    """First rows for a look at the data (a limit is the feature here); in the given order, each task keeps its first n."""
+    return (df.orderBy(*order) if order else df).limit(n)

@@ -36,6 +36,19 @@ def time_to_activate(users: DataFrame, events: DataFrame, start_step: str = STAR
         "user_id", *keep, fractional_minutes("t0", "t1").alias("minutes_to_activate"))
 
 
+def step_deadlines(events: DataFrame, steps: Sequence[str], minutes: int) -> DataFrame:
+    """user_id, funnel_step, step_order, first_ts, due_ts: one frame per step under one another, each user's first event of the step
+    and the time ``minutes`` later by which the next step is due.
+
+    One conditional aggregate per user instead of a scan per step, then one row per step reached."""
+    name = F.col("event_name")
+    firsts = events.where(name.isin(list(steps))).groupBy("user_id").agg(
+        *[F.min(F.when(name == F.lit(s), F.col("event_ts"))).alias(f"_t{i}") for i, s in enumerate(steps)])
+    rows = F.array(*[F.struct(F.lit(s).alias("funnel_step"), F.lit(i + 1).alias("step_order"), F.col(f"_t{i}").alias("first_ts")) for i, s in enumerate(steps)])
+    return (firsts.select("user_id", F.inline(rows)).where(F.col("first_ts").isNotNull())
+            .withColumn("due_ts", F.col("first_ts") + F.make_dt_interval(mins=F.lit(minutes))))
+
+
 def _value_counts(df: DataFrame, value: str, group_cols: Sequence[str]) -> DataFrame:
     """Distinct (group, value) with counts: partial aggregation makes a popular value one row per task."""
     return df.filter(F.col(value).isNotNull()).groupBy(*group_cols, value).agg(F.count(F.lit(1)).alias("_n"))

@@ -369,6 +369,9 @@ def registry() -> dict:
         out[f"u_{name}"] = _build(fn, u_marts)
     for name, fn in _NULLS.items():
         out[f"u_nulls_{name}"] = _build(fn, nulls_marts)
+    from . import given
+
+    out |= given.registry()
     out["u_event_score_metrics"] = q_event_score_metrics
     out["u_event_score_by_variant"] = q_event_score_by_variant
     return out
