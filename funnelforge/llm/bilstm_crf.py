@@ -133,15 +133,18 @@ class Tagger:
 
     def decode(self, symbols: np.ndarray) -> np.ndarray:
         """The best tags [batch, time]."""
-        e, trans = self.emissions(symbols), self.p["trans"]
-        score, back = self.p["first"] + e[0], []
+        return np.stack([self.viterbi(e) for e in self.emissions(symbols).transpose(1, 0, 2)])
+
+    def viterbi(self, e: np.ndarray) -> np.ndarray:
+        """The best tags of one sequence of any length from its emissions [time, tags]."""
+        trans, score = self.p["trans"], self.p["first"] + e[0]
+        back = np.empty(e.shape, dtype=np.int64)
         for t in range(1, len(e)):
-            every = score[:, :, None] + trans[None]
-            back.append(every.argmax(1))
-            score = every.max(1) + e[t]
-        best = (score + self.p["last"]).argmax(1)
-        out = np.empty((len(symbols), len(e)), dtype=np.int64)
-        out[:, -1] = best
-        for t in range(len(e) - 2, -1, -1):
-            out[:, t] = best = back[t][np.arange(len(best)), best]
+            every = score[:, None] + trans
+            back[t] = every.argmax(0)
+            score = every.max(0) + e[t]
+        out = np.empty(len(e), dtype=np.int64)
+        out[-1] = best = int((score + self.p["last"]).argmax())
+        for t in range(len(e) - 1, 0, -1):
+            out[t - 1] = best = back[t, best]
         return out

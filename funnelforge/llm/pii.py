@@ -7,11 +7,12 @@ right check digit) and phone numbers (``+`` and 9 to 15 digits); matches that fa
 The *tagger* (``bilstm_crf``) learns from labelled windows: base spans of a bounded sample of
 documents, and copies whose spans are respelled (other separators, no ``+``). At scoring time,
 overlapping windows cover every place where a span can be added: every ``[0-9@]`` outside
-the base spans whose surroundings have an ``@`` or four digits. Each character takes its tag
-from the window that has it farthest from an edge, and runs of tags over the whole text
-become spans. A span is added if it meets no base span and passes its kind's check (an e-mail has an
-``@`` between two words with a dot; an IP has four parts of at most 255; a card has 13 to 19 digits and a right
-check digit; a phone number has 9 to 15 digits and a separator or ``+``).
+the base spans whose surroundings have an ``@`` or four digits, up to where names, hosts and numbers that begin there end. Each character
+takes its emissions from the window that has it farthest from an edge, and one Viterbi pass with the CRF's
+transitions decodes the whole stretch. A span is added if it meets no base span, does not cut a word, a
+number or a host in two, and passes its kind's check (an e-mail has an ``@`` between two words with a dot; an IP has four parts of at most
+255; a card has 13 to 19 digits and a right check digit; a phone number has 9 to 15 digits and a separator or ``+``). Numbers that fail a
+check are left alone, parts of them too.
 
 Null texts are empty; empty texts have no spans. Offsets are code points, the end exclusive. Repeated
 rows give equal results. If the sample has no base span, nothing is learned or added. Other
@@ -102,16 +103,25 @@ def base_spans(t: str) -> list[tuple[int, int, int]]:
 def plausible(kind: int, s: str) -> bool:
     """Whether a span that the tagger proposes may be added."""
     if kind == 0:
-        name, _, host = s.partition("@")
-        return bool(name.strip()) and bool(re.fullmatch(r"\s*[A-Za-z0-9-]+(\s*\.\s*[A-Za-z0-9-]+)+", host)) and len(s.split()) <= 8
+        return bool(re.fullmatch(r"[A-Za-z0-9._%+-]+\s*@\s*[A-Za-z0-9-]+(\s*\.\s*[A-Za-z0-9-]+)+", s)) and len(s.split()) <= 12
     if kind == 1:
-        parts = _DIGITS.sub("0", s) and re.findall(r"[0-9]+", s)
+        parts = re.findall(r"[0-9]+", s)
         return len(parts) == 4 and all(map(_small, parts)) and not re.search(r"[A-Za-z]", s)
     if kind == 2:
         return _is_card(s) and not re.search(r"[A-Za-z]", s)
     return 9 <= len(_digits(s)) <= 15 and bool(re.search(r"[-+ ().]", s)) and not re.search(r"[A-Za-z]", s)
 
 
+# What goes on beside a span, by kind: the left part of a longer name, number or address, and the right part.
+_LEFT = [re.compile(p) for p in (r"[A-Za-z0-9._%+@-]\Z", r"(?:\w|[0-9]\s?[.,:/-]\s?)\Z", r"(?:[\w+]|[0-9][ ./()-]{1,3})\Z", r"(?:[\w+]|[0-9][ ./()-]{1,3})\Z")]
+_RIGHT = [re.compile(p) for p in (r"[A-Za-z0-9@_-]|\.[A-Za-z0-9]|\s\.\s?[A-Za-z0-9]", r"\w|\s?[.,:/-]\s?[0-9]", r"\w|[ ./()-]{1,3}[0-9]", r"\w|[ ./()-]{1,3}[0-9]")]
+
+
+def cuts(kind: int, t: str, s: int, e: int) -> bool:
+    """Whether a span is only a part of a longer name, number or host in the text."""
+    return bool(_LEFT[kind].search(t[max(0, s - 4) : s]) or _RIGHT[kind].match(t, e))
+
+
 # Symbols: classes of letters, digits and blanks; each of these marks for itself; other.
 _MARKS = "@.+-()_%/:,;=#\"'|[]{}<>*&"
 _PAD, _OTHER = 0, 6
@@ -154,7 +164,30 @@ def places(t: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
         ats, digits = ats + (m.group() == "@"), digits + (m.group() != "@")
     if at is not None:
         out += [at] * (ats > 0 or digits >= 4)
-    return [(max(0, a - _AROUND), min(len(t), b + 1 + _AROUND)) for a, b in out]
+    return _widened(t, [(max(0, a - _AROUND), min(len(t), b + 1 + _AROUND)) for a, b in out])
+
+
+_NAME_ON = re.compile(r"[A-Za-z0-9_%+-]*(?:\s?\.\s?[A-Za-z0-9_%+-]+)*")
+
+
+def _widened(t: str, stretches: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Stretches up to where the name that the left edge cuts begins, and where the host or number that the right edge cuts ends; those
+    that then touch are one. Every character is passed once."""
+    out: list[tuple[int, int]] = []
+    for a, b in stretches:
+        low = out[-1][1] if out else 0
+        if b <= low:
+            continue
+        a = max(a, low)
+        while a > low and t[a - 1] in _LOCAL:
+            a -= 1
+        if t[b - 1] in _LOCAL or t[b - 1].isspace():
+            b = _NAME_ON.match(t, b).end()
+        if out and a <= low:
+            out[-1] = (out[-1][0], b)
+        else:
+            out.append((a, b))
+    return out
 
 
 def windows(stretch: tuple[int, int]) -> list[int]:
@@ -174,24 +207,29 @@ def spans_of(tags: np.ndarray) -> list[tuple[int, int, int]]:
     return out
 
 
-def added(t: str, base, stretches, tagged: dict[int, np.ndarray]) -> list[tuple[int, int, int]]:
-    """Spans of the windows' tags (by the window's start), reconciled over the text."""
+def reconciled(stretch: tuple[int, int], of_window: dict[int, np.ndarray]) -> np.ndarray:
+    """Emissions [length, tags] of a stretch: each character's from the window that has it farthest from an inner edge."""
+    a, b = stretch
+    e, depth = np.zeros((b - a, TAGS), dtype=np.float32), np.full(b - a, -1)
+    for w in windows(stretch):
+        n = min(WINDOW, b - w)
+        inner = np.minimum(np.arange(n) + (WINDOW if w == a else 0), np.arange(n)[::-1] + (WINDOW if w + WINDOW >= b else 0))
+        at = np.flatnonzero(inner > depth[w - a : w - a + n])
+        depth[w - a + at], e[w - a + at] = inner[at], of_window[w][at]
+    return e
+
+
+def added(t: str, base, stretches, tags: list[np.ndarray]) -> list[tuple[int, int, int]]:
+    """The spans of the stretches' tags that may be added."""
     out = []
-    for a, b in stretches:
-        tag, depth = np.zeros(b - a, dtype=np.int64), np.full(b - a, -1)
-        for w in windows((a, b)):
-            n = min(WINDOW, b - w)
-            inner = np.minimum(np.arange(n) + (WINDOW if w == a else 0), np.arange(n)[::-1] + (WINDOW if w + WINDOW >= b else 0))
-            better = inner > depth[w - a : w - a + n]
-            depth[w - a : w - a + n][better] = inner[better]
-            tag[w - a : w - a + n][better] = tagged[w][:n][better]
+    for (a, _), tag in zip(stretches, tags):
         for k, s, e in spans_of(tag):
             s, e = s + a, e + a
             while s < e and t[s].isspace():
                 s += 1
             while s < e and (t[e - 1].isspace() or t[e - 1] in ".,;:-"):
                 e -= 1
-            if s < e and plausible(k, t[s:e]) and not any(s < y and x < e for _, x, y in base):
+            if s < e and plausible(k, t[s:e]) and not cuts(k, t, s, e) and not any(s < y and x < e for _, x, y in base):
                 out.append((k, s, e))
     return out
 
@@ -204,25 +242,41 @@ def _padded(s: str) -> np.ndarray:
 
 
 def training_windows(t: str, r: np.random.Generator) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Labelled windows of one text: around base spans, respelled copies of them, and places without any."""
+    """Labelled windows of one text: around base spans, as they are and respelled, with all other spans that a window meets (whole or
+    cut by its edge), and places without any."""
     out = []
     base = base_spans(t)
     for k, s, e in base:
-        if e - s > WINDOW - 8:
+        if any(x < e and s < y and (x, y) != (s, e) for _, x, y in base):
             continue
-        for body in (t[s:e], _respelled(k, t[s:e], r)):
-            left = int(r.integers(0, WINDOW - len(body) + 1)) if len(body) < WINDOW else 0
-            left = min(left, s)
-            text = (t[s - left : s] + body + t[e : e + WINDOW])[:WINDOW]
-            if any(x < min(len(t), e + WINDOW) and y > s - left and (x, y) != (s, e) for _, x, y in base):
-                continue
+        for body in (t[s:e], _respelled(k, t[s:e], r), _respelled(k, t[s:e], r)):
+            start = s - min(s, int(r.integers(0, max(1, WINDOW - len(body)))))  # a span longer than the window is cut at its end
+            text = (t[start:s] + body + t[e : e + WINDOW])[:WINDOW]
             y = np.zeros(WINDOW, dtype=np.int64)
-            y[left : left + len(body)] = 2 + 2 * k
-            y[left] = 1 + 2 * k
+            moved = len(body) - (e - s)
+            for kind, x, z in base:
+                x, z = (x + moved, z + moved) if x >= e else (x, z + moved) if (x, z) == (s, e) else (x, z)
+                lo, hi = max(0, x - start), min(len(text), z - start)
+                if lo < hi:
+                    y[lo:hi] = 2 + 2 * kind
+                    if x >= start:
+                        y[lo] = 1 + 2 * kind
             out.append((_padded(text), y))
     for a, _ in places(t, base)[:2]:
-        out.append((_padded(t[a : a + WINDOW]), np.zeros(WINDOW, dtype=np.int64)))
-    return [x for x in out if len(x[1]) == WINDOW]
+        out.append(_unlabelled(t, a, base))
+    return out
+
+
+def _unlabelled(t: str, a: int, base) -> tuple[np.ndarray, np.ndarray]:
+    """The window at a place where a span could be added, with the base spans it meets."""
+    y = np.zeros(WINDOW, dtype=np.int64)
+    for kind, x, z in base:
+        lo, hi = max(0, x - a), min(WINDOW, z - a)
+        if lo < hi:
+            y[lo:hi] = 2 + 2 * kind
+            if x >= a:
+                y[lo] = 1 + 2 * kind
+    return _padded(t[a : a + WINDOW]), y
 
 
 def _respelled(kind: int, s: str, r: np.random.Generator) -> str:
@@ -272,12 +326,14 @@ def _all_spans(found: list[str | None], model: Tagger | None) -> list[tuple[list
         return [(b, []) for b in base]
     where = [places(t, b) for t, b in zip(found, base)]
     asked = [(i, w) for i, x in enumerate(where) for stretch in x for w in windows(stretch)]
-    tagged: list[dict[int, np.ndarray]] = [{} for _ in found]
+    of_window: list[dict[int, np.ndarray]] = [{} for _ in found]
     for at in range(0, len(asked), 512):
         some = asked[at : at + 512]
-        for (i, w), y in zip(some, model.decode(np.stack([_padded(found[i][w : w + WINDOW]) for i, w in some]))):
-            tagged[i][w] = y
-    return [(b, added(t, b, x, y)) for t, b, x, y in zip(found, base, where, tagged)]
+        e = model.emissions(np.stack([_padded(found[i][w : w + WINDOW]) for i, w in some]))
+        for j, (i, w) in enumerate(some):
+            of_window[i][w] = e[:, j]
+    tags = [[model.viterbi(reconciled(x, own)) for x in some] for some, own in zip(where, of_window)]
+    return [(b, added(t, b, x, y)) for t, b, x, y in zip(found, base, where, tags)]
 
 
 def _said(spans) -> str:

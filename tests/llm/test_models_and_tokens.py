@@ -124,11 +124,13 @@ def test_windows_cover_every_place_and_spans_cross_them():
     (a, b), = pii.places(t, [])
     starts = pii.windows((a, b))
     assert starts[0] == a and starts[-1] + pii.WINDOW >= b and all(y - x == pii.STRIDE for x, y in zip(starts, starts[1:]))
-    tags = {w: np.full(pii.WINDOW, 8) for w in starts}
-    tags[a][0] = 7
+    marks = {w: np.full((pii.WINDOW, pii.TAGS), w - a, dtype=np.float32) for w in starts}
+    origin = pii.reconciled((a, b), marks)[:, 0]
+    assert len(origin) == b - a and set(origin) == {w - a for w in starts} and (np.diff(origin) >= 0).all()
+    assert all(abs(i - (w + pii.WINDOW / 2)) <= pii.STRIDE / 2 + 1 for i, w in enumerate(origin) if 64 < i < b - a - 64)
     whole = np.concatenate([[7], np.full(b - a - 1, 8)])
     assert pii.spans_of(whole) == [(3, 0, b - a)]
-    assert pii.added("é" * 300, [], [(0, 10)], {0: np.zeros(pii.WINDOW, dtype=np.int64)}) == []
+    assert pii.added("é" * 300, [], [(0, 10)], [np.zeros(10, dtype=np.int64)]) == []
 
 
 def test_crf_gradients_and_viterbi():
