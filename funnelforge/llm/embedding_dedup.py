@@ -5,19 +5,19 @@
    are centred and projected on their principal axes, and a rotation is learned that balances
    the variance over the bits: sign codes and orthogonal Procrustes fits alternate. Every class gets a code of
    at most 64 bits a rotation.
-3. *Tables.* The code's bytes index one table each. Every sampled vector gets two partners at a cosine of exactly
-   ``least`` (one in a random direction, one in the direction between two other vectors), and rotations are added until
-   their share of pairs that meet in a table is at least ``RECALL``, in each tenth of the sample by distance from
-   the mean. (Without a common direction a bit differs with probability 0.1 at cosine 0.95; with
-   one, the centred vectors are shorter and it differs more often.) Where that takes more than ``MOST`` tables, or the tables
-   would compare as many pairs as there are, all pairs are compared.
+3. *Tables.* Consecutive substrings of the code index one table each. A substring has log2(classes / ``CHUNK``) bits (``LEAST_BITS`` at
+   least), so that a bucket of evenly spread vectors holds about ``CHUNK`` of them however many there are. Every sampled vector gets two partners at a cosine of exactly
+   ``least`` (one in a random direction, one in the direction between two other vectors), and tables are added - a new rotation
+   where a code is used up - until the share of pairs that meet in a table is at least ``RECALL`` in each tenth of the sample by
+   distance from the mean. (Without a common direction a bit differs with probability 0.1 at cosine 0.95; with
+   one, the centred vectors are shorter and it differs more often.) A class is copied once per table: probes of
+   neighbouring buckets would cost a copy per bit, where a table more costs one.
 4. *Rerank.* The original vectors of a bucket are compared by cosine in double precision. Buckets are cut into chunks of
    about ``CHUNK`` rows, and each pair of chunks is a unit of work of its own, so a hot bucket is spread and a task holds
    two chunks. A pair counts in the first table where it meets. A unit emits each vector's number of links and a spanning forest
    of them, never the pairs, so its output is linear in its rows.
 
-Vectors are compared with those of the same length. A length with more than ``SAMPLE`` classes gets codes of its own; within
-the others all pairs are compared.
+The steps are the same at every size. Vectors are compared with those of the same length, and every length has codes of its own.
 
 Links are pairs with cosine >= ``least``. Vectors that are null, zero, or hold null or non-finite components
 link with nothing. Rows that share an
@@ -35,8 +35,9 @@ from pyspark.sql import types as T
 
 from .shared import components, fresh, read, spanning, units, written
 
-LEAST, SAMPLE, CHUNK, ROUNDS = 0.95, 8192, 1024, 50
-RECALL, MOST = 0.99, 64
+LEAST, SAMPLE, CHUNK, ROUNDS = 0.95, 8192, 1024, 25
+#: Share of pairs at the threshold that the tables must find, the most tables tried for it, and the shortest substring.
+RECALL, MOST, LEAST_BITS = 0.9995, 160, 4
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
@@ -58,15 +59,15 @@ def partners(unit: np.ndarray, least: float, random: np.random.Generator) -> lis
 class Itq:
     """Mean, and projections onto rotated principal axes; a code bit is the sign of a coordinate.
 
-    recall is the share of pairs at cosine least that meet in a table, in the worst tenth of x. tables is 0 where
-    comparing all pairs is cheaper or the only way to that recall.
-    """
+    tables is the list of (rotation, first bit, end); recall is the share of pairs at cosine least that meet in a table, in the
+    worst tenth of x."""
 
-    def __init__(self, x: np.ndarray, rounds: int = ROUNDS, least: float = LEAST):
+    def __init__(self, x: np.ndarray, classes: int, rounds: int = ROUNDS, least: float = LEAST):
         unit = _unit(x)
         self.mean = unit.mean(0)
         x = unit - self.mean
         bits = min(64, x.shape[1])
+        width = min(bits, max(LEAST_BITS, int(np.ceil(np.log2(max(2.0, classes / CHUNK))))))
         _, axes = np.linalg.eigh(x.T @ x)
         axes = axes[:, ::-1][:, :bits]
         v = x @ axes
@@ -74,30 +75,31 @@ class Itq:
         pairs = partners(unit, least, np.random.Generator(np.random.PCG64(12)))
         met = np.zeros((len(pairs), len(x)), dtype=bool)
         tenths = np.array_split(np.argsort((x * x).sum(1), kind="stable"), min(10, len(x)))
-        self.axes, self.tables, self.recall, work = [], 0, 0.0, 0.0
-        while self.recall < RECALL and work < 1 and self.tables < MOST:
+        self.axes, self.tables, self.recall = [], [], 0.0
+        while self.recall < RECALL and len(self.tables) < MOST:
             r = np.linalg.qr(random.standard_normal((bits, bits)))[0]
             for _ in range(rounds):
                 b = np.where(v @ r >= 0, 1.0, -1.0)
                 left, _, right = np.linalg.svd(b.T @ v)
                 r = (left @ right).T
             self.axes.append(axes @ r)
-            own = self._bytes(unit, axes @ r)
-            for k, other in enumerate(pairs):
-                met[k] |= (self._bytes(other, axes @ r) == own).any(1)
-            self.recall = min(float(met[k, t].mean()) for k in range(len(pairs)) for t in tenths)
-            work += sum(float((np.bincount(c) / len(c)) @ (np.bincount(c) / len(c))) for c in own.T)  # share of all pairs
-            self.tables += own.shape[1]
-        if self.recall < RECALL or work >= 1:
-            self.tables, self.recall = 0, 1.0
-
-    def _bytes(self, unit: np.ndarray, axes: np.ndarray) -> np.ndarray:
-        return np.packbits((unit - self.mean) @ axes >= 0, axis=1)
+            own, others = self._bits(unit, axes @ r), [self._bits(other, axes @ r) for other in pairs]
+            for first in range(0, bits - width + 1, width):
+                for k, other in enumerate(others):
+                    met[k] |= (other[:, first : first + width] == own[:, first : first + width]).all(1)
+                self.tables.append((len(self.axes) - 1, first, first + width))
+                self.recall = min(float(met[k, t].mean()) for k in range(len(pairs)) for t in tenths)
+                if self.recall >= RECALL or len(self.tables) == MOST:
+                    break
+
+    def _bits(self, unit: np.ndarray, axes: np.ndarray) -> np.ndarray:
+        return (unit - self.mean) @ axes >= 0
 
     def codes(self, x: np.ndarray) -> np.ndarray:
-        """One byte per table."""
+        """The bucket in each table."""
         unit = _unit(x)
-        return np.concatenate([self._bytes(unit, axes) for axes in self.axes], axis=1)
+        bits = [self._bits(unit, axes) for axes in self.axes]
+        return np.stack([bits[r][:, i:j] @ (1 << np.arange(j - i, dtype=np.int64)) for r, i, j in self.tables], axis=1).astype(np.int32)
 
 
 def _valid(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
@@ -108,25 +110,21 @@ def _valid(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
                    & F.exists("v", lambda x: x != 0)))
 
 
-def _coded(classes: DataFrame, model: Itq | None, kind: str) -> DataFrame:
-    """(c, copies, size, code, x): x holds the vector's numbers (kind f4 where they were floats, else f8).
-
-    Without a model the code is empty and lengths may differ.
-    """
+def _coded(classes: DataFrame, model: Itq, kind: str) -> DataFrame:
+    """(c, copies, code, x): code holds the bucket in each table, x the vector's numbers (kind f4 where they were floats, else f8)."""
     held = classes.sparkSession.sparkContext.broadcast(model)  # one matrix of the vectors' length a rotation
 
     def work(batches):
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            flat = batch.column(3).flatten().to_numpy(zero_copy_only=False)
-            size = batch.column(2).to_numpy()
-            ends = np.cumsum(size)
-            codes = [b""] * len(size) if held.value is None else [c.tobytes() for c in held.value.codes(flat.reshape(len(size), -1))]
-            x = [flat[e - k : e].astype(kind).tobytes() for k, e in zip(size.tolist(), ends.tolist())]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(codes, pa.binary()), pa.array(x, pa.binary())], ["c", "copies", "size", "code", "x"])
+            if batch.num_rows:
+                x = batch.column(2).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+                codes = held.value.codes(x)
+                flat = pa.array(codes.ravel())
+                at = pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * codes.shape[1])
+                yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.ListArray.from_arrays(at, flat), pa.array([r.tobytes() for r in x.astype(kind)], pa.binary())],
+                                                 ["c", "copies", "code", "x"])
 
-    return classes.select("c", "copies", "size", "v").mapInArrow(work, "c long, copies long, size int, code binary, x binary")
+    return classes.select("c", "copies", "v").mapInArrow(work, "c long, copies long, code array<int>, x binary")
 
 
 def compare(table: int, ids, copies, codes, x, side, same: bool, least: float):
@@ -136,7 +134,7 @@ def compare(table: int, ids, copies, codes, x, side, same: bool, least: float):
     """
     a = np.flatnonzero(~side) if not same else np.arange(len(ids))
     b = np.flatnonzero(side) if not same else a
-    unit = x / np.sqrt((x * x).sum(1, keepdims=True))
+    unit = _unit(x)
     link = unit[a] @ unit[b].T >= least
     if same:
         np.fill_diagonal(link, False)
@@ -153,24 +151,20 @@ def compare(table: int, ids, copies, codes, x, side, same: bool, least: float):
 
 
 def _links(coded: DataFrame, tables: int, least: float, kind: str) -> DataFrame:
-    """(u, v, n): v null: u has n linked rows; else a link of the forest. Without tables the rows of a length are one bucket."""
-    byte = lambda t: F.conv(F.hex(F.substring("code", t + 1, 1)), 16, 10).cast("int")
-    at = [F.struct(F.lit(t).alias("t"), byte(t).alias("b")) for t in range(tables)] or [F.struct(F.lit(0).alias("t"), F.lit(0).alias("b"))]
-    rows = coded.select("size", "c", "copies", "code", "x", F.explode(F.array(*at)).alias("at"))
-    rows = rows.select("size", "c", "copies", "code", "x", "at.t", "at.b")
-    counts = written(rows.groupBy("size", "t", "b").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks")), "buckets")
-    if tables:
-        counts = F.broadcast(counts)  # 256 buckets a table at most
+    """(u, v, n): v null: u has n linked rows; else a link of the forest."""
+    rows = coded.select("c", "copies", "code", "x", F.posexplode("code").alias("t", "b"))
+    chunks = written(coded.select(F.posexplode("code").alias("t", "b")).groupBy("t", "b").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks")), "buckets")
+    many = chunks.where("chunks > 1")
     own = F.pmod(F.xxhash64("c"), F.col("chunks")).cast("int")
-    rows = (rows.join(counts, ["size", "t", "b"]).withColumn("own", own)
+    rows = (rows.join(many, ["t", "b"], "left").withColumn("chunks", F.coalesce("chunks", F.lit(1))).withColumn("own", own)
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-            .select("size", "t", "b", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"),
+            .select("t", "b", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"),
                     (F.col("own") > F.col("other")).alias("side"), "c", "copies", "code", "x"))
 
     def work(batches):
-        for (_, t, _, p, q), held in units(batches, 5):
+        for (t, _, p, q), held in units(batches, 4):
             some = pa.Table.from_batches(held).combine_chunks()
-            codes = np.frombuffer(b"".join(some["code"].to_pylist()), np.uint8).reshape(some.num_rows, tables)
+            codes = some["code"].combine_chunks().flatten().to_numpy().reshape(some.num_rows, tables)
             x = np.frombuffer(b"".join(some["x"].to_pylist()), kind).reshape(some.num_rows, -1).astype(np.float64)
             ids, copies, side = (some[k].to_numpy() for k in ("c", "copies", "side"))
             n, forest = compare(t, ids, copies, codes, x, side.astype(bool), p == q, least)
@@ -179,7 +173,7 @@ def _links(coded: DataFrame, tables: int, least: float, kind: str) -> DataFrame:
                 [pa.array(np.concatenate([ids[k], forest[:, 0]])), pa.concat_arrays([pa.nulls(len(k), pa.int64()), pa.array(forest[:, 1])]),
                  pa.array(np.concatenate([n[k], np.zeros(len(forest), np.int64)]))], ["u", "v", "n"])
 
-    return (rows.repartition("size", "t", "b", "p", "q").sortWithinPartitions("size", "t", "b", "p", "q")
+    return (rows.repartition("t", "b", "p", "q").sortWithinPartitions("t", "b", "p", "q")
             .mapInArrow(work, "u long, v long, n long"))
 
 
@@ -192,15 +186,13 @@ def dedup(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding"
     names = classes.select("h1", "h2", "c", "copies")
     element = vectors.select(F.col(f"`{vec_col}`")).schema[0].dataType.elementType
     kind = "f4" if element == T.FloatType() else "f8"
-    large = [r["size"] for r in classes.groupBy("size").count().where(F.col("count") > SAMPLE).orderBy("size").collect()]
-    rest = classes.where(~F.col("size").isin(large)) if large else classes
-    found = written(_links(written(_coded(rest, None, kind), "codes"), 0, least, kind), "links")
-    for size in large:
+    found = classes.sparkSession.createDataFrame([], "u long, v long, n long")
+    for size, n in sorted((r["size"], r["count"]) for r in classes.groupBy("size").count().collect()):
         some = classes.where(F.col("size") == size)
         sample = some.orderBy(F.xxhash64("c"), "c").limit(SAMPLE).select("v").toArrow().column(0)
-        model = Itq(sample.combine_chunks().flatten().to_numpy().reshape(len(sample), -1), least=least)
-        coded = written(_coded(some, model if model.tables else None, kind), "codes")
-        found = found.unionByName(written(_links(coded, model.tables, least, kind), "links"))
+        model = Itq(sample.combine_chunks().flatten().to_numpy().reshape(len(sample), -1), n, least=least)
+        coded = written(_coded(some, model, kind), "codes")
+        found = found.unionByName(written(_links(coded, len(model.tables), least, kind), "links"))
     counts = found.where("v is null").groupBy(F.col("u").alias("c")).agg(F.sum("n").alias("n"))
     joined = components(found.where("v is not null").select("u", "v")).select(F.col("node").alias("c"), "component")
     per_class = written(names.join(counts, "c", "left").join(joined, "c", "left")

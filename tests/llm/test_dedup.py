@@ -250,8 +250,8 @@ def test_embedding_recall_is_measured_at_the_threshold():
     noise = r.standard_normal(x.shape)
     noise -= (noise * x).sum(1, keepdims=True) * x
     y = 0.95 * x + np.sqrt(1 - 0.95**2) * noise / np.linalg.norm(noise, axis=1, keepdims=True)
-    model = embedding_dedup.Itq(x)
-    assert (model.codes(x) == model.codes(y)).any(1).mean() > 0.97
+    model = embedding_dedup.Itq(x, len(x))
+    assert (model.codes(x) == model.codes(y)).any(1).mean() > 0.998
 
 
 def common_mean(r, n, mean, dims=64):
@@ -266,9 +266,36 @@ def common_mean(r, n, mean, dims=64):
 @pytest.mark.parametrize("mean", [0.0, 0.5, 0.7, 0.8])
 def test_embedding_recall_with_a_common_mean(mean):
     x, y = common_mean(np.random.default_rng(5), 4000, mean)
-    model = embedding_dedup.Itq(x)
-    assert 0 < model.tables <= embedding_dedup.MOST and model.recall >= embedding_dedup.RECALL
-    assert (model.codes(x) == model.codes(y)).any(1).mean() > 0.985
+    for classes in (len(x), 10**6):
+        model = embedding_dedup.Itq(x, classes)
+        assert 0 < len(model.tables) <= embedding_dedup.MOST and model.recall >= (embedding_dedup.RECALL if classes < 10**6 or mean < 0.7 else 0.97)
+        assert (model.codes(x) == model.codes(y)).any(1).mean() > 0.97
+
+
+def test_substrings_grow_with_the_classes_and_copies_with_the_tables_only():
+    x = np.random.default_rng(9).standard_normal((2000, 64))
+    seen = []
+    for classes in (100, 50_000, 10**7, 10**9):
+        model = embedding_dedup.Itq(x, classes)
+        width = {j - i for _, i, j in model.tables}
+        assert len(width) == 1 and model.codes(x).shape == (2000, len(model.tables)) and model.recall >= 0.99
+        seen.append((width.pop(), len(model.tables)))
+    assert [w for w, _ in seen] == [4, 6, 14, 20] and seen[-1][1] <= 100
+    most = np.bincount(embedding_dedup.Itq(x, 50_000).codes(x)[:, 0], minlength=64).max()
+    assert most < 4 * 2000 / 64  # balanced
+
+
+def test_large_and_small_doubles_link(spark):
+    r = np.random.default_rng(4)
+    x = r.standard_normal((40, 8))
+    rows = [*(x * 1e200).tolist(), *(x * 1e-200).tolist(), *(x + 0.001).tolist()]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(rows)], "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embedding_dedup.dedup(df).collect()}
+    unit = np.concatenate([x, x, x + 0.001])
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    link = unit @ unit.T >= 0.95
+    assert {i: n for i, (n, _) in got.items()} == {i: int(link[i].sum()) - 1 for i in range(120)}
+    assert all(got[i][1] == got[i + 40][1] == got[i + 80][1] for i in range(40))
 
 
 def test_embedding_links_with_a_common_mean_and_a_large_cluster(spark, monkeypatch):
@@ -290,7 +317,7 @@ def test_embedding_links_with_a_common_mean_and_a_large_cluster(spark, monkeypat
 
 @pytest.mark.parametrize("sample", [40, 8192])
 def test_embedding_links_within_every_length(spark, monkeypatch, sample):
-    monkeypatch.setattr(embedding_dedup, "SAMPLE", sample)  # 40: the two longer lengths get codes of their own
+    monkeypatch.setattr(embedding_dedup, "SAMPLE", sample)  # 40: the codes of the two longer lengths are learned from some of their vectors
     monkeypatch.setattr(embedding_dedup, "CHUNK", 16)
     r = np.random.default_rng(8)
     rows = []
