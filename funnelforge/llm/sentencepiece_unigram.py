@@ -226,7 +226,11 @@ def encode_column(data: np.ndarray, off: np.ndarray, p: Pieces) -> tuple[np.ndar
     cut[begin] = True
     start = np.flatnonzero(cut)
     stop = np.append(start[1:], len(u))
-    _, one, same = np.unique(tc.span_hash(tc._BYTE[0][u], start, stop), return_index=True, return_inverse=True)
+    # Equal segments are searched once; they are compared by their bytes.
+    same = (pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(np.append(start, len(u))), pa.py_buffer(u)])
+            .dictionary_encode().indices.to_numpy())
+    one = np.zeros(same.max() + 1, dtype=np.int64)
+    one[same[::-1]] = np.arange(len(same))[::-1]
     length = (stop - start)[one]
     ids, first = search(u[tc.ragged(start[one], length)], np.concatenate([[0], np.cumsum(length)]), p)
     count = np.diff(first)[same]

@@ -107,8 +107,9 @@ def components(links: DataFrame, max_rounds: int = 100) -> DataFrame:
     """(node, component) of every node in ``links(u, v)``; component is its smallest node.
 
     Large-star and small-star steps alternate until the set of links is a star per component
-    (a fixed point). Each step takes a minimum per node, which combines before the shuffle, and
-    joins it back to the links, where adaptive execution splits the partition of a hot node.
+    (a fixed point). Each step takes a minimum per node, which combines before the shuffle, is written, and
+    joins back to the links: both sides of the join are then plain exchanges, and adaptive execution splits the partition of a hot
+    node.
     """
     edge = T.StructType([T.StructField("u", T.LongType()), T.StructField("v", T.LongType())])
     links = links.select(F.col("u").cast("long"), F.col("v").cast("long")).where("u <> v")
@@ -116,10 +117,10 @@ def components(links: DataFrame, max_rounds: int = 100) -> DataFrame:
     before = None
     for _ in range(max_rounds):
         sides = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = sides.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = (sides.join(least, "u").where(F.col("v") > F.col("u"))
-                 .select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct())
-        small = large.join(large.groupBy("u").agg(F.min("v").alias("m")), "u")
+        least = written(sides.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
+        large = written(sides.join(least, "u").where(F.col("v") > F.col("u"))
+                        .select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct(), "large")
+        small = large.join(written(large.groupBy("u").agg(F.min("v").alias("m")), "least"), "u")
         small = (small.select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(small.select("u", F.col("m").alias("v"))).where("u <> v").distinct())
         links = written(small, "links")

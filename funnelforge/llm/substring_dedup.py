@@ -134,15 +134,15 @@ def _boundary_windows(asked: DataFrame, window: int) -> DataFrame:
 def spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """(doc_id, tkey, start, end): words that an earlier document has; docs has doc_id, text, tkey."""
     all_seeds = written(seeds(docs, window), "seeds")
-    shared = (all_seeds.groupBy("a1").agg(F.min("doc_id").alias("rdoc"), F.max("doc_id").alias("last"))
+    shared = (all_seeds.groupBy("a1", "a2").agg(F.min("doc_id").alias("rdoc"), F.max("doc_id").alias("last"))
               .where("rdoc < last").drop("last"))
     # The small sides are written first: a join of two plain exchanges can split a hot seed's rows.
-    held = written(all_seeds.join(written(shared, "shared"), "a1"), "shared-seeds")
+    held = written(all_seeds.join(written(shared, "shared"), ["a1", "a2"]), "shared-seeds")
     origin = (held.where("doc_id = rdoc").groupBy("a1", "a2").agg(F.min(F.struct("tkey", "pos")).alias("at"))
               .select("a1", "a2", F.col("at.tkey").alias("rkey"), F.col("at.pos").alias("rpos")))
     parse = written(factors(held.where("doc_id > rdoc").join(written(origin, "origins"), ["a1", "a2"]), window), "factors")
 
-    loose = parse.where("edge").select("a1", "a2").distinct()
+    loose = written(parse.where("edge").select("a1", "a2").distinct(), "loose")
     asked = held.join(loose, ["a1", "a2"], "left_semi").groupBy("doc_id", "tkey").agg(F.collect_list("pos").alias("at"))
     windows = written(_boundary_windows(docs.join(asked, ["doc_id", "tkey"]).select("doc_id", "text", "tkey", "at"), window), "windows")
     earliest = windows.groupBy("h1", "h2").agg(F.min("doc_id").alias("rdoc"), F.max("doc_id").alias("last")).where("rdoc < last")

@@ -1,12 +1,14 @@
 """Words and n-grams of an Arrow string column as numpy arrays.
 
 A word is ``[^\\x20\\x09-\\x0D]+``. These separators are single bytes in UTF-8, so words are cut
-on the raw column buffers without decoding. Hashes are 64 bits wide (two of them where rows
-are matched by hash alone) and depend only on the bytes, never on batch or partition.
+on the raw column buffers without decoding. A word's hashes are halves of a keyed blake2b digest of its bytes,
+taken once per distinct word of a slice; n-gram hashes are polynomials over them, for runs too short for two of them to cancel by their
+pattern. Hashes are 64 bits wide (two of them where rows are matched by hash alone) and depend only on the bytes, never on batch or partition.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,10 +19,11 @@ _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
-#: Odd multipliers and per-byte values of the two hash functions (drawn once from a fixed seed).
+#: Odd multipliers of the two n-gram hashes (drawn once from a fixed seed).
 _RNG = np.random.Generator(np.random.PCG64(20240229))
 _BASES = [int(x) | 1 for x in _RNG.integers(1 << 62, 1 << 63, 2, dtype=np.uint64)]
-_BYTE = _RNG.integers(1, 1 << 63, (2, 256), dtype=np.uint64)
+#: Key of the word hashes (any fixed value; another one gives other candidates of the same results).
+_KEY = b"funnelforge words"
 #: Bytes of text and number of texts handled at once inside a task.
 SLICE_BYTES, SLICE_ROWS = 1 << 19, 2000
 _POWERS: dict[tuple[int, bool], np.ndarray] = {}
@@ -56,6 +59,20 @@ def span_hash(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, which: i
     return mix(h ^ mix((ends - starts).astype(_U)))
 
 
+def word_hashes(data: np.ndarray, size: np.ndarray, hashes: int) -> list[np.ndarray]:
+    """Keyed hashes of words that lie one after another in data."""
+    places = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
+    found = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(size), [None, pa.py_buffer(places), pa.py_buffer(np.ascontiguousarray(data))]).dictionary_encode()
+    keyed = hashlib.blake2b(digest_size=8 * hashes, key=_KEY)
+    digests = []
+    for word in found.dictionary.to_pylist():
+        own = keyed.copy()
+        own.update(word)
+        digests.append(own.digest())
+    h = np.frombuffer(b"".join(digests), dtype="<u8").astype(_U).reshape(-1, hashes)[found.indices.to_numpy()]
+    return [np.ascontiguousarray(h[:, k]) for k in range(hashes)]
+
+
 class Words:
     """The words of a run of texts: byte spans, hashes and the first word of each text."""
 
@@ -76,7 +93,7 @@ class Words:
         #: first[i]:first[i + 1] are the words of text i
         self.first = np.searchsorted(self.starts, offsets)
         seen = LOWER[data] if lower else data
-        self.hash = [span_hash(_BYTE[k][seen], self.starts, self.ends, k) for k in range(hashes)]
+        self.hash = word_hashes(seen[~space], self.ends - self.starts, hashes)
 
     def grams(self, n: int, which: int = 0) -> np.ndarray:
         """Hash of the n words from each word on; meaningless where they cross a text's end."""
