@@ -12,7 +12,8 @@ State (three tables, all in shared storage):
 * ``filters(shard, blob)``: a cuckoo filter of the blocked keys per shard.
 
 Inserting or deleting documents changes the reference counts by the batch's own counts, and only
-keys that cross ``min_docs`` are inserted into or deleted from their shard's filter. Applying
+keys that cross ``min_docs`` are inserted into or deleted from their shard's filter; where there are more of them than the shards are sized for, the
+filters are made anew over twice the shards. Applying
 the index sends every document's keys past its shard's filter; what passes is checked against the
 exact counts, so a false positive never removes a line.
 
@@ -38,8 +39,8 @@ from .shared import fresh, read, texts, written
 MIN_CHARS, MIN_DOCS = 20, 3
 #: Blocked keys that a shard is sized for.
 SHARD_KEYS = 1 << 16
-#: Copies of each filter in a probe, so that a hot key's postings go to so many tasks.
-SALTS = 8
+#: Postings of a shard that one task probes: a shard that holds a hot key's postings is copied to as many tasks as it takes.
+PROBED = 1 << 18
 
 
 @dataclass
@@ -137,6 +138,11 @@ def _moved(index: LineIndex, refs: DataFrame, touched: DataFrame) -> DataFrame:
 
 
 def _with(index: LineIndex, postings: DataFrame, refs: DataFrame, touched: DataFrame) -> LineIndex:
+    blocked = refs.where(F.col("n_docs") >= index.min_docs)
+    now = blocked.count()
+    if now > index.shards * SHARD_KEYS:  # filters twice as many as needed, from the exact counts: each key is moved a bounded number of times
+        shards = 2 * -(-now // SHARD_KEYS)
+        return LineIndex(postings, refs, written(_make_filters(blocked, shards), "filters"), shards, index.min_chars, index.min_docs)
     moved = written(_moved(index, refs, touched), "moved")
     filters = written(_change_filters(index.filters, moved, index.shards), "filters")
     return LineIndex(postings, refs, filters, index.shards, index.min_chars, index.min_docs)
@@ -166,13 +172,15 @@ def _probe(index: LineIndex, postings: DataFrame) -> DataFrame:
     """Postings that their shard's filter may hold.
 
     Filters and postings meet in one shuffle; in a partition each shard's filter comes first and its
-    postings stream past it, so a task holds one filter. Each filter goes to SALTS places and a
-    posting to the one its document names.
+    postings stream past it, so a task holds one filter. A shard's filter goes to a place for every PROBED of its
+    postings, and a posting to the one its document names.
     """
     none = F.lit(0).cast("long")  # not null: pandas would turn the keys of that batch into floats
-    held = index.filters.select("shard", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"),
+    placed = postings.select(_shard(index.shards).alias("shard"), "k1", "k2", "doc_id")
+    salts = written(placed.groupBy("shard").agg(F.ceil(F.count("*") / PROBED).cast("int").alias("salts")), "salts")
+    held = index.filters.join(salts, "shard").select("shard", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"),
                                 F.lit(0).alias("step"), none.alias("k1"), none.alias("k2"), none.alias("doc_id"), "blob")
-    asked = postings.select(_shard(index.shards).alias("shard"), F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int").alias("salt"),
+    asked = placed.join(salts, "shard").select("shard", F.pmod(F.xxhash64("doc_id"), F.col("salts")).cast("int").alias("salt"),
                             F.lit(1).alias("step"), "k1", "k2", "doc_id", F.lit(None).cast("binary").alias("blob"))
 
     def work(batches):

@@ -138,7 +138,7 @@ def test_lines_null_ids_and_empty_table(docs_of):
 def test_cuckoo_filter_holds_and_forgets():
     r = np.random.default_rng(1)
     k = r.integers(-(1 << 62), 1 << 62, (3000, 2))
-    f = CuckooFilter(1000)  # overfull: some keys go to the stash
+    f = CuckooFilter(1000)  # more keys than it was made for: it grows
     f.insert(k[:1500, 0], k[:1500, 1])
     f = CuckooFilter.from_bytes(f.to_bytes())
     assert f.contains(k[:1500, 0], k[:1500, 1]).all()
@@ -146,7 +146,80 @@ def test_cuckoo_filter_holds_and_forgets():
     f.delete(k[:700, 0], k[:700, 1])
     assert f.contains(k[700:1500, 0], k[700:1500, 1]).all()
     f.delete(k[700:1500, 0], k[700:1500, 1])
-    assert not f.table.any() and not f.stash
+    assert not any(t.any() for t in f.tables) and not f.stash
+
+
+def test_cuckoo_filter_takes_many_times_its_capacity_in_linear_time():
+    import time
+
+    k = np.random.default_rng(2).integers(-(1 << 62), 1 << 62, (40000, 2))
+    f, spent = CuckooFilter(2000), []
+    for at in range(0, 40000, 10000):
+        begin = time.time()
+        f.insert(k[at : at + 10000, 0], k[at : at + 10000, 1])
+        spent.append(time.time() - begin)
+    assert len(f.stash) < 50 and len(f.tables) > 2 and max(spent) < 8 * min(spent) + 1
+    f = CuckooFilter.from_bytes(f.to_bytes())
+    assert f.contains(k[:, 0], k[:, 1]).all()
+    f.delete(k[:30000, 0], k[:30000, 1])
+    assert f.contains(k[30000:, 0], k[30000:, 1]).all() and f.contains(k[:30000, 0], k[:30000, 1]).mean() < 0.05
+
+
+def test_line_index_grows_its_shards_with_the_blocked_lines(spark, docs_of, monkeypatch):
+    monkeypatch.setattr(line_dedup, "SHARD_KEYS", 8)
+    line = lambda i: f"a line of text number {i} that repeats"
+    small = docs_of([line(0)] * 3)
+    more = docs_of(["\n".join(line(i) for i in range(1, 400))] * 3, ids=[10, 11, 12])
+    index = line_dedup.build(small)
+    grown = line_dedup.insert(index, more)
+    assert index.shards == 16 and grown.shards >= 400 // 8 and grown.filters.count() > 16
+    whole = line_dedup.build(small.unionByName(more))
+    got, want = (sorted((r["doc_id"], r["n_dropped"], r["kept_text"]) for r in line_dedup.apply(x, small.unionByName(more)).collect()) for x in (grown, whole))
+    assert got == want and sum(x[1] for x in got) == 2 + 2 * 399
+
+
+def test_a_hot_line_is_probed_in_several_places(spark, docs_of, monkeypatch):
+    monkeypatch.setattr(line_dedup, "PROBED", 50)
+    docs = docs_of(["the same line of text in every document"] * 400)
+    rows = line_dedup.apply(line_dedup.build(docs), docs).collect()
+    assert sorted(r["n_dropped"] for r in rows) == [0] + [1] * 399
+    index = line_dedup.build(docs)
+    parts = line_dedup._probe(index, index.postings)
+    assert parts.count() == 400
+
+
+def thue_morse(n, a="a", b="b"):
+    return "".join(b if bin(i).count("1") % 2 else a for i in range(n))
+
+
+def test_words_of_a_built_pattern_do_not_collide(spark, docs_of):
+    one, two = thue_morse(4096), thue_morse(4096, "b", "a")
+    words = [f"w{i}" for i in range(49)]
+    texts = [" ".join([one, *words]), " ".join([two, *words]), one, two]
+    rows = {r["doc_id"]: r["n_removed"] for r in substring_dedup.dedup(docs_of(texts)).collect()}
+    assert rows == {0: 0, 1: 0, 2: 0, 3: 0}
+    near = {r["doc_id"]: r["component_id"] for r in setsketch_dedup.dedup(docs_of(texts[2:])).collect()}
+    assert near == {0: 0, 1: 1}
+
+
+def test_a_star_of_links_is_split_over_tasks(spark):
+    n = 20000
+    star = spark.range(1, n + 1).select(F.col("id").alias("u"), F.lit(0).cast("long").alias("v"))
+    keep = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "spark.sql.adaptive.skewJoin.skewedPartitionFactor",
+                                           "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.autoBroadcastJoinThreshold")}
+    for k, v in zip(keep, ("10k", "2", "10k", "-1")):
+        spark.conf.set(k, v)
+    try:
+        got = shared.components(star)
+        assert got.where("component = 0").count() == n + 1
+        sides = shared.written(star.unionByName(star.select(F.col("v").alias("u"), F.col("u").alias("v"))), "sides")
+        least = shared.written(sides.groupBy("u").agg(F.min("v").alias("m")), "least")
+        joined = sides.join(least, "u")
+        joined.collect()
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in keep.items():
+            spark.conf.set(k, v)
 
 
 def shingles(t, n):
