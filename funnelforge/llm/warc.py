@@ -10,8 +10,9 @@ equals the payload of a page with a smaller id becomes a revisit of the smallest
 and metadata records name the response or revisit, and each capture becomes one nested row.
 
 Null html is an empty payload and is always a response; null urls are written as ``urn:page:<id>``;
-blanks and control characters in urls are written as %20. Repeated rows (equal page_id and html) are one
-capture; rows that share a page_id with other html are captures of their own, with equal ids. A
+blanks and control characters in urls are written as %20. Repeated rows (equal page_id and html) write their records each, under
+equal record ids: ``transactions`` makes them one capture with its number of copies, ``captures`` gives a row for each. Rows that
+share a page_id with other html are captures of their own, with equal page ids. A
 null page_id comes back as null and sorts last: it is never revisited if another page can be. Other
 columns are ignored. An empty table gives archives without records, and no rows.
 """
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
-from .shared import read
+from .shared import read, written
 
 MIN_REVISIT = 100
 #: Uncompressed bytes of an archive; a reader holds one archive at a time.
@@ -61,6 +62,8 @@ def _kinds(pages: DataFrame) -> DataFrame:
     rows = pages.select("page_id", "digest", "n")
     first = (rows.where(F.col("n") >= MIN_REVISIT).groupBy("digest").agg(F.min("page_id").alias("response_id"), F.count("*").alias("copies"))
              .where("copies > 1").drop("copies"))
+    # Written first: adaptive execution can then split the rows of a digest that very many pages have.
+    first = written(first, "first-pages")
     return (rows.dropDuplicates(["page_id", "digest"]).join(first, "digest", "left")
             .select(F.col("page_id").alias("id"), F.col("digest").alias("sha"),
                     F.when(~F.col("page_id").eqNullSafe(F.col("response_id")), F.col("response_id")).alias("response_id")))
@@ -176,7 +179,7 @@ def records(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
 
 
 def transactions(found: DataFrame) -> DataFrame:
-    """One row per capture: capture_id and the nested response, request and metadata records.
+    """One row per capture: capture_id, the nested response, request and metadata records, and copies, how often its response was written.
 
     A record belongs to the record that its WARC-Concurrent-To names, or else to itself. A request or
     metadata record whose response is missing gives a row with a null response.
@@ -185,26 +188,31 @@ def transactions(found: DataFrame) -> DataFrame:
     kinds = {"response": ("response", "revisit"), "request": ("request",), "metadata": ("metadata",)}
     return (found.where(F.col("type").isin("response", "revisit", "request", "metadata"))
             .groupBy(F.coalesce("concurrent_to", "record_id").alias("capture_id"))
-            .agg(*[F.first(F.when(F.col("type").isin(*v), record), ignorenulls=True).alias(k) for k, v in kinds.items()]))
+            .agg(*[F.first(F.when(F.col("type").isin(*v), record), ignorenulls=True).alias(k) for k, v in kinds.items()],
+                 F.count(F.when(F.col("type").isin(*kinds["response"]), 1)).alias("copies")))
 
 
 def captures(found: DataFrame) -> DataFrame:
-    """(page_id, payload_bytes, payload_digest, record_type, refers_to, digest_ok) of every transaction.
+    """(page_id, payload_bytes, payload_digest, record_type, refers_to, digest_ok): a row per response or revisit record.
 
-    A revisit has the size and digest of the response that it refers to.
+    A revisit has the size and digest of the response that it refers to. Only revisits look for another record, so the
+    responses, which refer to none, never meet in one task.
     """
     rows = transactions(found.drop("payload")).select(
-        "capture_id", F.try_element_at("metadata.fields", F.lit("page-id")).cast("long").alias("page_id"),
-        F.col("response.type").alias("record_type"), F.col("response.refers_to").alias("first_id"),
+        F.try_element_at("metadata.fields", F.lit("page-id")).cast("long").alias("page_id"),
+        F.col("response.type").alias("record_type"), F.col("response.refers_to").alias("first_id"), "capture_id",
         F.col("response.payload_bytes").alias("n"), F.col("response.payload_digest").alias("sha"),
-        F.col("response.declared_digest").alias("declared"))
+        F.col("response.declared_digest").alias("declared"), "copies")
+    rows = written(rows, "captures")
     first = rows.where("record_type = 'response'").select(
         F.col("capture_id").alias("first_id"), F.col("page_id").alias("refers_to"), F.col("n").alias("first_n"), F.col("sha").alias("first_sha"))
-    again = F.col("record_type") == "revisit"
-    return (rows.join(first, "first_id", "left")
-            .select("page_id", F.when(again, F.col("first_n")).otherwise(F.col("n")).alias("payload_bytes"),
-                    F.when(again, F.col("first_sha")).otherwise(F.col("sha")).alias("payload_digest"), "record_type", "refers_to", "declared")
-            .withColumn("digest_ok", F.col("declared").eqNullSafe(F.col("payload_digest"))).drop("declared"))
+    again = rows.where("record_type = 'revisit'").join(first, "first_id", "left").select(
+        "page_id", F.col("first_n").alias("payload_bytes"), F.col("first_sha").alias("payload_digest"), "record_type", "refers_to", "declared", "copies")
+    own = rows.where("record_type IS DISTINCT FROM 'revisit'").select(
+        "page_id", F.col("n").alias("payload_bytes"), F.col("sha").alias("payload_digest"), "record_type", F.lit(None).cast("long").alias("refers_to"), "declared", "copies")
+    both = own.unionByName(again).withColumn("digest_ok", F.col("declared").eqNullSafe(F.col("payload_digest")))
+    return (both.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.greatest("copies", F.lit(1)))))
+            .drop("copy", "copies", "declared"))
 
 
 def op5_warc(spark, sf_dir: str) -> DataFrame:
