@@ -42,6 +42,17 @@ EXPAND = 1 << 21
 _BITS = 24
 _UNIT, _LOW = 1 << _BITS, (1 << _BITS) - 1
 
+
+def short_leaks(words: tc.Words, block: "Block") -> list[tuple[int, int, float, int, int]]:
+    """Texts whose words are, as a whole, those of a short item: two words inside a longer text say nothing."""
+    size = np.diff(words.first)
+    out = []
+    for d in np.flatnonzero((size > 0) & (size < SHORTEST)).tolist() if block.short else []:
+        key = tuple(words.hash[0][words.first[d] : words.first[d + 1]].tolist())
+        out += [(d, item, 1.0, 0, len(key)) for item in block.short.get(key, [])]
+    return out
+
+
 LEAKS = "doc_id long, item_id long, score double, start_word long, end_word long"
 
 
@@ -56,9 +67,13 @@ class Block:
     def __init__(self, item_ids: list, column: pa.Array, leak: float = LEAK):
         words = tc.Words(*tc.buffers(column), lower=True)
         self.item, self.words = [], []
+        #: Items of fewer than SHORTEST words, by their words' hashes.
+        self.short: dict[tuple, list] = {}
         for i, item in enumerate(item_ids):
             a, b = int(words.first[i]), int(words.first[i + 1])
             if b - a < SHORTEST:
+                if a < b:
+                    self.short.setdefault(tuple(words.hash[0][a:b].tolist()), []).append(item)
                 continue
             step = PASSAGE // 2
             for s in range(a, max(a + 1, b - step), step) if b - a > PASSAGE else [a]:
@@ -212,7 +227,8 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
         def work(batches, held=held):
             for batch, data, off in tc.slices(batches, "text"):
                 ids = batch.column(0).to_pylist()
-                got = [(ids[d], *x) for d, *x in leaks_of(tc.Words(data, off, lower=True), held.value, leak) if ids[d] is not None]
+                words = tc.Words(data, off, lower=True)
+                got = [(ids[d], *x) for d, *x in [*leaks_of(words, held.value, leak), *short_leaks(words, held.value)] if ids[d] is not None]
                 cols = list(zip(*got)) if got else [[]] * 5
                 kinds = (pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64())
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)],

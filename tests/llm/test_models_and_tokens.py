@@ -199,6 +199,14 @@ def test_sentencepiece_round_trip_and_best_score(spark, docs_of, pieces):
     assert sentencepiece_unigram.encode(docs_of([]), pieces).collect() == []
 
 
+def test_segments_are_compared_by_their_bytes(spark, docs_of, pieces):
+    word = "".join("b" if bin(i).count("1") % 2 else "a" for i in range(4096))
+    other = word.translate(str.maketrans("ab", "ba"))
+    docs = docs_of([word, other, word + " " + other])
+    rows = sentencepiece_unigram.decode(sentencepiece_unigram.encode(docs, pieces), pieces).collect()
+    assert all(r["decoded"] == r["text"] for r in rows) and rows[0]["ids"] != rows[1]["ids"]
+
+
 def test_sentencepiece_equals_the_library_on_its_scores(pieces):
     import sentencepiece
     from sentencepiece import sentencepiece_model_pb2 as pb
@@ -280,7 +288,7 @@ def test_warc_round_trip_against_a_dictionary(spark, tmp_path):
     got = sorted((tuple(r) for r in warc.captures(warc.records(spark, path)).collect()), key=str)
     sha = lambda t: hashlib.sha256((t or "").encode()).hexdigest()
     want = []
-    for i, _, t in {(r[0], r[2]): r for r in rows}.values():
+    for i, _, t in rows:
         first = min(r[0] for r in rows if r[2] == t and r[0] is not None) if len((t or "").encode()) >= 100 else i
         want.append((i, len((t or "").encode()), sha(t), "response" if first == i else "revisit", None if first == i else first, True))
     assert got == sorted(want, key=str)
