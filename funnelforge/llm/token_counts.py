@@ -1,14 +1,16 @@
 """Edit-aware token counts: a segment tree of pre-token counts per document.
 
-A byte-level BPE tokenizer cuts a text into pre-tokens by a pattern and encodes each alone. A document's
+A byte-level BPE tokenizer cuts a text into pre-tokens by a pattern and encodes each alone. A new document's
 tree has a leaf for every ``LEAF`` pre-tokens, holding their characters and tokens; inner nodes hold the
-sums below them (``sums``: heap order, root first, leaves last).
+sums below them (``char_sums`` and ``sums``: heap order, root first, leaves last). Both heaps are stored, read and updated.
 
 An edit replaces the characters [start, stop) by a text. The tree leads from the edit's offset to the
 last leaf that starts two characters or more before it (no pre-token that ends there looks further ahead).
 From there on the new text is cut and encoded until, behind the last edit in reach, a pre-token ends where
 an old leaf ended: the pattern never looks back, so all that follows is as before. Only those
-leaves are replaced, and the sums above them updated.
+leaves are replaced, and the sums on their paths to the root updated. The new pre-tokens are dealt to as many leaves as they replace, so an edit
+touches O(log leaves) sums whether it adds pre-tokens or takes some away; a leaf may run empty or grow to ``FULL``
+pre-tokens, and only beyond that is the tree laid out anew.
 
 Edits name code points of the text before any edit. They are taken by start, then stop; one that
 starts before the end of the one before it, or outside the text, is skipped and counted. Null
@@ -28,7 +30,7 @@ from pyspark.sql import types as T
 
 from .shared import fresh, read
 
-LEAF = 64
+LEAF, FULL = 64, 256
 #: Pre-tokens whose counts a worker remembers.
 CACHE = 300_000
 
@@ -74,11 +76,19 @@ class Counter:
         return out
 
 
-def _leaves(pieces: list[str], counts: list[int]) -> tuple[np.ndarray, np.ndarray]:
-    """Characters and tokens of every LEAF pre-tokens."""
-    if not pieces:
+def _leaves(pieces: list[str], counts: list[int], many: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Characters and tokens of every LEAF pre-tokens; or of ``many`` leaves, if so many can hold them."""
+    if many and len(pieces) <= many * FULL:
+        each = np.add.reduceat if len(pieces) >= many else None
+        if each is None:  # fewer pre-tokens than leaves: the last ones are empty
+            size, own = np.zeros((2, many), np.int64), len(pieces)
+            size[0, :own], size[1, :own] = list(map(len, pieces)), counts
+            return size[0], size[1]
+        at = np.arange(many) * len(pieces) // many
+    elif not pieces:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    at = np.arange(0, len(pieces), LEAF)
+    else:
+        at = np.arange(0, len(pieces), LEAF)
     return np.add.reduceat(np.fromiter(map(len, pieces), np.int64, len(pieces)), at), np.add.reduceat(np.asarray(counts, np.int64), at)
 
 
@@ -201,7 +211,7 @@ def edited(text: str, tree: Tree, edits, counter: Counter) -> tuple[str, Tree, i
                 if hit:
                     stop += 1
                     break
-        jobs.append((leaf, stop, *_leaves(pieces, counter.counts(pieces))))
+        jobs.append((leaf, stop, *_leaves(pieces, counter.counts(pieces), stop - leaf)))
         again += len(pieces)
         shift = more
     for leaf, stop, c, t in reversed(jobs):
@@ -209,17 +219,33 @@ def edited(text: str, tree: Tree, edits, counter: Counter) -> tuple[str, Tree, i
     return new, tree, again, skipped
 
 
+_FIELDS = [("leaf_chars", pa.int32()), ("leaf_tokens", pa.int32()), ("char_sums", pa.int64()), ("sums", pa.int64())]
 TREE = T.StructType([T.StructField("n_tokens", T.LongType()), T.StructField("leaf_chars", T.ArrayType(T.IntegerType())),
-                     T.StructField("leaf_tokens", T.ArrayType(T.IntegerType())), T.StructField("sums", T.ArrayType(T.LongType()))])
-_INT, _LONG = pa.list_(pa.int32()), pa.list_(pa.int64())
+                     T.StructField("leaf_tokens", T.ArrayType(T.IntegerType())), T.StructField("char_sums", T.ArrayType(T.LongType())),
+                     T.StructField("sums", T.ArrayType(T.LongType()))])
+
+
+def _lists(arrays: list[np.ndarray], kind: pa.DataType) -> pa.Array:
+    at = np.concatenate([[0], np.cumsum([len(x) for x in arrays])]).astype(np.int32)
+    flat = np.concatenate(arrays) if arrays else np.zeros(0, np.int64)
+    return pa.ListArray.from_arrays(pa.array(at), pa.array(flat.astype(kind.to_pandas_dtype())))
 
 
 def _column(trees: list[Tree]) -> pa.Array:
     leaf = [t.leaf_values() for t in trees]
-    return pa.StructArray.from_arrays(
-        [pa.array([int(t.tokens[0]) if len(t.tokens) else 0 for t in trees], pa.int64()), pa.array([c.astype(np.int32) for c, _ in leaf], _INT),
-         pa.array([n.astype(np.int32) for _, n in leaf], _INT), pa.array([t.tokens for t in trees], _LONG)],
-        ["n_tokens", "leaf_chars", "leaf_tokens", "sums"])
+    columns = [[c for c, _ in leaf], [n for _, n in leaf], [t.chars for t in trees], [t.tokens for t in trees]]
+    return pa.StructArray.from_arrays([pa.array([int(t.tokens[0]) if len(t.tokens) else 0 for t in trees], pa.int64()),
+                                       *[_lists(x, kind) for x, (_, kind) in zip(columns, _FIELDS)]], ["n_tokens", *[n for n, _ in _FIELDS]])
+
+
+def _trees(column: pa.StructArray) -> list[Tree]:
+    """The trees of a column, from their stored sums."""
+    at, values = {}, {}
+    for name in ("leaf_chars", "char_sums", "sums"):
+        lists = column.field(name)
+        at[name], values[name] = lists.offsets.to_numpy(), lists.values.to_numpy()
+    part = lambda name, i: values[name][at[name][i] : at[name][i + 1]].copy()
+    return [Tree(part("char_sums", i), part("sums", i), int(at["leaf_chars"][i + 1] - at["leaf_chars"][i])) for i in range(len(column))]
 
 
 def build(docs: DataFrame, text_col: str = "text", column: str = "tree", ranks: str | None = None) -> DataFrame:
@@ -251,8 +277,7 @@ def apply_edits(trees: DataFrame, text_col: str = "text", tree_col: str = "tree"
             for k in range(0, whole.num_rows, 500):
                 batch = whole.slice(k, 500)
                 rows = []
-                for text, tree, edits in zip(*(batch.column(at[n]).to_pylist() for n in (text_col, tree_col, edits_col))):
-                    own = Tree.of(np.array(tree["leaf_chars"], np.int64), np.array(tree["leaf_tokens"], np.int64))
+                for text, own, edits in zip(batch.column(at[text_col]).to_pylist(), _trees(batch.column(at[tree_col])), batch.column(at[edits_col]).to_pylist()):
                     rows.append(edited(text or "", own, [tuple(e.values()) for e in edits or () if e is not None], counter))
                 new = list(batch.columns)
                 new[at[text_col]] = pa.array([r[0] for r in rows], pa.string())

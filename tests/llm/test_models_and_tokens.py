@@ -9,6 +9,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from funnelforge.llm import decontamination, pii, sentencepiece_unigram, token_counts, toxicity, warc
 from funnelforge.llm import textcore as tc
@@ -267,6 +268,27 @@ def test_an_edit_of_a_long_text_cuts_a_few_leaves_again():
     assert 0 < again <= 4 * token_counts.LEAF
 
 
+def test_an_edit_touches_few_sums_even_if_it_changes_the_number_of_pre_tokens(monkeypatch):
+    c = token_counts.Counter(token_counts.default_ranks())
+    text = "some words here and there, " * 20000
+    tree = token_counts.Tree.build(text, c)
+    monkeypatch.setattr(token_counts, "_sums", lambda leaves: pytest.fail("the heap was made anew"))
+    for edit in [(40000, 40000, "a few more words. " * 9), (90000, 94000, ""), (200000, 200100, "x")]:
+        before = [tree.chars.copy(), tree.tokens.copy()]
+        text, tree, again, _ = token_counts.edited(text, tree, [edit], c)
+        touched = max(int((x != y).sum()) for x, y in zip(before, (tree.chars, tree.tokens)))
+        assert 0 < touched <= 12 * np.log2(len(tree.chars)) + 2 * (edit[1] - edit[0]) / 64 and again < 20 * token_counts.LEAF
+        assert int(tree.tokens[0]) == len(c.encoding.encode_ordinary(text)) and int(tree.chars[0]) == len(text)
+
+
+def test_stored_sums_are_what_edits_start_from(spark, docs_of):
+    docs = token_counts.build(docs_of(["some words here and there, " * 50]))
+    wrong = docs.withColumn("tree", F.col("tree").withField("sums", F.transform("tree.sums", lambda x: x + 1000)))
+    edits = spark.createDataFrame([(0, 0, 1, "zz")], "doc_id long, start int, stop int, text string")
+    right, off = (token_counts.apply_edits(token_counts.with_edits(t, edits)).first()["tree"]["n_tokens"] for t in (docs, wrong))
+    assert off - right >= 1000
+
+
 def test_token_trees_as_columns(spark, docs_of):
     docs = docs_of(ODD)
     trees = token_counts.build(docs)
@@ -343,6 +365,13 @@ def test_every_kind_of_edit_is_aligned(spark, docs_of):
     assert len(want) == 1004 and got == pytest.approx(want)
 
 
+def test_short_items_match_whole_texts(spark, docs_of):
+    items = spark.createDataFrame([(1, "Yes"), (2, "new york"), (3, ""), (4, None), (5, "yes")], "item_id long, text string")
+    got = decontamination.leaks(docs_of(["yes", " YES ", "yes it is", "New  York", "york new", None, "new york city"]), items).collect()
+    assert sorted((r["doc_id"], r["item_id"], r["score"], r["start_word"], r["end_word"]) for r in got) == [
+        (0, 1, 1.0, 0, 1), (0, 5, 1.0, 0, 1), (1, 1, 1.0, 0, 1), (1, 5, 1.0, 0, 1), (3, 2, 1.0, 0, 2)]
+
+
 @pytest.mark.parametrize("expand", [8, 1 << 21])
 @pytest.mark.parametrize("leak", [0.5, 0.6, 0.8])
 def test_seeds_miss_no_leak(monkeypatch, expand, leak):
