@@ -18,8 +18,8 @@ The items are the stated query set. They are handled in blocks of at most ``BLOC
 item at least); for each block the documents are read once, without a shuffle of texts, and the block is
 broadcast, so its bound holds at any size of either table.
 
-Items with fewer than SHORTEST words (null and empty ones too) cannot be told from ordinary
-text and never leak; null and empty documents leak nothing. Items with equal ids count as one, with the
+Items with fewer than SHORTEST words cannot be told from ordinary text inside a longer one: they leak where they are, as a whole, a
+document's words. Null and empty items never leak; null and empty documents leak nothing. Items with equal ids count as one, with the
 best passage of any. Rows without a doc_id are counted but give no result; rows that share a doc_id
 give one row per item, with the best score. Empty tables give no rows. Other columns are ignored
 (``clean`` keeps them).
