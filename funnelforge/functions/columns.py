@@ -138,13 +138,3 @@ def whole_minutes(t0, t1) -> Column:
 def fractional_minutes(t0, t1) -> Column:
     """Exact elapsed minutes as a double."""
     return (F.unix_micros(_col(t1)) - F.unix_micros(_col(t0))) / F.lit(60_000_000.0)
-
-
-def weekday_monday0(ts) -> Column:
-    """Day of week with Monday = 0 ... Sunday = 6."""
-    return F.weekday(_col(ts))
-
-
-def dayofweek_sunday1(ts) -> Column:
-    """Day of week with Sunday = 1 ... Saturday = 7."""
-    return F.dayofweek(_col(ts))
