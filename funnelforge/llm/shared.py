@@ -13,7 +13,7 @@ from pyspark.sql.window import Window
 
 from ..session import checkpoint_dir
 
-BATCH_ROWS = 1000
+BATCH_ROWS, BATCH_BYTES = 1000, 16 << 20
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -135,10 +135,12 @@ def components(links: DataFrame, max_rounds: int = 100) -> DataFrame:
 
 
 def long_rows(spark: SparkSession) -> None:
-    """Arrow batches of at most BATCH_ROWS rows in this session: texts are long, and a Python worker holds a batch."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
-        spark.conf.set(key, str(BATCH_ROWS))
+    """Arrow batches of at most BATCH_ROWS rows and BATCH_BYTES (one row at least) in this session: texts are long, and a Python worker holds
+    a batch. Smaller settings of the caller stay."""
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
+        now = spark.conf.get(key).rstrip("b")
+        if not now.lstrip("-").isdigit() or not 0 < int(now) <= most:
+            spark.conf.set(key, str(most))
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
