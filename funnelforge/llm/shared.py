@@ -14,6 +14,8 @@ from pyspark.sql.window import Window
 from ..session import checkpoint_dir
 
 BATCH_ROWS, BATCH_BYTES = 1000, 16 << 20
+#: Links that a task of a component step writes.
+LINKS = 1 << 14
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -109,25 +111,25 @@ def components(links: DataFrame, max_rounds: int = 100) -> DataFrame:
     Large-star and small-star steps alternate until the set of links is a star per component
     (a fixed point). Each step takes a minimum per node, which combines before the shuffle, is written, and
     joins back to the links: both sides of the join are then plain exchanges, and adaptive execution splits the partition of a hot
-    node.
+    node. Tables are written by a task for every LINKS of their rows, so that a small graph is not spread over thousands of files.
     """
     edge = T.StructType([T.StructField("u", T.LongType()), T.StructField("v", T.LongType())])
     links = links.select(F.col("u").cast("long"), F.col("v").cast("long")).where("u <> v")
-    links = written(links.mapInPandas(_forest, edge).distinct(), "links")
-    before = None
+    links, before = written(links.mapInPandas(_forest, edge).distinct(), "links"), None
     for _ in range(max_rounds):
-        sides = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = written(sides.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
-        large = written(sides.join(least, "u").where(F.col("v") > F.col("u"))
-                        .select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct(), "large")
-        small = large.join(written(large.groupBy("u").agg(F.min("v").alias("m")), "least"), "u")
-        small = (small.select(F.col("v").alias("u"), F.col("m").alias("v"))
-                 .unionByName(small.select("u", F.col("m").alias("v"))).where("u <> v").distinct())
-        links = written(small, "links")
         now = links.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
         if now == before:
             break
         before = now
+        stored = lambda df, name: written(df.coalesce(1 + 2 * now[0] // LINKS), name)  # noqa: E731, B023
+        sides = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        least = stored(sides.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
+        large = stored(sides.join(least, "u").where(F.col("v") > F.col("u"))
+                       .select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct(), "large")
+        small = large.join(stored(large.groupBy("u").agg(F.min("v").alias("m")), "least"), "u")
+        small = (small.select(F.col("v").alias("u"), F.col("m").alias("v"))
+                 .unionByName(small.select("u", F.col("m").alias("v"))).where("u <> v").distinct())
+        links = stored(small, "links")
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     return links.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
