@@ -6,7 +6,8 @@ the row, and a recomputed stage reads the same blocks. One count or sum per bloc
 
 * ``dense_ids`` numbers the rows of a block where they are written and adds the rows before the block;
 * ``running_totals`` range-partitions by (group, key), so a group that holds most rows lies in many
-  blocks, and adds the sums of the group's earlier blocks to a window inside (group, block).
+  blocks, and adds the sums of the group's earlier blocks to a window inside (group, block);
+* ``block_offsets`` gives the sums before each block where the caller's rows already lie in blocks.
 
 The tables of offsets have one row per block (and, for totals, one more per group that starts inside
 a block): their windows see at most as many rows as the session has shuffle partitions. Nothing is sampled
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 from ..session import materialise
 
 _KEY, _GROUP, _BLOCK, _SUPER, _AT = "_ff_key", "_ff_group", "_ff_block", "_ff_super", "_ff_at"
-#: Blocks whose offsets are summed by one window task where the caller gives the blocks.
+#: Blocks whose offsets are summed by one window task where the caller has the blocks.
 SUPER_BLOCK = 1024
 #: monotonically_increasing_id: the partition above this bit, the row below.
 _ROW_BITS = 33
@@ -46,48 +47,40 @@ def dense_ids(df: DataFrame, order: Sequence[str | Column], name: str = "positio
 
 def running_totals(df: DataFrame, order_col: str, value_cols: Sequence[str],
                    group_cols: Sequence[str] = (), *, descending: bool = False,
-                   blocks: int | None = None, block_expr: Column | None = None,
-                   prefix: str = "cum_", totals: bool = False) -> DataFrame:
+                   blocks: int | None = None, prefix: str = "cum_", totals: bool = False) -> DataFrame:
     """Add ``cum_<v>`` = sum of ``v`` over rows of the same group whose key is at or
     before the current one (inclusive). The order key must be unique within a group
     (aggregate to distinct keys first). With ``totals``, also ``tot_<v>`` = the group's
     sum, taken from the block table (no extra pass over the data). ``blocks`` sets the number of range
-    partitions (default: the session's); ``block_expr`` takes the place of range partitions where it rises with the key."""
+    partitions (default: the session's)."""
     group_cols, value_cols = list(group_cols), list(value_cols)
     key = -F.col(order_col) if descending else F.col(order_col)
     base = df.withColumn(_KEY, key).withColumn(_GROUP, F.struct(F.lit(0).alias("_"), *group_cols))
-    if block_expr is not None:
-        withb = base.withColumn(_BLOCK, block_expr.cast("long"))
-    else:
-        ranged = base.repartitionByRange(blocks, _GROUP, _KEY) if blocks else base.repartitionByRange(_GROUP, _KEY)
-        withb = materialise(ranged.withColumn(_BLOCK, F.spark_partition_id().cast("long")), "prefix")
+    ranged = base.repartitionByRange(blocks, _GROUP, _KEY) if blocks else base.repartitionByRange(_GROUP, _KEY)
+    withb = materialise(ranged.withColumn(_BLOCK, F.spark_partition_id().cast("long")), "prefix")
 
     part = [f"_ff_s_{v}" for v in value_cols]
     sums = withb.groupBy(_GROUP, _BLOCK).agg(*[F.sum(v).alias(p) for v, p in zip(value_cols, part)])
-    offsets = _offsets(sums, value_cols, part, totals, blocks_given=block_expr is not None)
-    joined = withb.join(offsets, [_GROUP, _BLOCK])
+    joined = withb.join(_offsets(sums, value_cols, part, totals), [_GROUP, _BLOCK])
 
     wr = Window.partitionBy(_GROUP, _BLOCK).orderBy(_KEY).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     out = joined.withColumns({f"{prefix}{v}": F.col(f"_ff_o_{v}") + F.sum(v).over(wr) for v in value_cols})
     return out.drop(_KEY, _GROUP, _BLOCK, *[f"_ff_o_{v}" for v in value_cols])
 
 
-def _offsets(sums: DataFrame, value_cols: list, part: list, totals: bool, blocks_given: bool) -> DataFrame:
-    """(group, block, _ff_o_<v>, tot_<v>): what lies before each block of a group."""
+def _offsets(sums: DataFrame, value_cols: list, part: list, totals: bool) -> DataFrame:
+    """(group, block, _ff_o_<v>, tot_<v>): what lies before each block of a group (at most one row per range partition)."""
     whole = Window.partitionBy(_GROUP)
-    if not blocks_given:  # a group has at most one row per range partition
-        before = whole.orderBy(_BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-        return sums.select(_GROUP, _BLOCK, *[F.coalesce(F.sum(p).over(before), F.lit(0)).alias(f"_ff_o_{v}") for v, p in zip(value_cols, part)],
-                           *([F.sum(p).over(whole).alias(f"tot_{v}") for v, p in zip(value_cols, part)] if totals else []))
-    # Any number of blocks: offsets of super blocks of a group, and of the blocks of a super block.
-    sums = sums.withColumn(_SUPER, F.expr(f"{_BLOCK} div {SUPER_BLOCK}"))
-    by_super = sums.groupBy(_GROUP, _SUPER).agg(*[F.sum(p).alias(p) for p in part])
-    before = whole.orderBy(_SUPER).rowsBetween(Window.unboundedPreceding, -1)
-    supers = by_super.select(
-        _GROUP, _SUPER, *[F.coalesce(F.sum(p).over(before), F.lit(0)).alias(f"_ff_a{p}") for p in part],
-        *([F.sum(p).over(whole).alias(f"tot_{v}") for v, p in zip(value_cols, part)] if totals else []))
-    inner = Window.partitionBy(_GROUP, _SUPER).orderBy(_BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.select(_GROUP, _SUPER, _BLOCK, *[F.coalesce(F.sum(p).over(inner), F.lit(0)).alias(f"_ff_b{p}") for p in part])
-    return offsets.join(supers, [_GROUP, _SUPER]).select(
-        _GROUP, _BLOCK, *[(F.col(f"_ff_a{p}") + F.col(f"_ff_b{p}")).alias(f"_ff_o_{v}") for v, p in zip(value_cols, part)],
-        *([f"tot_{v}" for v in value_cols] if totals else []))
+    before = whole.orderBy(_BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    return sums.select(_GROUP, _BLOCK, *[F.coalesce(F.sum(p).over(before), F.lit(0)).alias(f"_ff_o_{v}") for v, p in zip(value_cols, part)],
+                       *([F.sum(p).over(whole).alias(f"tot_{v}") for v, p in zip(value_cols, part)] if totals else []))
+
+
+def block_offsets(df: DataFrame, block: str, value: str, name: str) -> DataFrame:
+    """(block, name): the sum of ``value`` over all rows of the blocks before, one row per block. Any number of blocks:
+    offsets of super blocks, and of the blocks of a super block."""
+    sums = df.groupBy(block).agg(F.sum(value).alias("_ff_s")).withColumn(_SUPER, F.expr(f"{block} div {SUPER_BLOCK}"))
+    before = lambda w: F.coalesce(F.sum("_ff_s").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    supers = sums.groupBy(_SUPER).agg(F.sum("_ff_s").alias("_ff_s")).select(_SUPER, before(Window.orderBy(_SUPER)).alias("_ff_a"))
+    inner = sums.select(_SUPER, block, before(Window.partitionBy(_SUPER).orderBy(block)).alias("_ff_b"))
+    return inner.join(supers, _SUPER).select(block, (F.col("_ff_a") + F.col("_ff_b")).alias(name))

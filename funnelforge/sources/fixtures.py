@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from ..schemas import ACTIVATION_STEP, START_STEP, STEPS
 from ..session import checkpoint_dir
-from .generate import DEFAULT_SEED, generate
+from .generate import DEFAULT_SEED, generate, number_events, numbered_walk, raw_events_from_walk, raw_users_from_walk
 
 # Fixed values of adapter U: event types taken as funnel steps, in this order.
 UNIT_STEPS = ["signup", "view", "click", "purchase", "error"]
@@ -99,15 +99,18 @@ def scored_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.lit("treatment")).alias("variant"))
 
 
-def customer_user_ids(spark: SparkSession, sf_dir: str,
-                      users_per_customer: int = USERS_PER_CUSTOMER) -> DataFrame:
+def _customer_ids(spark: SparkSession, sf_dir: str, users_per_customer: int) -> DataFrame:
     cust = read_table(spark, sf_dir, "customer").select("c_custkey")
     first = F.col("c_custkey").cast("long") * F.lit(users_per_customer) + F.lit(1)
-    ids = cust.select(F.explode(F.sequence(first, first + F.lit(users_per_customer - 1))).alias("user_id"))
+    return cust.select(F.explode(F.sequence(first, first + F.lit(users_per_customer - 1))).alias("user_id"))
+
+
+def customer_user_ids(spark: SparkSession, sf_dir: str,
+                      users_per_customer: int = USERS_PER_CUSTOMER) -> DataFrame:
     # The expansion multiplies the work after the scan: spread the ids by user_id, which
     # also leaves every user-keyed aggregate and join downstream without an exchange.
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return ids.repartition(n, "user_id")
+    return _customer_ids(spark, sf_dir, users_per_customer).repartition(n, "user_id")
 
 
 def generated_tables(spark: SparkSession, sf_dir: str, seed: int = DEFAULT_SEED,
@@ -134,18 +137,21 @@ def generated_source(spark: SparkSession, sf_dir: str, seed: int = DEFAULT_SEED,
 
 def _materialise(spark: SparkSession, sf_dir: str, seed: int, users_per_customer: int, key) -> RawTables:
     digest = hashlib.sha1(repr(key).encode()).hexdigest()[:16]
-    plans = generated_tables(spark, sf_dir, seed, users_per_customer)
     root = f"{checkpoint_dir(spark).rstrip('/')}/generated-{digest}"
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    tables = []
-    for name, df in (("raw_users", plans.users), ("raw_events", plans.events)):
-        table = f"ff_generated_{digest}_{name}"
+
+    def store(df: DataFrame, name: str) -> DataFrame:
         # Bucketed by user_id (one file per bucket): user-keyed aggregates and joins over
         # the two tables read co-partitioned data and need no exchange. At most five events
         # per user, so no bucket can hold a hot key.
-        (df.repartition(n, "user_id").write.mode("overwrite").format("parquet")
+        table = f"ff_generated_{digest}_{name}"
+        (df.write.mode("overwrite").format("parquet")
          .bucketBy(n, "user_id").option("path", f"{root}/{name}").saveAsTable(table))
-        tables.append(spark.table(table))
-    hit = RawTables(tables[0], tables[1], list(STEPS), START_STEP, ACTIVATION_STEP)
+        return spark.table(table)
+
+    # Every user is drawn once: the walk is stored, users and events are read from it.
+    walk = store(numbered_walk(_customer_ids(spark, sf_dir, users_per_customer), seed).repartition(n, "user_id"), "walk")
+    events = store(raw_events_from_walk(number_events(walk)), "raw_events")
+    hit = RawTables(raw_users_from_walk(walk), events, list(STEPS), START_STEP, ACTIVATION_STEP)
     _MATERIALISED[key] = hit
     return hit

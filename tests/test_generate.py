@@ -5,7 +5,10 @@ from pyspark.sql import functions as F
 
 from funnelforge.operators import quality as QC
 from funnelforge.operators.funnel import user_flags
+from funnelforge.plans import prefix
 from funnelforge.schemas import STEPS
+from funnelforge.sources import fixtures
+from funnelforge.sources import generate as G
 from funnelforge.sources.generate import generate
 
 N = 50_000
@@ -111,3 +114,52 @@ def test_marginal_rates_close_to_design(dataset):
     rates = {x["variant"]: x["r"] for x in r}
     assert rates["control"] == pytest.approx(0.62, abs=0.015)
     assert rates["treatment"] == pytest.approx(0.68, abs=0.015)
+
+
+def _joins(df) -> list[str]:
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    return [ln for ln in plan.splitlines() if "Join" in ln]
+
+
+def test_only_block_offsets_are_broadcast(spark):
+    """A short id table makes Spark's estimate of the walk small: the walk was the broadcast side of the numbering, and one task numbered all users."""
+    _, events = generate(spark, n_users=1_000, seed=5)
+    last = next(ln for ln in _joins(events) if "block" in ln)
+    assert "BroadcastHashJoin [_block" in last and "BuildRight" in last, last
+
+
+def test_event_ids_over_many_blocks_gaps_and_repeated_users(spark, monkeypatch):
+    monkeypatch.setattr(G, "EVENT_ID_BLOCK_USERS", 8)
+    monkeypatch.setattr(prefix, "SUPER_BLOCK", 4)
+    ids = [*range(-20, 3), *range(500, 700), 600, 600, 9_000]
+    _, events = generate(spark, ids=spark.createDataFrame([(i,) for i in ids], "user_id long").repartition(5), seed=11)
+    rows = sorted(events.collect())
+    assert [r["event_id"] for r in rows] == list(range(1, len(rows) + 1))
+    assert [r["user_id"] for r in rows] == sorted(r["user_id"] for r in rows)
+    assert {r["user_id"] for r in rows} == set(ids)
+    assert sum(r["user_id"] == 600 for r in rows) == 3 * len({r["event_ts"] for r in rows if r["user_id"] == 600})
+
+
+def test_stored_log_is_drawn_once_and_equals_the_generator(spark, tmp_path):
+    folder = str(tmp_path / "three")
+    spark.range(40, 43).withColumnRenamed("id", "c_custkey").write.parquet(f"{folder}/customer.parquet")
+    spark.createDataFrame([(41,), (None,)], "c_custkey long").write.mode("append").parquet(f"{folder}/customer.parquet")
+    drawn = fixtures.generated_tables(spark, folder)
+    stored = fixtures.generated_source(spark, folder)
+    assert stored.users.dtypes == drawn.users.dtypes and stored.events.dtypes == drawn.events.dtypes
+    assert sorted(stored.users.collect()) == sorted(drawn.users.collect()) and stored.users.count() == 40
+    assert sorted(stored.events.collect()) == sorted(drawn.events.collect())
+    # Users and events come from one stored walk: nothing is drawn when they are read.
+    for df in (stored.users, stored.events):
+        assert "md5" not in df._jdf.queryExecution().executedPlan().toString()
+    assert "_walk" in stored.users._jdf.queryExecution().executedPlan().toString()
+
+
+def test_block_offsets(spark):
+    df = spark.range(30_000).selectExpr("id div 7 - 3 AS b", "id % 5 AS v")
+    got = {r["b"]: r["o"] for r in prefix.block_offsets(df, "b", "v", "o").collect()}
+    want, total = {}, 0
+    for i in range(30_000):
+        want.setdefault(i // 7 - 3, total)
+        total += i % 5
+    assert got == want
