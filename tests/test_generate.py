@@ -4,8 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from funnelforge.operators import quality as QC
-from funnelforge.operators.funnel import user_flags
-from funnelforge.plans import prefix
+from funnelforge.operators.experiment import lift_table
+from funnelforge.operators.funnel import funnel_by_variant, user_flags
+from funnelforge.plans import prefix, queries
 from funnelforge.schemas import STEPS
 from funnelforge.sources import fixtures
 from funnelforge.sources import generate as G
@@ -163,3 +164,15 @@ def test_block_offsets(spark):
         want.setdefault(i // 7 - 3, total)
         total += i % 5
     assert got == want
+
+
+def _customers(spark, folder, n):
+    spark.range(1, n + 1).withColumnRenamed("id", "c_custkey").write.parquet(f"{folder}/customer.parquet")
+    return queries.Marts(fixtures.generated_tables(spark, folder))
+
+
+def test_lift_table_reads_the_stored_walk(spark, tmp_path):
+    m = _customers(spark, str(tmp_path), 300)
+    got = queries.registry()["lift_table"](spark, str(tmp_path))
+    assert "_walk" in got._jdf.queryExecution().executedPlan().toString()
+    assert sorted(got.collect()) == sorted(lift_table(funnel_by_variant(m.users, m.events, m.steps)).collect())
