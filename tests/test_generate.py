@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from funnelforge.operators import quality as QC
 from funnelforge.operators.experiment import lift_table
-from funnelforge.operators.funnel import funnel_by_variant, user_flags
+from funnelforge.operators.funnel import funnel_by_variant, funnel_overall, user_flags
 from funnelforge.plans import prefix, queries
 from funnelforge.schemas import STEPS
 from funnelforge.sources import fixtures
@@ -176,3 +176,11 @@ def test_lift_table_reads_the_stored_walk(spark, tmp_path):
     got = queries.registry()["lift_table"](spark, str(tmp_path))
     assert "_walk" in got._jdf.queryExecution().executedPlan().toString()
     assert sorted(got.collect()) == sorted(lift_table(funnel_by_variant(m.users, m.events, m.steps)).collect())
+
+
+def test_funnel_overall_reads_the_stored_walk(spark, tmp_path):
+    m = _customers(spark, str(tmp_path), 200)
+    got = queries.registry()["funnel_overall"](spark, str(tmp_path))
+    assert "_walk" in got._jdf.queryExecution().executedPlan().toString()
+    rows = got.orderBy("step_order").collect()
+    assert rows == funnel_overall(m.users, m.events, m.steps).orderBy("step_order").collect() and rows[0]["users"] == 2_000
