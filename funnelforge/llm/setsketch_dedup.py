@@ -18,9 +18,11 @@ linked with nothing). Two documents are linked if ``100 * |A & B| >= percent * |
 
 A bucket is first compared with two of its members (the smallest doc_id and a random one),
 which links almost all of a large group of near copies with as many comparisons as it has
-members. Buckets that then still hold different components form families (components that share such
-buckets, directly or through others). Within a family all members are compared on their full sets, chunk by
-chunk, and only a spanning forest of the links comes out: no link that joins two components is
+members. In buckets that then still hold different components all pairs across them are looked at by
+their registers: members whose sizes allow the threshold and that agree in all but ``FAMILY_MARGIN`` more of them than
+the threshold asks for form families, directly or through others (a linked pair agrees in fewer with probability 2e-13 at most). Sharing a
+bucket alone makes no family, or short texts with a common line would become one that grows with the table. Within a family all members are
+compared on their full sets, chunk by chunk, and only a spanning forest of the links comes out: no link that joins two components is
 lost and no bucket emits all pairs.
 
 Null texts are empty. Rows without a doc_id and rows with an empty set are linked with nothing
@@ -43,10 +45,16 @@ BANDS, ROWS = 40, 5
 REGISTERS = BANDS * ROWS
 BASE, RATE, LIMIT = 1.001, 20.0, (1 << 16) - 2
 MARGIN = 0.15
+#: Below the threshold, the share of equal registers that makes two members of a bucket a family.
+FAMILY_MARGIN = 0.25
 #: Members compared with one copy of their leader.
 LEADER_SHARE = 2000
-#: Shingles of a chunk of a family, and columns of a comparison's matrix.
-CHUNK_SHINGLES, _COLUMNS = 1 << 20, 2048
+#: Members of a chunk of a bucket, those of a bucket whose pairs are listed, and pairs and rows held at once.
+CHUNK_BUCKET, _SMALL, _PAIRS, _HELD = 4096, 64, 1 << 13, 1 << 13
+#: Shingles and members of a chunk of a family, columns and cells of a comparison's matrix.
+CHUNK_SHINGLES, CHUNK_MEMBERS, _COLUMNS, _CELLS = 1 << 20, 4096, 512, 1 << 20
+#: A column of the matrix is multiplied if it adds to more than one in so many cells; the others are added cell by cell.
+_SPARSE = 256
 
 
 class ShingleSets:
@@ -208,31 +216,165 @@ def _verified(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) ->
             .mapInArrow(work, "u long, v long"))
 
 
-def shared_counts(sets: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Sizes of the intersections of sets[a[i]] and sets[b[j]], by products of 0/1 matrices."""
+def crossing(low: np.ndarray, n: np.ndarray, component: np.ndarray, need: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links (i, j) that connect the rows of one bucket as its pairs of different components with ``need`` equal registers do.
+
+    Breadth first: a row is compared with those that none has reached yet.
+    """
+    left, of, size, own = np.arange(len(n)), np.ascontiguousarray(low.T), n, component
+    reached, found = [], [np.zeros((0, 2), dtype=np.int64)]
+    while len(left):
+        if reached:
+            x = reached.pop()
+        else:
+            x, left, of, size, own = left[-1], left[:-1], of[:, :-1], size[:-1], own[:-1]
+        hit = (own != component[x]) & (np.minimum(size, n[x]) * 100 >= np.maximum(size, n[x]) * percent)
+        if hit.any():
+            hit &= (of == low[x][:, None]).view(np.uint8).sum(axis=0, dtype=np.uint8) >= need
+        if hit.any():
+            new, go = left[hit], ~hit
+            reached += new.tolist()
+            found.append(np.stack([np.full(len(new), x), new], axis=1))
+            left, of, size, own = left[go], of[:, go], size[go], own[go]
+    both = np.concatenate(found)
+    return both[:, 0], both[:, 1]
+
+
+def _near(band_first: np.ndarray, low: np.ndarray, n: np.ndarray, component: np.ndarray, need: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links (i, j) of all buckets, whose rows begin at band_first[:-1]."""
+    sizes = np.diff(band_first)
+    some = [np.zeros((2, 0), dtype=np.int64)]
+    for k in np.flatnonzero(sizes > _SMALL).tolist():
+        x, y = band_first[k], band_first[k + 1]
+        some.append(np.stack(crossing(low[x:y], n[x:y], component[x:y], need, percent)) + x)
+    small = sizes <= _SMALL
+    row = tc.ragged(band_first[:-1][small], sizes[small])
+    last = np.repeat(band_first[1:][small], sizes[small])
+    more = last - row - 1
+    edge = np.concatenate([[0], np.cumsum(more)])
+    cut = np.unique(np.concatenate([np.searchsorted(edge, np.arange(0, edge[-1], _PAIRS)), [len(row)]]))
+    for x, y in zip(cut[:-1], cut[1:]):
+        i, j = np.repeat(row[x:y], more[x:y]), tc.ragged(row[x:y] + 1, more[x:y])
+        go = (component[i] != component[j]) & (np.minimum(n[i], n[j]) * 100 >= np.maximum(n[i], n[j]) * percent)
+        i, j = i[go], j[go]
+        go = (low[i] == low[j]).view(np.uint8).sum(axis=1, dtype=np.uint8) >= need
+        some.append(np.stack([i[go], j[go]]))
+    both = np.concatenate(some, axis=1)
+    return both[0], both[1]
+
+
+def _low(members: DataFrame) -> DataFrame:
+    """(c, ckey, n, low) of classes; low holds the lower byte of every register, which differs in 255 of 256 where the register does."""
+    def work(batches):
+        for batch in batches:
+            if batch.num_rows:
+                regs = np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint16).reshape(-1, REGISTERS).astype(np.uint8)
+                yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(3)), pa.array([r.tobytes() for r in regs], pa.binary())], ["c", "ckey", "n", "low"])
+
+    return members.select("c", "ckey", "n", "registers").mapInArrow(work, "c long, ckey long, n long, low binary")
+
+
+def _runs(rows: pa.Table, keys: int) -> np.ndarray:
+    """Where the runs of rows with equal values in the first ``keys`` columns begin, and the number of rows."""
+    new = np.ones(rows.num_rows + 1, dtype=bool)
+    key = [rows.column(i).to_numpy() for i in range(keys)]
+    new[1:-1] = np.logical_or.reduce([k[1:] != k[:-1] for k in key])
+    return np.flatnonzero(new)
+
+
+def _near_links(opened: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """A forest (u, v) of the pairs of a bucket that are of different components and may be linked.
+
+    opened has (band, c, component, rows), with the members of the bucket in rows. A bucket is cut into chunks of about CHUNK_BUCKET members; every
+    pair of chunks is a unit of its own.
+    """
+    need = int(np.ceil(REGISTERS * (percent / 100 - FAMILY_MARGIN)))
+    chunks = F.ceil(F.col("rows") / CHUNK_BUCKET).cast("int")
+    rows = (opened.withColumn("chunks", chunks).withColumn("own", F.pmod(F.xxhash64("c"), F.col("chunks")).cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).where("chunks = 1 OR own <> other")
+            .join(members.select("c", "n", "low"), "c")
+            .select("band", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "c", "component", "n", "low"))
+
+    def links(held: pa.Table, first: np.ndarray) -> pa.RecordBatch:
+        c, component, n = (held.column(i).to_numpy() for i in (3, 4, 5))
+        low = np.frombuffer(b"".join(held.column(6).to_pylist()), np.uint8).reshape(-1, REGISTERS)
+        i, j = _near(first, low, n, component, need, percent)
+        ids, at = np.unique(c, return_inverse=True)
+        found = spanning(ids, at[i], at[j])
+        return pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], ["u", "v"])
+
+    def work(batches):
+        held = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            new = pa.Table.from_batches([batch])
+            held = new if held is None else pa.concat_tables([held, new])
+            if held.num_rows >= _HELD and len(first := _runs(held, 3)) > 2:  # the last unit may go on in the next batch
+                yield links(held.slice(0, first[-2]), first[:-1])
+                held = held.slice(first[-2])
+        if held is not None:
+            yield links(held, _runs(held, 3))
+
+    return rows.repartition("band", "p", "q").sortWithinPartitions("band", "p", "q").mapInArrow(work, "u long, v long")
+
+
+def shared_counts(sets: list[np.ndarray], a: np.ndarray, b: np.ndarray):
+    """(first, counts) for runs of a from first on: sizes of the intersections of sets[a[first + i]] and sets[b[j]].
+
+    Shingles of many sets are counted by products of 0/1 matrices, those of a few pair by pair. A shingle of one text only adds nothing.
+    """
     value = np.concatenate(sets)
     owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
     order = np.argsort(value, kind="stable")
     value, owner = value[order], owner[order]
-    column = np.cumsum(np.concatenate([[False], value[1:] != value[:-1]]))
-    common = np.bincount(column)[column] > 1  # a shingle of one text only adds nothing
-    column, owner = np.unique(column[common], return_inverse=True)[1], owner[common]
-    out = np.zeros((len(a), len(b)), dtype=np.float32)
-    for first in range(0, int(column[-1]) + 1 if len(column) else 0, _COLUMNS):
-        x, y = np.searchsorted(column, (first, first + _COLUMNS))
-        has = np.zeros((len(sets), _COLUMNS), dtype=np.float32)
-        has[owner[x:y], column[x:y] - first] = 1
-        out += has[a] @ has[b].T  # whole numbers below 2^24 are exact
-    return out.astype(np.int64)
+    column = np.cumsum(np.concatenate([[False], value[1:] != value[:-1]])[: len(value)])
+    total = int(column[-1]) + 1 if len(column) else 0
+    sides = []
+    for which in (a, b):
+        place = np.full(len(sets), -1)
+        place[which] = np.arange(len(which))
+        row = place[owner]
+        sides.append((row[row >= 0], column[row >= 0]))
+    (arow, acol), (brow, bcol) = sides
+    many = np.bincount(acol, minlength=total) * np.bincount(bcol, minlength=total)
+    common = (many > 0) & (np.bincount(column, minlength=total) > 1)
+    full = common & (many * _SPARSE >= len(a) * len(b))
+    number, columns = np.cumsum(full) - 1, int(full.sum())
+    afull, bfull, few = full[acol], full[bcol], (common & ~full)[acol]
+    begin = np.searchsorted(bcol, np.arange(total + 1))
+    frow, fcol = arow[few], acol[few]
+    by = np.argsort(frow, kind="stable")
+    frow, fcol, count = frow[by], fcol[by], np.diff(begin)[fcol[by]]
+    lrow, lcol, rrow, rcol = arow[afull], number[acol[afull]], brow[bfull], number[bcol[bfull]]
+    step = max(1, _CELLS // max(1, len(b)))
+    for first in range(0, len(a), step):
+        m = min(step, len(a) - first)
+        out = np.zeros((m, len(b)), dtype=np.float32)
+        for at in range(0, columns, _COLUMNS):
+            wide = min(_COLUMNS, columns - at)
+            left, right = np.zeros((m, wide), dtype=np.float32), np.zeros((len(b), wide), dtype=np.float32)
+            here = (lcol >= at) & (lcol < at + wide) & (lrow >= first) & (lrow < first + m)
+            left[lrow[here] - first, lcol[here] - at] = 1
+            here = (rcol >= at) & (rcol < at + wide)
+            right[rrow[here], rcol[here] - at] = 1
+            out += left @ right.T  # whole numbers below 2^24 are exact
+        x, y = np.searchsorted(frow, (first, first + m))
+        edge = np.concatenate([[0], np.cumsum(count[x:y])])
+        cut = np.unique(np.concatenate([np.searchsorted(edge, np.arange(0, edge[-1], _CELLS)), [y - x]])) + x
+        for u, v in zip(cut[:-1], cut[1:]):
+            cell = np.repeat((frow[u:v] - first) * len(b), count[u:v]) + brow[tc.ragged(begin[fcol[u:v]], count[u:v])]
+            np.add.at(out.reshape(-1), cell, np.float32(1))
+        yield first, out.astype(np.int64)
 
 
 def _family_links(members: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     """Links (u, v) between members (c, ckey, n, component, family) of one family and different components.
 
-    A family is cut into chunks of about CHUNK_SHINGLES shingles; every pair of chunks is a unit of
+    A family is cut into chunks of about CHUNK_SHINGLES shingles and CHUNK_MEMBERS members at most; every pair of chunks is a unit of
     its own. A unit compares all its pairs and emits a spanning forest of the links.
     """
-    chunks = members.groupBy("family").agg(F.ceil(F.sum("n") / CHUNK_SHINGLES).cast("int").alias("chunks"))
+    chunks = members.groupBy("family").agg(F.ceil(F.greatest(F.sum("n") / CHUNK_SHINGLES, F.count("*") / CHUNK_MEMBERS)).cast("int").alias("chunks"))
     own = F.pmod(F.xxhash64("c"), F.col("chunks")).cast("int")
     placed = members.join(written(chunks, "chunks"), "family").select("family", "component", "chunks", own.alias("own"), F.col("c").alias("doc_id"), F.col("ckey").alias("tkey"))
     rows = (docs.join(placed, ["doc_id", "tkey"]).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
@@ -252,11 +394,13 @@ def _family_links(members: DataFrame, docs: DataFrame, shingle: int, percent: in
             b = np.flatnonzero(side) if p != q else a
             if not len(a) or not len(b):
                 continue
-            size = np.array([len(x) for x in sets])
-            both = shared_counts(sets, a, b)
-            link = (100 * both >= percent * (size[a][:, None] + size[b][None, :] - both)) & (component[a][:, None] != component[b][None, :])
-            i, j = np.nonzero(link)
-            found = spanning(doc, a[i], b[j])
+            size, every, some = np.array([len(x) for x in sets]), np.arange(len(sets)), [np.zeros((0, 2), dtype=np.int64)]
+            for first, both in shared_counts(sets, a, b):
+                x = a[first : first + len(both)]
+                i, j = np.nonzero((100 * both >= percent * (size[x][:, None] + size[b][None, :] - both)) & (component[x][:, None] != component[b][None, :]))
+                some.append(spanning(every, x[i], b[j]))
+            i, j = np.concatenate(some).T
+            found = spanning(doc, i, j)
             yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], ["u", "v"])
 
     return (rows.repartition("family", "p", "q").sortWithinPartitions("family", "p", "q")
@@ -280,14 +424,17 @@ def link(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     links = written(_verified(written(_estimated(tried, classes, percent), "pairs"), docs, shingle, percent), "links")
     joined = written(components(links), "components")
 
-    # Buckets with members of different components: families of them are compared as a whole.
-    placed = bands.join(joined.withColumnRenamed("node", "c"), "c", "left").withColumn("component", F.coalesce("component", "c"))
-    split = (placed.groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").drop("y"))
+    # Buckets with members of different components: the families among them are compared as a whole.
+    placed = bands.join(joined.withColumnRenamed("node", "c"), "c", "left").select("band", "c", F.coalesce("component", "c").alias("component"))
+    split = (placed.groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("rows"))
+             .where("x < y").drop("x", "y"))
     open_ = written(placed.join(written(split, "split"), "band"), "open")
     if not open_.isEmpty():
-        family = components(open_.select(F.col("component").alias("u"), F.col("x").alias("v")))
-        members = (open_.select("c", "component").distinct().join(family.select(F.col("node").alias("component"), F.col("component").alias("family")), "component")
-                   .join(classes.select("c", "ckey", "n"), "c"))
+        inside = written(open_.select("c", "component").distinct(), "inside")
+        low = written(_low(classes.join(inside.select("c"), "c", "left_semi")), "low")
+        family = components(_near_links(open_, low, percent))
+        members = (inside.join(family.select(F.col("node").alias("c"), F.col("component").alias("family")), "c")
+                   .join(low.select("c", "ckey", "n"), "c"))
         rest = written(_family_links(written(members, "families"), docs, shingle, percent), "links")
         joined = written(components(links.unionByName(rest)), "components")
 

@@ -260,6 +260,72 @@ def test_near_dedup_equals_brute_force(docs_of, seed, n, percent):
     assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in rows)
 
 
+def test_a_common_line_makes_no_family_of_short_texts(docs_of, monkeypatch):
+    """Texts that only share a line meet in buckets by chance; the family they formed before grew with the table."""
+    r = random.Random(8)
+    line = " ".join(f"c{i}" for i in range(14))
+    texts = [f"{line}\n{' '.join(f'v{r.randrange(5000)}' for _ in range(14))}" for _ in range(700)]
+    for t in texts[:40]:
+        texts.append(" ".join(t.split()[:-1] + ["edited"]))
+        texts.append(" ".join(["other", "words", "first", *t.split()]))
+    largest, found = [], setsketch_dedup._family_links
+
+    def watched(members, *rest):
+        largest.append(members.groupBy("family").count().agg(F.max("count")).first()[0] or 0)
+        return found(members, *rest)
+
+    monkeypatch.setattr(setsketch_dedup, "_family_links", watched)
+    rows = setsketch_dedup.dedup(docs_of(texts), shingle=3, percent=85).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in rows} == brute_near(texts, 3, 85)
+    assert largest and max(largest) <= 10  # 331 of the 780 before
+
+
+def star(seed, copies=250, words=80):
+    """Copies of one text, edited in up to a quarter of the words."""
+    r = random.Random(seed)
+    base = [f"b{r.randrange(500)}" for _ in range(words)]
+    return [" ".join(f"e{r.randrange(300)}" if r.random() < share else w for w in base) for share in (r.choice([0, 0.02, 0.05, 0.1, 0.25]) for _ in range(copies))]
+
+
+def test_near_dedup_of_a_star_in_chunks_equals_brute_force(docs_of, monkeypatch):
+    monkeypatch.setattr(setsketch_dedup, "CHUNK_BUCKET", 30)
+    monkeypatch.setattr(setsketch_dedup, "CHUNK_MEMBERS", 40)
+    texts = star(3)
+    rows = setsketch_dedup.dedup(docs_of(texts), shingle=3, percent=85).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in rows} == brute_near(texts, 3, 85)
+
+
+@pytest.mark.parametrize("small", [1, 64])
+def test_near_members_of_buckets_equal_brute_force(monkeypatch, small):
+    monkeypatch.setattr(setsketch_dedup, "_SMALL", small)
+    monkeypatch.setattr(setsketch_dedup, "_PAIRS", 50)
+    r = np.random.default_rng(small)
+    first = np.concatenate([[0], np.cumsum(r.integers(1, 90, 10))])
+    rows = first[-1]
+    low = r.integers(0, 256, (6, setsketch_dedup.REGISTERS))[r.integers(0, 6, rows)]
+    low = np.where(r.random(low.shape) < 0.6 * r.random((rows, 1)), r.integers(0, 256, low.shape), low).astype(np.uint8)
+    n, component = r.integers(80, 120, rows), r.integers(0, rows // 3, rows)
+    want = [(i, j) for x, y in zip(first[:-1], first[1:]) for i, j in itertools.combinations(range(x, y), 2)
+            if component[i] != component[j] and min(n[i], n[j]) * 100 >= 85 * max(n[i], n[j]) and (low[i] == low[j]).sum() >= 120]
+    forest = lambda i, j: shared.spanning(np.arange(rows), np.array(i), np.array(j)).tolist()
+    assert want
+    assert forest(*setsketch_dedup._near(first, low, n, component, 120, 85)) == forest(*zip(*want))
+
+
+@pytest.mark.parametrize(("sparse", "cells", "columns"), [(256, 1 << 22, 2048), (2, 300, 7), (0, 300, 7)])
+def test_shared_counts_equal_intersections(monkeypatch, sparse, cells, columns):
+    for name, value in (("_SPARSE", sparse), ("_CELLS", cells), ("_COLUMNS", columns)):
+        monkeypatch.setattr(setsketch_dedup, name, value)
+    r = np.random.default_rng(7)
+    sets = [np.unique(np.concatenate([r.integers(0, 40, k), r.integers(0, 4000, 2 * k)])).astype(np.uint64) for k in r.integers(1, 30, 60)]
+    every, side = np.arange(60), r.random(60) < 0.4
+    for a, b in ((every, every), (np.flatnonzero(side), np.flatnonzero(~side))):
+        got = np.concatenate([counts for _, counts in setsketch_dedup.shared_counts(sets, a, b)])
+        want = np.array([[len(np.intersect1d(sets[i], sets[j])) for j in b] for i in a])
+        other = a[:, None] != b[None, :]
+        assert (got[other] == want[other]).all()
+
+
 def test_near_dedup_repeated_and_null_ids(docs_of):
     rows = [(1, "a b c d e f"), (1, "a b c d e f"), (None, "a b c d e f"), (3, "a b c d e f"), (4, None), (5, "")]
     got = setsketch_dedup.dedup(docs_of([t for _, t in rows], [i for i, _ in rows])).collect()
